@@ -99,3 +99,31 @@ def cleaned_cte(src: str, keep: str, block: str, name: str = "cleaned") -> str:
 def dedup_cte(src: str, scope: str, order: str, name: str = "deduped") -> str:
     return (f"{name} AS (SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER "
             f"(PARTITION BY {scope}, hash ORDER BY {order}) AS _rn FROM {src}) WHERE _rn = 1)")
+
+
+# ------------------------------------------------------------------ near-dedup
+def neardup_ctes(src: str, key_cols: str, order_cols: str) -> str:
+    """CTEs over ``src`` (key_cols + text): nd_w, nd_sh, nd_sig, nd_bands, nd_ranked, nd_walk."""
+    from wordmill.operators import neardup as N
+    w = words_sql("text")
+    mins = ", ".join(f"min((h * {a} + {b}) % {N.MERSENNE_P}) AS m{i}"
+                     for i, (a, b) in enumerate(N.PERMS[:N.USED]))
+    keys = ", ".join(
+        "concat_ws(',', " + ", ".join(f"CAST(m{j * N.ROWS + k} AS VARCHAR)" for k in range(N.ROWS))
+        + f") AS k{j}" for j in range(N.BANDS))
+    keylist = "[" + ", ".join(f"'{j}:' || k{j}" for j in range(N.BANDS)) + "]"
+    return (
+        f"nd_w AS (SELECT {key_cols}, {w} AS w FROM {src}),\n"
+        f"nd_sh AS (SELECT {key_cols}, i - 1 AS pos, array_to_string(w[i:i + {N.SHINGLE_WORDS - 1}], ' ') "
+        f"AS shingle FROM (SELECT {key_cols}, w, unnest(generate_series(1, len(w) - "
+        f"{N.SHINGLE_WORDS - 1})) AS i FROM nd_w WHERE len(w) >= {N.MIN_WORDS})),\n"
+        f"nd_h AS (SELECT {key_cols}, ('0x' || substr(md5(shingle), 1, {N.HASH_BITS_HEX}))::BIGINT "
+        f"AS h FROM nd_sh),\n"
+        f"nd_sig AS (SELECT {key_cols}, {mins} FROM nd_h GROUP BY {key_cols}),\n"
+        f"nd_bands AS (SELECT {key_cols}, {keys} FROM nd_sig),\n"
+        f"nd_ranked AS (SELECT row_number() OVER (ORDER BY {order_cols}) AS r, {key_cols}, "
+        f"{keylist} AS keys FROM nd_bands),\n"
+        f"nd_walk AS (SELECT 0::BIGINT AS r, []::VARCHAR[] AS kept_keys, false AS kept "
+        f"UNION ALL SELECT n.r, CASE WHEN list_has_any(p.kept_keys, n.keys) THEN p.kept_keys "
+        f"ELSE list_concat(p.kept_keys, n.keys) END, NOT list_has_any(p.kept_keys, n.keys) "
+        f"FROM nd_walk p JOIN nd_ranked n ON n.r = p.r + 1)")

@@ -303,3 +303,77 @@ def q_docs_by_source(spark, sf_dir):
           f"bytes / {G.BYTES_PER_GB} AS gb FROM g")
 def q_size_report(spark, sf_dir):
     return G.size_report(deduped(spark, sf_dir), corpus_col="source")
+
+
+# ===================================== near dedup =====================================
+from wordmill.operators import neardup as N  # noqa: E402
+
+
+def ranked_corpus(spark, sf_dir) -> DataFrame:
+    """The exact-deduped corpus with a bigint visiting order (source, doc_id)."""
+    return N.global_rank(deduped(spark, sf_dir), "source", "doc_id")
+
+
+ND_SQL = ("WITH RECURSIVE " + DEDUP_CTE + ",\n"
+          + O.neardup_ctes("deduped", "source, doc_id", "source, doc_id") + "\n")
+
+
+def _band_rows(spark, sf_dir):
+    r = ranked_corpus(spark, sf_dir)
+    return r, N.band_keys(N.signatures(r, "rank"), "rank")
+
+
+@register("shingles", ND_SQL + "SELECT doc_id, CAST(pos AS BIGINT) AS pos, shingle FROM nd_sh")
+def q_shingles(spark, sf_dir):
+    s = N.shingles(deduped(spark, sf_dir), "doc_id")
+    return s.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "shingle")
+
+
+@register("minhash_sig", ND_SQL + "SELECT doc_id, concat_ws(',', "
+          + ", ".join(f"CAST(m{i} AS VARCHAR)" for i in range(N.USED)) + ") AS sig FROM nd_sig")
+def q_minhash_sig(spark, sf_dir):
+    sig = N.signatures(deduped(spark, sf_dir), "doc_id")
+    return sig.select("doc_id", F.concat_ws(",", *[F.col(f"m{i}").cast("string")
+                                                   for i in range(N.USED)]).alias("sig"))
+
+
+@register("lsh_bands", ND_SQL + "SELECT doc_id, band, key FROM (SELECT doc_id, "
+          + ", ".join(f"k{j}" for j in range(N.BANDS)) + " FROM nd_bands) UNPIVOT (key FOR band IN ("
+          + ", ".join(f"k{j}" for j in range(N.BANDS)) + ")) ")
+def q_lsh_bands(spark, sf_dir):
+    b = N.band_keys(N.signatures(deduped(spark, sf_dir), "doc_id"), "doc_id")
+    return b.select("doc_id", F.concat(F.lit("k"), F.col("band").cast("string")).alias("band"),
+                    "key")
+
+
+@register("neardup_candidates", ND_SQL + """,
+nd_flat AS (SELECT source, doc_id, r, unnest(keys) AS k FROM nd_ranked),
+nd_bs AS (SELECT k, count(*) AS n, min(r) AS mr FROM nd_flat GROUP BY k)
+SELECT f.source, f.doc_id, count(*) AS n_shared_buckets, bool_or(b.mr < f.r) AS has_earlier
+FROM nd_flat f JOIN nd_bs b ON f.k = b.k WHERE b.n >= 2 GROUP BY f.source, f.doc_id""")
+def q_neardup_candidates(spark, sf_dir):
+    r, bands = _band_rows(spark, sf_dir)
+    st = N.bucket_stats(bands).where(F.col("n_docs") >= 2)
+    j = bands.join(st, ["band", "key"])
+    per = j.groupBy("rank").agg(F.count("*").alias("n_shared_buckets"),
+                                F.max(F.col("first_rank") < F.col("rank")).alias("has_earlier"))
+    return per.join(r.select("rank", "source", "doc_id"), "rank").select(
+        "source", "doc_id", "n_shared_buckets", "has_earlier")
+
+
+@register("neardup_kept", ND_SQL + "SELECT d.source, d.doc_id, d.hash, d.text FROM nd_walk w "
+          "JOIN nd_ranked n ON w.r = n.r JOIN deduped d ON d.doc_id = n.doc_id WHERE w.kept")
+def q_neardup_kept(spark, sf_dir):
+    kept = N.near_dedup(ranked_corpus(spark, sf_dir), "rank")
+    return kept.select("source", "doc_id", "hash", "text")
+
+
+@register("neardup_report", ND_SQL + """,
+k AS (SELECT n.doc_id FROM nd_walk w JOIN nd_ranked n ON w.r = n.r WHERE w.kept)
+SELECT d.source, count(*) AS n_input, count(k.doc_id) AS n_kept,
+       count(*) - count(k.doc_id) AS n_removed
+FROM deduped d LEFT JOIN k ON d.doc_id = k.doc_id GROUP BY ROLLUP (d.source)""")
+def q_neardup_report(spark, sf_dir):
+    r = ranked_corpus(spark, sf_dir)
+    kept = N.near_dedup(r, "rank").select("rank")
+    return N.near_dedup_report(r, kept, "source").select("source", "n_input", "n_kept", "n_removed")

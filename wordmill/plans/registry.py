@@ -377,3 +377,109 @@ def q_neardup_report(spark, sf_dir):
     r = ranked_corpus(spark, sf_dir)
     kept = N.near_dedup(r, "rank").select("rank")
     return N.near_dedup_report(r, kept, "source").select("source", "n_input", "n_kept", "n_removed")
+
+
+# ===================================== training set ===================================
+from wordmill.operators import packing as PK  # noqa: E402
+
+# --- fixed values of the registered packing queries -----------------------------------
+TOY_BLOCK_LEN = 64           # block length for the word-length toy ids
+TOY_BATCH = 100              # documents per packing batch
+LIMIT_TRAIN, LIMIT_VAL = 500, 5
+# ---------------------------------------------------------------------------------------
+
+SPLIT_SQL = (
+    f"sp AS (SELECT doc_id, source, text, md5('{PK.SPLIT_SEED}:' || CAST(doc_id AS VARCHAR)) AS sh "
+    "FROM deduped),\n"
+    f"nt AS (SELECT CAST(ceil({PK.TEST_FRACTION} * count(*)) AS BIGINT) AS k FROM sp),\n"
+    "ordered AS (SELECT doc_id, source, text, sh, row_number() OVER (ORDER BY sh, doc_id) AS rn "
+    "FROM sp),\n"
+    "labelled AS (SELECT doc_id, source, text, sh, rn, CASE WHEN rn <= (SELECT k FROM nt) "
+    "THEN 'test' ELSE 'train' END AS split FROM ordered)")
+
+
+def split_docs(spark, sf_dir):
+    train, test = PK.seeded_split(deduped(spark, sf_dir), "doc_id")
+    return train, test
+
+
+@register("train_val_split", f"WITH {DEDUP_CTE},\n{SPLIT_SQL}\nSELECT doc_id, split FROM labelled")
+def q_train_val_split(spark, sf_dir):
+    train, test = split_docs(spark, sf_dir)
+    return train.select("doc_id", F.lit("train").alias("split")).unionByName(
+        test.select("doc_id", F.lit("test").alias("split")))
+
+
+LIMITED_SQL = (f"WITH {DEDUP_CTE},\n{SPLIT_SQL},\n"
+               "lim AS (SELECT doc_id, split, row_number() OVER (PARTITION BY split ORDER BY sh, "
+               "doc_id) AS k FROM labelled)\n"
+               f"SELECT doc_id, split FROM lim WHERE (split = 'train' AND k <= {LIMIT_TRAIN}) "
+               f"OR (split = 'test' AND k <= {LIMIT_VAL})")
+
+
+def limited_split(spark, sf_dir):
+    train, test = split_docs(spark, sf_dir)
+    tr = PK.head_limit(train, LIMIT_TRAIN)
+    te = PK.head_limit(test, LIMIT_VAL)
+    return tr.select("doc_id", F.lit("train").alias("split")).unionByName(
+        te.select("doc_id", F.lit("test").alias("split")))
+
+
+@register("limited_split", LIMITED_SQL)
+def q_limited_split(spark, sf_dir):
+    return limited_split(spark, sf_dir)
+
+
+@register("split_counts", f"SELECT split, count(*) AS n_rows FROM ({LIMITED_SQL}) GROUP BY split")
+def q_split_counts(spark, sf_dir):
+    return G.split_counts(limited_split(spark, sf_dir))
+
+
+@register("fertility_first_n",
+          f"WITH {DEDUP_CTE} SELECT source, doc_id, CAST(len({O.words_sql('text')}) AS BIGINT) "
+          f"AS n_words FROM deduped ORDER BY source, doc_id LIMIT {PK.FERTILITY_SAMPLE}")
+def q_fertility_first_n(spark, sf_dir):
+    d = PK.first_n(deduped(spark, sf_dir), ["source", "doc_id"])
+    return d.select("source", "doc_id", T.word_count("text").cast("bigint").alias("n_words"))
+
+
+@register("union_corpora",
+          "SELECT 'benchmark' AS corpus, item_id AS id, CAST(0 AS BIGINT) AS sub_id, text "
+          "FROM benchmark UNION ALL SELECT 'conversations', conv_id, turn, text FROM conversations "
+          "UNION ALL SELECT 'documents', doc_id, CAST(0 AS BIGINT), text FROM documents")
+def q_union_corpora(spark, sf_dir):
+    z = F.lit(0).cast("bigint")
+    return PK.union_corpora({
+        "documents": table(spark, sf_dir, "documents").select(
+            F.col("doc_id").alias("id"), z.alias("sub_id"), "text"),
+        "benchmark": table(spark, sf_dir, "benchmark").select(
+            F.col("item_id").alias("id"), z.alias("sub_id"), "text"),
+        "conversations": table(spark, sf_dir, "conversations").select(
+            F.col("conv_id").alias("id"), F.col("turn").alias("sub_id"), "text"),
+    }).select("corpus", "id", "sub_id", "text")
+
+
+PACK_SQL = (
+    f"WITH {DEDUP_CTE},\n{SPLIT_SQL},\n"
+    "train AS (SELECT doc_id, text, rn - (SELECT k FROM nt) - 1 AS p FROM labelled "
+    "WHERE split = 'train'),\n"
+    f"ids AS (SELECT p // {TOY_BATCH} AS batch, p, list_transform({O.words_sql('text')}, "
+    "lambda w: length(w)::INTEGER) AS ids FROM train),\n"
+    "flat AS (SELECT batch, flatten(list(ids ORDER BY p)) AS a FROM ids GROUP BY batch),\n"
+    f"blk AS (SELECT batch, a, unnest(generate_series(0, len(a) // {TOY_BLOCK_LEN} - 1)) AS block "
+    "FROM flat)\n"
+    f"SELECT CAST(0 AS BIGINT) AS shard, batch, block, a[block * {TOY_BLOCK_LEN} + 1 : "
+    f"(block + 1) * {TOY_BLOCK_LEN}] AS input_ids, "
+    f"list_transform(range({TOY_BLOCK_LEN}), lambda x: 1::INTEGER) AS attention_mask, "
+    f"a[block * {TOY_BLOCK_LEN} + 1 : (block + 1) * {TOY_BLOCK_LEN}] AS labels FROM blk")
+
+
+@register("pack_blocks", PACK_SQL)
+def q_pack_blocks(spark, sf_dir):
+    train, _ = split_docs(spark, sf_dir)
+    pos = PK.dense_positions(train.select("doc_id", "text", "_shuffle"), ["_shuffle", "doc_id"])
+    n = pos.count()
+    b = PK.worker_batches(pos, n, batch_size=TOY_BATCH, num_shards=1)
+    toy = b.select("shard", "batch", "position",
+                   F.transform(T.words("text"), lambda w: F.length(w)).alias("input_ids"))
+    return PK.pack_blocks(toy, block_len=TOY_BLOCK_LEN)

@@ -127,3 +127,12 @@ def neardup_ctes(src: str, key_cols: str, order_cols: str) -> str:
         f"UNION ALL SELECT n.r, CASE WHEN list_has_any(p.kept_keys, n.keys) THEN p.kept_keys "
         f"ELSE list_concat(p.kept_keys, n.keys) END, NOT list_has_any(p.kept_keys, n.keys) "
         f"FROM nd_walk p JOIN nd_ranked n ON n.r = p.r + 1)")
+
+
+# ------------------------------------------------------------------ tokenizer (K1-K4)
+def pretokens_sql(x: str) -> str:
+    return f"regexp_extract_all({x}, {q(P.RE2_PRETOKEN)})"
+
+
+def chars_sql(x: str) -> str:
+    return f"regexp_extract_all({x}, '(?s).')"

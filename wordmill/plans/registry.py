@@ -483,3 +483,149 @@ def q_pack_blocks(spark, sf_dir):
     toy = b.select("shard", "batch", "position",
                    F.transform(T.words("text"), lambda w: F.length(w)).alias("input_ids"))
     return PK.pack_blocks(toy, block_len=TOY_BLOCK_LEN)
+
+
+# ===================================== tokenizer ======================================
+from wordmill.operators import bpe as BP  # noqa: E402
+
+# --- fixed values of the registered tokenizer queries ----------------------------------
+BPE_VOCAB = 500              # vocabulary size trained by the registered queries
+# ----------------------------------------------------------------------------------------
+
+_MODELS: dict[tuple, BP.BpeModel] = {}
+
+
+def bpe_model(spark, sf_dir, vocab_size: int = BPE_VOCAB) -> BP.BpeModel:
+    """Train once per (data set, size) in this process; the corpus is the deduped docs."""
+    k = (sf_dir, vocab_size)
+    if k not in _MODELS:
+        _MODELS[k] = BP.learn_bpe(BP.word_frequencies(deduped(spark, sf_dir)), vocab_size)
+    return _MODELS[k]
+
+
+WF_SQL = (f"wf AS (SELECT word, count(*) AS freq FROM (SELECT unnest({O.pretokens_sql('text')}) "
+          "AS word FROM documents) GROUP BY word)")
+
+
+@register("pretokenize", f"SELECT doc_id, CAST(pos - 1 AS BIGINT) AS pos, piece FROM (SELECT doc_id, "
+          f"unnest({O.pretokens_sql('text')}) AS piece, unnest(generate_series(1, "
+          f"len({O.pretokens_sql('text')}))) AS pos FROM documents)")
+def q_pretokenize(spark, sf_dir):
+    d = documents(spark, sf_dir)
+    return d.select("doc_id", F.posexplode(T.pretokens("text")).alias("pos", "piece")).select(
+        "doc_id", F.col("pos").cast("bigint").alias("pos"), "piece")
+
+
+@register("word_freq", f"WITH {WF_SQL} SELECT word, freq FROM wf")
+def q_word_freq(spark, sf_dir):
+    return BP.word_frequencies(documents(spark, sf_dir))
+
+
+@register("alphabet", f"WITH {WF_SQL}, c AS (SELECT DISTINCT unnest({O.chars_sql('word')}) AS ch "
+          f"FROM wf) SELECT ch, CAST(row_number() OVER (ORDER BY ch) + {len(BP.SPECIALS) - 1} "
+          "AS BIGINT) AS id FROM c")
+def q_alphabet(spark, sf_dir):
+    from pyspark.sql import Window
+    a = BP.alphabet(BP.word_frequencies(documents(spark, sf_dir)))
+    return a.select("ch", (F.row_number().over(Window.orderBy("cp")) + len(BP.SPECIALS) - 1)
+                    .cast("bigint").alias("id"))
+
+
+@register("pair_freq", f"WITH {WF_SQL}, c AS (SELECT freq, {O.chars_sql('word')} AS c FROM wf), "
+          "p AS (SELECT freq, c[i] AS \"left\", c[i + 1] AS \"right\" FROM (SELECT freq, c, "
+          "unnest(generate_series(1, len(c) - 1)) AS i FROM c WHERE len(c) >= 2)) "
+          f'SELECT "left", "right", CAST(sum(freq) AS BIGINT) AS freq FROM p GROUP BY "left", "right" '
+          f"HAVING sum(freq) >= {BP.MIN_FREQUENCY}")
+def q_pair_freq(spark, sf_dir):
+    return BP.pair_frequencies(BP.word_frequencies(documents(spark, sf_dir)))
+
+
+@register("bpe_merges", None)
+def q_bpe_merges(spark, sf_dir):
+    return BP.merges_frame(spark, bpe_model(spark, sf_dir))
+
+
+@register("vocab", None)
+def q_vocab(spark, sf_dir):
+    return BP.vocab_frame(spark, bpe_model(spark, sf_dir))
+
+
+@register("encode_words", None)
+def q_encode_words(spark, sf_dir):
+    m = bpe_model(spark, sf_dir)
+    return BP.encode_words(BP.word_frequencies(deduped(spark, sf_dir)).select("word"), m)
+
+
+def _doc_tokens(spark, sf_dir):
+    return BP.doc_tokens(deduped(spark, sf_dir), bpe_model(spark, sf_dir))
+
+
+@register("doc_tokens", None)
+def q_doc_tokens(spark, sf_dir):
+    t = _doc_tokens(spark, sf_dir)
+    return t.select("doc_id", F.size("input_ids").cast("bigint").alias("n_tokens"), "input_ids")
+
+
+@register("decode_tokens", None)
+def q_decode_tokens(spark, sf_dir):
+    return BP.decode(_doc_tokens(spark, sf_dir), bpe_model(spark, sf_dir))
+
+
+@register("fertility", None)
+def q_fertility(spark, sf_dir):
+    first = PK.first_n(deduped(spark, sf_dir), ["source", "doc_id"])
+    return BP.fertility(first, BP.doc_tokens(first, bpe_model(spark, sf_dir)))
+
+
+@register("unk_rate", None)
+def q_unk_rate(spark, sf_dir):
+    b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    return BP.unk_rate(BP.doc_tokens(b, bpe_model(spark, sf_dir)), bpe_model(spark, sf_dir))
+
+
+def _simple_counts_sql(x: str) -> dict[str, str]:
+    return {"bytes": f"CAST(strlen({x}) AS BIGINT)", "chars": f"CAST(length({x}) AS BIGINT)",
+            "words": f"CAST(len({O.words_sql(x)}) AS BIGINT)",
+            "pretokens": f"CAST(len({O.pretokens_sql(x)}) AS BIGINT)"}
+
+
+@register("avg_tokens", "SELECT count(*) AS n_texts, " + ", ".join(
+    f"sum({e}) / greatest(1, count(*)) AS avg_{n}" for n, e in _simple_counts_sql("text").items())
+    + " FROM benchmark")
+def q_avg_tokens(spark, sf_dir):
+    return BP.avg_tokens(table(spark, sf_dir, "benchmark"), BP.simple_token_counts())
+
+
+@register("token_reduction", "SELECT avg_bytes AS base_avg, avg_pretokens AS custom_avg, "
+          "(avg_bytes - avg_pretokens) / greatest(avg_bytes, 1e-9) * 100.0 AS reduction_pct, "
+          f"CASE WHEN 0.0 > {BP.UNK_WARN_PCT} THEN 'warning_high_unk' WHEN avg_pretokens <= "
+          f"avg_bytes * {BP.STRONG_GAIN} THEN 'strong' ELSE 'small' END AS signal FROM ("
+          "SELECT " + ", ".join(f"sum({e}) / greatest(1, count(*)) AS avg_{n}"
+                                for n, e in _simple_counts_sql("text").items()) + " FROM benchmark)")
+def q_token_reduction(spark, sf_dir):
+    a = BP.avg_tokens(table(spark, sf_dir, "benchmark"), BP.simple_token_counts())
+    red, sig = BP.token_reduction(F.col("avg_bytes"), F.col("avg_pretokens"), F.lit(0.0))
+    return a.select(F.col("avg_bytes").alias("base_avg"), F.col("avg_pretokens").alias("custom_avg"),
+                    red.alias("reduction_pct"), sig.alias("signal"))
+
+
+@register("tokenizer_compare", "SELECT item_id AS label, tokenizer, tokens, tokens / "
+          "greatest(base, 1) AS ratio FROM (SELECT item_id, " + ", ".join(
+              f"{e} AS {n}" for n, e in _simple_counts_sql("text").items())
+          + ", pretokens AS base FROM benchmark) UNPIVOT (tokens FOR tokenizer IN "
+          "(bytes, chars, words, pretokens))")
+def q_tokenizer_compare(spark, sf_dir):
+    b = table(spark, sf_dir, "benchmark").withColumnRenamed("item_id", "label")
+    return BP.compare_tokenizers(b, BP.simple_token_counts(), "pretokens")
+
+
+@register("pack_blocks_bpe", None)
+def q_pack_blocks_bpe(spark, sf_dir):
+    """The source's training-set flow: split, BPE-tokenize, pack 512-id blocks per 1,000 docs."""
+    train, _ = split_docs(spark, sf_dir)
+    train = PK.head_limit(train, PK.TRAIN_DOC_LIMIT)
+    toks = BP.doc_tokens(train.select("doc_id", "text"), bpe_model(spark, sf_dir))
+    keyed = toks.join(train.select("doc_id", "_shuffle"), "doc_id")
+    pos = PK.dense_positions(keyed, ["_shuffle", "doc_id"])
+    b = PK.worker_batches(pos, pos.count(), batch_size=PK.PACK_BATCH, num_shards=1)
+    return PK.pack_blocks(b, block_len=PK.MAX_LENGTH)

@@ -7,6 +7,9 @@ oracle forms are kept next to the Spark forms. Character classes are spelled wit
 
 # --- fixed values (must equal the source behaviour) -------------------------
 # Python str.split()/str.strip() whitespace: 29 code points.
+PY_WS_CODEPOINTS = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0,
+                    0x1680, 0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2007,
+                    0x2008, 0x2009, 0x200A, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 PY_WS_CLASS = (r"\x{09}-\x{0D}\x{1C}-\x{1F}\x{20}\x{85}\x{A0}\x{1680}"
                r"\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
 # Unicode White_Space property (no U+001C..U+001F): the pre-tokenizer's \s.
@@ -24,6 +27,7 @@ PHONE_TOKEN = "[PHONE]"
 EMAIL_TOKEN = "[EMAIL]"
 # -----------------------------------------------------------------------------
 
+PY_WS_CHARS = "".join(chr(c) for c in PY_WS_CODEPOINTS)
 WS = "[" + PY_WS_CLASS + "]"
 WS_RUN = WS + "+"
 
@@ -44,8 +48,13 @@ TAG = r"<[^>]+>"
 ENTITY = r"&[a-zA-Z]+;"
 NEWLINE_RUN = r"\n{3,}"
 SPACE_TAB_RUN = r"[ \t]+"
+# Same replacement result as SPACE_TAB_RUN -> " ", but single spaces (the common
+# case) are not matches, so most texts are returned untouched.
+SPACE_TAB_CHANGE = r"(?: [ \t]|\t)[ \t]*"
 STRIP_EDGES = r"\A" + WS_RUN + r"|" + WS_RUN + r"\z"
 LETTER = r"\p{L}"
+NON_LETTER_RUN = r"\P{L}+"
+PHONE_HINT = r"\p{Nd}{6}"      # a phone match needs six consecutive digits
 
 # Pre-tokenizer (whitespace + punctuation split): \w+ | [^\w\s]+ with the
 # Unicode \w of the UTS#18 definition (alphabetic, marks, decimal digits,

@@ -42,14 +42,14 @@ def strip_entities(col) -> Column:
 
 
 def py_strip(col) -> Column:
-    """T5: Python ``str.strip()`` (29 whitespace code points)."""
-    return F.regexp_replace(_c(col), P.STRIP_EDGES, "")
+    """T5: Python ``str.strip()`` (29 whitespace code points), a linear ``btrim``."""
+    return F.call_function("btrim", _c(col), F.lit(P.PY_WS_CHARS))
 
 
 def collapse_ws(col) -> Column:
     """T4 + T5: ``\\n{3,}`` -> ``\\n\\n``, runs of space/tab -> one space, strip."""
     c = F.regexp_replace(_c(col), P.NEWLINE_RUN, "\n\n")
-    c = F.regexp_replace(c, P.SPACE_TAB_RUN, " ")
+    c = F.regexp_replace(c, P.SPACE_TAB_CHANGE, " ")
     return py_strip(c)
 
 
@@ -61,13 +61,20 @@ def normalize_text(col, apply_nfc: bool = True) -> Column:
 
 # --- T6..T8 -----------------------------------------------------------------
 def scrub_phone(col) -> Column:
-    """Phone numbers -> [PHONE] (Python \\b and \\d semantics)."""
-    return F.regexp_replace(_c(col), P.JAVA_PHONE, P.PHONE_TOKEN)
+    """Phone numbers -> [PHONE] (Python \\b and \\d semantics).
+
+    The look-around pattern runs only on texts holding six consecutive digits.
+    """
+    c = _c(col)
+    return F.when(c.rlike(P.PHONE_HINT), F.regexp_replace(c, P.JAVA_PHONE, P.PHONE_TOKEN)
+                  ).otherwise(c)
 
 
 def scrub_email(col) -> Column:
-    """E-mail addresses -> [EMAIL]; runs after T6."""
-    return F.regexp_replace(_c(col), P.JAVA_EMAIL, P.EMAIL_TOKEN)
+    """E-mail addresses -> [EMAIL]; runs after T6, only on texts with an '@'."""
+    c = _c(col)
+    return F.when(F.instr(c, "@") > 0, F.regexp_replace(c, P.JAVA_EMAIL, P.EMAIL_TOKEN)
+                  ).otherwise(c)
 
 
 def scrub_pii(col) -> Column:
@@ -81,13 +88,18 @@ def content_hash(col) -> Column:
 
 # --- T9..T14 ----------------------------------------------------------------
 def script_count(col, block: str = P.DEVANAGARI) -> Column:
-    """Characters inside a Unicode block (default Devanagari U+0900-U+097F)."""
-    return F.regexp_count(_c(col), F.lit(P.block_class(block)))
+    """Characters inside a Unicode block (default Devanagari U+0900-U+097F).
+
+    Deleting the runs *outside* the block and taking the length needs one match
+    per run instead of one string per character (``regexp_count`` is rewritten
+    to ``size(regexp_extract_all(...))``).
+    """
+    return F.length(F.regexp_replace(_c(col), "[^" + block + "]+", ""))
 
 
 def letter_count(col) -> Column:
     """Characters with ``str.isalpha()`` true (Unicode category L*)."""
-    return F.regexp_count(_c(col), F.lit(P.LETTER))
+    return F.length(F.regexp_replace(_c(col), P.NON_LETTER_RUN, ""))
 
 
 def char_length(col) -> Column:
@@ -96,14 +108,28 @@ def char_length(col) -> Column:
 
 
 def words(col) -> Column:
-    """``str.split()`` — whitespace split, no empty items."""
-    return F.filter(F.split(_c(col), P.WS_RUN), lambda x: x != F.lit(""))
+    """``str.split()`` — whitespace split, no empty items.
+
+    Only the first and last item of the split can be empty; ``array_remove``
+    drops them without a lambda.
+    """
+    return F.array_remove(F.split(_c(col), P.WS_RUN), "")
 
 
 def word_count(col) -> Column:
     return F.size(words(col))
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body`` (a lambda).
+
+    Catalyst substitutes aliases when it pushes a filter through a projection, and
+    filters get no common-subexpression elimination; binding the value to a
+    lambda variable keeps it computed once.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def unique_word_ratio(words_col) -> Column:
     """Distinct words / words (null for an empty list)."""
     w = _c(words_col)

@@ -48,21 +48,27 @@ def passes_letter_density(t: Column) -> Column:
     return T.letter_count(t) / F.greatest(T.char_length(t), F.lit(1)) >= MIN_LETTER_DENSITY
 
 
+def measures(t: Column, block: str = P.DEVANAGARI) -> Column:
+    """One struct with every measure the filters need, each computed once."""
+    w = T.words(t)
+    return F.struct(T.char_length(t).alias("n"), T.letter_count(t).alias("letters"),
+                    T.script_count(t, block).alias("script"), F.size(w).alias("n_words"),
+                    F.size(F.array_distinct(w)).alias("n_distinct"))
+
+
 def reject_reason(t: Column, block: str = P.DEVANAGARI,
                   threshold: float = SCRIPT_THRESHOLD) -> Column:
     """The first failing filter in source order, or null when the text passes.
 
-    A CASE evaluates the cheap length test before the word split, and each
-    measure is computed inside one expression tree (one pass per regex).
-    Input ``t`` must already be normalised (T1-T5), so it is stripped.
+    Input ``t`` must already be normalised (T1-T5), so it is stripped. The
+    measures are bound once (``let``) and the CASE tests them in source order.
     """
-    n = T.char_length(t)
-    letters = T.letter_count(t)
-    w = T.words(t)
-    return (F.when((n == 0) | (letters == 0)
-                   | (T.script_count(t, block) / letters < threshold), F.lit(REASONS[0]))
-             .when(n < MIN_CHARS, F.lit(REASONS[1]))
-             .when((F.size(w) > REPETITION_MIN_WORDS)
-                   & (F.size(F.array_distinct(w)) / F.size(w) < MIN_UNIQUE_RATIO),
-                   F.lit(REASONS[2]))
-             .when(letters / F.greatest(n, F.lit(1)) < MIN_LETTER_DENSITY, F.lit(REASONS[3])))
+    def verdict(m):
+        n, letters = m["n"], m["letters"]
+        return (F.when((n == 0) | (letters == 0) | (m["script"] / letters < threshold),
+                       F.lit(REASONS[0]))
+                 .when(n < MIN_CHARS, F.lit(REASONS[1]))
+                 .when((m["n_words"] > REPETITION_MIN_WORDS)
+                       & (m["n_distinct"] / m["n_words"] < MIN_UNIQUE_RATIO), F.lit(REASONS[2]))
+                 .when(letters / F.greatest(n, F.lit(1)) < MIN_LETTER_DENSITY, F.lit(REASONS[3])))
+    return T.let(measures(t, block), verdict)

@@ -67,10 +67,14 @@ def shingle_hash(s):
 
 
 def shingle_array(words_col) -> F.Column:
-    """The n-4 shingles of a word list (words joined by one space)."""
-    w = words_col
-    return F.transform(F.sequence(F.lit(0), F.size(w) - SHINGLE_WORDS),
-                       lambda i: F.array_join(F.slice(w, i + 1, SHINGLE_WORDS), " "))
+    """The n-4 shingles of a word list (words joined by one space).
+
+    The word list is bound once (``let``) so an expression argument is not
+    re-evaluated for every shingle.
+    """
+    return T.let(words_col, lambda w: F.transform(
+        F.sequence(F.lit(0), F.size(w) - SHINGLE_WORDS),
+        lambda i: F.array_join(F.slice(w, i + 1, SHINGLE_WORDS), " ")))
 
 
 def shingles(df: DataFrame, rank_col: str, text_col: str = "text") -> DataFrame:
@@ -157,13 +161,14 @@ def greedy_keep(bands: DataFrame, max_rounds: int = 10_000) -> DataFrame:
 
 
 def global_rank(df: DataFrame, corpus_col: str, ordinal_col: str,
-                ordinal_bits: int = 40) -> DataFrame:
+                ordinal_bits: int = 40, names: DataFrame | None = None) -> DataFrame:
     """A bigint visiting order: corpora in name order, then the ordinal.
 
-    The corpus index comes from the distinct corpus names (one row per corpus);
+    The corpus index comes from the distinct corpus names (one row per corpus;
+    pass ``names`` to take them from a cheap pruned scan instead of ``df``);
     ordinals must be < 2**ordinal_bits.
     """
-    names = df.select(corpus_col).distinct()
+    names = (names if names is not None else df).select(corpus_col).distinct()
     idx = names.select(corpus_col, F.dense_rank().over(Window.orderBy(corpus_col))
                        .cast("bigint").alias("_ci"))
     return df.join(idx, corpus_col).withColumn(

@@ -309,9 +309,22 @@ def q_size_report(spark, sf_dir):
 from wordmill.operators import neardup as N  # noqa: E402
 
 
+def deduped_stage(spark, sf_dir) -> DataFrame:
+    """The exact-deduped corpus written once to the checkpoint folder.
+
+    Multi-pass operators (near-dedup, split, packing, BPE) read this stage
+    instead of re-running the cleaning for every pass — the role the source's
+    per-stage output files play.
+    """
+    from wordmill.session import checkpoint_dir
+    checkpoint_dir(spark)
+    return deduped(spark, sf_dir).checkpoint(eager=True)
+
+
 def ranked_corpus(spark, sf_dir) -> DataFrame:
     """The exact-deduped corpus with a bigint visiting order (source, doc_id)."""
-    return N.global_rank(deduped(spark, sf_dir), "source", "doc_id")
+    names = documents(spark, sf_dir).select("source")
+    return N.global_rank(deduped_stage(spark, sf_dir), "source", "doc_id", names=names)
 
 
 ND_SQL = ("WITH RECURSIVE " + DEDUP_CTE + ",\n"
@@ -399,7 +412,7 @@ SPLIT_SQL = (
 
 
 def split_docs(spark, sf_dir):
-    train, test = PK.seeded_split(deduped(spark, sf_dir), "doc_id")
+    train, test = PK.seeded_split(deduped_stage(spark, sf_dir), "doc_id")
     return train, test
 
 
@@ -499,7 +512,7 @@ def bpe_model(spark, sf_dir, vocab_size: int = BPE_VOCAB) -> BP.BpeModel:
     """Train once per (data set, size) in this process; the corpus is the deduped docs."""
     k = (sf_dir, vocab_size)
     if k not in _MODELS:
-        _MODELS[k] = BP.learn_bpe(BP.word_frequencies(deduped(spark, sf_dir)), vocab_size)
+        _MODELS[k] = BP.learn_bpe(BP.word_frequencies(deduped_stage(spark, sf_dir)), vocab_size)
     return _MODELS[k]
 
 

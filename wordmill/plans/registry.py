@@ -41,8 +41,16 @@ def register(name: str, sql: str | None):
     return deco
 
 
+# Text tables and their document keys: scans of these are spread over the cores.
+TEXT_TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name in TEXT_TABLE_KEYS:
+        from wordmill.sources.readers import ensure_parallelism
+        df = ensure_parallelism(df, TEXT_TABLE_KEYS[name])
+    return df
 
 
 # --- fixed values for the fixture transforms ---------------------------------------

@@ -153,3 +153,19 @@ def write_jsonl(df: DataFrame, path: str, partition_by: str | None = None) -> No
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.json(path)
+
+
+def ensure_parallelism(df: DataFrame, key: str | None = None,
+                       min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that arrives in too few partitions over the cluster's cores.
+
+    The per-document work (regexes, normalisation) is CPU-bound; a corpus stored
+    as one large row group would otherwise run in a single task. Large inputs
+    (many files/row groups) already have enough splits and pass through unchanged.
+    A hash partitioning on ``key`` (not round-robin) keeps retries deterministic.
+    """
+    spark = df.sparkSession
+    want = min_partitions or 2 * spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key) if key else df.repartition(want)

@@ -90,11 +90,13 @@ def content_hash(col) -> Column:
 def script_count(col, block: str = P.DEVANAGARI) -> Column:
     """Characters inside a Unicode block (default Devanagari U+0900-U+097F).
 
-    Deleting the runs *outside* the block and taking the length needs one match
-    per run instead of one string per character (``regexp_count`` is rewritten
-    to ``size(regexp_extract_all(...))``).
+    Length minus the length after deleting runs *inside* the block: one match
+    per run instead of one string per character (``regexp_count`` is rewritten to
+    ``size(regexp_extract_all(...))``), and a positive class is matched much
+    faster by java.util.regex than a negated range class.
     """
-    return F.length(F.regexp_replace(_c(col), "[^" + block + "]+", ""))
+    c = _c(col)
+    return F.length(c) - F.length(F.regexp_replace(c, "[" + block + "]+", ""))
 
 
 def letter_count(col) -> Column:

@@ -195,7 +195,12 @@ def learn_bpe(wf: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int =
         if not entries:
             break
         mm = F.create_map(*[F.lit(x) for e in entries for x in e])
-        nxt = state.select("freq", _rewrite(F.col("s"), mm).alias("s")).where(F.size("s") >= 2)
+        # only words holding a left symbol of the batch can change; the cheap
+        # (code-generated) overlap test keeps the interpreted rewrite off the rest
+        lefts = F.array(*[F.lit(int(k // SHIFT)) for k, _ in entries]).cast("array<int>")
+        rew = F.when(F.arrays_overlap(F.col("s"), lefts), _rewrite(F.col("s"), mm)
+                     ).otherwise(F.col("s"))
+        nxt = state.select("freq", rew.alias("s")).where(F.size("s") >= 2)
         if rounds % CHECKPOINT_EVERY == 0:
             nxt = nxt.checkpoint(eager=True)     # cuts the lineage (reliable storage)
             state.unpersist()

@@ -77,11 +77,24 @@ def shingle_array(words_col) -> F.Column:
         lambda i: F.array_join(F.slice(w, i + 1, SHINGLE_WORDS), " ")))
 
 
+def _shingle_rows(df: DataFrame, rank_col: str, text_col: str) -> DataFrame:
+    """(rank, pos, shingle) rows without a higher-order lambda.
+
+    ``posexplode`` of the word list yields one row per word; each row builds its
+    shingle with ``slice``/``array_join`` in an ordinary projection, which stays
+    inside whole-stage codegen (lambdas are interpreted). Rows whose window would
+    run past the end are dropped, so documents under 5 words yield nothing.
+    """
+    w = df.select(rank_col, T.words(text_col).alias("_w"))
+    e = w.select(rank_col, "_w", F.posexplode("_w").alias("pos", "_word"))
+    e = e.where(F.col("pos") <= F.size("_w") - SHINGLE_WORDS)
+    return e.select(rank_col, "pos", F.array_join(
+        F.slice("_w", F.col("pos") + 1, SHINGLE_WORDS), " ").alias("shingle"))
+
+
 def shingles(df: DataFrame, rank_col: str, text_col: str = "text") -> DataFrame:
     """D2 exploded: (rank, pos, shingle) for documents with >= 5 words."""
-    w = df.select(rank_col, T.words(text_col).alias("_w"))
-    w = w.where(F.size("_w") >= MIN_WORDS)
-    return w.select(rank_col, F.posexplode(shingle_array(F.col("_w"))).alias("pos", "shingle"))
+    return _shingle_rows(df, rank_col, text_col)
 
 
 def signatures(df: DataFrame, rank_col: str, text_col: str = "text") -> DataFrame:
@@ -91,11 +104,8 @@ def signatures(df: DataFrame, rank_col: str, text_col: str = "text") -> DataFram
     HashAggregate (fixed-width bigint buffers, codegen) runs before the shuffle,
     so only one 55-long row per document crosses the network.
     """
-    w = df.select(rank_col, T.words(text_col).alias("_w")).where(F.size("_w") >= MIN_WORDS)
-    h = w.select(rank_col, F.explode(F.transform(
-        F.sequence(F.lit(0), F.size("_w") - SHINGLE_WORDS),
-        lambda i: shingle_hash(F.array_join(F.slice(F.col("_w"), i + 1, SHINGLE_WORDS), " "))
-    )).alias("h"))
+    h = _shingle_rows(df, rank_col, text_col).select(rank_col,
+                                                     shingle_hash(F.col("shingle")).alias("h"))
     aggs = [F.min((F.col("h") * F.lit(a) + F.lit(b)) % F.lit(MERSENNE_P)).alias(f"m{i}")
             for i, (a, b) in enumerate(PERMS[:USED])]
     return h.groupBy(rank_col).agg(*aggs)
@@ -129,7 +139,8 @@ def greedy_keep(bands: DataFrame, max_rounds: int = 10_000) -> DataFrame:
     """
     spark = bands.sparkSession
     checkpoint_dir(spark)
-    B = _bucket_id(bands)
+    # narrow fixed-width bucket table, materialised once (signatures are not recomputed)
+    B = _bucket_id(bands).checkpoint(eager=True)
     key = ["band", "k1", "k2"]
     sizes = B.groupBy(*key).agg(F.count("*").alias("n"))
     shared = sizes.where(F.col("n") >= 2).select(*key)

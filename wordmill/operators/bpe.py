@@ -117,8 +117,7 @@ class BpeModel:
 
 def _choose_batch(ranked, sym_str, vocab, batched):
     members, used, new_strs = [], set(), set()
-    for key, n in ranked:
-        l, r = divmod(key, SHIFT)
+    for l, r, n in ranked:
         s = sym_str[l] + sym_str[r]
         bad = l == r or s in vocab or s in new_strs
         if not members:
@@ -160,20 +159,16 @@ def learn_bpe(wf: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int =
         sym_str[r["cp"]] = r["ch"]
         str_sym[r["ch"]] = r["cp"]
     model = BpeModel(vocab)
-    state = wf.select("freq", F.transform(chars("word"), lambda c: F.ascii(c)).alias("s"))
-    state = state.where(F.size("s") >= 2)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    state = state.repartition(n_parts).checkpoint(eager=True)
+    string_mode = max(sym_str, default=0) < PUA_FIRST
+    if string_mode:
+        backend = _StringState(wf, n_parts)
+    else:
+        backend = _ArrayState(wf, n_parts)
     next_sym = NEW_BASE
     rounds = 0
-    prev = None
     while len(vocab) < vocab_size:
-        counts = _pairs(state).groupBy("key").agg(F.sum("freq").alias("n"))
-        ranked = [(r["key"], r["n"]) for r in counts.where(F.col("n") >= min_frequency)
-                  .orderBy(F.desc("n"), F.asc("key")).limit(top_k).collect()]
-        if prev is not None:        # `state` is materialised now; drop its parent
-            prev.unpersist()
-            prev = None
+        ranked = backend.ranked(min_frequency, top_k)
         if not ranked:
             break
         rounds += 1
@@ -191,30 +186,126 @@ def learn_bpe(wf: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int =
                 str_sym[s] = sym
                 vocab[s] = len(vocab)
             model.merges.append((sym_str[l], sym_str[r]))
-            entries.append((l * SHIFT + r, sym))
+            entries.append((l, r, sym))
         if not entries:
             break
-        mm = F.create_map(*[F.lit(x) for e in entries for x in e])
-        # only words holding a left symbol of the batch can change; the cheap
-        # (code-generated) overlap test keeps the interpreted rewrite off the rest
-        lefts = F.array(*[F.lit(int(k // SHIFT)) for k, _ in entries]).cast("array<int>")
-        rew = F.when(F.arrays_overlap(F.col("s"), lefts), _rewrite(F.col("s"), mm)
-                     ).otherwise(F.col("s"))
-        nxt = state.select("freq", rew.alias("s")).where(F.size("s") >= 2)
-        if rounds % CHECKPOINT_EVERY == 0:
-            nxt = nxt.checkpoint(eager=True)     # cuts the lineage (reliable storage)
-            state.unpersist()
-        else:
-            nxt = nxt.cache()                    # materialised by the next pair count
-            prev = state
-        state = nxt
-    if prev is not None:
-        prev.unpersist()
-    state.unpersist()
+        backend.apply(entries, checkpoint=rounds % CHECKPOINT_EVERY == 0)
+    backend.close()
     model.rounds = rounds
     return model
 
 
+# Learned tokens as characters of the supplementary private-use planes: their code
+# points grow with creation order and lie above every ordinary character, so a
+# pair string sorts exactly like (left id, right id).
+PUA_FIRST = 0xF0000
+PUA_PLANE = 0xFFFE            # usable code points per plane (U+xFFFE/U+xFFFF excluded)
+
+
+def _sym_char(sym: int) -> str:
+    if sym < NEW_BASE:
+        return chr(sym)
+    k = sym - NEW_BASE
+    if k >= 2 * PUA_PLANE:
+        raise ValueError("vocabulary larger than the private-use planes")
+    return chr(PUA_FIRST + k) if k < PUA_PLANE else chr(0x100000 + k - PUA_PLANE)
+
+
+def _char_sym(ch: str) -> int:
+    cp = ord(ch)
+    if cp < PUA_FIRST:
+        return cp
+    if cp < 0x100000:
+        return NEW_BASE + cp - PUA_FIRST
+    return NEW_BASE + PUA_PLANE + cp - 0x100000
+
+
+def _str_lit(text: str) -> F.Column:
+    """A string literal built on the JVM from its UTF-8 bytes (hex is ASCII-safe
+    on the Python-JVM bridge, which does not carry supplementary characters)."""
+    return F.decode(F.unhex(F.lit(text.encode("utf-8").hex())), "UTF-8")
+
+
+class _Rounds:
+    """Shared caching: the next state is cached and materialised by the next
+    pair count; every CHECKPOINT_EVERY rounds it is checkpointed instead."""
+
+    def __init__(self, state: DataFrame, n_parts: int):
+        self.state = state.repartition(n_parts).checkpoint(eager=True)
+        self.prev = None
+
+    def _release_prev(self):
+        if self.prev is not None:
+            self.prev.unpersist()
+            self.prev = None
+
+    def _advance(self, nxt: DataFrame, checkpoint: bool):
+        if checkpoint:
+            nxt = nxt.checkpoint(eager=True)     # cuts the lineage (reliable storage)
+            self.state.unpersist()
+        else:
+            nxt = nxt.cache()
+            self.prev = self.state
+        self.state = nxt
+
+    def close(self):
+        self._release_prev()
+        self.state.unpersist()
+
+
+class _StringState(_Rounds):
+    """Each word is a string whose characters are its symbols; a merge is a
+    literal, code-generated ``replace`` (non-overlapping, left to right)."""
+
+    def __init__(self, wf: DataFrame, n_parts: int):
+        super().__init__(wf.select("freq", F.col("word").alias("s"))
+                         .where(F.length("s") >= 2), n_parts)
+
+    def ranked(self, min_frequency: int, top_k: int):
+        pairs = self.state.select("freq", F.explode(F.regexp_extract_all(
+            "s", F.lit("(?s)(?=(..))."), F.lit(1))).alias("pair"))
+        counts = pairs.groupBy("pair").agg(F.sum("freq").alias("n"))
+        rows = (counts.where(F.col("n") >= min_frequency)
+                .orderBy(F.desc("n"), F.asc("pair")).limit(top_k).collect())
+        self._release_prev()
+        out = []
+        for r in rows:
+            a, b = r["pair"]   # two code points
+            out.append((_char_sym(a), _char_sym(b), r["n"]))
+        return out
+
+    def apply(self, entries, checkpoint: bool):
+        s = F.col("s")
+        for k, (l, r, sym) in enumerate(entries):
+            s = F.replace(s, _str_lit(_sym_char(l) + _sym_char(r)), _str_lit(_sym_char(sym)))
+        self._advance(self.state.select("freq", s.alias("s")).where(F.length("s") >= 2),
+                      checkpoint)
+
+
+class _ArrayState(_Rounds):
+    """Fallback when the corpus itself uses private-use characters: symbol
+    arrays and a higher-order rewrite."""
+
+    def __init__(self, wf: DataFrame, n_parts: int):
+        super().__init__(wf.select("freq", F.transform(chars("word"), lambda c: F.ascii(c))
+                                   .alias("s")).where(F.size("s") >= 2), n_parts)
+
+    def ranked(self, min_frequency: int, top_k: int):
+        counts = _pairs(self.state).groupBy("key").agg(F.sum("freq").alias("n"))
+        rows = (counts.where(F.col("n") >= min_frequency)
+                .orderBy(F.desc("n"), F.asc("key")).limit(top_k).collect())
+        self._release_prev()
+        return [(r["key"] // SHIFT, r["key"] % SHIFT, r["n"]) for r in rows]
+
+    def apply(self, entries, checkpoint: bool):
+        mm = F.create_map(*[F.lit(x) for l, r, sym in entries for x in (l * SHIFT + r, sym)])
+        lefts = F.array(*[F.lit(l) for l, _r, _s in entries]).cast("array<int>")
+        rew = F.when(F.arrays_overlap(F.col("s"), lefts), _rewrite(F.col("s"), mm)
+                     ).otherwise(F.col("s"))
+        self._advance(self.state.select("freq", rew.alias("s")).where(F.size("s") >= 2),
+                      checkpoint)
+
+
 # ----------------------------------------------------------------------------- encode
 def encode_word(word: str, vocab: dict[str, int], table: dict, unk_id: int) -> list[int]:
     """K7: characters -> ids (unknown -> <unk>, not fused), then lowest-rank merges first."""

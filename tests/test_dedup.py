@@ -84,3 +84,18 @@ def test_incremental_equals_one_pass(spark, tmp_dir):
         part = d.where((F.col("rank") >= lo) & (F.col("rank") < hi))
         got |= {r["rank"] for r in job.process(part).select("rank").collect()}
     assert got == one_pass
+
+
+def test_greedy_with_salted_hot_buckets(spark, monkeypatch):
+    from wordmill.operators import skew
+    monkeypatch.setattr(skew, "HOT_ROWS", 3)
+    monkeypatch.setattr(skew, "SALTS", 4)
+    rnd = random.Random(11)
+    docs = []
+    for r in rnd.sample(range(1000), 80):
+        keys = [(0, "hot" if rnd.random() < 0.4 else f"a{rnd.randrange(30)}"),
+                (1, f"b{rnd.randrange(15)}"), (2, f"c{rnd.randrange(40)}")]
+        docs.append((r, keys))
+    want = sequential_greedy([(r, set(ks)) for r, ks in docs])
+    got = {x["rank"] for x in N.greedy_keep(_bands_df(spark, docs)).collect()}
+    assert got == want

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordmill.functions import text as T
+from wordmill.operators import skew as S
 from wordmill.session import checkpoint_dir
 
 # --- fixed values -----------------------------------------------------------------
@@ -135,34 +136,37 @@ def greedy_keep(bands: DataFrame, max_rounds: int = 10_000) -> DataFrame:
     """Ranks kept by the sequential greedy, computed in bucket-min rounds.
 
     ``bands`` has (rank bigint, band, key). Returns (rank) of kept documents,
-    including documents whose buckets are all singletons.
+    including documents whose buckets are all singletons. Joins on the bucket
+    key are salted for hot buckets (``skew.salted_join``).
     """
     spark = bands.sparkSession
     checkpoint_dir(spark)
     # narrow fixed-width bucket table, materialised once (signatures are not recomputed)
     B = _bucket_id(bands).checkpoint(eager=True)
     key = ["band", "k1", "k2"]
-    sizes = B.groupBy(*key).agg(F.count("*").alias("n"))
-    shared = sizes.where(F.col("n") >= 2).select(*key)
+    sizes = B.groupBy(*key).agg(F.count("*").alias("n")).checkpoint(eager=True)
+    hot = S.hot_keys(sizes, key).checkpoint(eager=True)
     # docs with at least one shared bucket take part in the rounds
-    Bs = B.join(shared, key, "left_semi")
-    contested = Bs.select("rank").distinct()
-    free = B.select("rank").distinct().join(contested, "rank", "left_anti")
+    sized = S.salted_join(B, sizes, key, "inner", hot, "rank")
+    Bs = sized.where(F.col("n") >= 2).drop("n")
     state = Bs.checkpoint(eager=True)
-    kept_parts = [free]
+    contested = state.select("rank").distinct()
+    free = B.select("rank").distinct().join(contested, "rank", "left_anti")
+    kept_parts = [free.checkpoint(eager=True)]
     rounds = 0
     while not state.isEmpty():
         rounds += 1
         if rounds > max_rounds:
             raise RuntimeError("near-dedup greedy did not converge")
         bmin = state.groupBy(*key).agg(F.min("rank").alias("mr"))
-        J = state.join(bmin, key)
+        J = S.salted_join(state, bmin, key, "inner", hot, "rank")
         verdict = J.groupBy("rank").agg(F.min((F.col("rank") == F.col("mr")).cast("int"))
                                         .alias("is_min"))
         newly = verdict.where(F.col("is_min") == 1).select("rank").checkpoint(eager=True)
         kept_parts.append(newly)
-        kept_buckets = J.join(newly, "rank", "left_semi").select(*key)
-        dropped = J.join(kept_buckets, key, "left_semi").select("rank")
+        # one newly kept doc per bucket at most: (bucket) rows are unique per key
+        kept_buckets = state.join(newly, "rank", "left_semi").select(*key)
+        dropped = S.salted_join(state, kept_buckets, key, "left_semi", hot, "rank").select("rank")
         decided = newly.unionByName(dropped)
         state = state.join(decided, "rank", "left_anti").checkpoint(eager=True)
     out = kept_parts[0]

@@ -374,8 +374,11 @@ SELECT f.source, f.doc_id, count(*) AS n_shared_buckets, bool_or(b.mr < f.r) AS
 FROM nd_flat f JOIN nd_bs b ON f.k = b.k WHERE b.n >= 2 GROUP BY f.source, f.doc_id""")
 def q_neardup_candidates(spark, sf_dir):
     r, bands = _band_rows(spark, sf_dir)
-    st = N.bucket_stats(bands).where(F.col("n_docs") >= 2)
-    j = bands.join(st, ["band", "key"])
+    from wordmill.operators import skew
+    stats = N.bucket_stats(bands)
+    hot = skew.hot_keys(stats, ["band", "key"], "n_docs")
+    st = stats.where(F.col("n_docs") >= 2)
+    j = skew.salted_join(bands, st, ["band", "key"], "inner", hot, "rank")
     per = j.groupBy("rank").agg(F.count("*").alias("n_shared_buckets"),
                                 F.max(F.col("first_rank") < F.col("rank")).alias("has_earlier"))
     return per.join(r.select("rank", "source", "doc_id"), "rank").select(

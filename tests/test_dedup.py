@@ -99,3 +99,21 @@ def test_greedy_with_salted_hot_buckets(spark, monkeypatch):
     want = sequential_greedy([(r, set(ks)) for r, ks in docs])
     got = {x["rank"] for x in N.greedy_keep(_bands_df(spark, docs)).collect()}
     assert got == want
+
+
+def test_structured_stream_equals_one_pass(spark, tmp_dir):
+    import os
+    from conftest import SF
+    from wordmill.streaming.incremental_neardup import start_stream
+    d = _corpus(spark, SF)
+    one_pass = {r["rank"] for r in N.near_dedup(d, "rank").select("rank").collect()}
+    src = os.path.join(tmp_dir, "in")
+    for i, (lo, hi) in enumerate(((0, 70), (70, 140), (140, 10**9))):
+        part = d.where((F.col("rank") >= lo) & (F.col("rank") < hi)).coalesce(1)
+        part.write.mode("append").parquet(src)
+    q = start_stream(spark, src, "rank long, text string", os.path.join(tmp_dir, "state"),
+                     os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "chk"),
+                     files_per_batch=1)
+    q.awaitTermination(600)
+    got = {r["rank"] for r in spark.read.parquet(os.path.join(tmp_dir, "out")).collect()}
+    assert got == one_pass

@@ -12,8 +12,9 @@ Distributed form of that greedy (no pairs are ever materialised):
   are dropped. The earliest undecided doc is always kept, so every round makes
   progress, and each decision equals the sequential one.
 Every step is an aggregate or an equi-join on (bucket) / (rank); a bucket that
-holds a third of all docs is absorbed by partial aggregation and by AQE's skew-join
-split. Each round's state is checkpointed to ``spark.checkpoint.dir``.
+holds a third of all docs is absorbed by partial aggregation, and the joins on the
+bucket key spread hot buckets over salted tasks (``skew.salted_join``). Each
+round's state is checkpointed to ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations

@@ -392,6 +392,29 @@ def q_neardup_kept(spark, sf_dir):
     return kept.select("source", "doc_id", "hash", "text")
 
 
+INCREMENTAL_BATCHES = 4     # micro-batches the corpora are grouped into
+
+
+@register("incremental_neardup", ND_SQL + "SELECT d.source, d.doc_id, d.hash, d.text FROM nd_walk w "
+          "JOIN nd_ranked n ON w.r = n.r JOIN deduped d ON d.doc_id = n.doc_id WHERE w.kept")
+def q_incremental_neardup(spark, sf_dir):
+    """Consecutive groups of corpora (name order) arrive as micro-batches and
+    probe the stored buckets of everything kept before; equals the one-pass result."""
+    import uuid
+    from wordmill.session import checkpoint_dir
+    from wordmill.streaming.incremental_neardup import IncrementalNearDedup
+    r = ranked_corpus(spark, sf_dir)
+    job = IncrementalNearDedup(spark, f"{checkpoint_dir(spark)}/incremental-{uuid.uuid4().hex}")
+    # one row per corpus: the micro-batch schedule, not data
+    names = [x["source"] for x in r.select("source").distinct().orderBy("source").collect()]
+    size = -(-len(names) // INCREMENTAL_BATCHES)
+    out = None
+    for i in range(0, len(names), size):
+        part = job.process(r.where(F.col("source").isin(names[i:i + size]))).checkpoint(eager=True)
+        out = part if out is None else out.unionByName(part)
+    return out.select("source", "doc_id", "hash", "text")
+
+
 @register("neardup_report", ND_SQL + """,
 k AS (SELECT n.doc_id FROM nd_walk w JOIN nd_ranked n ON w.r = n.r WHERE w.kept)
 SELECT d.source, count(*) AS n_input, count(k.doc_id) AS n_kept,

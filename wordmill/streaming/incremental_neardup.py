@@ -56,10 +56,18 @@ class IncrementalNearDedup:
 
 
 def start_stream(spark: SparkSession, source_dir: str, schema: str, state_dir: str,
-                 sink_path: str, checkpoint_location: str, rank_col: str = "rank"):
-    """Run D8 over a folder of Parquet files with Structured Streaming."""
+                 sink_path: str, checkpoint_location: str, rank_col: str = "rank",
+                 files_per_batch: int | None = None):
+    """Run D8 over a folder of Parquet files with Structured Streaming.
+
+    Files are taken in arrival (modification-time) order; ranks must grow from
+    one file to the next for the result to equal a single pass.
+    """
     job = IncrementalNearDedup(spark, state_dir, rank_col)
-    stream = spark.readStream.schema(schema).parquet(source_dir)
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.parquet(source_dir)
     return (stream.writeStream.foreachBatch(job.foreach_batch(sink_path))
             .option("checkpointLocation", checkpoint_location)
             .trigger(availableNow=True).start())

@@ -45,9 +45,10 @@ def register(name: str, sql: str | None):
 TEXT_TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """A driver table; text tables feeding CPU-heavy work are spread over the cores."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if name in TEXT_TABLE_KEYS:
+    if spread and name in TEXT_TABLE_KEYS:
         from wordmill.sources.readers import ensure_parallelism
         df = ensure_parallelism(df, TEXT_TABLE_KEYS[name])
     return df
@@ -497,11 +498,11 @@ def q_fertility_first_n(spark, sf_dir):
 def q_union_corpora(spark, sf_dir):
     z = F.lit(0).cast("bigint")
     return PK.union_corpora({
-        "documents": table(spark, sf_dir, "documents").select(
+        "documents": table(spark, sf_dir, "documents", spread=False).select(
             F.col("doc_id").alias("id"), z.alias("sub_id"), "text"),
         "benchmark": table(spark, sf_dir, "benchmark").select(
             F.col("item_id").alias("id"), z.alias("sub_id"), "text"),
-        "conversations": table(spark, sf_dir, "conversations").select(
+        "conversations": table(spark, sf_dir, "conversations", spread=False).select(
             F.col("conv_id").alias("id"), F.col("turn").alias("sub_id"), "text"),
     }).select("corpus", "id", "sub_id", "text")
 

@@ -106,6 +106,18 @@ def q_src_parquet(spark, sf_dir):
                           keep=("doc_id",))
 
 
+@register("src_lines",
+          "SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, "
+          f"{O.strip_sql('line0')} AS line FROM (SELECT doc_id, "
+          "unnest(generate_series(0, len(parts) - 1)) AS line_no, unnest(parts) AS line0 FROM ("
+          "SELECT doc_id, regexp_split_to_array(regexp_replace(text, '(?:\\r\\n|\\r|\\n)\\z', ''), "
+          "'\\r\\n|\\r|\\n') AS parts FROM documents WHERE text <> ''))")
+def q_src_lines(spark, sf_dir):
+    """S1 on in-table text: every document's lines (universal newlines), stripped."""
+    from wordmill.sources.readers import lines_of
+    return lines_of(documents(spark, sf_dir), "text", "doc_id")
+
+
 # ===================================== scalars ========================================
 @register("norm_nfc", "SELECT doc_id, nfc_normalize(text) AS text FROM documents")
 def q_norm_nfc(spark, sf_dir):

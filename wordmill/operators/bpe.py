@@ -4,10 +4,13 @@ tokenizer diagnostics (K10-K16).
 Learning runs as Spark rounds over the word-frequency table (one row per
 distinct pre-token). A round counts adjacent symbol pairs weighted by frequency
 (partial aggregation), takes the ranked top pairs (a bounded ``limit``), picks a
-batch of merges that provably equals one-merge-per-round, and rewrites the
-symbol arrays with one higher-order ``aggregate``. Symbols are integers whose
-order equals the final id order: a character is its code point (ids of the
-alphabet follow code-point order) and the k-th new token is 0x110000 + k.
+batch of merges that provably equals one-merge-per-round, and rewrites the words.
+Symbols are integers whose order equals the final id order: a character is its
+code point (ids of the alphabet follow code-point order) and the k-th new token
+is 0x110000 + k. A word is kept as a string of symbol characters (learned tokens
+map to supplementary private-use code points), so a merge is a code-generated
+literal ``replace``; a corpus that itself uses those code points falls back to
+symbol arrays and a higher-order ``aggregate`` rewrite.
 
 Batch rule: walk the ranked pairs and take the longest prefix whose members share
 no symbol, are not self-pairs and create no token string that already exists (a

@@ -288,6 +288,18 @@ def q_exact_dedup(spark, sf_dir):
     return deduped(spark, sf_dir)
 
 
+@register("jsonl_round_trip", f"WITH {DEDUP_CTE} SELECT text, source, hash FROM deduped")
+def q_jsonl_round_trip(spark, sf_dir):
+    """S5 then S4: the deduped corpus written as JSON lines (text, source, hash) to
+    the shared checkpoint folder and read back with FAILFAST parsing."""
+    import uuid
+    from wordmill.session import checkpoint_dir
+    from wordmill.sources.readers import read_jsonl, write_jsonl
+    path = f"{checkpoint_dir(spark)}/jsonl-{uuid.uuid4().hex}"
+    write_jsonl(deduped(spark, sf_dir), path)
+    return read_jsonl(spark, path).select("text", "source", "hash")
+
+
 # ===================================== statistics =====================================
 @register("corpus_totals",
           f"WITH {DEDUP_CTE} SELECT count(*) AS total_docs, "

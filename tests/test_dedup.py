@@ -117,3 +117,12 @@ def test_structured_stream_equals_one_pass(spark, tmp_dir):
     q.awaitTermination(600)
     got = {r["rank"] for r in spark.read.parquet(os.path.join(tmp_dir, "out")).collect()}
     assert got == one_pass
+
+
+def test_exact_dedup_strategies_agree(spark):
+    rnd = random.Random(5)
+    rows = [(f"c{rnd.randrange(3)}", i, f"t{i}", f"h{rnd.randrange(8)}") for i in range(200)]
+    df = spark.createDataFrame(rows, "corpus string, ordinal long, text string, hash string")
+    a = sorted(tuple(r) for r in C.exact_dedup(df).collect())
+    b = sorted(tuple(r) for r in C.exact_dedup(df, strategy="winners").collect())
+    assert a == b and len(a) == len({(r[0], r[3]) for r in rows})

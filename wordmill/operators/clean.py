@@ -39,13 +39,24 @@ def clean_documents(df: DataFrame, text_col: str = "text", keep: tuple[str, ...]
 
 
 def exact_dedup(df: DataFrame, scope: tuple[str, ...] = ("corpus",),
-                order_col: str = "ordinal", hash_col: str = "hash") -> DataFrame:
+                order_col: str = "ordinal", hash_col: str = "hash",
+                strategy: str = "min_by") -> DataFrame:
     """Per scope, the first document (lowest ``order_col``) per hash wins.
 
-    ``min_by`` over a struct aggregates map-side first, so a hash that holds a
-    third of all rows collapses to one row per task before the shuffle; the
-    winner is deterministic, unlike ``dropDuplicates``.
+    ``min_by`` (one pass) over a struct aggregates map-side first, so a hash that
+    holds a third of all rows collapses to one row per task before the shuffle;
+    the winner is deterministic, unlike ``dropDuplicates``. Its buffer holds the
+    text, so it plans as a sort-based aggregate.
+
+    ``winners`` suits an input that is already written (a stage table): a
+    fixed-width hash aggregate of the minimum ordinal per (scope, hash) reads only
+    the key columns, then a left-semi join on the ordinal keeps the rows.
     """
+    if strategy == "winners":
+        winners = df.groupBy(*scope, hash_col).agg(F.min(order_col).alias(order_col))
+        kept = df.join(winners, [*scope, hash_col, order_col], "left_semi")
+        return kept.select(*scope, hash_col,
+                           *[c for c in df.columns if c not in scope and c != hash_col])
     rest = [c for c in df.columns if c not in scope and c != hash_col]
     agg = df.groupBy(*scope, hash_col).agg(
         F.min_by(F.struct(*rest), F.col(order_col)).alias("_w"))

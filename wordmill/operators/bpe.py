@@ -48,6 +48,7 @@ SHIFT = 1 << 21              # symbols < 2**21; pair key = left * SHIFT + right
 NEW_BASE = 0x110000          # first symbol of a learned token
 TOP_K = 2000                 # ranked pairs fetched per round (bounded collect)
 CHECKPOINT_EVERY = 10        # cut the lineage of the word table every N rounds
+WORDS_PER_PARTITION = 100_000
 
 
 def chars(col) -> F.Column:
@@ -157,6 +158,8 @@ def learn_bpe(wf: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int =
     """
     spark = wf.sparkSession
     checkpoint_dir(spark)
+    # the (word, freq) table is read several times: compute the corpus pass once
+    wf = wf.checkpoint(eager=True)
     vocab: dict[str, int] = {t: i for i, t in enumerate(SPECIALS)}
     sym_str: dict[int, str] = {}
     str_sym: dict[str, int] = {}
@@ -167,7 +170,13 @@ def learn_bpe(wf: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int =
         sym_str[r["cp"]] = r["ch"]
         str_sym[r["ch"]] = r["cp"]
     model = BpeModel(vocab)
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions:
+        n_parts = partitions
+    else:
+        # about WORDS_PER_PARTITION words per task, at least half the cores
+        n_parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                      max(spark.sparkContext.defaultParallelism // 2,
+                          -(-wf.count() // WORDS_PER_PARTITION)))
     string_mode = max(sym_str, default=0) < PUA_FIRST
     if string_mode:
         backend = _StringState(wf, n_parts, incremental_counts)

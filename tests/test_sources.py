@@ -82,3 +82,16 @@ def test_docs_by_source_ties(spark):
     df = spark.createDataFrame(rows, "source string, ordinal long")
     got = [r.source for r in G.docs_by_source(df).orderBy("position").collect()]
     assert got == ["b", "a", "c"]
+
+
+def test_parquet_shards_skip_corrupt(spark, tmp_dir):
+    good = spark.createDataFrame([("a", "s1"), ("b", None)], "Article string, Source string")
+    good.coalesce(1).write.parquet(os.path.join(tmp_dir, "tmp_good"))
+    src = [f for f in os.listdir(os.path.join(tmp_dir, "tmp_good")) if f.endswith(".parquet")][0]
+    shards = os.path.join(tmp_dir, "shards")
+    os.makedirs(shards)
+    os.rename(os.path.join(tmp_dir, "tmp_good", src), os.path.join(shards, "a.parquet"))
+    with open(os.path.join(shards, "b.parquet"), "wb") as f:
+        f.write(b"not a parquet file at all")
+    got = sorted((r.text, r.source) for r in R.read_parquet_shards(spark, shards).collect())
+    assert got == [("a", "s1"), ("b", "None")]

@@ -262,6 +262,15 @@ def q_clean_documents(spark, sf_dir):
     return cleaned(spark, sf_dir)
 
 
+@register("clean_pages", "WITH " + O.cleaned_cte("(SELECT page_id, html AS text FROM pages)",
+                                                 "page_id", CORPUS_BLOCK, name="cp")
+          + " SELECT page_id, text, hash FROM cp")
+def q_clean_pages(spark, sf_dir):
+    """F5 on raw web pages: markup, entities and whitespace removed, then filtered."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("text"))
+    return C.clean_documents(pages, keep=("page_id",), block=CORPUS_BLOCK)
+
+
 _FUNNEL_SQL = (
     f"WITH {O.cleaned_cte('documents', 'doc_id, source', CORPUS_BLOCK)},\n"
     "keyed AS (SELECT a.source, a.reject_reason, c.hash FROM cleaned_ann a "

@@ -126,3 +126,16 @@ def test_exact_dedup_strategies_agree(spark):
     a = sorted(tuple(r) for r in C.exact_dedup(df).collect())
     b = sorted(tuple(r) for r in C.exact_dedup(df, strategy="winners").collect())
     assert a == b and len(a) == len({(r[0], r[3]) for r in rows})
+
+
+def test_near_dedup_xxhash_family(spark):
+    from conftest import SF
+    d = _corpus(spark, SF)
+    bands = N.band_keys(N.signatures(d, "rank", hash_family="xxhash64"), "rank").collect()
+    per = {}
+    for r in bands:
+        per.setdefault(r["rank"], set()).add((r["band"], r["key"]))
+    want = sequential_greedy(list(per.items()))
+    got = {r["rank"] for r in N.near_dedup(d, "rank", hash_family="xxhash64")
+           .select("rank").collect()}
+    assert got == want

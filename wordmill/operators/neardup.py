@@ -63,8 +63,15 @@ PERMS = permutations()
 USED = BANDS * ROWS          # only the first b*r permutations take part in banding
 
 
-def shingle_hash(s):
-    """28-bit shingle hash: first 7 hex digits of MD5 (portable to SQL engines)."""
+def shingle_hash(s, family: str = "md5"):
+    """28-bit shingle hash.
+
+    ``md5`` (default): first 7 hex digits of MD5, reproducible in SQL engines, so
+    the oracle can check signatures. ``xxhash64``: Spark's native 64-bit hash
+    masked to 28 bits — faster, but no SQL engine reproduces it.
+    """
+    if family == "xxhash64":
+        return F.xxhash64(s).bitwiseAND(F.lit((1 << (4 * HASH_BITS_HEX)) - 1))
     return F.conv(F.substring(F.md5(s), 1, HASH_BITS_HEX), 16, 10).cast("bigint")
 
 
@@ -99,15 +106,16 @@ def shingles(df: DataFrame, rank_col: str, text_col: str = "text") -> DataFrame:
     return _shingle_rows(df, rank_col, text_col)
 
 
-def signatures(df: DataFrame, rank_col: str, text_col: str = "text") -> DataFrame:
+def signatures(df: DataFrame, rank_col: str, text_col: str = "text",
+               hash_family: str = "md5") -> DataFrame:
     """D3: (rank, m0..m54) — min over shingles of (a_i*h + b_i) mod p.
 
     Shingle hashes are exploded and re-aggregated per document; the partial
     HashAggregate (fixed-width bigint buffers, codegen) runs before the shuffle,
     so only one 55-long row per document crosses the network.
     """
-    h = _shingle_rows(df, rank_col, text_col).select(rank_col,
-                                                     shingle_hash(F.col("shingle")).alias("h"))
+    h = _shingle_rows(df, rank_col, text_col).select(
+        rank_col, shingle_hash(F.col("shingle"), hash_family).alias("h"))
     aggs = [F.min((F.col("h") * F.lit(a) + F.lit(b)) % F.lit(MERSENNE_P)).alias(f"m{i}")
             for i, (a, b) in enumerate(PERMS[:USED])]
     return h.groupBy(rank_col).agg(*aggs)
@@ -192,9 +200,10 @@ def global_rank(df: DataFrame, corpus_col: str, ordinal_col: str,
     ).drop("_ci")
 
 
-def near_dedup(df: DataFrame, rank_col: str = "rank", text_col: str = "text") -> DataFrame:
+def near_dedup(df: DataFrame, rank_col: str = "rank", text_col: str = "text",
+               hash_family: str = "md5") -> DataFrame:
     """Rows of ``df`` kept by the near-duplicate pass (schema unchanged)."""
-    sig = signatures(df, rank_col, text_col)
+    sig = signatures(df, rank_col, text_col, hash_family)
     bands = band_keys(sig, rank_col)
     if rank_col != "rank":
         bands = bands.withColumnRenamed(rank_col, "rank")

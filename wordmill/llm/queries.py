@@ -33,12 +33,44 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"), "n_near_items")
 
 
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from wordmill.llm import language_id as L
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = L.train(docs.where(~L.held_out()), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return (L.predict(docs.select("doc_id", "text"), model)
+            .select("doc_id", L.held_out().alias("held_out"), "lang_pred", "score"))
+
+
+@query("op5_ngram_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordmill.llm.ngram_join import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op7_exact_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wordmill.llm.exact_dedup import duplicate_groups
     return duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op8_byte_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from wordmill.llm.bpe_duckdb import round_trip
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                      public_tokenizers.PATTERN)
+
+
+@query("op9_token_counts")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from wordmill.llm.token_counts import token_counts
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                        public_tokenizers.PATTERN)
+
+
 @query("op10_chat_formatting")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers

@@ -33,6 +33,38 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"), "n_near_items")
 
 
+OP2_SQL = """
+WITH RECURSIVE l AS (
+  SELECT doc_id, place, parts[place + 1] AS raw,
+         trim(regexp_replace(parts[place + 1], '[\\x09-\\x0D\\x20]+', ' ', 'g'), ' ') AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts,
+               unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS place FROM documents)),
+k AS (SELECT line, min(doc_id::HUGEINT * 1099511627776 + place) AS rank, length(line) AS n
+      FROM l WHERE line <> '' GROUP BY line),
+v AS (SELECT rank, n, spot, hash(substr(line, 1, spot - 1) || substr(line, spot + 1)) AS h
+      FROM (SELECT rank, line, n, unnest(range(1, n + 1)) AS spot FROM k WHERE n >= 16)),
+w AS (SELECT rank, n, hash(line) AS h FROM k WHERE n >= 16),
+near AS (
+  SELECT v.rank FROM v JOIN (SELECT n, spot, h, min(rank) AS first FROM v GROUP BY ALL) b USING (n, spot, h) WHERE b.first < v.rank
+  UNION SELECT v.rank FROM v JOIN w ON w.n = v.n - 1 AND w.h = v.h WHERE w.rank < v.rank
+  UNION SELECT w.rank FROM v JOIN w ON w.n = v.n - 1 AND w.h = v.h WHERE v.rank < w.rank),
+d AS (SELECT l.doc_id, l.place, l.raw,
+             l.line <> '' AND (l.doc_id::HUGEINT * 1099511627776 + l.place > k.rank OR near.rank IS NOT NULL) AS dropped
+      FROM l LEFT JOIN k ON k.line = l.line LEFT JOIN near ON near.rank = k.rank)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(raw, chr(10) ORDER BY place) FILTER (NOT coalesce(dropped, false)), '')) AS kept_sha256
+FROM d GROUP BY doc_id
+"""
+
+
+@query("op2_line_dedup", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordmill.llm.line_dedup import drop_duplicate_lines
+    docs = drop_duplicate_lines(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                counts=("n_lines", "n_dropped"))
+    return docs.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query("op3_language_id")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -49,6 +81,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op6_html_extraction")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordmill.llm.html_text import extract
+    return extract(table(spark, sf_dir, "pages"))
+
+
 @query("op7_exact_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wordmill.llm.exact_dedup import duplicate_groups

@@ -46,12 +46,29 @@ class Index:
     postings: DataFrame   # seg, term, n, width, gaps
 
 
-def pack(positions: np.ndarray) -> tuple[int, bytes]:
-    """Sorted positions as gaps of the narrowest width that holds them."""
+def pack(positions: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(order of the lists, their widths, their gaps) of the sorted lists that ``cut`` bounds.
+
+    A list's first position and the gaps behind it get the narrowest width that holds them
+    all; lists of one width come together.
+    """
     gaps = np.diff(positions, prepend=0)
-    top = int(gaps.max())
-    width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
-    return width, gaps.astype(f"<u{width}").tobytes()
+    gaps[cut[:-1]] = positions[cut[:-1]]
+    top = np.maximum.reduceat(gaps, cut[:-1])
+    width = np.where(top < 1 << 8, 1, np.where(top < 1 << 16, 2, np.where(top < 1 << 32, 4, 8)))
+    size = np.diff(cut)
+    wide = np.repeat(width, size)
+    order, parts = [], []
+    for w in (1, 2, 4, 8):
+        lists = np.flatnonzero(width == w)
+        if len(lists):
+            ends = np.zeros(len(lists) + 1, np.int32)
+            np.cumsum(size[lists] * w, out=ends[1:])
+            order.append(lists)
+            parts.append(pa.Array.from_buffers(pa.binary(), len(lists), [
+                None, pa.py_buffer(ends), pa.py_buffer(gaps[wide == w].astype(f"<u{w}"))]))
+    order = np.concatenate(order)
+    return order, width[order], pa.concat_arrays(parts)
 
 
 def unpack(width: int, gaps: bytes) -> np.ndarray:
@@ -74,21 +91,18 @@ def _segment(seg: int, ids: pa.Array, texts: pa.Array) -> Iterator[pa.RecordBatc
     terms, codes = W.encode(found)
     where = np.arange(len(found), dtype=np.int64) + np.repeat(base - first, counts)
     order = np.argsort(codes, kind="stable")
-    where, sizes = where[order], np.bincount(codes, minlength=len(terms))
-    bounds = np.concatenate([[0], np.cumsum(sizes)])
-    packed = [pack(base)] + [pack(where[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
-    rows = len(packed)
+    sizes = np.concatenate([[n], np.bincount(codes, minlength=len(terms))])
+    lists, width, gaps = pack(np.concatenate([base, where[order]]), np.concatenate([[0], np.cumsum(sizes)]))
+    rows = len(lists)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(["postings"] * rows), pa.array(np.full(rows, seg)), pa.nulls(rows, pa.int32()),
-         pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()),
-         pa.concat_arrays([pa.array([DOC_STARTS]), terms.cast(pa.string())]),
-         pa.array(np.concatenate([[n], sizes]).astype(np.int64)),
-         pa.array([w for w, _ in packed], pa.int32()), pa.array([g for _, g in packed], pa.binary())],
-        schema=schema)
+        [pa.array(["postings"]).take(pa.array(np.zeros(rows, np.int32))), pa.array(np.full(rows, seg)),
+         *(pa.nulls(rows, f.type) for f in list(schema)[2:5]),
+         pa.concat_arrays([pa.array([DOC_STARTS]), terms.cast(pa.string())]).take(pa.array(lists)),
+         pa.array(sizes[lists].astype(np.int64)), pa.array(width.astype(np.int32)), gaps], schema=schema)
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                segment_bytes: int = 12 << 20) -> Index:
+                segment_bytes: int = 16 << 20) -> Index:
     """Tokenise once and store the positional postings, one segment after the other."""
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

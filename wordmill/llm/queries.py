@@ -24,13 +24,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("op1_decontamination")
+LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+OP1_SQL = f"""
+WITH i AS (SELECT item_id, coalesce(regexp_extract_all({LOWER}, '{WORD}'), []) AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[k:k + least(10, len(w)) - 1], ' ') AS key
+        FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS k FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+d AS (SELECT doc_id, coalesce(regexp_extract_all({LOWER}, '{WORD}'), []) AS w FROM documents),
+dw AS (SELECT doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') AS key
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d JOIN sizes ON len(w) >= n)),
+hit AS (SELECT doc_id, item_id, k, win.n AS n FROM dw JOIN win ON dw.n = win.n AND dw.key = win.key),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+          FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM (SELECT DISTINCT doc_id, k, n FROM hit)) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op1_decontamination", OP1_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wordmill.llm.decontaminate import contamination
-    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, slop=2)
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
-                        (F.col("n_hit") > 0).alias("contaminated"), "n_near_items")
+                        (F.col("n_hit") > 0).alias("contaminated"))
 
 
 OP2_SQL = """
@@ -75,7 +96,97 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", L.held_out().alias("held_out"), "lang_pred", "score"))
 
 
-@query("op5_ngram_join")
+OP4_SQL = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+m AS (
+  SELECT doc_id, kind, rank, unnest(range(1, len(found) + 1)) AS k, gaps, found, vals FROM (
+    SELECT doc_id, 'assign' AS kind, 0 AS rank, string_split_regex(text, '{assign}') AS gaps,
+           regexp_extract_all(text, '{assign}', 0) AS found, regexp_extract_all(text, '{assign}', 2) AS vals FROM t
+    UNION ALL SELECT doc_id, 'access', 1, string_split_regex(text, '{access}'), regexp_extract_all(text, '{access}', 0),
+           regexp_extract_all(text, '{access}', 0) FROM t
+    UNION ALL SELECT doc_id, 'hex', 2, string_split_regex(text, '{hex}'), regexp_extract_all(text, '{hex}', 0),
+           regexp_extract_all(text, '{hex}', 0) FROM t
+    UNION ALL SELECT doc_id, 'random', 3, string_split_regex(text, '{candidate}'),
+           regexp_extract_all(text, '{candidate}', 0), regexp_extract_all(text, '{candidate}', 0) FROM t)),
+s AS (SELECT * FROM (
+        SELECT doc_id, kind, rank, vals[k] AS val, ends - length(found[k]) AS start, ends AS stop
+        FROM (SELECT *, sum(length(gaps[k]) + length(found[k])) OVER (PARTITION BY doc_id, kind ORDER BY k) AS ends FROM m))
+      WHERE kind <> 'assign' OR length(val) >= 8),
+known AS (SELECT DISTINCT val FROM s WHERE rank < 3 AND length(val) >= 2),
+size AS (SELECT count(*) AS n FROM t),
+words AS (SELECT DISTINCT val FROM (
+            SELECT unnest(regexp_extract_all(text, '{identifier}', 0)) AS val FROM t, size
+            WHERE ('0x' || substr(md5(doc_id::VARCHAR), 1, 7))::BIGINT
+                  < CASE WHEN n <= 2000 THEN 268435456 ELSE (2000 * 268435456) // n END)
+          WHERE val NOT IN (SELECT val FROM known)),
+pairs AS (
+  SELECT label, pair, count(*) AS n FROM (
+    SELECT label, substr(val, i, 2) AS pair FROM (
+      SELECT 1 AS label, val, unnest(range(1, length(val))) AS i FROM known
+      UNION ALL SELECT 0, val, unnest(range(1, length(val))) FROM words))
+  WHERE regexp_full_match(pair, '[A-Za-z0-9+/_-][A-Za-z0-9+/_-]') GROUP BY ALL),
+letter AS (SELECT unnest(string_split('{alphabet}', '')) AS c),
+cell AS (
+  SELECT a.c || b.c AS pair, side.label AS label, coalesce(n, 0) AS n, sum(coalesce(n, 0)) OVER (PARTITION BY a.c, side.label) AS total
+  FROM letter a JOIN letter b ON true JOIN (SELECT unnest([0, 1]) AS label) side ON true LEFT JOIN pairs
+       ON pairs.pair = a.c || b.c AND pairs.label = side.label),
+ratio AS (SELECT pair, round(1000 * (max(ln((n + 1) / (total + 66))) FILTER (label = 1)
+                                     - max(ln((n + 1) / (total + 66))) FILTER (label = 0)))::BIGINT AS w
+          FROM cell GROUP BY pair),
+scored AS (
+  SELECT val FROM (SELECT val, substr(val, i, 2) AS pair FROM (
+      SELECT val, unnest(range(1, length(val))) AS i FROM (SELECT DISTINCT val FROM s WHERE rank = 3)))
+  LEFT JOIN ratio USING (pair) GROUP BY val HAVING sum(coalesce(w, 0)) >= 500 * (length(val) - 1)),
+spans AS (
+  SELECT * FROM s WHERE rank < 3
+  UNION ALL SELECT * FROM s WHERE rank = 3 AND val IN (SELECT val FROM scored)
+    AND NOT EXISTS (SELECT 1 FROM s b WHERE b.rank < 3 AND b.doc_id = s.doc_id AND b.start < s.stop AND s.start < b.stop))
+SELECT t.doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+       count(*) FILTER (rank = 2) AS n_hex, count(*) FILTER (rank = 3) AS n_random,
+       sha256(coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank < 3), ''))
+         AS base_sha256,
+       coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank IS NOT NULL), '') AS spans
+FROM t LEFT JOIN spans USING (doc_id) GROUP BY t.doc_id
+"""
+
+
+def _op4_sql() -> str:
+    from wordmill.llm import secret_scan as S
+    sql = OP4_SQL
+    for name, value in (("assign", S.ASSIGN), ("access", S.ACCESS), ("hex", S.HEX), ("candidate", S.CANDIDATE),
+                        ("identifier", S.IDENTIFIER), ("alphabet", S.ALPHABET)):
+        sql = sql.replace("{" + name + "}", value.replace("'", "''"))
+    return sql
+
+
+@query("op4_secret_scan", _op4_sql())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordmill.llm.secret_scan import scan_documents
+    return scan_documents(table(spark, sf_dir, "documents")).withColumn("base_sha256", F.sha2("base", 256)).drop("base")
+
+
+OP5_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+           FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM d WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id
+           GROUP BY ALL),
+link AS (SELECT x, y, c.n = p.n AND c.n = q.n AS equal FROM common c JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y
+         WHERE 10 * c.n >= 8 * (p.n + q.n - c.n)),
+reach(node, low) AS (
+  SELECT doc_id, doc_id FROM d
+  UNION SELECT l.y, r.low FROM reach r JOIN link l ON l.x = r.node WHERE r.low < l.y),
+least_ AS (SELECT node, min(low) AS class_id FROM reach GROUP BY node),
+many AS (SELECT x, count(*) AS n_links, count(*) FILTER (equal) AS same FROM link GROUP BY x)
+SELECT doc_id, class_id, coalesce(n_links, 0)::BIGINT AS n_links, (coalesce(same, 0) + 1)::BIGINT AS n_copies,
+       doc_id = class_id AS kept
+FROM d JOIN least_ ON node = doc_id LEFT JOIN many ON x = doc_id
+"""
+
+
+@query("op5_ngram_join", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wordmill.llm.ngram_join import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -87,7 +198,15 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
-@query("op7_exact_dedup")
+OP7_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       doc_id = min(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
+FROM t WINDOW g AS (PARTITION BY norm)
+"""
+
+
+@query("op7_exact_dedup", OP7_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wordmill.llm.exact_dedup import duplicate_groups
     return duplicate_groups(table(spark, sf_dir, "documents"))
@@ -109,7 +228,24 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.PATTERN)
 
 
-@query("op10_chat_formatting")
+#: The digests of the turns and of the assistant texts; the formatted length follows from the template.
+OP10_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, replace(replace(text, '\', '\\'), '<|', '<\|') AS body,
+             replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n') AS name FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length('<|turn|>') + length(name) + 1 + length(body) + length('<|end|>'))::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op10_chat_formatting", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from wordmill.llm.chat_format import format_conversations, read_back
@@ -117,4 +253,5 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
                                   "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return read_back(format_conversations(rows, public_tokenizers.path("byte_bpe_50k.json")))
+    return (read_back(format_conversations(rows, public_tokenizers.path("byte_bpe_50k.json")))
+            .drop("n_tokens", "n_loss_tokens"))

@@ -261,3 +261,15 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, slop: int
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         F.coalesce("n_near_items", F.lit(0)).cast("long").alias("n_near_items"))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """The documents that hold no window of an item, all columns unchanged.
+
+    Only the ids of documents with matches are joined. Rows that repeat an id go together.
+    """
+    index = build_index(docs, id_col, text_col)
+    found = search(index, items, window=window).select("seg", "ord").distinct()
+    hit = (index.documents.join(found, ["seg", "ord"], "left_semi").select(F.col("doc_id").alias("_hit")).distinct())
+    return docs.join(hit, F.col(f"`{id_col}`").eqNullSafe(F.col("_hit")), "left_anti")

@@ -263,6 +263,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The document of the smallest id of each group, all columns unchanged."""
-    kept = near_duplicates(docs, id_col, text_col, **how).where("kept").select(F.col("doc_id").alias("_keep")).distinct()
-    return (docs.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates([id_col]))
+    """The document of the smallest id of each group, all columns unchanged; of rows that repeat an id one."""
+    kept = (near_duplicates(docs, id_col, text_col, **how).where("kept")
+            .groupBy(F.col("doc_id").alias("_keep")).agg(F.count(F.lit(1)).alias("_rows")))
+    found = docs.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("_keep")))
+    once = found.where("_rows = 1").drop("_keep", "_rows")
+    return once.unionByName(found.where("_rows > 1").drop("_keep", "_rows").dropDuplicates([id_col]))

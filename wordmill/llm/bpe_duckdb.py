@@ -119,7 +119,7 @@ class Codec:
                           "pos": gather(sizes, np.zeros(len(words), np.int64), np.arange(len(words))).astype(np.int32),
                           "tok": self.byte_id[raw]})
         self.db.register("start", start)
-        rows = self.db.execute(f"SELECT * FROM ({sql}) ORDER BY word, pos").to_arrow_table()
+        rows = self.db.sql(f"SELECT * FROM ({sql}) ORDER BY word, pos").to_arrow_table()
         self.db.unregister("start")
         self.db.register("tokens", rows)
         decoded = self.db.execute(f"SELECT hex FROM ({DECODE.format(rows='tokens')}) ORDER BY word").fetchall()
@@ -160,11 +160,11 @@ class Codec:
         return out
 
 
-def _sliced(batches: Iterator[pa.RecordBatch], path: str, pattern: str):
+def _sliced(batches: Iterator[pa.RecordBatch], column: int, path: str, pattern: str):
     codec, cut = Codec(rank_file(path)), PreTokens(pattern)
     for batch in batches:
-        for part in W.byte_slices(batch, "_text", SLICE_BYTES):
-            yield part, codec.slice(part.column(part.schema.get_field_index("_text")), cut)
+        for part in W.byte_slices(batch, column, SLICE_BYTES):
+            yield part, codec.slice(part.column(column), cut)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)
@@ -174,7 +174,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", kee
                                                             T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, (ids, at, _, _) in _sliced(batches, path, pattern):
+        for part, (ids, at, _, _) in _sliced(batches, len(keep), path, pattern):
             yield pa.RecordBatch.from_arrays(
                 [*part.columns[:len(keep)], pa.array(np.diff(at)),
                  pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))],
@@ -209,7 +209,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     """Per document the digests of its ids and of the bytes they decode to, in one pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, (ids, at, raw, cut) in _sliced(batches, path, pattern):
+        for part, (ids, at, raw, cut) in _sliced(batches, 1, path, pattern):
             digest = [[hashlib.sha256(x[a:b].tobytes()).hexdigest() for a, b in zip(y[:-1], y[1:])]
                       for x, y in ((ids, at), (raw, cut))]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at)), pa.array(digest[0], pa.string()),

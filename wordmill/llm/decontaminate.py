@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.llm import words as W
-from wordmill.llm.scratch import scratch_path
+from wordmill.llm.scratch import free_name, scratch_path
 
 GAP = 64  # free positions between documents; a window's alignment with slop cannot bridge it
 DOC_STARTS = ""  # the "term" whose positions are the documents' first positions; no word is empty
@@ -271,5 +271,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, id_co
     """
     index = build_index(docs, id_col, text_col)
     found = search(index, items, window=window).select("seg", "ord").distinct()
-    hit = (index.documents.join(found, ["seg", "ord"], "left_semi").select(F.col("doc_id").alias("_hit")).distinct())
-    return docs.join(hit, F.col(f"`{id_col}`").eqNullSafe(F.col("_hit")), "left_anti")
+    name = free_name(docs, "_hit")
+    hit = (index.documents.join(found, ["seg", "ord"], "left_semi").select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(hit, F.col(f"`{id_col}`").eqNullSafe(F.col(name)), "left_anti")

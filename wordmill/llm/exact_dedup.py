@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordmill.llm.scratch import free_name
+
 WHITE_RUN = r"[\x20\x09-\x0D]+"
 
 
@@ -62,7 +64,6 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     salts: int = SALTS) -> DataFrame:
     """The rows that stay, all columns unchanged; a row repeated with its id stays once."""
-    kept = (duplicate_groups(docs, id_col, text_col, salts).where("kept")
-            .select(F.col(id_col).alias("_keep")).distinct())
-    return (docs.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("_keep")), "left_semi")
-            .dropDuplicates([id_col]))
+    name = free_name(docs, "_keep")
+    kept = duplicate_groups(docs, id_col, text_col, salts).where("kept").select(F.col(f"`{id_col}`").alias(name)).distinct()
+    return docs.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col(name)), "left_semi").dropDuplicates([id_col])

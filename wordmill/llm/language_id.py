@@ -148,7 +148,8 @@ def train(docs: DataFrame, vocabulary_path: str, text_col: str = "text", lang_co
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", out=("lang_pred", "score")) -> DataFrame:
-    """All columns of ``docs``, and the predicted language with its posterior."""
+    """All columns of ``docs``, and the predicted language with its posterior (columns of these names are replaced)."""
+    docs = docs.drop(*out)
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)  # languages x vocabulary, both fixed by the model
     names = docs.columns

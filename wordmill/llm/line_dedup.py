@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.llm.scratch import stored
+from wordmill.llm.scratch import free_name, stored
 
 MIN_EDIT = 16
 PIECES = 16
@@ -124,8 +124,9 @@ def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     halves = classes.select("rank", F.explode(F.array(*HALVES)).alias("half")).where("half is not null")
     partners = stored(_shared(halves, "half").select("rank").distinct(), "line-partners")
     where = partners.select("rank", F.expr("cast(floor(rank / 1099511627776) AS long)").alias("doc"))
-    found = (docs.join(where.select(F.col("doc").alias("_doc")).distinct(),
-                       F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63))) == F.col("_doc"), "left_semi"))
+    name = free_name(docs, "_doc")
+    found = (docs.join(where.select(F.col("doc").alias(name)).distinct(),
+                       F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63))) == F.col(name), "left_semi"))
     texts = stored(_lines(found, id_col, text_col).withColumn(
         "rank", (F.col("doc").cast("decimal(19,0)") * F.lit(1 << 40).cast("decimal(13,0)") + F.col("place"))
         .cast("decimal(38,0)")).where(f"length(line) >= {MIN_EDIT}").join(partners, "rank", "left_semi")
@@ -148,20 +149,21 @@ def drop_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Documents all of whose lines are dropped have nothing new and go, unless ``counts`` names two
     columns for the numbers of lines and dropped lines: then every document is returned.
     """
+    doc, row, cut, some = (free_name(docs, n) for n in ("_doc", "_row", "_cut", "_some"))
     flags = (line_decisions(docs, id_col, text_col).groupBy("doc", "row")
              .agg(F.sort_array(F.collect_set(F.struct("place", "dropped", "blank"))).alias("flags"))
-             .select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("flags.dropped").alias("_dropped"),
+             .select(F.col("doc").alias(doc), F.col("row").alias(row), F.col("flags.dropped").alias(cut),
                      F.expr("exists(flags, f -> not f.blank and not f.dropped) or forall(flags, f -> f.blank)")
-                     .alias("_some")))
+                     .alias(some)))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     lines = F.split(text, "\n", -1)
-    kept = F.concat_ws("\n", F.filter(lines, lambda x, i: ~F.get(F.col("_dropped"), i)))
+    kept = F.concat_ws("\n", F.filter(lines, lambda x, i: ~F.get(F.col(cut), i)))
     names = docs.columns
-    joined = docs.join(flags, (F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63))) == F.col("_doc"))
-                       & (F.xxhash64(text) == F.col("_row")))
-    clean = F.when(F.exists("_dropped", lambda d: d), kept).otherwise(F.col(f"`{text_col}`"))
+    joined = docs.join(flags, (F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63))) == F.col(doc))
+                       & (F.xxhash64(text) == F.col(row)))
+    clean = F.when(F.exists(cut, lambda d: d), kept).otherwise(F.col(f"`{text_col}`"))
     columns = [clean.alias(c) if c == text_col else F.col(f"`{c}`") for c in names]
     if counts:
-        return joined.select(*columns, F.size("_dropped").cast("long").alias(counts[0]),
-                             F.size(F.filter("_dropped", lambda d: d)).cast("long").alias(counts[1]))
-    return joined.where("_some").select(*columns)
+        return joined.select(*columns, F.size(cut).cast("long").alias(counts[0]),
+                             F.size(F.filter(cut, lambda d: d)).cast("long").alias(counts[1]))
+    return joined.where(F.col(some)).select(*columns)

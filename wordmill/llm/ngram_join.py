@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from wordmill.llm import words as W
 from wordmill.llm.components import connected_components
 from wordmill.llm.pretokens import bounds
-from wordmill.llm.scratch import stored
+from wordmill.llm.scratch import free_name, stored
 
 BLOCK = 512
 SLICE_BYTES = 8 << 20
@@ -264,8 +264,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The document of the smallest id of each group, all columns unchanged; of rows that repeat an id one."""
+    keep, rows = free_name(docs, "_keep"), free_name(docs, "_rows")
     kept = (near_duplicates(docs, id_col, text_col, **how).where("kept")
-            .groupBy(F.col("doc_id").alias("_keep")).agg(F.count(F.lit(1)).alias("_rows")))
-    found = docs.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("_keep")))
-    once = found.where("_rows = 1").drop("_keep", "_rows")
-    return once.unionByName(found.where("_rows > 1").drop("_keep", "_rows").dropDuplicates([id_col]))
+            .groupBy(F.col("doc_id").alias(keep)).agg(F.count(F.lit(1)).alias(rows)))
+    found = docs.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col(keep)))
+    once = found.where(F.col(rows) == 1).drop(keep, rows)
+    return once.unionByName(found.where(F.col(rows) > 1).drop(keep, rows).dropDuplicates([id_col]))

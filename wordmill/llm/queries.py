@@ -118,7 +118,7 @@ words AS (SELECT DISTINCT val FROM (
             SELECT unnest(regexp_extract_all(text, '{identifier}', 0)) AS val FROM t, size
             WHERE ('0x' || substr(md5(doc_id::VARCHAR), 1, 7))::BIGINT
                   < CASE WHEN n <= 2000 THEN 268435456 ELSE (2000 * 268435456) // n END)
-          WHERE val NOT IN (SELECT val FROM known)),
+          WHERE length(val) < 20 AND val NOT IN (SELECT val FROM known)),
 pairs AS (
   SELECT label, pair, count(*) AS n FROM (
     SELECT label, substr(val, i, 2) AS pair FROM (
@@ -127,11 +127,12 @@ pairs AS (
   WHERE regexp_full_match(pair, '[A-Za-z0-9+/_-][A-Za-z0-9+/_-]') GROUP BY ALL),
 letter AS (SELECT unnest(string_split('{alphabet}', '')) AS c),
 cell AS (
-  SELECT a.c || b.c AS pair, side.label AS label, coalesce(n, 0) AS n, sum(coalesce(n, 0)) OVER (PARTITION BY a.c, side.label) AS total
+  SELECT a.c || b.c AS pair, side.label AS label, coalesce(n, 0) AS n, sum(coalesce(n, 0)) OVER (PARTITION BY a.c, side.label) AS total,
+         sum(coalesce(n, 0)) OVER (PARTITION BY b.c, side.label) AS often, sum(coalesce(n, 0)) OVER (PARTITION BY side.label) AS every
   FROM letter a JOIN letter b ON true JOIN (SELECT unnest([0, 1]) AS label) side ON true LEFT JOIN pairs
        ON pairs.pair = a.c || b.c AND pairs.label = side.label),
-ratio AS (SELECT pair, round(1000 * (max(ln((n + 1) / (total + 66))) FILTER (label = 1)
-                                     - max(ln((n + 1) / (total + 66))) FILTER (label = 0)))::BIGINT AS w
+ratio AS (SELECT pair, round(1000 * (max(ln((n + 10 * (often + 1) / (every + 66)) / (total + 10))) FILTER (label = 1)
+                                     - max(ln((n + 10 * (often + 1) / (every + 66)) / (total + 10))) FILTER (label = 0)))::BIGINT AS w
           FROM cell GROUP BY pair),
 scored AS (
   SELECT val FROM (SELECT val, substr(val, i, 2) AS pair FROM (

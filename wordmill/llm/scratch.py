@@ -14,6 +14,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet and read again: lineage ends at files every executor sees."""
     path = scratch_path(df.sparkSession, name)

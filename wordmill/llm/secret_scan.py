@@ -8,9 +8,8 @@ identifiers, by ``margin`` nats a transition at least, and that touch no base sp
 
 Both models are learned from labelled samples of the corpus itself. Random strings are the
 distinct values inside the base spans of *all* documents. Ordinary identifiers are the
-distinct words of about ``sample_docs`` documents (an md5 of the id decides which) that are
-not such a value. A model is a table over 66 x 66 characters with add-one smoothing; the
-log-likelihood ratios are kept as whole thousandths, so sums are exact.
+distinct words, shorter than a candidate, of about ``sample_docs`` documents (an md5 of the
+id decides which) that are not such a value. A model is a table over 66 x 66 characters; the log-likelihood ratios are kept as whole thousandths, so sums are exact.
 
 Offsets are code points, ends exclusive. Defined results: null text is empty and has no
 spans; rows that repeat id and text get the same result each; without any labelled value
@@ -39,13 +38,15 @@ KEYWORDS = ("password", "passwd", "secret", "token", "api_?key")
 ASSIGN = (f"({'|'.join(either_case(k) for k in KEYWORDS)})" + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = "AKIA[A-Z0-9]{12,}"
 HEX = "[0-9a-f]{32,}"
-CANDIDATE = "[A-Za-z0-9+/_-]{20,}={0,2}"
+LEAST_CANDIDATE = 20
+CANDIDATE = f"[A-Za-z0-9+/_-]{{{LEAST_CANDIDATE},}}={{0,2}}"
 IDENTIFIER = "[A-Za-z0-9+/_-]{4,}"
 
 KINDS = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": CANDIDATE}
 ORDER = {"assign": 0, "access": 1, "hex": 2, "random": 3}
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 ASSIGN_VALUE = 8
+PRIOR = 10
 
 
 def _document(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -92,11 +93,17 @@ def _transitions(tokens: DataFrame) -> dict[str, int]:
 
 
 def log_ratios(random: dict[str, int], ordinary: dict[str, int]) -> dict[str, int]:
-    """Thousandths of log P(second | first, random) - log P(second | first, ordinary), add-one smoothed."""
+    """Thousandths of log P(second | first, random) - log P(second | first, ordinary).
+
+    Transitions are smoothed by ``PRIOR`` observations of the characters' own frequencies
+    (add-one smoothed), so what follows a rare character is judged by those.
+    """
     def log_p(counts: dict[str, int]) -> dict[str, float]:
         total = {a: sum(counts.get(a + b, 0) for b in ALPHABET) for a in ALPHABET}
-        return {a + b: math.log((counts.get(a + b, 0) + 1) / (total[a] + len(ALPHABET)))
-                for a in ALPHABET for b in ALPHABET}
+        often = {b: sum(counts.get(a + b, 0) for a in ALPHABET) for b in ALPHABET}
+        every = sum(total.values())
+        return {a + b: math.log((counts.get(a + b, 0) + PRIOR * (often[b] + 1) / (every + len(ALPHABET)))
+                                / (total[a] + PRIOR)) for a in ALPHABET for b in ALPHABET}
     p, q = log_p(random), log_p(ordinary)
     return {pair: round(1000 * (p[pair] - q[pair])) for pair in p}
 
@@ -109,6 +116,7 @@ def train(hits: DataFrame, docs: DataFrame, sample_docs: int) -> dict[str, int]:
     sample = docs.where(F.conv(F.substring(F.md5(F.col("doc").cast("string").cast("binary")), 1, 7), 16, 10)
                         .cast("long") < cut)
     words = sample.select(F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0))).alias("value"))
+    words = words.where(F.length("value") < LEAST_CANDIDATE)  # longer ones are what is to be told apart
     return log_ratios(_transitions(known), _transitions(words.distinct().join(known, "value", "left_anti")))
 
 

@@ -42,9 +42,9 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return off - off[0], raw
 
 
-def byte_slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
+def byte_slices(batch: pa.RecordBatch, column: str | int, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of at most ``limit`` text bytes (one row at least)."""
-    off, _ = text_bytes(batch.column(batch.schema.get_field_index(column)))
+    off, _ = text_bytes(batch.column(batch.schema.get_field_index(column) if isinstance(column, str) else column))
     start = 0
     while start < batch.num_rows:
         end = int(np.searchsorted(off, off[start] + limit, "right")) - 1

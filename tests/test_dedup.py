@@ -89,7 +89,6 @@ def test_incremental_equals_one_pass(spark, tmp_dir):
 def test_greedy_with_salted_hot_buckets(spark, monkeypatch):
     from wordmill.operators import skew
     monkeypatch.setattr(skew, "HOT_ROWS", 3)
-    monkeypatch.setattr(skew, "SALTS", 4)
     rnd = random.Random(11)
     docs = []
     for r in rnd.sample(range(1000), 80):
@@ -139,3 +138,44 @@ def test_near_dedup_xxhash_family(spark):
     got = {r["rank"] for r in N.near_dedup(d, "rank", hash_family="xxhash64")
            .select("rank").collect()}
     assert got == want
+
+
+def test_replayed_batch_gives_the_same_sink(spark, tmp_dir):
+    from conftest import SF
+    from wordmill.streaming.incremental_neardup import IncrementalNearDedup
+    d = _corpus(spark, SF)
+    job = IncrementalNearDedup(spark, f"{tmp_dir}/state")
+    write = job.foreach_batch(f"{tmp_dir}/sink")
+    parts = [d.where("rank < 80"), d.where("rank >= 80")]
+    got = []
+    for replay in ((0, 1), (1,), (0, 1)):  # at-least-once delivery
+        for k in replay:
+            write(parts[k], k)
+        got.append(sorted(r["rank"] for r in spark.read.parquet(f"{tmp_dir}/sink").collect()))
+    assert got[0] == got[1] == got[2] and got[0]
+
+
+def test_wide_ordinals_do_not_collide(spark):
+    text = ["one two three four five six", "seven eight nine ten eleven twelve"]
+    df = spark.createDataFrame([("a", (1 << 40) + 5, text[0]), ("b", 5, text[1]), ("a", (1 << 62), text[1]),
+                                ("a", -1, text[0])], "source string, doc_id long, text string")
+    kept = N.near_dedup(N.global_rank(df, "source", "doc_id"), "rank")
+    assert sorted((r.source, r.doc_id) for r in kept.collect()) == [("a", -1), ("a", 1 << 62)]
+
+
+def test_shingle_hash_is_wide(spark):
+    n = 400_000
+    got = spark.range(n).select(N.shingle_hash(F.concat(F.lit("w x y z "), F.col("id").cast("string"))).alias("h"))
+    assert got.distinct().count() == n
+
+
+def test_equal_signatures_collapse_before_the_rounds(spark):
+    docs = [(r, [(b, "same") for b in range(5)]) for r in range(500)] + [(1000, [(0, "other")])]
+    assert {x["rank"] for x in N.greedy_keep(_bands_df(spark, docs)).collect()} == {0, 1000}
+
+
+def test_winners_with_null_scope(spark):
+    df = spark.createDataFrame([(None, 1, "t", "h"), (None, 2, "t", "h"), ("c", 3, "t", "h")],
+                               "corpus string, ordinal long, text string, hash string")
+    got = {(r.corpus, r.ordinal) for r in C.exact_dedup(df, strategy="winners").collect()}
+    assert got == {(None, 1), ("c", 3)}

@@ -68,3 +68,19 @@ def test_first_n_and_head_limit(spark):
     keyed = df.withColumn("_shuffle", PK.shuffle_key("doc_id"))
     assert PK.head_limit(keyed, 7).count() == 7
     assert PK.head_limit(keyed, 0).count() == 50
+
+
+def test_split_is_a_filter(spark, tmp_dir):
+    _ids(spark, 400).withColumn("text", F.lit("t")).write.parquet(f"{tmp_dir}/d")
+    train, test = PK.seeded_split(spark.read.parquet(f"{tmp_dir}/d"), "doc_id")
+    for part in (train, test, PK.head_limit(train, 50)):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
+    assert train.count() == 396 and test.count() == 4 and PK.head_limit(train, 50).count() == 50
+
+
+def test_first_k_ties_and_edges(spark):
+    df = spark.createDataFrame([("aa", i) for i in range(10)] + [("ab", 3), (None, 4)], "h string, doc_id long")
+    for k in (0, 1, 7, 10, 11, 12, 100):
+        got = sorted(((r.h or ""), r.doc_id) for r in PK.k_smallest(df.where("h is not null"), "h", "doc_id", k).collect())
+        assert got == [("aa", i) for i in range(min(k, 10))] + [("ab", 3)] * (k > 10)

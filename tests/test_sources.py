@@ -1,6 +1,8 @@
 """Sources and sinks (S1-S9), stats helpers."""
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from wordmill.operators import stats as G
@@ -95,3 +97,42 @@ def test_parquet_shards_skip_corrupt(spark, tmp_dir):
         f.write(b"not a parquet file at all")
     got = sorted((r.text, r.source) for r in R.read_parquet_shards(spark, shards).collect())
     assert got == [("a", "s1"), ("b", "None")]
+
+
+def test_parquet_defaults_hold_per_shard(spark, tmp_dir):
+    shards = os.path.join(tmp_dir, "shards")
+    os.makedirs(shards)
+    frames = {"a": spark.createDataFrame([("x", "s1"), (None, None)], "Article string, Source string"),
+              "b": spark.createDataFrame([("y",)], "Article string"),
+              "c": spark.createDataFrame([("s3", 1)], "Source string, other int")}
+    for name, df in frames.items():
+        df.coalesce(1).write.parquet(os.path.join(tmp_dir, name))
+        part = [f for f in os.listdir(os.path.join(tmp_dir, name)) if f.endswith(".parquet")][0]
+        os.link(os.path.join(tmp_dir, name, part), os.path.join(shards, f"{name}.parquet"))
+    with open(os.path.join(shards, "d.parquet"), "wb") as f:
+        f.write(b"PAR1 cut off")
+    with pytest.warns(UserWarning, match="d.parquet"):
+        got = sorted((r.text, r.source) for r in R.read_parquet_shards(spark, shards).collect())
+    assert got == [("", "s3"), ("None", "None"), ("x", "s1"), ("y", "iriisnepal")]
+    report = {os.path.basename(r.path): r.status for r in R.shard_report(spark, shards).collect()}
+    assert report == {"a.parquet": "read", "b.parquet": "read", "c.parquet": "read", "d.parquet": "corrupt"}
+    missing = R.shard_report(spark, os.path.join(tmp_dir, "nowhere")).collect()
+    assert [r.status for r in missing] == ["missing"]
+
+
+def test_stage_is_written_once_per_input_state(spark, tmp_dir):
+    src, calls = os.path.join(tmp_dir, "src"), []
+
+    def build():
+        calls.append(1)
+        return spark.read.parquet(src)
+    spark.range(3).write.parquet(src)
+    assert [CA.stage(spark, "t", [src], build).count() for _ in range(2)] == [3, 3] and len(calls) == 1
+    spark.range(5).write.mode("append").parquet(src)
+    assert CA.stage(spark, "t", [src], build).count() == 8 and len(calls) == 2
+
+
+def test_big_scans_are_not_spread(spark, monkeypatch):
+    monkeypatch.setattr(R, "SPREAD_BYTES", 10)
+    one = spark.range(100).coalesce(1)
+    assert R.ensure_parallelism(one, "id").rdd.getNumPartitions() == 1

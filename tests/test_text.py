@@ -114,3 +114,12 @@ def test_pretokens(spark):
         "नेपालको", "काठमाडौं", "हो", "।"]
     assert one(spark, T.pretokens(F.col("t")), "don't") == ["don", "'", "t"]
     assert one(spark, T.pretokens(F.col("t")), "!!?") == ["!!?"]
+
+
+def test_null_text_passes_nfc_and_is_rejected(spark):
+    from wordmill.functions import text as T
+    from wordmill.operators import clean as C
+    df = spark.createDataFrame([(1, None), (2, "plain ascii"), (3, "é")], "doc_id long, text string")
+    got = {r.doc_id: r.t for r in df.select("doc_id", T.nfc("text").alias("t")).collect()}
+    assert got == {1: None, 2: "plain ascii", 3: "é"}
+    assert C.clean_documents(df, keep=("doc_id",)).where("doc_id = 1").count() == 0

@@ -1,8 +1,8 @@
 """Per-document text scalars (T1-T14) as Spark Column expressions.
 
-All of them are JVM-side built-ins (regexp_replace, regexp_count, split,
-higher-order array functions, md5), so they fuse into whole-stage codegen.
-Unicode NFC has no SQL builtin; it calls ICU4J (shipped with Spark) through
+All of them are JVM-side built-ins. Regular expressions, ``split`` and ``md5`` fuse
+into whole-stage codegen; higher-order array functions (``transform``, ``let``) and
+``reflect`` are interpreted. Unicode NFC has no SQL builtin; it calls ICU4J (shipped with Spark) through
 ``reflect`` — still JVM-side, no Python worker.
 """
 
@@ -22,12 +22,14 @@ def _c(col) -> Column:
 def nfc(col) -> Column:
     """Unicode NFC (T1). ICU's ``Normalizer.compose(s, compat=false)`` is NFC.
 
-    ``reflect`` is non-deterministic to Catalyst, which also keeps later filters
-    from being pushed below it, so the normalised text is computed once.
+    Pure ASCII text is its own NFC and never reaches the reflective call; null stays
+    null. ``reflect`` is interpreted and non-deterministic to Catalyst, which keeps
+    later filters from being pushed below it, so the text is normalised once.
     """
     c = _c(col)
-    return F.call_function("reflect", F.lit("com.ibm.icu.text.Normalizer"),
-                           F.lit("compose"), c, F.lit(False))
+    composed = F.call_function("reflect", F.lit("com.ibm.icu.text.Normalizer"),
+                               F.lit("compose"), c, F.lit(False))
+    return F.when(c.rlike(r"[^\x00-\x7F]"), composed).otherwise(c)
 
 
 # --- T2..T5 -----------------------------------------------------------------

@@ -1,9 +1,9 @@
 """F5 document cleaning pipeline, D1 exact dedup, F7 funnel.
 
-Plan shape (one scan, one shuffle):
+Plan shape of the cleaning (one scan, no shuffle):
   Scan -> Project(T1..T5)  [reflect() is a barrier: filters are not pushed below it]
        -> Filter(reject_reason is null) -> Project(T6, T7, T8)
-       -> HashAggregate(partial) on (corpus, hash) -> Exchange -> final aggregate.
+The bound measures (``let``) and ``reflect`` are interpreted, the rest is generated code.
 """
 
 from __future__ import annotations
@@ -19,8 +19,9 @@ from wordmill.operators.filters import SCRIPT_THRESHOLD, reject_reason
 def annotate(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (),
              block: str = P.DEVANAGARI, threshold: float = SCRIPT_THRESHOLD,
              apply_nfc: bool = True) -> DataFrame:
-    """Normalised text ``_t`` plus ``reject_reason`` for every input row."""
-    norm = df.select(*keep, T.normalize_text(F.col(text_col), apply_nfc).alias("_t"))
+    """Normalised text ``_t`` plus ``reject_reason`` for every input row; null text is empty."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    norm = df.select(*keep, T.normalize_text(text, apply_nfc).alias("_t"))
     return norm.select(*keep, "_t", reject_reason(F.col("_t"), block, threshold)
                        .alias("reject_reason"))
 
@@ -48,13 +49,20 @@ def exact_dedup(df: DataFrame, scope: tuple[str, ...] = ("corpus",),
     the winner is deterministic, unlike ``dropDuplicates``. Its buffer holds the
     text, so it plans as a sort-based aggregate.
 
-    ``winners`` suits an input that is already written (a stage table): a
-    fixed-width hash aggregate of the minimum ordinal per (scope, hash) reads only
-    the key columns, then a left-semi join on the ordinal keeps the rows.
+    ``winners`` suits an input that is already written (a stage table): narrow hash
+    aggregates over the key columns find the first ordinal of the keys that occur more
+    than once, and only the rows that lose to it are joined out, so the text is shuffled
+    only when the losers are too many to broadcast. It needs distinct ordinals.
     """
     if strategy == "winners":
-        winners = df.groupBy(*scope, hash_col).agg(F.min(order_col).alias(order_col))
-        kept = df.join(winners, [*scope, hash_col, order_col], "left_semi")
+        keys = df.select(*scope, hash_col, order_col)
+        several = (keys.groupBy(*scope, hash_col).agg(F.min(order_col).alias("_first"), F.count("*").alias("_n"))
+                   .where("_n > 1").select("_first", *[F.col(c).alias("_k_" + c) for c in (*scope, hash_col)]))
+        same = [F.col(c).eqNullSafe(F.col("_k_" + c)) for c in (*scope, hash_col)]
+        losers = keys.join(several, same).where(F.col(order_col) > F.col("_first")).select(
+            *[F.col(c).alias("_l_" + c) for c in (*scope, order_col)])
+        out = [F.col(c).eqNullSafe(F.col("_l_" + c)) for c in (*scope, order_col)]
+        kept = df.join(losers, out, "left_anti")
         return kept.select(*scope, hash_col,
                            *[c for c in df.columns if c not in scope and c != hash_col])
     rest = [c for c in df.columns if c not in scope and c != hash_col]

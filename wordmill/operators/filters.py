@@ -1,7 +1,7 @@
 """Document filters F1-F4 and the first-reject-reason column used by F5/F7.
 
 Every filter is a Column predicate, so a chain of them becomes one Filter
-node in the plan and runs inside whole-stage codegen.
+node in the plan. ``reject_reason`` binds its measures in a lambda, which is interpreted.
 """
 
 from __future__ import annotations

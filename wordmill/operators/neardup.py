@@ -19,7 +19,7 @@ round's state is checkpointed to ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.functions import text as T
@@ -33,7 +33,8 @@ NUM_PERM = 64                # permutations of the signature
 THRESHOLD = 0.8              # Jaccard threshold
 BANDS, ROWS = 5, 11          # b x r chosen for (0.8, 64) by the FP/FN-area optimum
 MERSENNE_P = (1 << 31) - 1   # modulus of the universal hash family
-HASH_BITS_HEX = 7            # shingle hash: first 7 hex digits of md5 (28 bits)
+HASH_HEX = 15                # shingle hash: first 15 hex digits of md5 (60 bits)
+LANE_BITS = 30               # it enters the hash family as two 30-bit lanes
 PERM_SEED = 0x5EED
 # ----------------------------------------------------------------------------------
 
@@ -48,15 +49,14 @@ def _splitmix64(seed: int):
         yield z ^ (z >> 31)
 
 
-def permutations(n: int = NUM_PERM, seed: int = PERM_SEED) -> list[tuple[int, int]]:
-    """(a_i, b_i) with 1 <= a < p and 0 <= b < p; a*h+b fits a signed bigint."""
+def permutations(n: int = NUM_PERM, seed: int = PERM_SEED) -> list[tuple[int, int, int]]:
+    """(a1, a2, b) with 1 <= a1, a2 < p and 0 <= b < p.
+
+    ``a1*hi + a2*lo + b`` of two lanes below 2^30 stays below 2^62: a signed bigint.
+    """
     g = _splitmix64(seed)
-    out = []
-    for _ in range(n):
-        a = 1 + next(g) % (MERSENNE_P - 1)
-        b = next(g) % MERSENNE_P
-        out.append((a, b))
-    return out
+    return [(1 + next(g) % (MERSENNE_P - 1), 1 + next(g) % (MERSENNE_P - 1), next(g) % MERSENNE_P)
+            for _ in range(n)]
 
 
 PERMS = permutations()
@@ -64,15 +64,15 @@ USED = BANDS * ROWS          # only the first b*r permutations take part in band
 
 
 def shingle_hash(s, family: str = "md5"):
-    """28-bit shingle hash.
+    """60-bit shingle hash.
 
-    ``md5`` (default): first 7 hex digits of MD5, reproducible in SQL engines, so
+    ``md5`` (default): first 15 hex digits of MD5, reproducible in SQL engines, so
     the oracle can check signatures. ``xxhash64``: Spark's native 64-bit hash
-    masked to 28 bits — faster, but no SQL engine reproduces it.
+    masked to 60 bits — faster, but no SQL engine reproduces it.
     """
     if family == "xxhash64":
-        return F.xxhash64(s).bitwiseAND(F.lit((1 << (4 * HASH_BITS_HEX)) - 1))
-    return F.conv(F.substring(F.md5(s), 1, HASH_BITS_HEX), 16, 10).cast("bigint")
+        return F.xxhash64(s).bitwiseAND(F.lit((1 << (4 * HASH_HEX)) - 1))
+    return F.conv(F.substring(F.md5(s), 1, HASH_HEX), 16, 10).cast("bigint")
 
 
 def shingle_array(words_col) -> F.Column:
@@ -108,7 +108,7 @@ def shingles(df: DataFrame, rank_col: str, text_col: str = "text") -> DataFrame:
 
 def signatures(df: DataFrame, rank_col: str, text_col: str = "text",
                hash_family: str = "md5") -> DataFrame:
-    """D3: (rank, m0..m54) — min over shingles of (a_i*h + b_i) mod p.
+    """D3: (rank, m0..m54) — min over shingles of (a1*hi + a2*lo + b) mod p.
 
     Shingle hashes are exploded and re-aggregated per document; the partial
     HashAggregate (fixed-width bigint buffers, codegen) runs before the shuffle,
@@ -116,8 +116,10 @@ def signatures(df: DataFrame, rank_col: str, text_col: str = "text",
     """
     h = _shingle_rows(df, rank_col, text_col).select(
         rank_col, shingle_hash(F.col("shingle"), hash_family).alias("h"))
-    aggs = [F.min((F.col("h") * F.lit(a) + F.lit(b)) % F.lit(MERSENNE_P)).alias(f"m{i}")
-            for i, (a, b) in enumerate(PERMS[:USED])]
+    h = h.select(rank_col, F.shiftright("h", LANE_BITS).alias("hi"),
+                 F.col("h").bitwiseAND(F.lit((1 << LANE_BITS) - 1)).alias("lo"))
+    aggs = [F.min((F.col("hi") * F.lit(a1) + F.col("lo") * F.lit(a2) + F.lit(b)) % F.lit(MERSENNE_P))
+            .alias(f"m{i}") for i, (a1, a2, b) in enumerate(PERMS[:USED])]
     return h.groupBy(rank_col).agg(*aggs)
 
 
@@ -139,38 +141,51 @@ def _bucket_id(df: DataFrame) -> DataFrame:
                      F.hash("key", "band").cast("bigint").alias("k2"))
 
 
+BUCKET = ("band", "k1", "k2")
+
+
 def bucket_stats(bands: DataFrame, rank_col: str = "rank") -> DataFrame:
     """D5 helper: per bucket, size and earliest rank."""
     return bands.groupBy("band", "key").agg(F.count("*").alias("n_docs"),
                                             F.min(rank_col).alias("first_rank"))
 
 
-def greedy_keep(bands: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+def buckets(bands: DataFrame) -> DataFrame:
+    """The narrow bucket table (rank, band, k1, k2), materialised once."""
+    checkpoint_dir(bands.sparkSession)
+    return _bucket_id(bands).checkpoint(eager=True)
+
+
+def greedy_keep(bands: DataFrame) -> DataFrame:
     """Ranks kept by the sequential greedy, computed in bucket-min rounds.
 
-    ``bands`` has (rank bigint, band, key). Returns (rank) of kept documents,
-    including documents whose buckets are all singletons. Joins on the bucket
-    key are salted for hot buckets (``skew.salted_join``).
+    ``bands`` has (rank, band, key), the rank of any orderable type. Returns (rank) of
+    kept documents, including documents whose buckets are all singletons.
     """
-    spark = bands.sparkSession
-    checkpoint_dir(spark)
-    # narrow fixed-width bucket table, materialised once (signatures are not recomputed)
-    B = _bucket_id(bands).checkpoint(eager=True)
-    key = ["band", "k1", "k2"]
+    return greedy_keep_buckets(buckets(bands))
+
+
+def _first_of_equals(B: DataFrame) -> DataFrame:
+    """Of documents with the same buckets only the first can be kept: drop the others."""
+    per = B.groupBy("rank").agg(
+        F.bit_xor(F.xxhash64(F.lit(1), *BUCKET)).alias("s1"),
+        F.bit_xor(F.xxhash64(F.lit(2), *BUCKET)).alias("s2"), F.count(F.lit(1)).alias("s3"))
+    first = per.groupBy("s1", "s2", "s3").agg(F.min("rank").alias("rank")).select("rank")
+    return B.join(first, "rank", "left_semi")
+
+
+def greedy_keep_buckets(B: DataFrame) -> DataFrame:
+    """``greedy_keep`` on a materialised bucket table; joins on hot buckets are salted."""
+    key = list(BUCKET)
+    B = _first_of_equals(B).checkpoint(eager=True)
     sizes = B.groupBy(*key).agg(F.count("*").alias("n")).checkpoint(eager=True)
     hot = S.hot_keys(sizes, key).checkpoint(eager=True)
-    # docs with at least one shared bucket take part in the rounds
-    sized = S.salted_join(B, sizes, key, "inner", hot, "rank")
-    Bs = sized.where(F.col("n") >= 2).drop("n")
-    state = Bs.checkpoint(eager=True)
-    contested = state.select("rank").distinct()
-    free = B.select("rank").distinct().join(contested, "rank", "left_anti")
-    kept_parts = [free.checkpoint(eager=True)]
-    rounds = 0
+    # docs with at least one shared bucket take part in the rounds, the others are kept
+    sized = S.salted_join(B, sizes, key, "inner", hot, "rank").withColumn("shared", F.col("n") >= 2)
+    contested = sized.groupBy("rank").agg(F.max("shared").alias("contested")).checkpoint(eager=True)
+    kept_parts = [contested.where(~F.col("contested")).select("rank")]
+    state = sized.where("shared").drop("n", "shared").checkpoint(eager=True)
     while not state.isEmpty():
-        rounds += 1
-        if rounds > max_rounds:
-            raise RuntimeError("near-dedup greedy did not converge")
         bmin = state.groupBy(*key).agg(F.min("rank").alias("mr"))
         J = S.salted_join(state, bmin, key, "inner", hot, "rank")
         verdict = J.groupBy("rank").agg(F.min((F.col("rank") == F.col("mr")).cast("int"))
@@ -188,20 +203,13 @@ def greedy_keep(bands: DataFrame, max_rounds: int = 10_000) -> DataFrame:
     return out
 
 
-def global_rank(df: DataFrame, corpus_col: str, ordinal_col: str,
-                ordinal_bits: int = 40, names: DataFrame | None = None) -> DataFrame:
-    """A bigint visiting order: corpora in name order, then the ordinal.
+def global_rank(df: DataFrame, corpus_col: str, ordinal_col: str) -> DataFrame:
+    """The visiting order as a struct: corpora in name order, then the ordinal.
 
-    The corpus index comes from the distinct corpus names (one row per corpus;
-    pass ``names`` to take them from a cheap pruned scan instead of ``df``);
-    ordinals must be < 2**ordinal_bits.
+    A struct compares field by field, so any 64-bit ordinal and any number of corpora
+    fit, and no corpus index has to be joined.
     """
-    names = (names if names is not None else df).select(corpus_col).distinct()
-    idx = names.select(corpus_col, F.dense_rank().over(Window.orderBy(corpus_col))
-                       .cast("bigint").alias("_ci"))
-    return df.join(idx, corpus_col).withColumn(
-        "rank", F.shiftleft(F.col("_ci"), ordinal_bits) + F.col(ordinal_col).cast("bigint")
-    ).drop("_ci")
+    return df.withColumn("rank", F.struct(F.col(corpus_col), F.col(ordinal_col).cast("bigint").alias("ordinal")))
 
 
 def near_dedup(df: DataFrame, rank_col: str = "rank", text_col: str = "text",

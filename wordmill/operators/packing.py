@@ -3,7 +3,7 @@ positions, packing into fixed-length blocks (P3-P5), corpus union (W5).
 
 Nothing here sorts the whole data set into one task:
 * the exact k-smallest selection (split, limits) uses a 65,536-bucket histogram
-  over an md5 prefix and an ordered limit only inside the boundary bucket;
+  over an md5 prefix to find the one row at the cut, and is a filter from then on;
 * dense positions come from range partitioning + per-partition offsets;
 * packing cuts each document into the pieces that fall into each block, so a
   block group holds exactly ``block_len`` ids, whatever the document sizes.
@@ -37,67 +37,61 @@ def shuffle_key(id_col, seed: int = SPLIT_SEED) -> F.Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
-def k_smallest(df: DataFrame, key: str, tie: str, k: int) -> DataFrame:
-    """The ``k`` rows with the smallest (key, tie); ``key`` is a hex string.
+def first_k(df: DataFrame, key: str, tie: str, k: int) -> F.Column:
+    """A predicate for the ``k`` rows of ``df`` with the smallest (key, tie); ``key`` is a hex string.
 
-    A histogram over key prefixes (bounded: 16**digits rows) locates the bucket
-    that holds the k-th row; rows of lower buckets are taken whole and only the
-    boundary bucket is ordered and limited. The bucket is refined by more digits
-    until it is small, so no single task ever sorts a share of the data.
+    A histogram over key prefixes (bounded: 16**PREFIX_HEX rows a level) locates the bucket
+    that holds the k-th row; only that bucket is ordered, after it was refined by more
+    digits until it is small. What is returned compares with that one row, so selecting is
+    a filter without any shuffle. ``df`` should hold just the two columns.
     """
     if k <= 0:
-        return df.limit(0)
-    prefix_len, lower, cur = 0, None, df
-    need = k
+        return F.lit(False)
+    prefix_len, cur, need = 0, df, k
     while True:
         prefix_len += PREFIX_HEX
         pref = F.substring(F.col(key), 1, prefix_len)
         hist = cur.groupBy(pref.alias("_p")).count().orderBy("_p").collect()
-        total = sum(r["count"] for r in hist)
-        if need >= total:
-            sel = cur if lower is None else lower.unionByName(cur)
-            return sel
-        acc = 0
-        for r in hist:
-            if acc + r["count"] >= need:
-                boundary, before = r["_p"], acc
-                break
-            acc += r["count"]
-        below = cur.where(pref < F.lit(boundary))
-        lower = below if lower is None else lower.unionByName(below)
+        if need >= sum(r["count"] for r in hist):
+            if prefix_len == PREFIX_HEX:
+                return F.lit(True)
+            boundary, before, size = hist[-1]["_p"], sum(r["count"] for r in hist[:-1]), hist[-1]["count"]
+        else:
+            before = 0
+            for r in hist:
+                boundary, size = r["_p"], r["count"]
+                if before + size >= need:
+                    break
+                before += size
         need -= before
         cur = cur.where(pref == F.lit(boundary))
-        size = next(r["count"] for r in hist if r["_p"] == boundary)
         if size <= BOUNDARY_LIMIT or prefix_len >= 32:
-            top = cur.orderBy(F.col(key), F.col(tie)).limit(need)
-            return lower.unionByName(top) if lower is not None else top
+            last = cur.orderBy(key, tie).limit(need).agg(F.max(F.struct(key, tie)).alias("m")).first()["m"]
+            c, t = F.col(key), F.col(tie)
+            return F.coalesce((c < last[key]) | ((c == last[key]) & (t <= last[tie])), F.lit(False))
+
+
+def k_smallest(df: DataFrame, key: str, tie: str, k: int) -> DataFrame:
+    """The ``k`` rows with the smallest (key, tie)."""
+    return df.where(first_k(df.select(key, tie), key, tie, k))
 
 
 def seeded_split(df: DataFrame, id_col: str, test_fraction: float = TEST_FRACTION,
                  seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
     """(train, test); test holds ceil(fraction * n) rows picked by the seeded order.
 
-    Both outputs carry ``_shuffle`` (the order key) for later head limits.
+    Both outputs carry ``_shuffle`` (the order key) for later head limits. The passes that
+    find the cut read the ids only; both outputs are filters over ``df``.
     """
     keyed = df.withColumn("_shuffle", shuffle_key(id_col, seed))
-    checkpoint_dir(df.sparkSession)
-    # the selection passes only need (id, key): materialise that narrow table once
-    keys = keyed.select(id_col, "_shuffle").checkpoint(eager=True)
-    n = keys.count()
-    k = math.ceil(test_fraction * n)
-    test_ids = k_smallest(keys, "_shuffle", id_col, k).select(id_col)
-    test = keyed.join(test_ids, id_col, "left_semi")
-    train = keyed.join(test_ids, id_col, "left_anti")
-    return train, test
+    keys = keyed.select(id_col, "_shuffle")
+    is_test = first_k(keys, "_shuffle", id_col, math.ceil(test_fraction * keys.count()))
+    return keyed.where(~is_test), keyed.where(is_test)
 
 
 def head_limit(df: DataFrame, limit: int, key: str = "_shuffle", tie: str = "doc_id") -> DataFrame:
     """The first ``limit`` rows of a shuffled split, only if limit > 0 and exceeded."""
-    if limit <= 0:
-        return df
-    checkpoint_dir(df.sparkSession)
-    keys = df.select(tie, key).checkpoint(eager=True)
-    return df.join(k_smallest(keys, key, tie, limit).select(tie), tie, "left_semi")
+    return k_smallest(df, key, tie, limit) if limit > 0 else df
 
 
 def first_n(df: DataFrame, order_cols: list[str], n: int = FERTILITY_SAMPLE) -> DataFrame:
@@ -126,10 +120,10 @@ def dense_positions(df: DataFrame, order_cols: list[str], pos_col: str = "positi
         acc += c
     if not offsets:
         return tagged.drop("_pid", "_mid").withColumn(pos_col, F.lit(0).cast("bigint"))
-    off_map = F.create_map(*[x for pid, off in offsets.items() for x in (F.lit(pid), F.lit(off))])
+    offs = spark.createDataFrame(list(offsets.items()), "_pid int, _off long")  # one row per partition
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    return tagged.withColumn(pos_col, (off_map[F.col("_pid")] + local).cast("bigint")).drop(
-        "_pid", "_mid")
+    return tagged.join(F.broadcast(offs), "_pid").withColumn(
+        pos_col, (F.col("_off") + local).cast("bigint")).drop("_pid", "_mid", "_off")
 
 
 def worker_batches(df: DataFrame, n_rows: int, pos_col: str = "position",

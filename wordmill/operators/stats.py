@@ -68,6 +68,15 @@ def size_report(df: DataFrame, corpus_col: str = "corpus", text_col: str = "text
                     (F.col("bytes") / F.lit(BYTES_PER_GB)).alias("gb"))
 
 
-def split_counts(df: DataFrame, split_col: str = "split") -> DataFrame:
-    """Rows per split."""
-    return df.groupBy(split_col).agg(F.count("*").alias("n_rows"))
+def split_counts(df: DataFrame, split_col: str = "split", limited_col: str | None = None) -> DataFrame:
+    """Rows per split, and how many of them a limit leaves (``limited_col``: true for those)."""
+    aggs = [F.count("*").alias("n_rows")]
+    if limited_col:
+        aggs.append(F.count_if(F.col(limited_col)).alias("n_limited"))
+    return df.groupBy(split_col).agg(*aggs)
+
+
+def block_counts(blocks: DataFrame, split_col: str = "split") -> DataFrame:
+    """Packed blocks and ids per split."""
+    return blocks.groupBy(split_col).agg(F.count("*").alias("n_blocks"),
+                                         F.sum(F.size("input_ids")).cast("bigint").alias("n_ids"))

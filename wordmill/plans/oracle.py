@@ -106,8 +106,9 @@ def neardup_ctes(src: str, key_cols: str, order_cols: str) -> str:
     """CTEs over ``src`` (key_cols + text): nd_w, nd_sh, nd_sig, nd_bands, nd_ranked, nd_walk."""
     from wordmill.operators import neardup as N
     w = words_sql("text")
-    mins = ", ".join(f"min((h * {a} + {b}) % {N.MERSENNE_P}) AS m{i}"
-                     for i, (a, b) in enumerate(N.PERMS[:N.USED]))
+    lane = 1 << N.LANE_BITS
+    mins = ", ".join(f"min(((h // {lane}) * {a1} + (h % {lane}) * {a2} + {b}) % {N.MERSENNE_P}) AS m{i}"
+                     for i, (a1, a2, b) in enumerate(N.PERMS[:N.USED]))
     keys = ", ".join(
         "concat_ws(',', " + ", ".join(f"CAST(m{j * N.ROWS + k} AS VARCHAR)" for k in range(N.ROWS))
         + f") AS k{j}" for j in range(N.BANDS))
@@ -117,7 +118,7 @@ def neardup_ctes(src: str, key_cols: str, order_cols: str) -> str:
         f"nd_sh AS (SELECT {key_cols}, i - 1 AS pos, array_to_string(w[i:i + {N.SHINGLE_WORDS - 1}], ' ') "
         f"AS shingle FROM (SELECT {key_cols}, w, unnest(generate_series(1, len(w) - "
         f"{N.SHINGLE_WORDS - 1})) AS i FROM nd_w WHERE len(w) >= {N.MIN_WORDS})),\n"
-        f"nd_h AS (SELECT {key_cols}, ('0x' || substr(md5(shingle), 1, {N.HASH_BITS_HEX}))::BIGINT "
+        f"nd_h AS (SELECT {key_cols}, ('0x' || substr(md5(shingle), 1, {N.HASH_HEX}))::BIGINT "
         f"AS h FROM nd_sh),\n"
         f"nd_sig AS (SELECT {key_cols}, {mins} FROM nd_h GROUP BY {key_cols}),\n"
         f"nd_bands AS (SELECT {key_cols}, {keys} FROM nd_sig),\n"

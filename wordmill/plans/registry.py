@@ -73,9 +73,16 @@ def cleaned(spark, sf_dir) -> DataFrame:
                              block=CORPUS_BLOCK)
 
 
+def cleaned_stage(spark, sf_dir) -> DataFrame:
+    """The cleaned corpus, written once per state of ``documents``."""
+    from wordmill.sources.cache import stage
+    return stage(spark, "cleaned", [f"{sf_dir}/documents.parquet"], lambda: cleaned(spark, sf_dir))
+
+
 def deduped(spark, sf_dir) -> DataFrame:
     """D1 per source over the cleaned corpus."""
-    return C.exact_dedup(cleaned(spark, sf_dir), scope=("source",), order_col="doc_id")
+    return C.exact_dedup(cleaned_stage(spark, sf_dir), scope=("source",), order_col="doc_id",
+                         strategy="winners")
 
 
 CLEAN_CTE = O.cleaned_cte("documents", "doc_id, source", CORPUS_BLOCK)
@@ -352,21 +359,19 @@ from wordmill.operators import neardup as N  # noqa: E402
 
 
 def deduped_stage(spark, sf_dir) -> DataFrame:
-    """The exact-deduped corpus written once to the checkpoint folder.
+    """The exact-deduped corpus as a Parquet table, written once per state of ``documents``.
 
-    Multi-pass operators (near-dedup, split, packing, BPE) read this stage
-    instead of re-running the cleaning for every pass — the role the source's
-    per-stage output files play.
+    Multi-pass operators (near-dedup, split, packing, BPE) read the columns they need from
+    it instead of re-running the cleaning for every pass — the role the source's per-stage
+    output files play.
     """
-    from wordmill.session import checkpoint_dir
-    checkpoint_dir(spark)
-    return deduped(spark, sf_dir).checkpoint(eager=True)
+    from wordmill.sources.cache import stage
+    return stage(spark, "deduped", [f"{sf_dir}/documents.parquet"], lambda: deduped(spark, sf_dir))
 
 
 def ranked_corpus(spark, sf_dir) -> DataFrame:
-    """The exact-deduped corpus with a bigint visiting order (source, doc_id)."""
-    names = documents(spark, sf_dir).select("source")
-    return N.global_rank(deduped_stage(spark, sf_dir), "source", "doc_id", names=names)
+    """The exact-deduped corpus with its visiting order (source, doc_id)."""
+    return N.global_rank(deduped_stage(spark, sf_dir), "source", "doc_id")
 
 
 ND_SQL = ("WITH RECURSIVE " + DEDUP_CTE + ",\n"
@@ -410,7 +415,7 @@ def q_neardup_candidates(spark, sf_dir):
     r, bands = _band_rows(spark, sf_dir)
     from wordmill.operators import skew
     stats = N.bucket_stats(bands)
-    hot = skew.hot_keys(stats, ["band", "key"], "n_docs")
+    hot = skew.hot_keys(stats, ["band", "key"], "n_docs").checkpoint(eager=True)
     st = stats.where(F.col("n_docs") >= 2)
     j = skew.salted_join(bands, st, ["band", "key"], "inner", hot, "rank")
     per = j.groupBy("rank").agg(F.count("*").alias("n_shared_buckets"),
@@ -426,25 +431,40 @@ def q_neardup_kept(spark, sf_dir):
     return kept.select("source", "doc_id", "hash", "text")
 
 
-INCREMENTAL_BATCHES = 4     # micro-batches the corpora are grouped into
+def _order_cuts(ranked: DataFrame, parts: int) -> list[str]:
+    """At most ``parts - 1`` corpus names that cut the visiting order into consecutive ranges.
+
+    Range partitioning samples the bounds; the driver sees one name per range, however
+    many corpora there are.
+    """
+    names = ranked.select("source").where(F.col("source").isNotNull()).distinct()
+    firsts = (names.repartitionByRange(parts, "source").groupBy(F.spark_partition_id().alias("range"))
+              .agg(F.min("source").alias("first")).collect())
+    return sorted(x["first"] for x in firsts)[1:]
+
+
+INCREMENTAL_BATCHES = 4     # micro-batches of consecutive ranks
 
 
 @register("incremental_neardup", ND_SQL + "SELECT d.source, d.doc_id, d.hash, d.text FROM nd_walk w "
           "JOIN nd_ranked n ON w.r = n.r JOIN deduped d ON d.doc_id = n.doc_id WHERE w.kept")
 def q_incremental_neardup(spark, sf_dir):
-    """Consecutive groups of corpora (name order) arrive as micro-batches and
-    probe the stored buckets of everything kept before; equals the one-pass result."""
+    """Consecutive ranges of the visiting order arrive as micro-batches and probe the
+    stored buckets of everything kept before; equals the one-pass result."""
     import uuid
     from wordmill.session import checkpoint_dir
     from wordmill.streaming.incremental_neardup import IncrementalNearDedup
     r = ranked_corpus(spark, sf_dir)
     job = IncrementalNearDedup(spark, f"{checkpoint_dir(spark)}/incremental-{uuid.uuid4().hex}")
-    # one row per corpus: the micro-batch schedule, not data
-    names = [x["source"] for x in r.select("source").distinct().orderBy("source").collect()]
-    size = -(-len(names) // INCREMENTAL_BATCHES)
+    cuts = _order_cuts(r, INCREMENTAL_BATCHES)
     out = None
-    for i in range(0, len(names), size):
-        part = job.process(r.where(F.col("source").isin(names[i:i + size]))).checkpoint(eager=True)
+    for k, (low, high) in enumerate(zip([None, *cuts], [*cuts, None])):
+        part = r
+        if low is not None:
+            part = part.where(F.col("source") >= low)
+        if high is not None:
+            part = part.where((F.col("source") < high) | F.col("source").isNull() & F.lit(low is None))
+        part = job.process(part, k).checkpoint(eager=True)
         out = part if out is None else out.unionByName(part)
     return out.select("source", "doc_id", "hash", "text")
 
@@ -467,6 +487,7 @@ from wordmill.operators import packing as PK  # noqa: E402
 TOY_BLOCK_LEN = 64           # block length for the word-length toy ids
 TOY_BATCH = 100              # documents per packing batch
 LIMIT_TRAIN, LIMIT_VAL = 500, 5
+FIRST_N = 200                # documents of the first-N report (the feature's own default is 10,000)
 # ---------------------------------------------------------------------------------------
 
 SPLIT_SQL = (
@@ -511,16 +532,25 @@ def q_limited_split(spark, sf_dir):
     return limited_split(spark, sf_dir)
 
 
-@register("split_counts", f"SELECT split, count(*) AS n_rows FROM ({LIMITED_SQL}) GROUP BY split")
+@register("split_counts",
+          f"WITH {DEDUP_CTE},\n{SPLIT_SQL}\nSELECT split, count(*) AS n_rows, "
+          f"least(count(*), CASE split WHEN 'train' THEN {LIMIT_TRAIN} ELSE {LIMIT_VAL} END) AS n_limited "
+          "FROM labelled GROUP BY split")
 def q_split_counts(spark, sf_dir):
-    return G.split_counts(limited_split(spark, sf_dir))
+    out = None
+    for name, limit, part in zip(("train", "test"), (LIMIT_TRAIN, LIMIT_VAL), split_docs(spark, sf_dir)):
+        keys = part.select("_shuffle", "doc_id")
+        part = keys.select(F.lit(name).alias("split"),
+                           PK.first_k(keys, "_shuffle", "doc_id", limit).alias("limited"))
+        out = part if out is None else out.unionByName(part)
+    return G.split_counts(out, limited_col="limited")
 
 
 @register("fertility_first_n",
           f"WITH {DEDUP_CTE} SELECT source, doc_id, CAST(len({O.words_sql('text')}) AS BIGINT) "
-          f"AS n_words FROM deduped ORDER BY source, doc_id LIMIT {PK.FERTILITY_SAMPLE}")
+          f"AS n_words FROM deduped ORDER BY source, doc_id LIMIT {FIRST_N}")
 def q_fertility_first_n(spark, sf_dir):
-    d = PK.first_n(deduped(spark, sf_dir), ["source", "doc_id"])
+    d = PK.first_n(deduped(spark, sf_dir), ["source", "doc_id"], FIRST_N)
     return d.select("source", "doc_id", T.word_count("text").cast("bigint").alias("n_words"))
 
 
@@ -555,15 +585,39 @@ PACK_SQL = (
     f"a[block * {TOY_BLOCK_LEN} + 1 : (block + 1) * {TOY_BLOCK_LEN}] AS labels FROM blk")
 
 
+def _packed(ids: DataFrame, batch_size: int, block_len: int) -> DataFrame:
+    """Blocks of (doc_id, input_ids) in shuffle order; the order key is a function of the id."""
+    pos = PK.dense_positions(ids.withColumn("_shuffle", PK.shuffle_key("doc_id")), ["_shuffle", "doc_id"])
+    return PK.pack_blocks(PK.worker_batches(pos, pos.count(), batch_size=batch_size, num_shards=1),
+                          block_len=block_len)
+
+
+def _toy_blocks(docs: DataFrame) -> DataFrame:
+    ids = docs.select("doc_id", F.transform(T.words("text"), lambda w: F.length(w)).alias("input_ids"))
+    return _packed(ids, TOY_BATCH, TOY_BLOCK_LEN)
+
+
 @register("pack_blocks", PACK_SQL)
 def q_pack_blocks(spark, sf_dir):
-    train, _ = split_docs(spark, sf_dir)
-    pos = PK.dense_positions(train.select("doc_id", "text", "_shuffle"), ["_shuffle", "doc_id"])
-    n = pos.count()
-    b = PK.worker_batches(pos, n, batch_size=TOY_BATCH, num_shards=1)
-    toy = b.select("shard", "batch", "position",
-                   F.transform(T.words("text"), lambda w: F.length(w)).alias("input_ids"))
-    return PK.pack_blocks(toy, block_len=TOY_BLOCK_LEN)
+    return _toy_blocks(split_docs(spark, sf_dir)[0])
+
+
+PACK_VAL_SQL = (PACK_SQL.replace("WHERE split = 'train'", "WHERE split = 'test'")
+                .replace("rn - (SELECT k FROM nt) - 1 AS p", "rn - 1 AS p"))
+
+
+@register("pack_blocks_val", PACK_VAL_SQL)
+def q_pack_blocks_val(spark, sf_dir):
+    return _toy_blocks(split_docs(spark, sf_dir)[1])
+
+
+@register("block_counts", "SELECT split, count(*) AS n_blocks, CAST(sum(len(input_ids)) AS BIGINT) AS n_ids FROM ("
+          f"SELECT 'train' AS split, input_ids FROM ({PACK_SQL}) UNION ALL "
+          f"SELECT 'test', input_ids FROM ({PACK_VAL_SQL})) GROUP BY split")
+def q_block_counts(spark, sf_dir):
+    train, test = split_docs(spark, sf_dir)
+    return G.block_counts(_toy_blocks(train).withColumn("split", F.lit("train")).unionByName(
+        _toy_blocks(test).withColumn("split", F.lit("test"))))
 
 
 # ===================================== tokenizer ======================================
@@ -573,15 +627,16 @@ from wordmill.operators import bpe as BP  # noqa: E402
 BPE_VOCAB = 500              # vocabulary size trained by the registered queries
 # ----------------------------------------------------------------------------------------
 
-_MODELS: dict[tuple, BP.BpeModel] = {}
-
-
 def bpe_model(spark, sf_dir, vocab_size: int = BPE_VOCAB) -> BP.BpeModel:
-    """Train once per (data set, size) in this process; the corpus is the deduped docs."""
-    k = (sf_dir, vocab_size)
-    if k not in _MODELS:
-        _MODELS[k] = BP.learn_bpe(BP.word_frequencies(deduped_stage(spark, sf_dir)), vocab_size)
-    return _MODELS[k]
+    """The model of the deduped docs: trained and saved (S9) once per state of ``documents``,
+    then loaded from the session's checkpoint folder."""
+    from wordmill.session import checkpoint_dir
+    from wordmill.sources import cache
+    state = cache.fingerprint(spark, [f"{sf_dir}/documents.parquet"])
+    path = f"{checkpoint_dir(spark)}/bpe-{vocab_size}-{state}"
+    if not all(cache._complete(spark, f"{path}/{part}") for part in ("vocab", "merges")):
+        BP.save_model(spark, BP.learn_bpe(BP.word_frequencies(deduped_stage(spark, sf_dir)), vocab_size), path)
+    return BP.load_model(spark, path)
 
 
 WF_SQL = (f"wf AS (SELECT word, count(*) AS freq FROM (SELECT unnest({O.pretokens_sql('text')}) "
@@ -654,8 +709,8 @@ def q_decode_tokens(spark, sf_dir):
 
 @register("fertility", None)
 def q_fertility(spark, sf_dir):
-    first = PK.first_n(deduped(spark, sf_dir), ["source", "doc_id"])
-    return BP.fertility(first, BP.doc_tokens(first, bpe_model(spark, sf_dir)))
+    docs = deduped_stage(spark, sf_dir)
+    return BP.fertility(docs, BP.doc_tokens(docs, bpe_model(spark, sf_dir)))
 
 
 @register("unk_rate", None)
@@ -704,9 +759,5 @@ def q_tokenizer_compare(spark, sf_dir):
 def q_pack_blocks_bpe(spark, sf_dir):
     """The source's training-set flow: split, BPE-tokenize, pack 512-id blocks per 1,000 docs."""
     train, _ = split_docs(spark, sf_dir)
-    train = PK.head_limit(train, PK.TRAIN_DOC_LIMIT)
     toks = BP.doc_tokens(train.select("doc_id", "text"), bpe_model(spark, sf_dir))
-    keyed = toks.join(train.select("doc_id", "_shuffle"), "doc_id")
-    pos = PK.dense_positions(keyed, ["_shuffle", "doc_id"])
-    b = PK.worker_batches(pos, pos.count(), batch_size=PK.PACK_BATCH, num_shards=1)
-    return PK.pack_blocks(b, block_len=PK.MAX_LENGTH)
+    return _packed(toks.select("doc_id", "input_ids"), PK.PACK_BATCH, PK.MAX_LENGTH)

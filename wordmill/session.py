@@ -54,6 +54,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to shared storage; a machine-local "
                                "folder does not survive executor loss")
         d = tempfile.mkdtemp(prefix="wordmill-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
+    return spark.sparkContext.getCheckpointDir()

@@ -24,9 +24,38 @@ def _complete(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """Digest of the names, sizes and modification times of the files below ``paths``."""
+    import hashlib
+    seen = []
+    for path in paths:
+        fs, p = _fs(spark, path)
+        todo = [fs.getFileStatus(p)]
+        while todo:
+            st = todo.pop()
+            if st.isDirectory():
+                todo += list(fs.listStatus(st.getPath()))
+            else:
+                seen.append(f"{st.getPath()}:{st.getLen()}:{st.getModificationTime()}")
+    return hashlib.md5("\n".join(sorted(seen)).encode()).hexdigest()
+
+
+def stage(spark: SparkSession, name: str, inputs: list[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """A Parquet table in the session's checkpoint folder, written once per state of its inputs.
+
+    Later passes read the columns they need; a changed input gives another table. The
+    folder belongs to the session, so a table never outlives the code that wrote it.
+    """
+    from wordmill.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark)}/stage-{name}-{fingerprint(spark, inputs)}"
+    if not _complete(spark, path):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def cache_key(model: str, tokenizer_tag: str, max_length: int, n_train: int, n_val: int) -> str:
     """Key of one prepared set: model, tokenizer tag, block length and doc counts."""
-    return f"{model}_{tokenizer_tag}_ml{max_length}_td{n_train}_vd{n_val}"
+    return f"{model}-{tokenizer_tag}-block{max_length}-train{n_train}-val{n_val}"
 
 
 def build_or_load(spark: SparkSession, root: str, key: str,

@@ -28,6 +28,7 @@ PARQUET_SOURCE_COLUMN = "Source"
 PARQUET_TEXT_DEFAULT = ""
 PARQUET_SOURCE_DEFAULT = "iriisnepal"
 NULL_AS_STRING = "None"      # str(None) of a present-but-null cell
+SPREAD_BYTES = 1 << 30       # scans above this are never repartitioned for parallelism
 # ----------------------------------------------------------------------------------------
 
 
@@ -121,19 +122,71 @@ def parquet_corpus(df: DataFrame, text_col: str = PARQUET_TEXT_COLUMN,
     return df.select(*keep, text.alias("text"), src.alias("source"))
 
 
+def shard_columns(spark: SparkSession, path: str) -> dict[str, frozenset[str] | str]:
+    """For every ``*.parquet`` shard of a folder its column names, or what is wrong with its footer.
+
+    Only footers are read, by a few driver threads through the Hadoop file system.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from py4j.protocol import Py4JJavaError
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    if not fs.exists(folder):
+        return {}
+    files = sorted((st.getPath() for st in fs.listStatus(folder)
+                    if st.isFile() and st.getPath().getName().endswith(".parquet")), key=lambda p: p.toString())
+
+    def columns(p):
+        try:
+            reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
+                jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(p, conf))
+            try:
+                return frozenset(f.getName() for f in reader.getFileMetaData().getSchema().getFields())
+            finally:
+                reader.close()
+        except Py4JJavaError as e:
+            return str(e.java_exception.getMessage()).splitlines()[0]
+
+    with ThreadPoolExecutor(8) as pool:
+        return dict(zip((p.toString() for p in files), pool.map(columns, files)))
+
+
+def shard_report(spark: SparkSession, path: str) -> DataFrame:
+    """One row per shard, ``status`` read or corrupt, or one row ``missing`` for the folder."""
+    rows = [(p, "corrupt" if isinstance(c, str) else "read", c if isinstance(c, str) else None)
+            for p, c in shard_columns(spark, path).items()]
+    return spark.createDataFrame(rows or [(path, "missing", "no shards found")],
+                                 "path string, status string, detail string")
+
+
 def read_parquet_shards(spark: SparkSession, path: str) -> DataFrame:
-    """S3: all ``*.parquet`` shards of a folder; corrupt shards are skipped."""
-    if not has_files(spark, path, ".parquet"):
-        return empty_corpus(spark)
-    df = (spark.read.option("ignoreCorruptFiles", "true")
-          .option("pathGlobFilter", "*.parquet").parquet(path))
-    df = df.select("*", F.col("_metadata.file_path").alias("_file"),
-                   F.col("_metadata.row_index").alias("_row"))
-    out = parquet_corpus(df, keep=("_file", "_row"))
-    return out.select("text", "source", F.struct(F.col("_file").alias("file"),
-                                                 F.lit(0).cast("bigint").alias("block"),
-                                                 F.col("_row").cast("bigint").alias("row"))
-                      .alias("ordinal"))
+    """S3: all ``*.parquet`` shards of a folder.
+
+    The column rules hold shard by shard: shards with the same columns are read together, so a
+    shard that lacks a column gets its default whatever the others have. Shards without a
+    readable footer are left out; ``shard_report`` lists them, and so does a warning. A page
+    that turns out to be corrupt while reading fails the job.
+    """
+    import warnings
+    groups: dict[frozenset[str], list[str]] = {}
+    for p, columns in shard_columns(spark, path).items():
+        if isinstance(columns, str):
+            warnings.warn(f"shard {p} is left out: {columns}", stacklevel=2)
+        else:
+            groups.setdefault(columns & {PARQUET_TEXT_COLUMN, PARQUET_SOURCE_COLUMN}, []).append(p)
+    out = empty_corpus(spark)
+    for columns, files in groups.items():
+        df = spark.read.option("mergeSchema", "false").parquet(*files)
+        df = df.select(*columns, F.col("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.row_index").alias("_row"))
+        part = parquet_corpus(df, keep=("_file", "_row"))
+        out = out.unionByName(part.select("text", "source", F.struct(
+            F.col("_file").alias("file"), F.lit(0).cast("bigint").alias("block"),
+            F.col("_row").cast("bigint").alias("row")).alias("ordinal")))
+    return out
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: TY.StructType = CLEANED_SCHEMA) -> DataFrame:
@@ -160,12 +213,14 @@ def ensure_parallelism(df: DataFrame, key: str | None = None,
     """Spread a scan that arrives in too few partitions over the cluster's cores.
 
     The per-document work (regexes, normalisation) is CPU-bound; a corpus stored
-    as one large row group would otherwise run in a single task. Large inputs
-    (many files/row groups) already have enough splits and pass through unchanged.
-    A hash partitioning on ``key`` (not round-robin) keeps retries deterministic.
+    as one large row group would otherwise run in a single task. Inputs of many files or
+    row groups have enough splits, and inputs over ``SPREAD_BYTES`` are never shuffled for
+    this: both pass through unchanged. Rows are the same either way. A hash partitioning
+    on ``key`` (not round-robin) keeps retries deterministic.
     """
     spark = df.sparkSession
     want = min_partitions or 2 * spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > SPREAD_BYTES or df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want, key) if key else df.repartition(want)

@@ -1,13 +1,16 @@
 """Incremental near-dedup (D8): new batches probe a stored table of kept buckets.
 
 Each micro-batch (Structured Streaming ``foreachBatch`` or a plain call):
-  1. signatures and LSH bands of the batch (same hash family as the batch job);
+  1. signatures and LSH buckets of the batch (same hash family as the batch job);
   2. documents sharing any bucket with an already kept document are duplicates
-     (left-semi join against the band table — no pairs, one equi-join);
+     (left-semi join against the bucket table — no pairs, one equi-join, hot buckets
+     salted);
   3. the rest run the greedy keep among themselves, in rank order;
-  4. bands of the newly kept documents are appended to the band table.
-The band table is Parquet on shared storage, so a restarted query resumes from
-it; the streaming checkpoint records which batches were committed.
+  4. buckets of the newly kept documents are stored.
+The bucket table is Parquet on shared storage, one folder per batch id. A batch only
+probes folders of smaller ids and overwrites its own folder and its own part of the
+sink, so a batch that is delivered again (``foreachBatch`` is at-least-once) gives the
+same state and the same sink.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordmill.operators import neardup as N
+from wordmill.operators import skew as S
 from wordmill.sources.readers import path_exists
 
 
@@ -23,35 +27,44 @@ class IncrementalNearDedup:
     def __init__(self, spark: SparkSession, state_dir: str, rank_col: str = "rank",
                  text_col: str = "text"):
         self.spark = spark
-        self.bands_path = f"{state_dir}/kept_bands"
+        self.state_path = f"{state_dir}/kept_buckets"
         self.rank_col = rank_col
         self.text_col = text_col
+        self.next_id = 0
 
-    def _kept_bands(self) -> DataFrame | None:
-        if not path_exists(self.spark, self.bands_path):
+    def _kept_before(self, batch_id: int) -> DataFrame | None:
+        """Buckets of the documents kept by earlier batches; kept documents share none."""
+        if not path_exists(self.spark, self.state_path):
             return None
-        return self.spark.read.schema("band int, key string").parquet(self.bands_path)
+        rows = self.spark.read.schema("band int, k1 long, k2 long, batch long").parquet(self.state_path)
+        return rows.where(F.col("batch") < batch_id).select(*N.BUCKET)
 
     def process(self, batch: DataFrame, batch_id: int | None = None) -> DataFrame:
-        """Kept rows of ``batch``; also records their buckets. Returns a materialised frame."""
-        r = self.rank_col
+        """Kept rows of ``batch``; also records their buckets under the batch id.
+
+        Without an id, batches count up from the last one this object has seen.
+        """
+        batch_id = self.next_id if batch_id is None else batch_id
+        self.next_id = max(self.next_id, batch_id + 1)
+        r, key = self.rank_col, list(N.BUCKET)
         bands = N.band_keys(N.signatures(batch, r, self.text_col), r)
         if r != "rank":
             bands = bands.withColumnRenamed(r, "rank")
-        prior = self._kept_bands()
+        B = N.buckets(bands)
+        prior = self._kept_before(batch_id)
         if prior is not None:
-            hit = bands.join(prior.select("band", "key"), ["band", "key"], "left_semi")
-            bands = bands.join(hit.select("rank").distinct(), "rank", "left_anti")
-        kept = N.greedy_keep(bands).checkpoint(eager=True)
-        new_bands = bands.join(kept, "rank", "left_semi").select("band", "key")
-        new_bands.write.mode("append").parquet(self.bands_path)
-        out = batch.join(kept.withColumnRenamed("rank", r), r, "left_semi")
-        return out
+            hot = S.hot_keys(B.groupBy(*key).agg(F.count("*").alias("n")), key).checkpoint(eager=True)
+            hit = S.salted_join(B, prior, key, "left_semi", hot, "rank")
+            B = B.join(hit.select("rank").distinct(), "rank", "left_anti").checkpoint(eager=True)
+        kept = N.greedy_keep_buckets(B).checkpoint(eager=True)
+        (B.join(kept, "rank", "left_semi").select(*key)
+         .write.mode("overwrite").parquet(f"{self.state_path}/batch={batch_id}"))
+        return batch.join(kept.withColumnRenamed("rank", r), r, "left_semi")
 
     def foreach_batch(self, sink_path: str):
-        """A ``foreachBatch`` function that appends kept rows to ``sink_path``."""
+        """A ``foreachBatch`` function that writes kept rows to ``sink_path/batch=<id>``."""
         def fn(df: DataFrame, batch_id: int) -> None:
-            self.process(df, batch_id).write.mode("append").parquet(sink_path)
+            self.process(df, batch_id).write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
         return fn
 
 

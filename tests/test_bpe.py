@@ -63,3 +63,55 @@ def test_unk_rate(spark):
     m = B.BpeModel({"<unk>": 0, "<s>": 1, "</s>": 2, "<pad>": 3, "a": 4})
     toks = spark.createDataFrame([([0, 4, 4, 4],)], "input_ids array<int>")
     assert B.unk_rate(toks, m).first()["unk_rate"] == 25.0
+
+
+def test_many_disjoint_pairs_train(spark):
+    """A batch of thousands of merges that share no symbol: as wide alphabets give."""
+    words = [(chr(0x4E00 + 2 * k) + chr(0x4E01 + 2 * k), 2 + k % 3) for k in range(2000)]
+    wf = spark.createDataFrame(words, "word string, freq long")
+    model = B.learn_bpe(wf, vocab_size=100_000)
+    assert len(model.merges) == 2000 and sorted(a + b for a, b in model.merges) == sorted(w for w, _ in words)
+
+
+def test_encode_word_equals_rescanning():
+    import random
+    rng = random.Random(9)
+    vocab = {c: i for i, c in enumerate("abc")}
+    table, rank = {}, 0
+    for _ in range(12):
+        names = list(vocab)
+        a, b = rng.choice(names), rng.choice(names)
+        if (vocab[a], vocab[b]) not in table:
+            table[vocab[a], vocab[b]] = (rank, vocab.setdefault(a + b, len(vocab)))
+            rank += 1
+
+    def plain(word):
+        ids = [vocab.get(c, 99) for c in word]
+        while True:
+            found = [(table[p][0], k) for k, p in enumerate(zip(ids, ids[1:])) if p in table]
+            if not found:
+                return ids
+            k = min(found)[1]
+            ids[k:k + 2] = [table[ids[k], ids[k + 1]][1]]
+    for n in range(200):
+        w = "".join(rng.choices("abcd", k=n % 40))
+        assert B.encode_word(w, vocab, table, 99) == plain(w)
+
+
+def test_doc_tokens_decode_round_trip(spark):
+    docs = spark.createDataFrame([(1, "low lower lowest"), (2, None), (3, ""), (4, "slow low")] * 2, "doc_id long, text string")
+    model = B.learn_bpe(B.word_frequencies(docs), vocab_size=40)
+    toks = B.doc_tokens(docs, model)
+    got = sorted((r.doc_id, r.text) for r in B.decode(toks, model).collect())
+    want = sorted((i, "".join(p)) for i, p in [(1, ["low", "lower", "lowest"]), (2, []), (3, []), (4, ["slow", "low"])] * 2)
+    assert got == want
+    words = {w: B.encode_word(w, model.vocab, model.merge_table(), 0) for w in ("low", "lower", "lowest", "slow")}
+    assert {r.doc_id: r.input_ids for r in toks.collect()}[4] == words["slow"] + words["low"]
+
+
+def test_model_artifact_round_trip(spark, tmp_dir):
+    wf = spark.createDataFrame([("banana", 3), ("bandana", 2)], "word string, freq long")
+    model = B.learn_bpe(wf, vocab_size=20)
+    B.save_model(spark, model, f"{tmp_dir}/m")
+    back = B.load_model(spark, f"{tmp_dir}/m")
+    assert back.vocab == model.vocab and back.merges == model.merges

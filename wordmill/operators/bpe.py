@@ -18,14 +18,18 @@ first pair failing the last two goes alone). Members' counts are untouched by ea
 other's merges; a pair created by the batch counts no more than some left-out pair
 (<= the first left-out count) and, on a tie, sorts after every member because it
 holds a symbol newer than all existing ones. So the whole prefix is merged in the
-order one-merge-per-round would pick it.
+order one-merge-per-round would pick it; a shorter prefix (``MAX_BATCH``) is as safe.
 """
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as TY
@@ -47,6 +51,7 @@ STRONG_GAIN = 0.85           # custom <= 0.85 x base tokens: strong signal
 SHIFT = 1 << 21              # symbols < 2**21; pair key = left * SHIFT + right
 NEW_BASE = 0x110000          # first symbol of a learned token
 TOP_K = 2000                 # ranked pairs fetched per round (bounded collect)
+MAX_BATCH = 128              # merges per round: they nest in one expression, whose depth must stay small
 CHECKPOINT_EVERY = 10        # cut the lineage of the word table every N rounds
 WORDS_PER_PARTITION = 100_000
 
@@ -136,6 +141,8 @@ def _choose_batch(ranked, sym_str, vocab, batched):
         members.append((l, r, n, s))
         used.update((l, r))
         new_strs.add(s)
+        if len(members) == MAX_BATCH:
+            break
     # Every member of the conflict-free prefix is safe: a pair created by the
     # batch counts at most as much as a left-out pair (<= cut), and on a tie it
     # sorts after every member because its new symbol is larger than all others.
@@ -359,19 +366,36 @@ class _ArrayState(_Rounds):
 
 # ----------------------------------------------------------------------------- encode
 def encode_word(word: str, vocab: dict[str, int], table: dict, unk_id: int) -> list[int]:
-    """K7: characters -> ids (unknown -> <unk>, not fused), then lowest-rank merges first."""
+    """K7: characters -> ids (unknown -> <unk>, not fused), then lowest-rank merges first.
+
+    Neighbours are linked and candidate merges wait in a heap by (rank, place), so a
+    word of n characters takes n log n steps.
+    """
     ids = [vocab.get(ch, unk_id) for ch in word]
-    while len(ids) > 1:
-        best = None
-        for k in range(len(ids) - 1):
-            m = table.get((ids[k], ids[k + 1]))
-            if m is not None and (best is None or m[0] < best[0]):
-                best = (m[0], m[1], k)
-        if best is None:
-            break
-        _, new, k = best
-        ids[k:k + 2] = [new]
-    return ids
+    n = len(ids)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = []
+
+    def offer(k: int) -> None:
+        if k >= 0 and after[k] < n:
+            m = table.get((ids[k], ids[after[k]]))
+            if m is not None:
+                heapq.heappush(heap, (m[0], k, ids[k], ids[after[k]], m[1]))
+
+    for k in range(n - 1):
+        offer(k)
+    while heap:
+        _, k, left, right, new = heapq.heappop(heap)
+        gone = after[k]
+        if ids[k] != left or gone >= n or ids[gone] != right:
+            continue  # one of the two has merged meanwhile
+        ids[k], ids[gone] = new, None
+        after[k] = after[gone]
+        if after[k] < n:
+            before[after[k]] = k
+        offer(before[k])
+        offer(k)
+    return [i for i in ids if i is not None]
 
 
 def _encoder(spark, model: BpeModel):
@@ -398,52 +422,52 @@ def doc_tokens(df: DataFrame, model: BpeModel, key: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """(key, input_ids) per document, no truncation, no padding.
 
-    The JVM pre-tokenizer splits the text; each task encodes its documents with a
-    memo of the words it has seen, so no shuffle is needed.
+    The JVM pre-tokenizer splits the text; tasks encode the distinct words of each Arrow
+    batch and put the documents together from them by index, so no shuffle and no loop
+    over tokens is needed.
     """
     bc = _encoder(df.sparkSession, model)
-    pre = df.select(key, T.pretokens(text_col).alias("_p"))
 
-    def run(it):
+    def run(batches):
         vocab, table, unk = bc.value
-        memo: dict[str, list[int]] = {}
-        for pdf in it:
-            out = []
-            for pieces in pdf["_p"]:
-                ids: list[int] = []
-                for w in pieces:
-                    e = memo.get(w)
-                    if e is None:
-                        e = encode_word(w, vocab, table, unk)
-                        if len(memo) < 1_000_000:
-                            memo[w] = e
-                    ids.extend(e)
-                out.append(ids)
-            yield pd.DataFrame({key: pdf[key], "input_ids": out})
-
-    key_type = df.schema[key].dataType
-    schema = TY.StructType([TY.StructField(key, key_type),
+        for batch in batches:
+            pieces = batch.column(1)
+            counts = pc.fill_null(pieces.value_lengths(), 0).to_numpy(zero_copy_only=False)
+            coded = pieces.flatten().dictionary_encode()
+            words = [encode_word(w, vocab, table, unk) for w in coded.dictionary.to_pylist()]
+            codes = coded.indices.to_numpy(zero_copy_only=False)
+            size = np.array([len(w) for w in words], np.int64)
+            store = np.array([i for w in words for i in w], np.int32)
+            begin = np.cumsum(size) - size
+            end = np.concatenate([[0], np.cumsum(size[codes])])
+            at = np.arange(end[-1]) + np.repeat(begin[codes] - end[:-1], size[codes])
+            doc = end[np.concatenate([[0], np.cumsum(counts)])]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(doc, pa.int32()), pa.array(store[at], pa.int32()))],
+                names=[key, "input_ids"])
+
+    schema = TY.StructType([TY.StructField(key, df.schema[key].dataType),
                             TY.StructField("input_ids", TY.ArrayType(TY.IntegerType()))])
-    return pre.mapInPandas(run, schema)
+    return df.select(key, T.pretokens(text_col).alias("_p")).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, model: BpeModel, ids_col: str = "input_ids",
            key: str = "doc_id", skip_special: bool = True) -> DataFrame:
     """K9: ids -> text (tokens joined, no word-end suffix; specials skipped)."""
-    id2tok = model.id_to_token
-    special_ids = {model.vocab[s] for s in SPECIALS if s in model.vocab}
-    bc = df.sparkSession.sparkContext.broadcast((id2tok, special_ids))
+    skipped = SPECIALS if skip_special else ()
+    bc = df.sparkSession.sparkContext.broadcast(["" if t in skipped else t for t in model.id_to_token])
 
-    def run(it):
-        toks, specials = bc.value
-        for pdf in it:
-            yield pd.DataFrame({key: pdf[key], "text": [
-                "".join(toks[i] for i in ids if not (skip_special and i in specials))
-                for ids in pdf[ids_col]]})
+    def run(batches):
+        tokens = pa.array(bc.value, pa.string())
+        for batch in batches:
+            ids = batch.column(1)
+            ends = np.cumsum(pc.fill_null(ids.value_lengths(), 0).to_numpy(zero_copy_only=False))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), tokens.take(ids.flatten()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pc.binary_join(lists, "")], names=[key, "text"])
 
     schema = TY.StructType([TY.StructField(key, df.schema[key].dataType),
                             TY.StructField("text", TY.StringType())])
-    return df.select(key, ids_col).mapInPandas(run, schema)
+    return df.select(key, ids_col).mapInArrow(run, schema)
 
 
 def vocab_frame(spark, model: BpeModel) -> DataFrame:

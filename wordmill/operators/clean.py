@@ -72,18 +72,20 @@ def exact_dedup(df: DataFrame, scope: tuple[str, ...] = ("corpus",),
                       *[F.col("_w." + c).alias(c) for c in rest])
 
 
-def clean_funnel(df: DataFrame, text_col: str = "text", corpus_col: str = "corpus",
+def clean_funnel(df: DataFrame, text_col: str = "text", corpus_col: str | tuple[str, ...] = "corpus",
                  block: str = P.DEVANAGARI, threshold: float = SCRIPT_THRESHOLD) -> DataFrame:
-    """per corpus, input rows, rejects per reason, duplicates, kept.
+    """per corpus (or corpus and shard: several columns), input rows, rejects per reason,
+    duplicates, kept.
 
     Two aggregates, both partial-combined: (corpus, reason, hash) -> count,
     then per corpus. Duplicates = passed - distinct hashes.
     """
-    ann = annotate(df, text_col, (corpus_col,), block, threshold)
-    keyed = ann.select(corpus_col, "reject_reason",
+    level = (corpus_col,) if isinstance(corpus_col, str) else tuple(corpus_col)
+    ann = annotate(df, text_col, level, block, threshold)
+    keyed = ann.select(*level, "reject_reason",
                        F.when(F.col("reject_reason").isNull(),
                               T.content_hash(T.scrub_pii("_t"))).alias("hash"))
-    lvl1 = keyed.groupBy(corpus_col, "reject_reason", "hash").agg(F.count("*").alias("n"))
+    lvl1 = keyed.groupBy(*level, "reject_reason", "hash").agg(F.count("*").alias("n"))
     from wordmill.operators.filters import REASONS
     aggs = [F.sum("n").alias("n_input")]
     for r in REASONS:
@@ -92,5 +94,5 @@ def clean_funnel(df: DataFrame, text_col: str = "text", corpus_col: str = "corpu
     aggs.append(F.count_if(F.col("reject_reason").isNull()).alias("n_kept"))
     aggs.append(F.coalesce(F.sum(F.when(F.col("reject_reason").isNull(), F.col("n") - 1)),
                            F.lit(0)).alias("n_duplicate"))
-    out = lvl1.groupBy(corpus_col).agg(*aggs)
+    out = lvl1.groupBy(*level).agg(*aggs)
     return out.withColumn("n_skipped", F.col("n_input") - F.col("n_kept"))

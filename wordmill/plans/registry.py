@@ -298,6 +298,21 @@ def q_clean_funnel(spark, sf_dir):
     return C.clean_funnel(documents(spark, sf_dir), corpus_col="source", block=CORPUS_BLOCK)
 
 
+def _shard() -> F.Column:
+    """The part of the corpus a row stands for in the per-shard funnel: seven shards by id."""
+    return F.pmod(F.col("doc_id"), F.lit(7)).alias("shard")
+
+
+@register("clean_funnel_shards", _FUNNEL_SQL.replace("SELECT a.source, a.reject_reason", "SELECT a.source, a.doc_id % 7 AS shard, a.reject_reason")
+          .replace("SELECT source, reject_reason, hash, count(*)", "SELECT source, shard, reject_reason, hash, count(*)")
+          .replace("SELECT source, CAST(sum(n)", "SELECT source, shard, CAST(sum(n)")
+          .replace("GROUP BY source", "GROUP BY source, shard"))
+def q_clean_funnel_shards(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("*", _shard())
+    return C.clean_funnel(docs, corpus_col=("source", "shard"), block=CORPUS_BLOCK)
+
+
+
 # ===================================== exact dedup ====================================
 @register("exact_dedup", f"WITH {DEDUP_CTE} SELECT source, hash, doc_id, text FROM deduped")
 def q_exact_dedup(spark, sf_dir):
@@ -732,6 +747,30 @@ def q_avg_tokens(spark, sf_dir):
     return BP.avg_tokens(table(spark, sf_dir, "benchmark"), BP.simple_token_counts())
 
 
+@register("token_lengths", "SELECT item_id, " + ", ".join(
+    f"{e} AS {n}" for n, e in _simple_counts_sql("text").items()) + " FROM benchmark")
+def q_token_lengths(spark, sf_dir):
+    """K12's list: the token count of every text under each tokenizer."""
+    counts = BP.simple_token_counts()
+    return table(spark, sf_dir, "benchmark").select("item_id", *[c.alias(n) for n, c in counts.items()])
+
+
+@register("token_reduction_bpe", None)
+def q_token_reduction_bpe(spark, sf_dir):
+    """K14 + K15 on the learned vocabulary: bytes against its tokens, with the measured unknown rate."""
+    model = bpe_model(spark, sf_dir)
+    docs = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    toks = BP.doc_tokens(docs, model)
+    unk = model.vocab[BP.UNK]
+    per = toks.select("doc_id", F.size("input_ids").alias("n"), F.size(F.filter("input_ids", lambda x: x == unk)).alias("u"))
+    a = docs.join(per, "doc_id").agg(
+        (F.sum(F.octet_length("text")) / F.greatest(F.lit(1), F.count("*"))).alias("base_avg"),
+        (F.sum("n") / F.greatest(F.lit(1), F.count("*"))).alias("custom_avg"),
+        (F.coalesce(F.sum("u"), F.lit(0)) * 100.0 / F.greatest(F.lit(1), F.coalesce(F.sum("n"), F.lit(0)))).alias("unk_pct"))
+    red, sig = BP.token_reduction(F.col("base_avg"), F.col("custom_avg"), F.col("unk_pct"))
+    return a.select("base_avg", "custom_avg", "unk_pct", red.alias("reduction_pct"), sig.alias("signal"))
+
+
 @register("token_reduction", "SELECT avg_bytes AS base_avg, avg_pretokens AS custom_avg, "
           "(avg_bytes - avg_pretokens) / greatest(avg_bytes, 1e-9) * 100.0 AS reduction_pct, "
           f"CASE WHEN 0.0 > {BP.UNK_WARN_PCT} THEN 'warning_high_unk' WHEN avg_pretokens <= "

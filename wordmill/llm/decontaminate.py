@@ -102,7 +102,7 @@ def _segment(seg: int, ids: pa.Array, texts: pa.Array) -> Iterator[pa.RecordBatc
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                segment_bytes: int = 16 << 20) -> Index:
+                segment_bytes: int = 8 << 20) -> Index:
     """Tokenise once and store the positional postings, one segment after the other."""
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -113,6 +113,16 @@ def q_src_parquet(spark, sf_dir):
                           keep=("doc_id",))
 
 
+@register("src_parquet_nulls", "SELECT doc_id, CASE WHEN lang = 'fr' THEN 'None' ELSE text END AS text, "
+          "'iriisnepal' AS source FROM documents")
+def q_src_parquet_nulls(spark, sf_dir):
+    """S3 where the rules bite: null cells become 'None', the missing column takes its default."""
+    from wordmill.sources.readers import parquet_corpus
+    d = documents(spark, sf_dir)
+    d = d.select("doc_id", F.when(F.col("lang") != "fr", F.col("text")).alias("Article"))
+    return parquet_corpus(d, keep=("doc_id",))
+
+
 @register("src_lines",
           "SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, "
           f"{O.strip_sql('line0')} AS line FROM (SELECT doc_id, "
@@ -131,6 +141,45 @@ def q_norm_nfc(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", T.nfc("text").alias("text"))
 
 
+# Fixture transforms: letters with accents taken apart, long runs of line feeds, exotic spaces.
+DECOMPOSED = {"é": "e\u0301", "è": "e\u0300", "ê": "e\u0302", "ñ": "n\u0303", "ü": "u\u0308", "ó": "o\u0301"}
+EXOTIC = "\u3000\u2003\x1f"
+
+
+def _decomposed(c: F.Column) -> F.Column:
+    for whole, parts in DECOMPOSED.items():
+        c = F.replace(c, F.lit(whole), F.lit(parts))
+    return c
+
+
+def _nested_replace(x: str, pairs: dict[str, str]) -> str:
+    for a, b in pairs.items():
+        x = f"replace({x}, {O.q(a)}, {O.q(b)})"
+    return x
+
+
+@register("norm_nfc_decomposed", f"SELECT doc_id, nfc_normalize({_nested_replace('text', DECOMPOSED)}) AS text, "
+          f"{_nested_replace('text', DECOMPOSED)} <> text AS changed FROM documents")
+def q_norm_nfc_decomposed(spark, sf_dir):
+    """T1 on texts whose accents were taken apart."""
+    d = documents(spark, sf_dir).select("doc_id", "text", _decomposed(F.col("text")).alias("apart"))
+    return d.select("doc_id", T.nfc("apart").alias("text"), (F.col("apart") != F.col("text")).alias("changed"))
+
+
+_RUNS = {". ": ".\n\n\n\n\n", ", ": ", \t\t "}
+_RUNS_SQL = f"{O.q(EXOTIC)} || {_nested_replace('text', _RUNS)} || {O.q(EXOTIC)}"
+
+
+@register("collapse_ws_runs", f"SELECT doc_id, {O.normalize_sql(_RUNS_SQL, apply_nfc=False)} AS text FROM documents")
+def q_collapse_ws_runs(spark, sf_dir):
+    """T4 and T5 on texts with runs of line feeds and tabs between exotic spaces."""
+    c = F.col("text")
+    for a, b in _RUNS.items():
+        c = F.replace(c, F.lit(a), F.lit(b))
+    d = documents(spark, sf_dir).select("doc_id", F.concat(F.lit(EXOTIC), c, F.lit(EXOTIC)).alias("t"))
+    return d.select("doc_id", T.normalize_text("t", apply_nfc=False).alias("text"))
+
+
 @register("strip_html", f"SELECT page_id, regexp_replace(html, {O.q(P.TAG)}, ' ', 'g') AS text "
           "FROM pages")
 def q_strip_html(spark, sf_dir):
@@ -264,6 +313,16 @@ def q_filter_letter_density(spark, sf_dir):
     return _norm_docs(spark, sf_dir).where(FL.passes_letter_density(F.col("t"))).select("doc_id")
 
 
+@register("filter_letter_density_sparse",
+          f"SELECT doc_id, {O.letters_sql('t')} / greatest(length(t), 1) >= {FL.MIN_LETTER_DENSITY} AS passes FROM ("
+          "SELECT doc_id, translate(t, 'aeiounrst', '123456789') AS t "
+          f"FROM ({NORM_DOCS_SQL}))")
+def q_filter_letter_density_sparse(spark, sf_dir):
+    """F4 on texts most of whose letters became digits: many fail."""
+    d = _norm_docs(spark, sf_dir).select("doc_id", F.translate("t", "aeiounrst", "123456789").alias("t"))
+    return d.select("doc_id", FL.passes_letter_density(F.col("t")).alias("passes"))
+
+
 @register("clean_documents", f"WITH {CLEAN_CTE} SELECT doc_id, source, text, hash FROM cleaned")
 def q_clean_documents(spark, sf_dir):
     return cleaned(spark, sf_dir)

@@ -137,3 +137,56 @@ def pretokens_sql(x: str) -> str:
 
 def chars_sql(x: str) -> str:
     return f"regexp_extract_all({x}, '(?s).')"
+
+
+# ------------------------------------------------------------------ trained tokenizer
+def bpe_ctes(train: str, others: tuple[str, ...], vocab_size: int, min_frequency: int, specials: int) -> str:
+    """CTEs that learn the merges of ``train`` one at a time and encode all words on the way.
+
+    ``others`` name tables whose words are encoded too, but not counted. A word is a string
+    of symbols; a learned symbol is a private-use character, numbered by creation, so the
+    smallest of equally frequent pairs is the smallest string. Each step merges the best
+    pair in all words; the last state of a word is its encoding. Afterwards: ``merged``
+    (rank, l, r), ``token`` (sym, str, id) and ``coded`` (word, freq, ids, n).
+    """
+    words = " UNION ALL ".join(f"SELECT unnest({pretokens_sql('text')}) AS word, {int(k == 0)} AS f FROM {t}"
+                               for k, t in enumerate((train, *others)))
+
+    def expand(c: str) -> str:
+        return f"coalesce((SELECT max(str) FROM known WHERE sym = {c}), {c})"
+    return f"""bwf AS (SELECT word, sum(f)::BIGINT AS freq FROM ({words}) GROUP BY word),
+balpha AS (SELECT ch, {specials} - 1 + row_number() OVER (ORDER BY ch) AS id
+           FROM (SELECT DISTINCT unnest({chars_sql('word')}) AS ch FROM bwf WHERE freq > 0)),
+bpe(id, s, freq, sym, str, n) USING KEY (id) AS (
+  SELECT row_number() OVER (ORDER BY word), word, freq, NULL::VARCHAR, word, {specials} + (SELECT count(*) FROM balpha)
+  FROM bwf
+  UNION
+  (WITH best AS MATERIALIZED (
+     SELECT p, sum(freq) AS c, any_value(n) AS n FROM (
+       SELECT substr(s, i, 2) AS p, freq, n FROM (
+         SELECT s, freq, n, unnest(range(1, length(s))) AS i FROM bpe WHERE id > 0 AND freq > 0 AND n < {vocab_size}))
+     GROUP BY p HAVING sum(freq) >= {min_frequency} ORDER BY c DESC, p LIMIT 1),
+   known AS MATERIALIZED (SELECT sym, str FROM recurring.bpe WHERE id < 0),
+   made AS MATERIALIZED (
+     SELECT p, n, (SELECT count(*) FROM known) AS m, (SELECT count(DISTINCT sym) FROM known) AS k,
+            {expand('substr(p, 1, 1)')} || {expand('substr(p, 2, 1)')} AS str FROM best),
+   step AS MATERIALIZED (
+     SELECT p, m, str, coalesce((SELECT max(sym) FROM known WHERE known.str = made.str), chr((983040 + k)::INT)) AS sym,
+            n + CASE WHEN made.str IN (SELECT str FROM known) THEN 0 ELSE 1 END AS n FROM made)
+   SELECT b.id, replace(b.s, x.p, x.sym), b.freq, NULL, b.str, x.n FROM bpe b, step x WHERE b.id > 0
+   UNION ALL SELECT -(m + 1), p, 0, sym, str, n FROM step)),
+token AS (SELECT ch AS sym, ch AS str, id FROM balpha
+          UNION ALL SELECT sym, any_value(str), min(n) - 1 FROM bpe WHERE id < 0 GROUP BY sym),
+merged AS (SELECT (-b.id - 1)::INTEGER AS rank, l.str AS "left", r.str AS "right" FROM bpe b
+           JOIN token l ON l.sym = substr(b.s, 1, 1) JOIN token r ON r.sym = substr(b.s, 2, 1) WHERE b.id < 0),
+coded AS (SELECT any_value(word) AS word, any_value(freq) AS freq, list(coalesce(t.id, 0)::INTEGER ORDER BY i) AS ids
+          FROM (SELECT id AS k, str AS word, freq, s, unnest(range(1, length(s) + 1)) AS i FROM bpe WHERE id > 0) w
+          LEFT JOIN token t ON t.sym = substr(s, i, 1) GROUP BY k)"""
+
+
+def bpe_docs_sql(src: str, key: str) -> str:
+    """(key, input_ids) of the texts of ``src`` from ``coded``."""
+    return (f"SELECT d.{key}, coalesce(flatten(list(c.ids ORDER BY d.i) FILTER (c.ids IS NOT NULL)), []::INTEGER[]) AS input_ids FROM ("
+            f"SELECT {key}, unnest(CASE WHEN len(w) > 0 THEN w ELSE [NULL] END) AS word, "
+            f"unnest(range(1, greatest(len(w), 1) + 1)) AS i FROM (SELECT {key}, {pretokens_sql('text')} AS w FROM {src})) d "
+            f"LEFT JOIN coded c ON c.word = d.word GROUP BY d.{key}")

@@ -671,6 +671,13 @@ def _toy_blocks(docs: DataFrame) -> DataFrame:
     return _packed(ids, TOY_BATCH, TOY_BLOCK_LEN)
 
 
+PACK_IDS_SQL = (
+    f"SELECT CAST(0 AS BIGINT) AS shard, batch, block, a[block * {PK.MAX_LENGTH} + 1 : "
+    f"(block + 1) * {PK.MAX_LENGTH}] AS input_ids, "
+    f"list_transform(range({PK.MAX_LENGTH}), lambda x: 1::INTEGER) AS attention_mask, "
+    f"a[block * {PK.MAX_LENGTH} + 1 : (block + 1) * {PK.MAX_LENGTH}] AS labels FROM blk")
+
+
 @register("pack_blocks", PACK_SQL)
 def q_pack_blocks(spark, sf_dir):
     return _toy_blocks(split_docs(spark, sf_dir)[0])
@@ -750,17 +757,26 @@ def q_pair_freq(spark, sf_dir):
     return BP.pair_frequencies(BP.word_frequencies(documents(spark, sf_dir)))
 
 
-@register("bpe_merges", None)
+def _bpe_sql(select: str, more: str = "") -> str:
+    ctes = O.bpe_ctes("deduped", ("benchmark",), BPE_VOCAB, BP.MIN_FREQUENCY, len(BP.SPECIALS))
+    return f"WITH RECURSIVE {DEDUP_CTE},\n{ctes},\ndt AS ({O.bpe_docs_sql('deduped', 'doc_id')}){more}\n{select}"
+
+
+_SPECIAL_ROWS = ", ".join(f"({O.q(t)}, {i})" for i, t in enumerate(BP.SPECIALS))
+
+
+@register("bpe_merges", _bpe_sql('SELECT rank, "left", "right" FROM merged'))
 def q_bpe_merges(spark, sf_dir):
     return BP.merges_frame(spark, bpe_model(spark, sf_dir))
 
 
-@register("vocab", None)
+@register("vocab", _bpe_sql(f"SELECT token, id::INTEGER AS id FROM (VALUES {_SPECIAL_ROWS}) AS s(token, id) "
+                           "UNION ALL SELECT str, id::INTEGER FROM token"))
 def q_vocab(spark, sf_dir):
     return BP.vocab_frame(spark, bpe_model(spark, sf_dir))
 
 
-@register("encode_words", None)
+@register("encode_words", _bpe_sql("SELECT word, ids FROM coded WHERE freq > 0"))
 def q_encode_words(spark, sf_dir):
     m = bpe_model(spark, sf_dir)
     return BP.encode_words(BP.word_frequencies(deduped(spark, sf_dir)).select("word"), m)
@@ -770,24 +786,37 @@ def _doc_tokens(spark, sf_dir):
     return BP.doc_tokens(deduped(spark, sf_dir), bpe_model(spark, sf_dir))
 
 
-@register("doc_tokens", None)
+@register("doc_tokens", _bpe_sql("SELECT doc_id, len(input_ids)::BIGINT AS n_tokens, input_ids FROM dt"))
 def q_doc_tokens(spark, sf_dir):
     t = _doc_tokens(spark, sf_dir)
     return t.select("doc_id", F.size("input_ids").cast("bigint").alias("n_tokens"), "input_ids")
 
 
-@register("decode_tokens", None)
+@register("decode_tokens", _bpe_sql(
+    "SELECT doc_id, coalesce(string_agg(t.str, '' ORDER BY i), '') AS text FROM (SELECT doc_id, "
+    "unnest(CASE WHEN len(input_ids) > 0 THEN input_ids ELSE [NULL] END) AS id, "
+    "unnest(range(1, greatest(len(input_ids), 1) + 1)) AS i FROM dt) d LEFT JOIN token t ON t.id = d.id GROUP BY doc_id"))
 def q_decode_tokens(spark, sf_dir):
     return BP.decode(_doc_tokens(spark, sf_dir), bpe_model(spark, sf_dir))
 
 
-@register("fertility", None)
+@register("fertility", _bpe_sql(
+    "SELECT total_words, total_tokens, total_tokens / total_words AS fertility, "
+    f"CASE WHEN total_tokens / total_words <= {BP.FERTILITY_EXCELLENT} THEN 'EXCELLENT' "
+    f"WHEN total_tokens / total_words <= {BP.FERTILITY_GOOD} THEN 'GOOD' ELSE 'HIGH' END AS grade FROM ("
+    f"SELECT (SELECT sum(len({O.words_sql('text')}))::BIGINT FROM deduped) AS total_words, "
+    "(SELECT sum(len(input_ids))::BIGINT FROM dt) AS total_tokens)"))
 def q_fertility(spark, sf_dir):
     docs = deduped_stage(spark, sf_dir)
     return BP.fertility(docs, BP.doc_tokens(docs, bpe_model(spark, sf_dir)))
 
 
-@register("unk_rate", None)
+BENCH_IDS = f", bt AS ({O.bpe_docs_sql('benchmark', 'item_id')})"
+
+
+@register("unk_rate", _bpe_sql(
+    "SELECT coalesce(sum(len(list_filter(input_ids, lambda x: x = 0))), 0) * 100.0::DOUBLE "
+    "/ greatest(1, coalesce(sum(len(input_ids)), 0)) AS unk_rate FROM bt", BENCH_IDS))
 def q_unk_rate(spark, sf_dir):
     b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     return BP.unk_rate(BP.doc_tokens(b, bpe_model(spark, sf_dir)), bpe_model(spark, sf_dir))
@@ -814,7 +843,13 @@ def q_token_lengths(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select("item_id", *[c.alias(n) for n, c in counts.items()])
 
 
-@register("token_reduction_bpe", None)
+@register("token_reduction_bpe", _bpe_sql(
+    "SELECT base_avg, custom_avg, unk_pct, (base_avg - custom_avg) / greatest(base_avg, 1e-9) * 100.0 AS reduction_pct, "
+    f"CASE WHEN unk_pct > {BP.UNK_WARN_PCT} THEN 'warning_high_unk' WHEN custom_avg <= base_avg * {BP.STRONG_GAIN} "
+    "THEN 'strong' ELSE 'small' END AS signal FROM (SELECT sum(strlen(text)) / greatest(1, count(*)) AS base_avg, "
+    "sum(len(input_ids)) / greatest(1, count(*)) AS custom_avg, "
+    "sum(len(list_filter(input_ids, lambda x: x = 0))) * 100.0::DOUBLE / greatest(1, sum(len(input_ids))) AS unk_pct "
+    "FROM benchmark JOIN bt USING (item_id))", BENCH_IDS))
 def q_token_reduction_bpe(spark, sf_dir):
     """K14 + K15 on the learned vocabulary: bytes against its tokens, with the measured unknown rate."""
     model = bpe_model(spark, sf_dir)
@@ -853,7 +888,12 @@ def q_tokenizer_compare(spark, sf_dir):
     return BP.compare_tokenizers(b, BP.simple_token_counts(), "pretokens")
 
 
-@register("pack_blocks_bpe", None)
+@register("pack_blocks_bpe", _bpe_sql(PACK_IDS_SQL, f""",
+{SPLIT_SQL},
+train AS (SELECT doc_id, rn - (SELECT k FROM nt) - 1 AS p FROM labelled WHERE split = 'train'),
+flat AS (SELECT p // {PK.PACK_BATCH} AS batch, flatten(list(input_ids ORDER BY p)) AS a
+         FROM train JOIN dt USING (doc_id) GROUP BY batch),
+blk AS (SELECT batch, a, unnest(generate_series(0, len(a) // {PK.MAX_LENGTH} - 1)) AS block FROM flat)"""))
 def q_pack_blocks_bpe(spark, sf_dir):
     """The source's training-set flow: split, BPE-tokenize, pack 512-id blocks per 1,000 docs."""
     train, _ = split_docs(spark, sf_dir)

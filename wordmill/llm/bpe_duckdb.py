@@ -58,15 +58,17 @@ SELECT (id >> 32)::INT AS word, (id & 4294967295)::INT AS pos, tok FROM state WH
 """
 
 #: The same for long words: all places of the word's smallest pair; of places that overlap
-#: (runs of one token) every second one, from the left.
+#: (runs of one token) every second one, from the left. The keyed recursion keeps one row a
+#: place, and a step returns the changed places only, so memory stays linear in the word.
 ENCODE_LONG = """
-WITH RECURSIVE state(id, tok, live) AS (
-  SELECT (word::BIGINT << 32) | pos, tok, true FROM start
-  UNION ALL
-  (WITH pairs AS MATERIALIZED (
+WITH RECURSIVE state(id, tok) USING KEY (id) AS (
+  SELECT (word::BIGINT << 32) | pos, tok FROM start
+  UNION
+  (WITH touched AS MATERIALIZED (SELECT DISTINCT id >> 32 AS word FROM state),
+   pairs AS MATERIALIZED (
      SELECT id, tok, row_number() OVER (ORDER BY id) AS k,
             lead(id) OVER (ORDER BY id) AS next_id, lead(tok) OVER (ORDER BY id) AS next_tok
-     FROM state WHERE live),
+     FROM recurring.state WHERE tok IS NOT NULL AND id >> 32 IN (SELECT word FROM touched)),
    merging AS MATERIALIZED (
      SELECT p.id, p.k, p.next_id, m.merged, min(m.merged) OVER (PARTITION BY p.id >> 32) AS least
      FROM pairs p JOIN merges m ON m.l = p.tok AND m.r = p.next_tok
@@ -75,13 +77,10 @@ WITH RECURSIVE state(id, tok, live) AS (
      SELECT *, k - row_number() OVER (PARTITION BY id >> 32 ORDER BY k) AS run FROM merging WHERE merged = least),
    taken AS MATERIALIZED (
      SELECT id, next_id, merged
-     FROM (SELECT *, row_number() OVER (PARTITION BY id >> 32, run ORDER BY k) AS nth FROM runs) WHERE nth % 2 = 1),
-   words AS MATERIALIZED (SELECT DISTINCT id >> 32 AS word FROM taken)
-   SELECT p.id, coalesce(t.merged, p.tok), w.word IS NOT NULL
-   FROM pairs p LEFT JOIN taken t ON t.id = p.id LEFT JOIN words w ON w.word = p.id >> 32
-   WHERE NOT EXISTS (SELECT 1 FROM taken g WHERE g.next_id = p.id))
+     FROM (SELECT *, row_number() OVER (PARTITION BY id >> 32, run ORDER BY k) AS nth FROM runs) WHERE nth % 2 = 1)
+   SELECT id, merged FROM taken UNION ALL SELECT next_id, NULL FROM taken)
 )
-SELECT (id >> 32)::INT AS word, (id & 4294967295)::INT AS pos, tok FROM state WHERE NOT live
+SELECT (id >> 32)::INT AS word, (id & 4294967295)::INT AS pos, tok FROM state WHERE tok IS NOT NULL
 """
 
 DECODE = """

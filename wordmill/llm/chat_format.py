@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordmill.llm.pretokens import bounds, rank_file
+
 TURN, END = "<|turn|>", "<|end|>"
 _TURNS = re.compile(re.escape(TURN) + r"([^\n]*)\n(.*?)" + re.escape(END), re.S)
 _ESCAPED = re.compile(r"\\(.)", re.S)
@@ -50,13 +52,27 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(lambda m: "\n" if m[1] == "n" else m[1], text)
 
 
-def load_tokenizer(path: str):
-    """The public tokenizer with the two markers added; offsets keep leading spaces."""
-    from tokenizers import AddedToken, Tokenizer, processors
-    tok = Tokenizer.from_file(path)
-    tok.post_processor = processors.ByteLevel(trim_offsets=False)
-    tok.add_special_tokens([AddedToken(TURN, normalized=False), AddedToken(END, normalized=False)])
-    return tok
+class Tokenizer:
+    """A public rank file with the two markers as single tokens, and the offsets of its tokens."""
+
+    def __init__(self, path: str, pattern: str):
+        import tiktoken
+        ranks = rank_file(path)
+        first = max(ranks.values()) + 1
+        self.encoding = tiktoken.Encoding("chat", pat_str=pattern, mergeable_ranks=ranks,
+                                          special_tokens={TURN: first, END: first + 1})
+        self.size = np.zeros(first + 2, np.int64)
+        self.size[list(ranks.values())] = [len(t) for t in ranks]
+        self.size[first:] = len(TURN), len(END)
+
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first characters, end characters); tokens of one character's bytes share its place."""
+        ids = np.array(self.encoding.encode(text, allowed_special="all", disallowed_special=()), np.int64)
+        lead = (np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80
+        chars = np.zeros(len(lead) + 1, np.int32)
+        np.cumsum(lead, out=chars[1:])
+        end = np.cumsum(self.size[ids])
+        return ids.astype(np.int32), chars[end - self.size[ids] + 1] - 1, chars[end]
 
 
 def render(turns: list[tuple[str, str]], trained: frozenset[str]) -> tuple[str, np.ndarray]:
@@ -80,27 +96,26 @@ def loss_mask(spans: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return inside & (spans[np.minimum(k, len(spans) - 1), 0] < ends)
 
 
-def format_conversations(conversations: DataFrame, tokenizer_path: str, trained=("assistant",),
+def format_conversations(conversations: DataFrame, rank_path: str, pattern: str, trained=("assistant",),
                          part_chars: int = 1 << 20) -> DataFrame:
     """Rows of :data:`FORMATTED`: the parts of each conversation in order, within a partition."""
     trained = frozenset(trained)
 
     def parts(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = load_tokenizer(tokenizer_path)
+        encode = Tokenizer(rank_path, pattern)
         schema = pa.schema([("conv_id", pa.int64()), ("part", pa.int32()), ("formatted", pa.string()),
                             ("token_ids", pa.list_(pa.int32())), ("token_starts", pa.list_(pa.int32())),
                             ("token_ends", pa.list_(pa.int32())), ("loss_mask", pa.list_(pa.bool_()))])
 
         def encoded(found: list[tuple]) -> pa.RecordBatch:
-            out = []
             drawn = [render(turns, trained) for _, _, turns in found]
-            for (conv, part, _), (text, spans), e in zip(
-                    found, drawn, tok.encode_batch([t for t, _ in drawn], add_special_tokens=False)):
-                off = np.array(e.offsets, np.int32).reshape(-1, 2)
-                mask = loss_mask(spans, off[:, 0], off[:, 1])
-                out.append((conv, part, text, e.ids, off[:, 0], off[:, 1], mask))
+            coded = [encode(text) for text, _ in drawn]
+            masks = [loss_mask(spans, start, end) for (_, spans), (_, start, end) in zip(drawn, coded)]
+            at = pa.array(bounds(np.array([len(c[0]) for c in coded])).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(at, pa.array(np.concatenate(c))) for c in (*zip(*coded), masks)]
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
+                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32()),
+                 pa.array([text for text, _ in drawn], pa.string()), *lists], schema=schema)
 
         nothing = object()
         conv, part, turns, size = nothing, 0, [], 0

@@ -254,5 +254,6 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
                                   "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return (read_back(format_conversations(rows, public_tokenizers.path("byte_bpe_50k.json")))
+    return (read_back(format_conversations(rows, public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                           public_tokenizers.PATTERN))
             .drop("n_tokens", "n_loss_tokens"))

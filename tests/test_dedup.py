@@ -179,3 +179,13 @@ def test_winners_with_null_scope(spark):
                                "corpus string, ordinal long, text string, hash string")
     got = {(r.corpus, r.ordinal) for r in C.exact_dedup(df, strategy="winners").collect()}
     assert got == {(None, 1), ("c", 3)}
+
+
+def test_incremental_goes_on_from_stored_state(spark, tmp_dir):
+    from wordmill.streaming.incremental_neardup import IncrementalNearDedup
+    text = "one two three four five six seven"
+    first = spark.createDataFrame([(1, text)], "rank long, text string")
+    second = spark.createDataFrame([(2, text), (3, "another text of more than five words")], "rank long, text string")
+    assert IncrementalNearDedup(spark, tmp_dir).process(first).count() == 1
+    again = IncrementalNearDedup(spark, tmp_dir)  # a new object over the same state
+    assert [r["rank"] for r in again.process(second).collect()] == [3]

@@ -32,19 +32,28 @@ class IncrementalNearDedup:
         self.text_col = text_col
         self.next_id = 0
 
-    def _kept_before(self, batch_id: int) -> DataFrame | None:
-        """Buckets of the documents kept by earlier batches; kept documents share none."""
+    def _buckets(self) -> DataFrame | None:
         if not path_exists(self.spark, self.state_path):
             return None
-        rows = self.spark.read.schema("band int, k1 long, k2 long, batch long").parquet(self.state_path)
-        return rows.where(F.col("batch") < batch_id).select(*N.BUCKET)
+        return self.spark.read.schema("band int, k1 long, k2 long, batch long").parquet(self.state_path)
+
+    def _free_id(self) -> int:
+        """The first id after all batches that this object has seen or the state holds."""
+        rows = self._buckets()
+        stored = rows.agg(F.max("batch")).first()[0] if rows is not None else None
+        return self.next_id if stored is None else max(self.next_id, stored + 1)
+
+    def _kept_before(self, batch_id: int) -> DataFrame | None:
+        """Buckets of the documents kept by earlier batches; kept documents share none."""
+        rows = self._buckets()
+        return None if rows is None else rows.where(F.col("batch") < batch_id).select(*N.BUCKET)
 
     def process(self, batch: DataFrame, batch_id: int | None = None) -> DataFrame:
         """Kept rows of ``batch``; also records their buckets under the batch id.
 
-        Without an id, batches count up from the last one this object has seen.
+        Without an id, batches count on from the last one stored.
         """
-        batch_id = self.next_id if batch_id is None else batch_id
+        batch_id = self._free_id() if batch_id is None else batch_id
         self.next_id = max(self.next_id, batch_id + 1)
         r, key = self.rank_col, list(N.BUCKET)
         bands = N.band_keys(N.signatures(batch, r, self.text_col), r)

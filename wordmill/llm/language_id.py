@@ -37,7 +37,7 @@ from wordmill.llm import lattice, words as W
 from wordmill.llm.pretokens import bounds, rank_file
 
 UNKNOWN = "und"
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -93,17 +93,17 @@ class Forward:
         return uses
 
 
-def fit(word_counts: dict[str, dict[str, int]], vocabulary: list[bytes], rounds: int = 4,
-        smoothing: float = 0.02) -> Model:
-    """Piece probabilities from the counts of (spaced) words in each language."""
-    languages = sorted(word_counts)
+def fit(counted: pa.Table, vocabulary: list[bytes], rounds: int = 4, smoothing: float = 0.02) -> Model:
+    """Piece probabilities from rows (lang, word, n): counts of (spaced) words in each language."""
+    languages = sorted(pc.unique(counted["lang"]).to_pylist())
     if not languages:
         return Model([], vocabulary, np.zeros((len(vocabulary), 0)))
-    words = sorted({w for c in word_counts.values() for w in c})
-    counts = np.array([[word_counts[lang].get(w, 0) for lang in languages] for w in words], float).reshape(
-        len(words), len(languages))
+    words = counted["word"].combine_chunks().dictionary_encode()
+    which = pc.index_in(counted["lang"], pa.array(languages, pa.string())).to_numpy()
+    counts = np.zeros((len(words.dictionary), len(languages)))
+    np.add.at(counts, (words.indices.to_numpy(), which), counted["n"].to_numpy())
     pieces = lattice.Pieces(vocabulary)
-    forward = Forward(pa.array(words, pa.large_string()), pieces)
+    forward = Forward(words.dictionary, pieces)
     size = np.array([len(p) for p in vocabulary])
     log_p = np.repeat((-np.log(size.max() + 1.0) * size - np.log(2.0))[:, None], len(languages), axis=1)
     for _ in range(rounds):
@@ -113,14 +113,14 @@ def fit(word_counts: dict[str, dict[str, int]], vocabulary: list[bytes], rounds:
 
 
 def train(docs: DataFrame, vocabulary_path: str, text_col: str = "text", lang_col: str = "lang",
-          id_col: str = "doc_id", per_language: int = 1500, rounds: int = 4) -> Model:
+          id_col: str = "doc_id", per_language: int = 1000, rounds: int = 4) -> Model:
     """Learn from about ``per_language`` documents of every non-null label of ``docs``."""
     ranks = rank_file(vocabulary_path)
     vocabulary = sorted(ranks, key=ranks.get)
     labelled = docs.where(F.col(f"`{lang_col}`").isNotNull())
     sizes = labelled.groupBy(F.col(f"`{lang_col}`").cast("string").alias("lang")).count().collect()  # a row a label
     if not sizes:
-        return fit({}, vocabulary)
+        return Model([], vocabulary, np.zeros((len(vocabulary), 0)))
     space = 1 << 30
     cut = F.create_map(*(x for r in sizes for x in (
         F.lit(r["lang"]), F.lit(space if r["count"] <= per_language else max(1, space * per_language // r["count"])))))
@@ -140,11 +140,9 @@ def train(docs: DataFrame, vocabulary_path: str, text_col: str = "text", lang_co
                     [langs.dictionary.take(pa.array(pairs // size)), distinct.take(pa.array(pairs % size))
                      .cast(pa.string()), pa.array(n.astype(np.int64))], names=["lang", "word", "n"])
 
-    rows = sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counts: dict[str, dict[str, int]] = {}
-    for lang, word, n in zip(*(c.to_pylist() for c in rows.toArrow().columns)):  # the sample's distinct words
-        counts.setdefault(lang, {})[word] = n
-    return fit(counts, vocabulary, rounds)
+    rows = sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(
+        F.sum("n").alias("n"))
+    return fit(rows.toArrow(), vocabulary, rounds)  # the distinct words of the bounded sample
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", out=("lang_pred", "score")) -> DataFrame:

@@ -29,7 +29,7 @@ class Pieces:
         self.size = len(pieces)
         self.keys = np.array(sorted(step), np.int64)
         self.next = np.array([step[k] for k in self.keys.tolist()], np.int64)
-        self.piece = np.full(len(step) + 1, -1, np.int64)
+        self.piece = np.full(len(step) + 1, -1, np.int32)
         self.piece[list(ends)] = list(ends.values())
 
 
@@ -47,10 +47,10 @@ def build(words: pa.Array) -> Trie:
     size = np.diff(off)
     here = np.zeros(len(words), np.int64)
     active = np.flatnonzero(size > 0)
-    parents, letters, levels, n, depth = [np.zeros(1, np.int64)], [np.zeros(1, np.uint8)], [1], 1, 0
+    parents, letters, levels, n, depth = [np.zeros(1, np.int32)], [np.zeros(1, np.uint8)], [1], 1, 0
     while len(active):
         nodes, which = np.unique(here[active] << 8 | raw[off[active] + depth], return_inverse=True)
-        parents.append(nodes >> 8)
+        parents.append((nodes >> 8).astype(np.int32))
         letters.append((nodes & 255).astype(np.uint8))
         here[active] = n + which
         n += len(nodes)
@@ -62,7 +62,7 @@ def build(words: pa.Array) -> Trie:
 
 def arcs(trie: Trie, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bounds by node, ancestor, piece): all pieces that lead from an ancestor to the node."""
-    node = np.arange(1, len(trie.parent))
+    node = np.arange(1, len(trie.parent), dtype=np.int32)
     at, state = node, np.zeros(len(node), np.int64)
     found = []
     while len(node):
@@ -75,6 +75,9 @@ def arcs(trie: Trie, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray
         found.append((node[hit], at[hit], piece[hit]))
         inner = at > 0
         node, at, state = node[inner], at[inner], state[inner]
-    nodes, sources, piece = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+    nodes, sources, piece = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int32),) * 3
+    found.clear()
     order = np.argsort(nodes, kind="stable")
-    return np.searchsorted(nodes[order], np.arange(len(trie.parent) + 1)), sources[order], piece[order]
+    bounds = np.zeros(len(trie.parent) + 1, np.int64)
+    np.cumsum(np.bincount(nodes, minlength=len(trie.parent)), out=bounds[1:])
+    return bounds, sources[order], piece[order]

@@ -9,8 +9,8 @@ Rows are partitioned by conversation and sorted by turn; tasks stream them, so m
 is bounded by ``part_chars`` and not by the length of a conversation: a longer one is
 returned in several parts that end at turns. Encoding parts separately equals encoding
 the whole, because the tokenizer cuts at the markers first. Each part is encoded once; its
-tokens' character offsets follow from their byte lengths, and the sorted spans of the trained turns are intersected with
-the sorted token spans by binary search.
+tokens' character offsets follow from their byte lengths, and the sorted spans of the
+trained turns are intersected with the sorted token spans by binary search.
 
 Defined results: null text and null role are empty; turns order by (turn, role, text),
 nulls first; repeated rows are repeated turns; rows without conversation id form one

@@ -93,6 +93,7 @@ def _segment(seg: int, ids: pa.Array, texts: pa.Array) -> Iterator[pa.RecordBatc
     order = np.argsort(codes, kind="stable")
     sizes = np.concatenate([[n], np.bincount(codes, minlength=len(terms))])
     lists, width, gaps = pack(np.concatenate([base, where[order]]), np.concatenate([[0], np.cumsum(sizes)]))
+    del found, codes, where, order  # not held while Spark takes what follows
     rows = len(lists)
     yield pa.RecordBatch.from_arrays(
         [pa.array(["postings"]).take(pa.array(np.zeros(rows, np.int32))), pa.array(np.full(rows, seg)),

@@ -419,6 +419,45 @@ def test_main_text():
     assert html_text.main_text("<div>" * 20000 + "deep") == "deep"
 
 
+def test_main_text_keeps_what_lies_beside_the_best_container():
+    paras = [f"Paragraph {k}, with a comma." for k in range(20)]
+    body = "".join(f"<p>{p}</p>" for p in paras)
+    text = "\n\n".join(paras)
+    links = "<ul><li><a href=/a>More of this</a><li><a href=/b>And of that</a></ul>"
+    pages = [
+        (f"<div><h1>T</h1><p>lead</p><div>{body}</div><p>end</p></div>", f"T\n\nlead\n\n{text}\n\nend"),
+        (f"<div>bare <b>run</b><pre>code</pre><div>{body}</div><blockquote>said</blockquote><h3>Last</h3>tail</div>",
+         f"bare run\n\ncode\n\n{text}\n\nsaid\n\nLast\n\ntail"),
+        (f"<div><section>{body}</section><section><p>a</p><p>b</p></section></div>", f"{text}\n\na\n\nb"),
+        (f"<div><div class=row><section>{body}</section></div><div class=row><section><p>a</p></section></div></div>",
+         f"{text}\n\na"),
+        (f"<div><h1>T</h1><p>lead</p><div><div>{body}</div></div></div>", f"T\n\nlead\n\n{text}"),
+        (f"<div>{links}<h1><a href=/>T</a></h1><div>{body}</div>{links}<p><a href=/n>next</a></p><a href=/x>x</a></div>",
+         f"T\n\n{text}"),
+    ]
+    for html, want in pages:
+        assert html_text.main_text(html) == want, html
+
+
+def test_main_text_keeps_the_wrapper_of_the_page():
+    body = "".join(f"<p>Paragraph {k}, with a comma.</p>" for k in range(20))
+    text = "\n\n".join(f"Paragraph {k}, with a comma." for k in range(20))
+    foot = "<div class=footer>(c) the owner</div>"
+    side = "<div class=sidebar><p>Links, of, all, sorts</p></div>"
+    for tag in ("div id=wrapper class='has-sidebar'", "form id=aspnetForm", "div role=form", "div class='post comments-open'"):
+        name = tag.split()[0]
+        for head in ("", "<h1>T</h1>"):
+            html = f"<body><{tag}><div>{head}{body}{side}</div></{name}>{foot}<span>left</span></body>"
+            got = html_text.main_text(html)
+            assert text in got and "Links" not in got and got.startswith("T" if head else "Paragraph 0"), (html, got)
+    # parts beside the text go, though they hold most of the page
+    notice = f"<div class=consent>{body}</div>"
+    for html in (f"<div><h1>T</h1><p>Short.</p></div>{notice}", f"{notice}<div><h1>T</h1><p>Short.</p></div>",
+                 f"<div><h1>T</h1><p>Short.</p></div><div id=comments>{body}</div>"):
+        assert html_text.main_text(html) == "T\n\nShort.", html
+    assert html_text.main_text(f"<div><p>Short.</p></div><div id=comments>{body}</div>") == "Short."
+
+
 def test_extract_query(spark):
     df = clashing(spark.createDataFrame([(k, f"u{k}", h) for k, (h, _) in enumerate(PAGES)] + [(0, "u0", PAGES[0][0])],
                                         "page_id long, url string, html string"))

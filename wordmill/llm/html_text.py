@@ -5,8 +5,16 @@ headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader c
 Every text block passes points (1, one for each comma, one for each 100 characters) to the
 containers above it: all to the nearest, a half to the next, then a third and so on; a
 container's points are discounted by its share of link text. The container of the most
-points, or the ``article`` or ``main`` element around it, is kept with those siblings that
-score at least a fifth of it (and headings directly before it). Its blocks are the text.
+points is the best. An ``article`` or ``main`` element around it is kept with those siblings
+that score at least a fifth of it (and headings directly before it). Without one, the best is
+kept with all its siblings, be they blocks, leaves or bare text, but those of mostly link
+text; a level further up is kept in the same way when text lies there directly or when the
+best is in one of several like sections. The blocks of what is kept are the text.
+
+A name or a form does not drop an element that holds most of the page's unlinked text and
+looks like the page's wrapper: it holds an ``h1``, or no ``h1`` is outside of it and it has
+several blocks or four fifths of the text. With a name for reader comments it also has to hold
+an ``h1`` or to have no text before it.
 
 Inside a block runs of white space, line breaks and table cells become one space; blocks
 are joined by an empty line.
@@ -27,10 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset("script style noscript template nav footer aside form button select textarea input iframe object "
-                    "embed svg canvas audio video dialog menu head title".split())
+DROPPED = frozenset("script style noscript template nav footer aside button select textarea input iframe object "
+                    "embed svg canvas audio video dialog menu head title header".split())
 LEAVES = frozenset("p pre blockquote li dd dt tr td th caption figcaption h1 h2 h3 h4 h5 h6 summary".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that are text of the page wherever they lie, unless they are mostly links.
+PROSE = LEAVES - {"tr", "td", "th"} | {"ul", "ol", "dl"}
 BLOCKS = LEAVES - {"td", "th"} | frozenset(
     "html body div article section main header footer aside nav ul ol dl table thead tbody tfoot form fieldset figure "
     "address details hr center hgroup".split())
@@ -38,7 +48,7 @@ BLOCKS = LEAVES - {"td", "th"} | frozenset(
 ENDED_BY = {"li": ("li", "ul ol"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr", "table"),
             "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
 ENDED_BY = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in ENDED_BY.items()}
-ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar".split())
 NAMES = frozenset("""nav navbar navigation menu submenu breadcrumb breadcrumbs header masthead topbar footer sidebar aside
 ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr
 notice notification popup modal overlay newsletter subscribe subscription share sharing social related recommended
@@ -50,12 +60,14 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "gone", "points", "chars", "linked")
+    __slots__ = ("tag", "attrs", "parent", "children", "gone", "points", "chars", "linked", "in_link", "plain", "before",
+                 "leaves", "titles")
 
     def __init__(self, tag: str, attrs: dict[str, str | None], parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
         self.gone, self.points, self.chars, self.linked = False, 0.0, 0, 0
+        self.in_link, self.plain, self.before, self.leaves, self.titles = False, 0, 0, 0, 0
 
 
 class _Builder(HTMLParser):
@@ -124,6 +136,39 @@ def _walk(root: Node) -> list[Node]:
     return out
 
 
+def _measure(nodes: list[Node]) -> None:
+    """Unlinked characters in and before every element that is not gone; its leaves with such text, its h1."""
+    def own(node: Node, text: str) -> int:
+        return 0 if node.gone or node.in_link else len("".join(text.split()))
+
+    for node in nodes:
+        node.in_link = node.tag == "a" or node.parent is not None and node.parent.in_link
+    for node in reversed(nodes):
+        node.plain += sum(own(node, c) for c in node.children if isinstance(c, str))
+        node.leaves += node.tag in LEAVES and node.plain > 0
+        node.titles += node.tag == "h1" and not node.gone
+        if node.parent is not None:
+            up = node.parent
+            up.plain, up.leaves, up.titles = up.plain + node.plain, up.leaves + node.leaves, up.titles + node.titles
+    for node in nodes:
+        at = node.before
+        for c in node.children:
+            if isinstance(c, str):
+                at += own(node, c)
+            else:
+                c.before = at
+                at += c.plain
+
+
+def _wraps_page(node: Node, page: Node, remarks: bool) -> bool:
+    """Whether a name or form match means the wrapper of the page and not a part beside its text."""
+    if 2 * node.plain <= page.plain:
+        return False
+    if node.titles:
+        return True
+    return not page.titles and (node.leaves > 1 or 5 * node.plain >= 4 * page.plain) and not (remarks and node.before)
+
+
 def _prune(nodes: list[Node], by_name: bool) -> None:
     holds_article = set()
     for node in nodes:
@@ -136,13 +181,19 @@ def _prune(nodes: list[Node], by_name: bool) -> None:
         attrs = node.attrs
         gone = (node.parent is not None and node.parent.gone) or node.tag in DROPPED
         gone = gone or "hidden" in attrs or attrs.get("aria-hidden") == "true" or bool(_HIDDEN.search(attrs.get("style") or ""))
-        gone = gone or (attrs.get("role") or "").lower() in ROLES
-        if not gone and by_name and node.tag not in ("html", "body", "main"):
+        node.gone = gone or (attrs.get("role") or "").lower() in ROLES
+    _measure(nodes)
+    for node in nodes:
+        node.gone = node.gone or node.parent is not None and node.parent.gone
+        if node.gone:
+            continue
+        if node.tag == "form" or (node.attrs.get("role") or "").lower() == "form":
+            node.gone = not _wraps_page(node, nodes[0], False)
+        if not node.gone and by_name and node.tag not in ("html", "body", "main"):
             names = _names(node)
-            gone = bool(names & REMARKS) or bool(names & NAMES) and id(node) not in holds_article
-        if not gone and node.tag == "header":
-            gone = True
-        node.gone = gone
+            remarks = bool(names & REMARKS)
+            node.gone = (remarks or bool(names & NAMES) and id(node) not in holds_article) and not _wraps_page(
+                node, nodes[0], remarks)
     for node in nodes:  # the headline of an article stays, though it is in the article's header
         if node.tag in HEADINGS and node.gone:
             up, inside = node.parent, False
@@ -172,7 +223,7 @@ def _text_blocks(root: Node):
 
     # a stack of (node, next child, inside a link); iterative, for pages can be nested deeply
     owner_of = [root]
-    todo = [(root, iter(root.children), False)]
+    todo = [(root, iter(root.children), root.tag == "a")]
     while todo:
         node, rest, in_link = todo[-1]
         child = next(rest, None)
@@ -218,6 +269,40 @@ def _score(root: Node) -> Node | None:
     return max(containers, key=lambda n: n.points, default=None)
 
 
+def _link_dense(node: Node) -> bool:
+    blocks = _text_blocks(node)
+    return 2 * sum(linked for _, linked, _ in blocks) > sum(len(text) for text, _, _ in blocks)
+
+
+def _around(best: Node) -> list[str]:
+    """The blocks of ``best`` and of what belongs to it on its level and above."""
+    def like(node: Node, other: Node) -> bool:
+        same = other.tag == "section" or (node.attrs.get("class") or "") == (other.attrs.get("class") or "") != ""
+        return node.tag == other.tag and other.chars > 0 and (same or 5 * other.points >= best.points)
+
+    def belongs(node: Node, other: Node | str) -> bool:
+        if isinstance(other, str):
+            return bool(other.strip())
+        return other is not node and not other.gone and (other.tag in PROSE or like(node, other)) and bool(
+            _text_blocks(other)) and not _link_dense(other)
+
+    path, levels, node = [best], 1, best
+    while node.parent is not None:
+        path.append(node.parent)
+        if len(path) > 2 and any(belongs(node, c) for c in node.parent.children):
+            levels = len(path) - 1
+        node = node.parent
+    path = path[:levels + 1]
+    for node, up in zip(path, path[1:]):
+        stays = False  # what follows; a linked headline stays with its text
+        for c in reversed(up.children):
+            if not isinstance(c, str) and not c.gone and (c.tag in BLOCKS or c.chars) and _text_blocks(c):
+                c.gone = c is not node and _link_dense(c) and not (c.tag in HEADINGS and stays)
+                stays = not c.gone
+    upper = {id(node) for node in path[1:]}  # their own runs of text and links are siblings as well
+    return [text for text, linked, owner in _text_blocks(path[-1]) if id(owner) not in upper or 2 * linked <= len(text)]
+
+
 def main_text(html: str | None) -> str:
     """The text blocks of the page's main content, joined by two line feeds."""
     if not html:
@@ -230,14 +315,17 @@ def main_text(html: str | None) -> str:
             break
     else:
         return ""
+    marked = None
     for tag in ("article", "main"):
         up = best
         while up is not None and up.tag != tag:
             up = up.parent
         if up is not None:
-            best = up
+            marked = up
             break
-    kept = [best]
+    if marked is None:
+        return "\n\n".join(_around(best))
+    best, kept = marked, [marked]
     if best.parent is not None:
         siblings = [c for c in best.parent.children if not isinstance(c, str) and not c.gone]
         at = siblings.index(best)

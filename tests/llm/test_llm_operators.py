@@ -559,6 +559,21 @@ def test_chat_round_trip(spark, part_chars):
     assert chat_format.read_back(chat_format.format_conversations(df.limit(0), *CHAT)).count() == 0
 
 
+def test_chat_texts_that_begin_with_white_space(spark):
+    said = ["\n\nHello", "\n", "\n\n", "\n \nx", "  two", " one", "\r\nx", "\t\n", " ", "\u00a0\n\nx", "\n<|end|>\n", "x\n"]
+    turns = [(c, t, role, text) for c, text in enumerate(said) for t, role in enumerate(("assistant", "user", "assistant"))]
+    turns += [(100, t, "assistant", text) for t, text in enumerate(said)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat_format.read_back(chat_format.format_conversations(df, *CHAT)).collect()}
+    for c, loss in [*((c, text * 2) for c, text in enumerate(said)), (100, "".join(said))]:
+        assert (got[c].loss_chars, got[c].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest()), c
+    tok = chat_format.Tokenizer(*CHAT)
+    for text in said:
+        drawn, spans = chat_format.render([("assistant", text)], frozenset(["assistant"]))
+        _, starts, ends = tok(drawn)
+        assert {spans[0, 0], spans[0, 1]} <= {*starts, *ends}
+
+
 def test_parts_encode_like_the_whole():
     tok = chat_format.Tokenizer(*CHAT)
     turns = [("user", "a b"), ("assistant", " c\n"), ("user", "")]

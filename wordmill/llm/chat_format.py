@@ -3,12 +3,14 @@
 A conversation is rendered as ``<|turn|>role\\ntext<|end|>`` per turn. Inside roles and
 texts ``\\`` becomes ``\\\\`` and ``<|`` becomes ``<\\|``, so no text can forge a marker and
 the original comes back exactly (in roles a line feed becomes ``\\n``). The markers are
-single added tokens of the tokenizer; tokens never reach across them.
+single added tokens of the tokenizer; tokens never reach across them. Headers, with their
+line feed, are encoded apart from the texts, so no token lies over both, whatever white
+space a text begins with.
 
 Rows are partitioned by conversation and sorted by turn; tasks stream them, so memory
 is bounded by ``part_chars`` and not by the length of a conversation: a longer one is
 returned in several parts that end at turns. Encoding parts separately equals encoding
-the whole, because the tokenizer cuts at the markers first. Each part is encoded once; its
+the whole, because the tokenizer cuts at the markers and headers first. Each part is encoded once; its
 tokens' character offsets follow from their byte lengths, and the sorted spans of the
 trained turns are intersected with the sorted token spans by binary search.
 
@@ -32,6 +34,7 @@ from wordmill.llm.pretokens import bounds, rank_file
 
 TURN, END = "<|turn|>", "<|end|>"
 _TURNS = re.compile(re.escape(TURN) + r"([^\n]*)\n(.*?)" + re.escape(END), re.S)
+_HEADER = re.compile(re.escape(TURN) + r"[^\n]*\n")
 _ESCAPED = re.compile(r"\\(.)", re.S)
 
 FORMATTED = ("conv_id long, part int, formatted string, token_ids array<int>, token_starts array<int>, "
@@ -67,7 +70,11 @@ class Tokenizer:
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, first characters, end characters); tokens of one character's bytes share its place."""
-        ids = np.array(self.encoding.encode(text, allowed_special="all", disallowed_special=()), np.int64)
+        ids, at = [], 0
+        for cut in (*(m.end() for m in _HEADER.finditer(text)), len(text)):
+            ids += self.encoding.encode(text[at:cut], allowed_special="all", disallowed_special=())
+            at = cut
+        ids = np.array(ids, np.int64)
         lead = (np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80
         chars = np.zeros(len(lead) + 1, np.int32)
         np.cumsum(lead, out=chars[1:])

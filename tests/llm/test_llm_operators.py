@@ -381,6 +381,20 @@ def test_ngram_join_edges(spark):
     assert ngram_join.near_duplicates(empty(spark)).count() == 0
 
 
+def test_ngram_join_ids_of_several_texts(spark):
+    def text(name, changed=False):
+        return " ".join(f"{name}{k}" for k in range(60)) + (" other" if changed else " last")
+    docs = [(5, text("a")), (8, text("a", True)), (5, text("b")), (9, text("b", True)),  # 5 is the smallest of both
+            (13, text("c")), (15, text("c")), (15, text("d")), (17, text("d")),  # 15 is not
+            (20, text("e")), (21, text("e")), (21, ""), (22, None), (22, "!")]
+    got = Counter(tuple(r) for r in ngram_join.near_duplicates(spark.createDataFrame(docs, DOCS).repartition(3))
+                  .select("doc_id", "class_id", "n_links", "n_copies", "kept").collect())
+    assert got == Counter([(5, 5, 1, 1, True)] * 2 + [(8, 5, 1, 1, False), (9, 5, 1, 1, False), (13, 13, 1, 2, True)]
+                          + [(15, 13, 1, 2, False)] * 2 + [(17, 13, 1, 2, False), (20, 20, 1, 2, True),
+                                                           (21, 20, 1, 2, False), (21, 20, 0, 1, False)]
+                          + [(22, 22, 0, 1, True)] * 2)
+
+
 def test_choose_bands():
     rows_, bands = ngram_join.choose_bands(0.8, 0.9995)
     assert 1 - (1 - 0.8 ** rows_) ** bands >= 0.9995 and rows_ * bands <= 128

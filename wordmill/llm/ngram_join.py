@@ -2,7 +2,8 @@
 
 1. Each document's words (lower-cased runs of letters, digits and non-ASCII characters)
    give its set of five-word shingles; a text of one to four words has all its words as
-   its only shingle. Documents of equal sets are one *class*, named after its smallest id.
+   its only shingle. Documents of equal sets are one *class*, named by the set's digests;
+   its smallest id stands for it in the graph.
 2. MinHash signatures of the classes are cut into bands; rows and bands follow from the
    threshold and the target recall (:func:`choose_bands`). Classes are shuffled on the
    band hashes; buckets of one class, and buckets that hold the same classes as a bucket
@@ -17,8 +18,9 @@
 
 Defined results: documents without words (null, empty, punctuation) link to nothing, not
 even to each other, and are groups of their own; rows that repeat an id are one node of
-the graph and are returned each; a null id acts as the smallest id; an empty table gives
-an empty result; other columns are ignored.
+the graph, which has the edges of all their texts, and are returned each, with the links
+and copies of their own text; a null id acts as the smallest id; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -172,33 +174,35 @@ def verify(ids: np.ndarray, copies: np.ndarray, bands: np.ndarray, sets: list[np
 
 
 def _verified(threshold: float):
-    schema = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("near", pa.int64())])
+    schema = pa.schema([(c, pa.int64()) for c in ("key1", "key2", "id", "links", "near")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nothing = object()
         task, rows = nothing, []
 
         def done(rows: list[tuple]) -> pa.RecordBatch:
+            rows = list({r[6]: r for r in rows}.values())  # a repeated row's class came twice
             ids = np.array([r[0] for r in rows], np.int64)
-            keep = np.unique(ids, return_index=True)[1]  # a repeated row's class came twice
-            rows, ids = [rows[i] for i in keep], ids[keep]
             links, near = verify(ids, np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows]),
                                  [r[3] for r in rows], rows[0][4], np.array([r[5] for r in rows]),
                                  task[2] == task[3], threshold)
             hit = links > 0
-            return pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(links[hit]), pa.array(near[hit])],
-                                              schema=schema)
+            keys = np.array([r[6] for r in rows], np.int64)[hit]
+            return pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(ids[hit]),
+                                               pa.array(links[hit]), pa.array(near[hit])], schema=schema)
 
         for batch in batches:
             col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             keys = list(zip(*(col[c].to_pylist() for c in ("band", "key", "p", "q"))))
-            for i, (ident, copies, block) in enumerate(zip(*(col[c].to_pylist() for c in ("id", "copies", "block")))):
+            names = zip(col["key1"].to_pylist(), col["key2"].to_pylist())
+            for i, (ident, copies, block, name) in enumerate(zip(
+                    *(col[c].to_pylist() for c in ("id", "copies", "block")), names)):
                 if keys[i] != task:
                     if len(rows) > 1:
                         yield done(rows)
                     task, rows = keys[i], []
                 rows.append((ident, copies, col["bands"][i].values.to_numpy(),
-                             np.frombuffer(col["shingles"][i].as_buffer(), np.uint64), keys[i][0], block))
+                             np.frombuffer(col["shingles"][i].as_buffer(), np.uint64), keys[i][0], block, name))
         if len(rows) > 1:
             yield done(rows)
 
@@ -215,17 +219,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     some = signed.where("n_shingles > 0")
     classes = stored(some.groupBy("key1", "key2").agg(F.min("id").alias("class"), F.count(F.lit(1)).alias("copies"),
                                                       F.any_value("bands").alias("bands")), "classes")
-    dealt = classes.select("class", F.posexplode("bands").alias("band", "key"))
+    dealt = classes.select("key1", "key2", F.posexplode("bands").alias("band", "key"))
     # buckets of several classes; of buckets with the same classes the one of the first band
     buckets = (dealt.groupBy("band", "key")
-               .agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("class").cast("decimal(20,0)")).alias("s1"),
-                    F.bit_xor(F.xxhash64(F.lit(1), "class")).alias("s2"))
+               .agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("key1", "key2").cast("decimal(20,0)")).alias("s1"),
+                    F.bit_xor(F.xxhash64(F.lit(1), "key1", "key2")).alias("s2"))
                .where("size > 1").groupBy("size", "s1", "s2").agg(F.min(F.struct("band", "key")).alias("b"))
                .select("size", "b.band", "b.key"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     members = stored(dealt.join(buckets, ["band", "key"]).withColumn("blocks", blocks)
-                     .withColumn("block", F.pmod(F.xxhash64(F.lit(2), "class"), F.col("blocks")).cast("int")), "members")
-    wanted = members.select("class").distinct().join(classes, "class")
+                     .withColumn("block", F.pmod(F.xxhash64(F.lit(2), "key1", "key2"), F.col("blocks")).cast("int")), "members")
+    wanted = members.select("key1", "key2").distinct().join(classes, ["key1", "key2"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,27 +240,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 stored_sets = pa.Array.from_buffers(
                     pa.binary(), len(cut) - 1, [None, pa.py_buffer((cut * 8).astype(np.int32)),
                                                 pa.py_buffer(np.ascontiguousarray(values))])
-                yield pa.RecordBatch.from_arrays([*part.columns[3:], stored_sets],
-                                                 names=["id", "copies", "bands", "shingles"]).filter(same)
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], stored_sets],
+                                                 names=[*part.schema.names[1:], "shingles"]).filter(same)
 
     full = (texts.join(wanted.withColumnRenamed("class", "id"), "id")
             .select("text", "key1", "key2", "id", "copies", "bands")
-            .mapInArrow(sets, "id long, copies long, bands array<long>, shingles binary"))
+            .mapInArrow(sets, "key1 long, key2 long, id long, copies long, bands array<long>, shingles binary"))
     other = F.sequence(F.lit(0), F.col("blocks") - 1)
     tasks = (members.withColumn("other", F.explode(other))
              .select("band", "key", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
-                     F.col("class").alias("id")))
-    found = stored(tasks.join(full, "id").repartition("band", "key", "p", "q")
+                     "key1", "key2"))
+    found = stored(tasks.join(full, ["key1", "key2"]).repartition("band", "key", "p", "q")
                    .sortWithinPartitions("band", "key", "p", "q", "id")
-                   .mapInArrow(_verified(threshold), "id long, links long, near long"), "links")
-    groups = connected_components(found.select(F.col("id").alias("a"), F.col("near").alias("b")))
-    links = found.groupBy("id").agg(F.sum("links").alias("links"))
+                   .mapInArrow(_verified(threshold), "key1 long, key2 long, id long, links long, near long"), "links")
+    text_key = F.struct("key1", "key2", "n_shingles")
+    repeated = signed.groupBy("id").agg(F.min(text_key).alias("lo"), F.max(text_key).alias("hi")).where("lo != hi")
+    texts_of = signed.join(repeated.select("id"), "id").select("id", "key1", "key2").distinct()
+    same_id = texts_of.join(classes, ["key1", "key2"])  # ids of several texts are a node with all their classes
+    groups = connected_components(
+        found.select(F.col("id").alias("a"), F.col("near").alias("b"))
+        .unionByName(same_id.select(F.col("id").alias("a"), F.col("class").alias("b"))))
+    links = found.groupBy("key1", "key2").agg(F.sum("links").alias("links"))
     named = (classes.select("key1", "key2", F.col("class").alias("node"), "copies").join(groups, "node", "left")
-             .join(links.withColumnRenamed("id", "node"), "node", "left")
+             .join(links, ["key1", "key2"], "left")
              .select("key1", "key2", "copies", F.coalesce("component", "node").alias("class_id"),
                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     null_id = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
-    out = signed.join(named, ["key1", "key2"], "left").withColumn("class_id", F.coalesce("class_id", "id"))
+    wordless = same_id.select("id").distinct().join(groups.withColumnRenamed("node", "id"), "id")
+    out = (signed.join(named, ["key1", "key2"], "left").join(wordless, "id", "left")
+           .withColumn("class_id", F.coalesce("class_id", "component", "id")))
     return out.select(null_id("id").alias("doc_id"), null_id("class_id").alias("class_id"),
                       F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("copies", F.lit(1)).alias("n_copies"),
                       (F.col("id") == F.col("class_id")).alias("kept"))

@@ -98,3 +98,17 @@ def test_registered_last_stage_decodes(spark, corpus):
     docs = corpus.where("doc_id >= 90000 and doc_id != 90050")
     out = bpe_duckdb.decode(C.encode(spark, docs, SF), P.path("byte_bpe_multi_50k.tiktoken"))
     assert {r.doc_id: bytes(r.decoded).decode() for r in out.collect()} == {r.doc_id: r.text or "" for r in docs.collect()}
+
+
+def test_texts_of_no_known_language_go(spark):
+    import random
+
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+    rng = random.Random(1)
+    noise = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 10))) for _ in range(60))
+             for _ in range(20)]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    extra = spark.createDataFrame([(-1 - k, t, None) for k, t in enumerate(noise)] + [(-100, "Zxq", None)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs.unionByName(extra), "").collect()}
+    assert kept == {r.doc_id for r in docs.where(F.col("text").rlike("[a-zA-Z]")).collect()} | {-100}

@@ -112,22 +112,30 @@ def fit(counted: pa.Table, vocabulary: list[bytes], rounds: int = 4, smoothing:
     return Model(languages, vocabulary, log_p)
 
 
-def train(docs: DataFrame, vocabulary_path: str, text_col: str = "text", lang_col: str = "lang",
-          id_col: str = "doc_id", per_language: int = 1000, rounds: int = 4) -> Model:
-    """Learn from about ``per_language`` documents of every non-null label of ``docs``."""
-    ranks = rank_file(vocabulary_path)
-    vocabulary = sorted(ranks, key=ranks.get)
+def training_sample(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
+                    per_language: int = 1000) -> DataFrame | None:
+    """(lang, text) of about ``per_language`` documents of every non-null label of ``docs``; None without labels."""
     labelled = docs.where(F.col(f"`{lang_col}`").isNotNull())
     sizes = labelled.groupBy(F.col(f"`{lang_col}`").cast("string").alias("lang")).count().collect()  # a row a label
     if not sizes:
-        return Model([], vocabulary, np.zeros((len(vocabulary), 0)))
+        return None
     space = 1 << 30
     cut = F.create_map(*(x for r in sizes for x in (
         F.lit(r["lang"]), F.lit(space if r["count"] <= per_language else max(1, space * per_language // r["count"])))))
-    sample = labelled.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text"),
+    return labelled.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text"),
                              F.col(f"`{id_col}`").alias("id")).where(
         F.pmod(F.xxhash64("id"), F.lit(space)) < F.element_at(cut, F.col("lang"))).select("lang", "text")
 
+
+def train(docs: DataFrame, vocabulary_path: str, text_col: str = "text", lang_col: str = "lang",
+          id_col: str = "doc_id", per_language: int = 1000, rounds: int = 4) -> Model:
+    """Learn from about ``per_language`` documents of every non-null label of ``docs``."""
+    ranks = rank_file(vocabulary_path)
+    vocabulary = sorted(ranks, key=ranks.get)
+    sample = training_sample(docs, text_col, lang_col, id_col, per_language)
+    if sample is None:
+        return Model([], vocabulary, np.zeros((len(vocabulary), 0)))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.byte_slices(batch, "text", SLICE_BYTES):
@@ -140,19 +148,33 @@ def train(docs: DataFrame, vocabulary_path: str, text_col: str = "text", lang_co
                     [langs.dictionary.take(pa.array(pairs // size)), distinct.take(pa.array(pairs % size))
                      .cast(pa.string()), pa.array(n.astype(np.int64))], names=["lang", "word", "n"])
 
-    rows = sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(
+    rows = sample.select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(
         F.sum("n").alias("n"))
     return fit(rows.toArrow(), vocabulary, rounds)  # the distinct words of the bounded sample
 
 
+def least_fit(sample: DataFrame | None, model: Model) -> float:
+    """The log-likelihood per byte below which a text is of none of the languages: the range of the
+    training documents, widened by a quarter of itself below."""
+    if sample is None:
+        return -np.inf
+    low, high = predict(sample, model, out=("_pred", "_score", "_fit", "_bytes")).where("_bytes > 0").agg(
+        F.min(F.col("_fit") / F.col("_bytes")), F.max(F.col("_fit") / F.col("_bytes"))).first()
+    return -np.inf if low is None else low - (high - low) / 4
+
+
 def predict(docs: DataFrame, model: Model, text_col: str = "text", out=("lang_pred", "score")) -> DataFrame:
-    """All columns of ``docs``, and the predicted language with its posterior (columns of these names are replaced)."""
+    """All columns of ``docs``, and the predicted language with its posterior (columns of these names are replaced).
+
+    Two further names in ``out`` get the log-likelihood in that language and the bytes of the words.
+    """
     docs = docs.drop(*out)
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)  # languages x vocabulary, both fixed by the model
     names = docs.columns
     schema = T.StructType([*docs.schema.fields, T.StructField(out[0], T.StringType()),
-                           T.StructField(out[1], T.DoubleType())])
+                           T.StructField(out[1], T.DoubleType()),
+                           *(T.StructField(c, kind) for c, kind in zip(out[2:], (T.DoubleType(), T.LongType())))])
     at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +185,8 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", out=("lang_pr
             for part in W.byte_slices(batch, text_col, SLICE_BYTES):
                 texts = part.column(at)
                 distinct, codes, counts = spaced_words(texts)
-                score = np.zeros(part.num_rows)
+                score, fit = np.zeros(part.num_rows), np.zeros(part.num_rows)
+                size = np.concatenate([[0], np.cumsum(pc.binary_length(distinct).to_numpy()[codes])])[bounds(counts)]
                 best = np.full(part.num_rows, len(m.languages))
                 if m.languages:
                     known = Forward(distinct, pieces)
@@ -179,8 +202,10 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", out=("lang_pr
                     best[ok] = total[ok].argmax(axis=1)
                     top = total[ok] - total[ok].max(axis=1, keepdims=True)
                     score[ok] = 1 / np.exp(top).sum(axis=1)
+                    fit[ok] = total[ok].max(axis=1)
+                more = [pa.array(fit), pa.array(np.diff(size).astype(np.int64))][:len(out) - 2]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(labels[best], pa.string()), pa.array(score)], names=[*names, *out])
+                    [*part.columns, pa.array(labels[best], pa.string()), pa.array(score), *more], names=[*names, *out])
 
     return docs.mapInArrow(run, schema)
 

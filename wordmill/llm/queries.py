@@ -257,3 +257,116 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (read_back(format_conversations(rows, public_tokenizers.path("byte_bpe_50k.tiktoken"),
                                            public_tokenizers.PATTERN))
             .drop("n_tokens", "n_loss_tokens"))
+
+
+#: CRC-32 of texts (the table of the reflected polynomial, then byte by byte).
+CRC_SQL = """
+crc_table AS (
+  SELECT list(c ORDER BY n) AS tab FROM (
+    SELECT n, list_reduce(list_prepend(n, list_transform(range(8), lambda x: 0::BIGINT)),
+                          lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS n))),
+crc AS (
+  SELECT s, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+                  regexp_extract_all(hex(encode(s)), '..'), lambda h: ('0x' || h)::BIGINT)),
+                lambda c, b: xor(c >> 8, tab[xor(c & 255, b) + 1])), 4294967295) AS crc
+  FROM (SELECT DISTINCT {text} AS s FROM documents), crc_table)"""
+
+#: Holds where no group exceeds a shard's share and all are packed one by one, as at small sizes.
+OP11_SQL = """
+WITH RECURSIVE""" + CRC_SQL.replace("{text}", "coalesce(text, '')") + r""",
+d AS (SELECT doc_id, coalesce(text, '') AS s, sha256(coalesce(text, '')) AS sha, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+             len(regexp_extract_all(coalesce(text, ''), '[\p{L}\p{N}]+|[^\p{L}\p{N}\x00-\x20]')) AS tokens FROM documents),
+total AS (SELECT sum(size)::DOUBLE AS b, sum(tokens)::DOUBLE AS t, count(*)::DOUBLE AS r FROM d),
+g AS (SELECT sha, sum(size)::DOUBLE * 40 / max(b) AS b, sum(tokens)::DOUBLE * 40 / greatest(max(t), 1.0) AS t, count(*) * 40 / max(r) AS r
+      FROM d, total GROUP BY sha),
+item AS (SELECT *, row_number() OVER (ORDER BY greatest(b, t, r) DESC, sha) AS k FROM (SELECT sha, g.b, g.t, g.r FROM g)),
+run(k, shard, rb, rt, rr) AS (
+  SELECT 0::BIGINT, 0::BIGINT, list_transform(range(40), lambda x: 1.0::DOUBLE), list_transform(range(40), lambda x: 1.0::DOUBLE),
+         list_transform(range(40), lambda x: 1.0::DOUBLE)
+  UNION ALL
+  SELECT k, place, list_transform(rb, lambda x, i: CASE WHEN i = place THEN x - b ELSE x END),
+         list_transform(rt, lambda x, i: CASE WHEN i = place THEN x - t ELSE x END),
+         list_transform(rr, lambda x, i: CASE WHEN i = place THEN x - r ELSE x END)
+  FROM (SELECT next_k AS k, b, t, r, rb, rt, rr, list_position(score, list_max(score)) AS place
+        FROM (SELECT *, list_transform(range(1, 41), lambda i: b * 4.0 * rb[i] + t * rt[i] + r * rr[i]) AS score
+              FROM run JOIN (SELECT k - 1 AS before, k AS next_k, b, t, r FROM item) ON before = run.k))),
+put AS (SELECT sha, shard - 1 AS shard FROM run JOIN item USING (k))
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'bytes' AS law, shard::INT AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, NULL::INT AS grown_shard
+FROM d JOIN put USING (sha) JOIN crc USING (s)
+"""
+
+
+@query("op11_sharding", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordmill.llm.shards import assign
+    return assign(table(spark, sf_dir, "documents"), n_shards=40)
+
+
+@query("op12_tokenizer_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from wordmill.llm.align import aligned_documents
+    return aligned_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+_FIELD = "CASE WHEN {x} IS NULL THEN '-' ELSE strlen({x}) || ':' || {x} END"
+_LEAF = "sha256(" + " || ".join(_FIELD.replace("{x}", x) for x in (
+    "doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", "{text}")) + ")"
+OP13_SQL = "WITH RECURSIVE" + CRC_SQL.replace("{text}", "doc_id::VARCHAR") + f""",
+d AS (SELECT doc_id, source, {_LEAF.replace("{text}", "text")} AS leaf,
+             CASE WHEN crc % 5 = 0 THEN {_LEAF.replace("{text}", LOWER)} ELSE {_LEAF.replace("{text}", "text")} END AS version
+      FROM documents JOIN crc ON s = doc_id::VARCHAR),
+place AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n
+          FROM d),
+low(source, level, pos, n, digest) AS (
+  SELECT source, 0, pos, n, leaf FROM place
+  UNION ALL
+  SELECT source, any_value(level) + 1, pos // 16, any_value((n + 15) // 16), sha256(string_agg(digest, '' ORDER BY pos))
+  FROM low WHERE n > 1 GROUP BY source, pos // 16),
+subroots AS (SELECT source, digest, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+             FROM low WHERE n = 1),
+high(level, pos, n, digest) AS (
+  SELECT 0, pos, n, digest FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, pos // 16, any_value((n + 15) // 16), sha256(string_agg(digest, '' ORDER BY pos))
+  FROM high WHERE n > 1 GROUP BY pos // 16),
+depth AS (SELECT source, max(level) AS depth FROM low GROUP BY source),
+node AS (SELECT source, level, pos, n, digest FROM low WHERE n > 1
+         UNION ALL SELECT s.source, depth + level, h.pos, h.n, h.digest
+         FROM high h, subroots s JOIN depth ON depth.source IS NOT DISTINCT FROM s.source WHERE h.n > 1),
+start AS (SELECT doc_id, p.source, p.pos AS low_pos, s.pos AS high_pos, depth, version FROM place p
+          JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source JOIN depth ON depth.source IS NOT DISTINCT FROM p.source),
+side AS (
+  SELECT doc_id, x.source, level, CASE WHEN level < depth THEN low_pos >> (4 * level) ELSE high_pos >> (4 * (level - depth)) END AS spot
+  FROM start x JOIN (SELECT DISTINCT source, level FROM node) l ON l.source IS NOT DISTINCT FROM x.source),
+kin AS (
+  SELECT doc_id, side.level, string_agg(digest, '' ORDER BY pos) FILTER (pos < spot) AS before,
+         string_agg(digest, '' ORDER BY pos) FILTER (pos > spot) AS after
+  FROM side JOIN node ON node.source IS NOT DISTINCT FROM side.source AND node.level = side.level AND pos // 16 = spot // 16
+  GROUP BY doc_id, side.level),
+proof AS (SELECT doc_id, sha256(string_agg(coalesce(before, '') || coalesce(after, ''), '' ORDER BY level)) AS proof_sha256
+          FROM kin GROUP BY doc_id),
+fold(doc_id, level, digest) AS (
+  SELECT doc_id, 0, version FROM start
+  UNION ALL
+  SELECT f.doc_id, f.level + 1, sha256(coalesce(before, '') || digest || coalesce(after, ''))
+  FROM fold f JOIN kin ON kin.doc_id = f.doc_id AND kin.level = f.level),
+folded AS (SELECT doc_id, arg_max(digest, level) AS folded_root FROM fold GROUP BY doc_id),
+root AS (SELECT digest AS root FROM high WHERE n = 1)
+SELECT place.doc_id, leaf, subroots.digest AS subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+       folded_root = root AS verified
+FROM place JOIN folded USING (doc_id) LEFT JOIN proof USING (doc_id)
+JOIN subroots ON subroots.source IS NOT DISTINCT FROM place.source, root
+"""
+
+
+@query("op13_merkle_manifest", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wordmill.llm import merkle as M
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return M.audit(M.build(docs, versions={"text": F.when(tampered, lower).otherwise(F.col("text"))}))

@@ -11,9 +11,6 @@ it. Documents carry their distinct pairs with the number of links, so neither a
 document nor a frequent pair is spelled out. The pairs of many documents (at most ``FREQUENT`` of
 them) are sent to the tasks; the rest, each in few documents, is joined by pair.
 
-Texts are cut into A's pre-tokens first and distinct ones are encoded once a task (memory bound
-``MEMO_WORDS``; the ids do not depend on it); B encodes whole texts.
-
 Defined results: null and empty texts have no tokens, nor has a text whose joined token
 bytes of either side differ from a space and the text (for example one that holds U+2581);
 very long texts are aligned whole; rows that repeat count as documents of their own; pairs that tie
@@ -23,20 +20,22 @@ for an A id's highest count are all best; an empty table gives no rows; other co
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.llm import words as W
-from wordmill.llm.pretokens import PreTokens, bounds, gather
+from wordmill.llm.pretokens import bounds
 from wordmill.llm.scratch import stored
 
 SLICE_BYTES = 1 << 20    # text bytes that are aligned at once
-MEMO_WORDS = 300_000     # encoded pre-tokens a task keeps
 PAIR_CHUNK = 1 << 21     # pairs that are spelled out at once
 FREQUENT = 1 << 18       # pairs sent to every task
 
@@ -48,38 +47,57 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids, bounds of the lists in them)."""
+    cut = bounds(np.array([len(x) for x in ids], np.int64))
+    return np.fromiter(chain.from_iterable(ids), np.int32, int(cut[-1])), cut
+
+
 class ByteLevel:
-    """Side A: a byte-level vocabulary of the public ``tokenizers`` library."""
+    """Side A: a byte-level vocabulary file of the public ``tokenizers`` library.
+
+    Where its merges stand in the order of the ids they make, the ids are ranks and the public ``tiktoken``
+    library encodes the same faster. It cannot cut long runs of white space; such a text is cut
+    by the pattern here and encoded by pre-tokens. Other files are encoded by their own library.
+    """
 
-    def __init__(self, path: str, pattern: str, memo_words: int = MEMO_WORDS):
+    def __init__(self, path: str, pattern: str):
+        import tiktoken
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        letters = byte_letters()
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        letters, vocabulary = byte_letters(), model["vocab"]
+        plain = {bytes(letters[c] for c in t): i for t, i in vocabulary.items() if all(c in letters for c in t)}
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        made = [vocabulary[a + b] for a, b in merges]
+        specials = set(vocabulary.values()) - {*made, *(plain.get(bytes([b]), -1) for b in range(256))}
+        ranks = {t: i for t, i in plain.items() if i not in specials}
+        self.find, self.ranked, self.tokenizer = regex.compile(pattern).findall, None, None
+        if all(x < y for x, y in zip(made, made[1:])) and len(ranks) == len(vocabulary) - len(specials):
+            self.ranked = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        else:
+            from tokenizers import Tokenizer
+            self.tokenizer = Tokenizer.from_file(path)
+            self.tokenizer.encode_special_tokens = True
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            self.bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
-        self.cut, self.memo, self.memo_words = PreTokens(pattern), {}, memo_words
+        for token, i in plain.items():
+            self.bytes[i] = token
 
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def _ids(self, text: str) -> list[int]:
+        try:
+            return self.ranked.encode_ordinary(text)
+        except ValueError:      # its cutting ran out of stack
+            return [i for word in self.find(text) for i in self.ranked._encode_single_piece(word)]
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, bounds of the texts in them)."""
-        distinct, codes, counts = self.cut(texts)
-        words = distinct.to_pylist()
-        if len(self.memo) + len(words) > self.memo_words:
-            self.memo = {}
-        new = [w for w in words if w not in self.memo]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.memo[w] = np.array(e.ids, np.int32)
-        ids = [self.memo[w] for w in words]
-        size = np.array([len(x) for x in ids], np.int64)
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-        return flat[gather(size, bounds(size)[:-1], codes)], bounds(size[codes])[bounds(counts)]
+        if self.ranked is not None:
+            return _flat([self._ids(t) for t in texts])
+        return _flat([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
 
 
 class Pieces:
-    """Side B: a model of the public ``sentencepiece`` library, which adds the space itself."""
+    """Side B: a model of the public ``sentencepiece`` library, which adds the first space itself."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -88,11 +106,10 @@ class Pieces:
         for i in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(i)
             self.bytes.append(bytes([int(piece[3:5], 16)]) if self.model.is_byte(i)
-                              else b"" if self.model.is_control(i) else piece.replace("▁", " ").encode())
+                              else b"" if self.model.is_control(i) else piece.replace("\u2581", " ").encode())
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [np.array(x, np.int32) for x in self.model.encode(texts, num_threads=1)]
-        return (np.concatenate(ids) if ids else np.zeros(0, np.int32)), bounds(np.array([len(x) for x in ids], np.int64))
+        return _flat(self.model.encode(texts, num_threads=1))
 
 
 def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,11 +131,11 @@ def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nd
         after = further
 
 
-def _pairs(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, doc: np.ndarray, width: int
-           ) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, doc: np.ndarray, width: int,
+           chunk: int) -> tuple[np.ndarray, np.ndarray]:
     """(key, links): the distinct pairs of each document, as document * width**2 + a * width + b, in order.
 
-    ``size_*`` and ``doc`` are per group. Groups are spelled out in chunks of ``PAIR_CHUNK`` pairs;
+    ``size_*`` and ``doc`` are per group. Groups are spelled out in chunks of ``chunk`` pairs;
     of a larger group the distinct ids of A are crossed with the distinct ids of B, a chunk at a time.
     """
     found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -133,12 +150,12 @@ def _pairs(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray,
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         found.append((keys[first], np.diff(np.append(first, len(keys))) if links is None else np.add.reduceat(links, first)))
 
-    normal = np.flatnonzero(many <= PAIR_CHUNK)
+    normal = np.flatnonzero(many <= chunk)
     total = np.cumsum(many[normal])
     at = 0
     while at < len(normal):
         before = total[at - 1] if at else 0
-        upto = max(at + 1, int(np.searchsorted(total, before + PAIR_CHUNK, "right")))
+        upto = max(at + 1, int(np.searchsorted(total, before + chunk, "right")))
         g = normal[at:upto]
         k = many[g]
         inside = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
@@ -147,10 +164,10 @@ def _pairs(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray,
         y = b[np.repeat(start_b[g], k) + inside % wide]
         add(np.repeat(doc[g] * (width * width), k) + x * np.int64(width) + y, None)
         at = upto
-    for g in np.flatnonzero(many > PAIR_CHUNK):
+    for g in np.flatnonzero(many > chunk):
         x, n_x = np.unique(a[start_a[g]:start_a[g + 1]], return_counts=True)
         y, n_y = np.unique(b[start_b[g]:start_b[g + 1]], return_counts=True)
-        rows = max(1, PAIR_CHUNK // len(y))
+        rows = max(1, chunk // len(y))
         for k in range(0, len(x), rows):
             pairs = (x[k:k + rows, None] * np.int64(width) + y[None, :]).ravel()
             add(doc[g] * (width * width) + pairs, np.outer(n_x[k:k + rows], n_y).ravel())
@@ -162,8 +179,8 @@ def _pairs(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray,
 
 
 class Aligner:
-    def __init__(self, path_a: str, pattern: str, path_b: str):
-        self.a, self.b = ByteLevel(path_a, pattern), Pieces(path_b)
+    def __init__(self, path_a: str, pattern: str, path_b: str, chunk: int = PAIR_CHUNK):
+        self.a, self.b, self.chunk = ByteLevel(path_a, pattern), Pieces(path_b), chunk
         self.size_a = np.array([len(x) for x in self.a.bytes], np.int64)
         self.size_b = np.array([len(x) for x in self.b.bytes], np.int64)
         top = max(len(self.size_a), len(self.size_b))
@@ -173,14 +190,12 @@ class Aligner:
 
     def __call__(self, texts: list[str]) -> dict[str, list | np.ndarray]:
         """Of every text (none null) n_a, n_b, n_groups, n_links, the groups' text, and its distinct pairs with links."""
-        spaced = pa.array([f" {t}" if t else "" for t in texts], pa.large_string())
-        ids_a, at_a = self.a(spaced)
+        ids_a, at_a = self.a([f" {t}" if t else "" for t in texts])
         ids_b, at_b = self.b(texts)
-        good = np.zeros(len(texts), bool)
-        for k, t in enumerate(texts):
-            raw = b" " + t.encode()
-            good[k] = bool(t) and all(raw == b"".join(map(table.__getitem__, ids[at[k]:at[k + 1]].tolist()))
-                                      for table, ids, at in ((self.a.bytes, ids_a, at_a), (self.b.bytes, ids_b, at_b)))
+        good = np.array([t != "" for t in texts], bool)
+        for table, ids, at in ((self.a.bytes, ids_a.tolist(), at_a.tolist()), (self.b.bytes, ids_b.tolist(), at_b.tolist())):
+            for k, t in enumerate(texts):
+                good[k] &= not t or b"".join(map(table.__getitem__, ids[at[k]:at[k + 1]])) == b" " + t.encode()
         ids_a, n_a = ids_a[np.repeat(good, np.diff(at_a))], np.where(good, np.diff(at_a), 0)
         ids_b, n_b = ids_b[np.repeat(good, np.diff(at_b))], np.where(good, np.diff(at_b), 0)
         last_a, last_b = terminals(np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b]))
@@ -189,7 +204,7 @@ class Aligner:
         group_a, group_b = label[last_a], label[last_b]
         size_a, size_b = np.bincount(group_a, minlength=len(ends)), np.bincount(group_b, minlength=len(ends))
         doc = np.searchsorted(bounds(n_b), ends, "right") - 1
-        keys, links = _pairs(ids_a, ids_b, size_a, size_b, doc, self.width)
+        keys, links = _pairs(ids_a, ids_b, size_a, size_b, doc, self.width, self.chunk)
         cut = np.searchsorted(keys, np.arange(len(texts) + 1) * self.width ** 2)
         x, y = np.divmod(keys % self.width ** 2, self.width)
         # A's tokens of a group stand before B's: a token moves by the other side's tokens before it
@@ -208,7 +223,7 @@ class Aligner:
 
 
 def alignments(docs: DataFrame, path_a: str, pattern: str, path_b: str, id_col: str = "doc_id", text_col: str = "text",
-               groups: bool = True) -> DataFrame:
+               groups: bool = True, chunk: int = PAIR_CHUNK) -> DataFrame:
     """Per document: id, n_a, n_b, n_groups, n_links, groups_sha256, pairs and links (arrays), and with ``groups``
     the groups themselves as text (``a1,a2|b1;a3|b2,b3``)."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -216,7 +231,7 @@ def alignments(docs: DataFrame, path_a: str, pattern: str, path_b: str, id_col:
               "pairs array<bigint>, links array<bigint>" + (", groups string" if groups else ""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        align = Aligner(path_a, pattern, path_b)
+        align = Aligner(path_a, pattern, path_b, chunk)
         for batch in batches:
             for part in W.byte_slices(batch, 1, SLICE_BYTES):
                 x = align([t or "" for t in part.column(1).to_pylist()])
@@ -298,9 +313,9 @@ def scored(aligned: DataFrame, counts: DataFrame, frequent: int = FREQUENT) -> D
 
 
 def aligned_documents(docs: DataFrame, path_a: str, pattern: str, path_b: str, id_col: str = "doc_id",
-                      text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
+                      text_col: str = "text", frequent: int = FREQUENT, chunk: int = PAIR_CHUNK) -> DataFrame:
     """Per document: id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
-    found = stored(alignments(docs, path_a, pattern, path_b, id_col, text_col, groups=False)
+    found = stored(alignments(docs, path_a, pattern, path_b, id_col, text_col, False, chunk)
                    .withColumn("row", F.monotonically_increasing_id()), "align-docs")
     marks = scored(found, pair_counts(found), frequent)
     return (found.drop("pairs", "links").join(marks, "row")

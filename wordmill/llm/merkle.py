@@ -10,11 +10,11 @@ SHA-256 chaining value of 32 bytes. The manifest stores it for every slot. To fo
 version of a row into the tree, the state before its slot goes on with the new digest and
 the siblings right of it only; what lies left is in the state already.
 
-On Spark: leaves are numbered inside their group by range partitioning, and ``SPAN``
-consecutive nodes (``LEVELS`` levels) are one block, built by one bounded grouped task; a
+On Spark: leaves are numbered inside their group by range partitioning, and
+``FAN ** levels`` consecutive nodes are one block, built by one bounded grouped task; a
 group of any size is as many blocks as it needs, and a table of N rows takes about
-log N / log SPAN jobs. The states and siblings above a block (its path) are handed down
-block by block, so no join has a key of more than ``SPAN`` rows.
+log N / log (FAN ** levels) jobs. The states and siblings above a block (its path) are handed
+down block by block, so no join has a key of more rows than a block has nodes.
 
 Defined results: null fields count as ``-`` (a null id stands before all others, a null
 group before all groups); null, empty and very long texts are hashed whole on the JVM;
@@ -38,8 +38,7 @@ from wordmill.llm.positions import numbered
 from wordmill.llm.scratch import stored
 
 FAN = 16
-LEVELS = 3
-SPAN = FAN ** LEVELS
+LEVELS = 3               # levels of a block: 4096 nodes
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 STEP = "array<struct<slot: int, run: binary, state: binary>>"
@@ -55,15 +54,15 @@ def leaf(fields: list[F.Column]) -> F.Column:
     return F.sha2(F.concat(*map(part, fields)), 256)
 
 
-# --- one block: at most SPAN nodes of a group --------------------------------------------
+# --- one block: at most FAN ** levels nodes of a group --------------------------------------------
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 32)
 
 
-def _depth(total: int) -> int:
+def _depth(total: int, levels: int) -> int:
     """Levels that a block of a group of ``total`` nodes has."""
     depth = 0
-    while depth < LEVELS and total > FAN ** depth:
+    while depth < levels and total > FAN ** depth:
         depth += 1
     return depth
 
@@ -81,18 +80,20 @@ def parents(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return S.digest(S.compress(now, S.end_block(count))), states
 
 
-def _build(table: pa.Table) -> pa.Table:
-    order = np.argsort(table["pos"].to_numpy(), kind="stable")
-    levels, states = [_matrix(table["digest"])[order]], []
-    total = table["n"][0].as_py()
-    for _ in range(_depth(total)):
-        above, state = parents(levels[-1])
-        levels.append(above)
-        states.append(S.state_bytes(state))
-    return pa.table({"key": table["key"][:1], "blk": table["blk"][:1], "n": pa.array([total], pa.int64()),
-                     "nodes": pa.array([[x.tobytes() for x in levels[:-1]]], pa.list_(pa.binary())),
-                     "states": pa.array([states], pa.list_(pa.binary())),
-                     "root": pa.array([levels[-1].tobytes()], pa.binary())})
+def _builder(depth_of_block: int):
+    def build_block(table: pa.Table) -> pa.Table:
+        order = np.argsort(table["pos"].to_numpy(), kind="stable")
+        levels, states = [_matrix(table["digest"])[order]], []
+        total = table["n"][0].as_py()
+        for _ in range(_depth(total, depth_of_block)):
+            above, state = parents(levels[-1])
+            levels.append(above)
+            states.append(S.state_bytes(state))
+        return pa.table({"key": table["key"][:1], "blk": table["blk"][:1], "n": pa.array([total], pa.int64()),
+                         "nodes": pa.array([[x.tobytes() for x in levels[:-1]]], pa.list_(pa.binary())),
+                         "states": pa.array([states], pa.list_(pa.binary())),
+                         "root": pa.array([levels[-1].tobytes()], pa.binary())})
+    return build_block
 
 
 class Block:
@@ -109,19 +110,17 @@ class Block:
                 "state": S.state_bytes(self.states[level][run, slot])}
 
 
-def _hand_down(blocks: pa.Table, paths: pa.Table) -> pa.Table:
-    """The path of every child of a block: its steps inside the block, then the block's own path."""
-    if not blocks.num_rows or not paths.num_rows:
-        return pa.table({"key": pa.array([], pa.string()), "pos": pa.array([], pa.int64()),
-                         "steps": pa.array([], STEP_TYPE), "subroot": pa.array([], pa.binary()),
-                         "root": pa.array([], pa.binary())})
-    row, path = blocks.to_pylist()[0], paths.to_pylist()[0]
-    block = Block(row)
-    n = len(block.nodes[0]) if block.nodes else 1
-    steps = [[block.step(k, i // FAN ** k) for k in range(len(block.nodes))] + path["steps"] for i in range(n)]
-    return pa.table({"key": pa.array([row["key"]] * n), "pos": pa.array(row["blk"] * SPAN + np.arange(n)),
-                     "steps": pa.array(steps, STEP_TYPE), "subroot": pa.array([path["subroot"]] * n, pa.binary()),
-                     "root": pa.array([path["root"]] * n, pa.binary())})
+def _hander(span: int):
+    def hand_down(blocks: pa.Table, paths: pa.Table) -> pa.Table:
+        """The path of every child of a block: its steps inside the block, then the block's own path."""
+        row, path = blocks.to_pylist()[0], paths.to_pylist()[0]
+        block = Block(row)
+        n = len(block.nodes[0]) if block.nodes else 1
+        steps = [[block.step(k, i // FAN ** k) for k in range(len(block.nodes))] + path["steps"] for i in range(n)]
+        return pa.table({"key": pa.array([row["key"]] * n), "pos": pa.array(row["blk"] * span + np.arange(n)),
+                         "steps": pa.array(steps, STEP_TYPE), "subroot": pa.array([path["subroot"]] * n, pa.binary()),
+                         "root": pa.array([path["root"]] * n, pa.binary())})
+    return hand_down
 
 
 STEP_TYPE = pa.list_(pa.struct([("slot", pa.int32()), ("run", pa.binary()), ("state", pa.binary())]))
@@ -177,58 +176,63 @@ def proofs(block: Block, steps: list[dict], at: np.ndarray) -> list[str]:
     return out
 
 
-def _audit(leaves: pa.Table, blocks: pa.Table) -> pa.Table:
-    row = blocks.to_pylist()[0]
-    block, at = Block(row), leaves["pos"].to_numpy() % SPAN
-    root = row["root"].hex()
-    folded = [x.tobytes().hex() for x in fold(block, row["steps"], at, _matrix(leaves["version"]))]
-    n = len(at)
-    return pa.table({"id": leaves["id"], "leaf": pa.array([x.hex() for x in leaves["digest"].to_pylist()], pa.string()),
-                     "subroot": pa.array([row["subroot"].hex()] * n, pa.string()), "root": pa.array([root] * n, pa.string()),
-                     "proof_sha256": pa.array(proofs(block, row["steps"], at), pa.string()),
-                     "folded_root": pa.array(folded, pa.string()), "verified": pa.array([x == root for x in folded])})
+def _auditor(span: int):
+    def audit_block(leaves: pa.Table, blocks: pa.Table) -> pa.Table:
+        row = blocks.to_pylist()[0]
+        block, at = Block(row), leaves["pos"].to_numpy() % span
+        root = row["root"].hex()
+        folded = [x.tobytes().hex() for x in fold(block, row["steps"], at, _matrix(leaves["version"]))]
+        n = len(at)
+        return pa.table({"id": leaves["id"], "leaf": pa.array([x.hex() for x in leaves["digest"].to_pylist()], pa.string()),
+                         "subroot": pa.array([row["subroot"].hex()] * n, pa.string()),
+                         "root": pa.array([root] * n, pa.string()),
+                         "proof_sha256": pa.array(proofs(block, row["steps"], at), pa.string()),
+                         "folded_root": pa.array(folded, pa.string()), "verified": pa.array([x == root for x in folded])})
+    return audit_block
 
 
 # --- the trees ------------------------------------------------------------------------------
-def _tiers(nodes: DataFrame, name: str) -> list[DataFrame]:
+def _tiers(nodes: DataFrame, levels: int, name: str) -> list[DataFrame]:
     """The stored blocks over (key, pos, digest, n), tier by tier, until every key has one node."""
-    tiers = []
+    tiers, span = [], FAN ** levels
     while True:
-        blocks = stored(nodes.select("key", F.expr(f"pos div {SPAN}").alias("blk"), "pos", "digest", "n")
-                        .groupBy("key", "blk").applyInArrow(_build, BLOCK), name)
+        blocks = stored(nodes.select("key", F.expr(f"pos div {span}").alias("blk"), "pos", "digest", "n")
+                        .groupBy("key", "blk").applyInArrow(_builder(levels), BLOCK), name)
         tiers.append(blocks)
-        nodes = blocks.where(F.col("n") > SPAN).select(
+        nodes = blocks.where(F.col("n") > span).select(
             "key", F.col("blk").alias("pos"), F.col("root").alias("digest"),
-            F.expr(f"(n + {SPAN - 1}) div {SPAN}").alias("n"))
+            F.expr(f"(n + {span - 1}) div {span}").alias("n"))
         if nodes.isEmpty():
             return tiers
 
 
-def _tops(tiers: list[DataFrame]) -> DataFrame:
+def _tops(tiers: list[DataFrame], levels: int) -> DataFrame:
     """(key, digest) of the node that remains of each key."""
     out = None
     for blocks in tiers:
-        done = blocks.where(F.col("n") <= SPAN).select("key", F.col("root").alias("digest"))
+        done = blocks.where(F.col("n") <= FAN ** levels).select("key", F.col("root").alias("digest"))
         out = done if out is None else out.unionByName(done)
     return out
 
 
-def _block_paths(tiers: list[DataFrame], above: DataFrame) -> DataFrame:
+def _children(blocks: DataFrame, paths: DataFrame, levels: int) -> DataFrame:
+    """(key, pos, steps, subroot, root): the paths of the blocks' children."""
+    return (blocks.groupBy("key", "blk").cogroup(paths.groupBy("key", "blk"))
+            .applyInArrow(_hander(FAN ** levels), PATH.replace("blk", "pos")))
+
+
+def _block_paths(tiers: list[DataFrame], above: DataFrame, levels: int) -> DataFrame:
     """(key, blk, steps, subroot, root) of the lowest tier's blocks, handed down from ``above`` (per key)."""
-    below = None
+    paths = None
     for k in range(len(tiers) - 1, -1, -1):
-        tops = tiers[k].where(F.col("n") <= SPAN).select(
+        tops = tiers[k].where(F.col("n") <= FAN ** levels).select(
             F.col("key").alias("_key"), F.col("blk").alias("_blk")).join(above, F.col("_key") == F.col("key"))
         tops = tops.select(F.col("_key").alias("key"), F.col("_blk").alias("blk"), "steps", "subroot", "root")
-        paths = tops if below is None else tops.unionByName(below.withColumnRenamed("pos", "blk"))
-        if k == 0:
-            return paths
-        below = _children(tiers[k], paths)
-
-
-def _children(blocks: DataFrame, paths: DataFrame) -> DataFrame:
-    return (blocks.groupBy("key", "blk").cogroup(paths.groupBy("key", "blk"))
-            .applyInArrow(_hand_down, PATH.replace("blk", "pos")))
+        if paths is not None:
+            below = _children(tiers[k + 1], paths, levels)
+            tops = tops.unionByName(below.withColumnRenamed("pos", "blk"))
+        paths = tops
+    return paths
 
 
 @dataclass
@@ -237,10 +241,11 @@ class Manifest:
 
     leaves: DataFrame
     blocks: DataFrame
+    levels: int
 
 
 def build(docs: DataFrame, fields: tuple[str, ...] = FIELDS, id_col: str = "doc_id", group_col: str = "source",
-          versions: dict[str, F.Column] | None = None) -> Manifest:
+          versions: dict[str, F.Column] | None = None, levels: int = LEVELS) -> Manifest:
     """The manifest of ``docs``; ``versions`` gives other values of some fields, kept as second leaf digests."""
     ident, group = F.col(f"`{id_col}`"), F.col(f"`{group_col}`").cast("string")
     own = [F.col(f"`{f}`") for f in fields]
@@ -249,25 +254,25 @@ def build(docs: DataFrame, fields: tuple[str, ...] = FIELDS, id_col: str = "doc_
     # a null group stands first, and no key is null
     rows = docs.select(F.coalesce(F.concat(F.lit("="), group), F.lit("")).alias("key"), ident.alias("id"),
                        F.unhex(digest).alias("digest"), F.unhex(version).alias("version"))
-    leaves = numbered(rows, "key", ["id", "digest"], "pos", "n", "merkle-leaves")
-    tiers = _tiers(leaves, "merkle-blocks")
-    tops = numbered(_tops(tiers).withColumnsRenamed({"key": "group"}).withColumn("key", F.lit("")),
-                    "key", ["group"], "pos", "n", "merkle-groups")
-    upper = _tiers(tops, "merkle-roots")
-    top = _tops(upper).select("key", F.array().cast(STEP).alias("steps"), F.lit(None).cast("binary").alias("subroot"),
-                              F.col("digest").alias("root"))
-    found = _children(upper[0], _block_paths(upper, top)).drop("subroot")
+    leaves = stored(numbered(rows, "key", ["id", "digest"], "pos", "n", "merkle-rows"), "merkle-leaves")
+    tiers = _tiers(leaves, levels, "merkle-blocks")
+    tops = stored(numbered(_tops(tiers, levels).select(F.col("key").alias("group"), "digest", F.lit("").alias("key")),
+                           "key", ["group"], "pos", "n", "merkle-tops"), "merkle-groups")
+    upper = _tiers(tops, levels, "merkle-roots")
+    top = _tops(upper, levels).select("key", F.array().cast(STEP).alias("steps"),
+                                      F.lit(None).cast("binary").alias("subroot"), F.col("digest").alias("root"))
+    found = _children(upper[0], _block_paths(upper, top, levels), levels).drop("subroot")
     above = (tops.select("group", "key", "pos", F.col("digest").alias("subroot")).join(found, ["key", "pos"])
              .select(F.col("group").alias("key"), "steps", "subroot", "root"))
-    blocks = tiers[0].drop("n", "root").join(_block_paths(tiers, above), ["key", "blk"])
-    return Manifest(leaves, stored(blocks, "merkle-manifest"))
+    blocks = tiers[0].drop("n", "root").join(_block_paths(tiers, above, levels), ["key", "blk"])
+    return Manifest(leaves, stored(blocks, "merkle-manifest"), levels)
 
 
 def audit(manifest: Manifest, id_col: str = "doc_id") -> DataFrame:
     """Per leaf: id, leaf, subroot, root, proof_sha256, folded_root of its version, verified."""
-    leaves = manifest.leaves
+    leaves, span = manifest.leaves, FAN ** manifest.levels
     schema = (f"id {leaves.schema['id'].dataType.simpleString()}, leaf string, subroot string, root string, "
               "proof_sha256 string, folded_root string, verified boolean")
-    grouped = leaves.withColumn("blk", F.expr(f"pos div {SPAN}")).groupBy("key", "blk")
-    return (grouped.cogroup(manifest.blocks.groupBy("key", "blk")).applyInArrow(_audit, schema)
+    grouped = leaves.withColumn("blk", F.expr(f"pos div {span}")).groupBy("key", "blk")
+    return (grouped.cogroup(manifest.blocks.groupBy("key", "blk")).applyInArrow(_auditor(span), schema)
             .withColumnRenamed("id", id_col))

@@ -6,13 +6,18 @@ query joins adjacent rows to the merge table and contracts, word by word, the le
 pair of the smallest rank until no pair of a word can merge. An ordered aggregation over
 the resulting rows decodes them. Documents are put together from their words' ids in order.
 
-A pre-token that is itself a token is that token, as in the public library. Words longer
+A pre-token that is itself a token is that token, as in the public library: it enters the
+recursion as one row. All ids are decoded by the vocabulary, these too. Words longer
 than ``LONG_WORD`` bytes are contracted by the same rule, but in one step all
 non-overlapping places of the smallest pair, left to right: the ids are the same (a merge never makes a pair of a
 smaller rank), and the number of steps no longer grows with the word's length.
 
-Defined results: null text is empty, which has no ids; repeated rows are encoded each; an
-empty table gives an empty result; other columns are ignored or, by ``keep``, carried.
+Words go to DuckDB in batches of ``BATCH_BYTES``; a batch that still outgrows its memory limit is
+halved and tried again, down to a single word.
+
+Defined results: null text is empty, which has no ids; very long texts are encoded whole;
+pairs of one rank merge from the left; repeated rows are encoded each; an empty table
+gives an empty result; other columns are ignored or, by ``keep``, carried.
 """
 
 from __future__ import annotations
@@ -32,6 +37,7 @@ from wordmill.llm.pretokens import PreTokens, bounds, gather, rank_file
 
 LONG_WORD = 256
 SLICE_BYTES = 8 << 20   # text bytes that are encoded at once
+BATCH_BYTES = 1 << 20   # bytes of words that one DuckDB query contracts
 MEMO_WORDS = 300_000    # words a task keeps between slices; beyond that it forgets them, results are the same
 
 #: Rows (word, pos, tok); rows of a word that can't merge any more leave with live = false.
@@ -112,17 +118,22 @@ class Codec:
             self.db.unregister("given")
 
     def _contract(self, words: list[bytes], sql: str) -> list[tuple[bytes, bytes]]:
-        sizes = np.array([len(w) for w in words], np.int64)
-        raw = np.frombuffer(b"".join(words), np.uint8)
+        known = [self.ranks.get(w, -1) for w in words]
+        sizes = np.array([len(w) if k < 0 else 1 for w, k in zip(words, known)], np.int64)
         start = pa.table({"word": np.repeat(np.arange(len(words), dtype=np.int32), sizes),
                           "pos": gather(sizes, np.zeros(len(words), np.int64), np.arange(len(words))).astype(np.int32),
-                          "tok": self.byte_id[raw]})
-        self.db.register("start", start)
-        rows = self.db.sql(f"SELECT * FROM ({sql}) ORDER BY word, pos").to_arrow_table()
-        self.db.unregister("start")
-        self.db.register("tokens", rows)
-        decoded = self.db.execute(f"SELECT hex FROM ({DECODE.format(rows='tokens')}) ORDER BY word").fetchall()
-        self.db.unregister("tokens")
+                          "tok": np.concatenate([self.byte_id[np.frombuffer(w, np.uint8)] if k < 0 else
+                                                 np.array([k], np.int32) for w, k in zip(words, known)])})
+        try:
+            self.db.register("start", start)
+            rows = self.db.sql(f"SELECT * FROM ({sql}) ORDER BY word, pos").to_arrow_table()
+            self.db.register("tokens", rows)
+            decoded = self.db.execute(f"SELECT hex FROM ({DECODE.format(rows='tokens')}) ORDER BY word").fetchall()
+        except duckdb.OutOfMemoryException:
+            if len(words) == 1:
+                raise
+            half = len(words) // 2
+            return self._contract(words[:half], sql) + self._contract(words[half:], sql)
         cut = bounds(np.bincount(rows["word"].to_numpy(), minlength=len(words)))
         ids = rows["tok"].to_numpy().astype("<u4")
         return [(ids[a:b].tobytes(), bytes.fromhex(h)) for a, b, (h,) in zip(cut[:-1], cut[1:], decoded)]
@@ -131,19 +142,19 @@ class Codec:
         """(ids as little-endian unsigned 32-bit integers, decoded bytes) of each word."""
         if len(self.memo) + len(distinct) > self.memo_words:
             self.memo = {}
-        new = [w for w in distinct if w not in self.memo]
         short, long = [], []
-        for w in new:
-            raw = w.encode()
-            known = self.ranks.get(raw)
-            if known is not None:
-                self.memo[w] = (known.to_bytes(4, "little"), raw)
-            else:
+        for w in distinct:
+            if w not in self.memo:
+                raw = w.encode()
                 (short if len(raw) <= LONG_WORD else long).append((w, raw))
         for group, sql in ((short, ENCODE), (long, ENCODE_LONG)):
-            for k in range(0, len(group), 100_000):
-                part = group[k:k + 100_000]
+            ends = bounds(np.array([len(r) for _, r in group], np.int64))
+            at = 0
+            while at < len(group):
+                upto = max(at + 1, int(np.searchsorted(ends, ends[at] + BATCH_BYTES, "right")) - 1)
+                part = group[at:upto]
                 self.memo.update(zip((w for w, _ in part), self._contract([r for _, r in part], sql)))
+                at = upto
         return [self.memo[w] for w in distinct]
 
     def slice(self, texts: pa.Array, cut: PreTokens):

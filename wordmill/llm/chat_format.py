@@ -16,7 +16,8 @@ trained turns are intersected with the sorted token spans by binary search.
 
 Defined results: null text and null role are empty; turns order by (turn, role, text),
 nulls first; repeated rows are repeated turns; rows without conversation id form one
-conversation; an empty table gives an empty result; other columns are ignored.
+conversation; texts of any length and of any run of white space are encoded whole; an
+empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,13 +28,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.llm.pretokens import bounds, rank_file
 
+MEMO_WORDS = 100_000    # encoded pre-tokens a task keeps
+
 TURN, END = "<|turn|>", "<|end|>"
 _TURNS = re.compile(re.escape(TURN) + r"([^\n]*)\n(.*?)" + re.escape(END), re.S)
+_MARK = re.compile(f"({re.escape(TURN)}|{re.escape(END)})")
 _HEADER = re.compile(re.escape(TURN) + r"[^\n]*\n")
 _ESCAPED = re.compile(r"\\(.)", re.S)
 
@@ -64,15 +69,31 @@ class Tokenizer:
         first = max(ranks.values()) + 1
         self.encoding = tiktoken.Encoding("chat", pat_str=pattern, mergeable_ranks=ranks,
                                           special_tokens={TURN: first, END: first + 1})
+        self.marks = {TURN: first, END: first + 1}
+        self.cut, self.memo = regex.compile(pattern).findall, {}
         self.size = np.zeros(first + 2, np.int64)
         self.size[list(ranks.values())] = [len(t) for t in ranks]
         self.size[first:] = len(TURN), len(END)
 
+    def _word(self, word: str) -> list[int]:
+        """The ids of one pre-token. The library's own cutting fails on long runs of white space, its merging does not."""
+        found = self.memo.get(word)
+        if found is None:
+            if len(self.memo) >= MEMO_WORDS:
+                self.memo.clear()
+            found = self.memo[word] = self.encoding._encode_single_piece(word)
+        return found
+
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, first characters, end characters); tokens of one character's bytes share its place."""
         ids, at = [], 0
         for cut in (*(m.end() for m in _HEADER.finditer(text)), len(text)):
-            ids += self.encoding.encode(text[at:cut], allowed_special="all", disallowed_special=())
+            for piece in _MARK.split(text[at:cut]):
+                if piece in self.marks:
+                    ids.append(self.marks[piece])
+                else:
+                    for word in self.cut(piece):
+                        ids += self._word(word)
             at = cut
         ids = np.array(ids, np.int64)
         lead = (np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80

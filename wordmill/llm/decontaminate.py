@@ -3,17 +3,22 @@
 :func:`build_index` cuts the training documents into segments (a bounded number of text
 bytes each), lays the words of a segment on one axis of positions with a gap behind every
 document, and stores for each term of the segment its sorted positions, gap-encoded: the
-postings are never shuffled for storing. :func:`search` reads the postings of the
-benchmark's terms, brings each segment's lists together and, for every window of an item,
-intersects the offset-adjusted lists beginning with the rarest term of that segment. It
-returns exact phrases and, with ``slop`` > 0, proximity matches: alignments at which every
-word of the window occurs at most ``slop`` positions off its place.
+postings are never shuffled for storing.
 
-The benchmark is searched in blocks of ``block_chars`` characters; only one block at a
-time is held by the driver and sent to the tasks, whatever the benchmark's size.
+:func:`search` keeps the benchmark in tables as well. Its distinct texts are cut into pieces of
+at most ``piece_words`` words. Every window of a piece must occur around its rarest term, so
+the rarest terms alone are joined to the postings: what comes out are the (segment, piece)
+pairs worth a look. Only for these the other terms' lists are fetched, brought together by
+segment and block of pieces, and intersected offset-adjusted, beginning with the rarest
+term of that segment. The result is exact phrases and, with ``slop`` > 0, proximity matches:
+alignments at which every word of the window occurs at most ``slop`` positions off its place.
+
+Nothing of the benchmark passes the driver. A task holds one segment's lists for one block
+of pieces (``block_words`` words), whatever the size of either side; items of equal text are searched once.
 
 Defined results: null and word-less documents keep a row with no matches; null and
-word-less items never match; an item of fewer words than the window is one window;
+word-less items never match; an item of fewer words than the window is one window; very
+long texts are indexed and searched whole; ties for the rarest term go to the first;
 repeated documents are documents of their own; repeated items match under their id; empty
 tables give empty results; other columns are ignored.
 """
@@ -25,19 +30,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.llm import words as W
-from wordmill.llm.scratch import free_name, scratch_path
+from wordmill.llm.scratch import free_name, scratch_path, stored
 
 GAP = 64  # free positions between documents; a window's alignment with slop cannot bridge it
 DOC_STARTS = ""  # the "term" whose positions are the documents' first positions; no word is empty
 
 INDEX = "kind string, seg long, ord int, doc_id long, n_words long, term string, n long, width int, gaps binary"
-MATCHES = ("seg long, ord int, item_id long, item_start int, doc_start long, length int, exact boolean")
+MATCHES = "seg long, ord int, piece long, item_start int, doc_start long, length int, exact boolean"
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+PIECE_WORDS = 4096        # words of an item that are searched at once
+BLOCK_WORDS = 1 << 20     # words of the pieces that one task looks for in a segment
 
 
 @dataclass
@@ -182,9 +190,9 @@ def _runs(starts: np.ndarray, bases: np.ndarray, window: int) -> list[tuple[int,
     return list(zip(starts[at].tolist(), bases[at].tolist(), (starts[end] - starts[at] + window).tolist()))
 
 
-def _search_segment(items: list[tuple[int, list[str]]], window: int, slop: int):
-    def run(table: pa.Table) -> pa.Table:
-        raw = dict(zip(table["term"].to_pylist(), zip(table["width"].to_pylist(), table["gaps"].to_pylist())))
+def _search_segment(window: int, slop: int):
+    def run(postings: pa.Table, pieces: pa.Table) -> pa.Table:
+        raw = dict(zip(postings["term"].to_pylist(), zip(postings["width"].to_pylist(), postings["gaps"].to_pylist())))
         read: dict[str, np.ndarray | None] = {}
 
         def positions(term: str) -> np.ndarray | None:
@@ -193,65 +201,88 @@ def _search_segment(items: list[tuple[int, list[str]]], window: int, slop: int):
             return read[term]
 
         docs = positions(DOC_STARTS)
-        seg = table["seg"][0].as_py() if table.num_rows else None
         out = []
-        for item_id, item in items:
-            lists = [positions(w) for w in item]
-            size = min(window, len(item))
+        for seg, piece, first, words in zip(*(pieces[c].to_pylist() for c in ("seg", "piece", "first", "words"))):
+            lists = [positions(w) for w in words]
+            size = min(window, len(words))
             for off in sorted({0, slop}):
                 starts, bases = align(lists, window, off)
                 if len(starts):
                     for s, b, n in _runs(starts, bases, size):
                         k = int(np.searchsorted(docs, b + s, "right")) - 1
-                        out.append((seg, k, item_id, s, b + s - int(docs[k]), n, off == 0))
-                elif off == 0 and slop == 0:
-                    continue
+                        out.append((seg, k, piece, first + s, b + s - int(docs[k]), n, off == 0))
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_()]
-        names = ["seg", "ord", "item_id", "item_start", "doc_start", "length", "exact"]
+        names = ["seg", "ord", "piece", "item_start", "doc_start", "length", "exact"]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 7, types)],
                                     names=names)
     return run
 
 
+def benchmark_pieces(items: DataFrame, id_col: str, text_col: str, window: int, piece_words: int
+                     ) -> tuple[DataFrame, DataFrame]:
+    """(item_id and text key of every item, (piece, key, first, words) of the distinct texts).
+
+    Pieces overlap by a window less one word, so every window lies in one piece.
+    """
+    words = F.regexp_extract_all(F.translate(F.col(f"`{text_col}`"), UPPER, LOWER), F.lit(WORD), F.lit(0))
+    listed = items.select(F.col(f"`{id_col}`").cast("long").alias("item_id"), F.sha2(F.col(f"`{text_col}`"), 256).alias("key"),
+                          words.alias("words")).where("size(words) > 0")
+    texts = listed.groupBy("key").agg(F.any_value("words").alias("words"))    # equal keys, equal words
+    last = F.greatest(F.size("words") - window, F.lit(0))
+    cut = texts.select("key", "words", F.explode(F.sequence(F.lit(0), last, F.lit(piece_words))).alias("first"))
+    pieces = cut.select("key", "first", F.slice("words", F.col("first") + 1, piece_words + window - 1).alias("words"))
+    return (listed.select("item_id", "key"),
+            stored(pieces.withColumn("piece", F.monotonically_increasing_id()), "pieces"))
+
+
+def _anchors(pieces: DataFrame, postings: DataFrame, window: int) -> DataFrame:
+    """(piece, term): the rarest term of every window whose terms all occur, each once a piece."""
+    listed = pieces.select("piece", F.posexplode("words").alias("at", "term"))
+    often = (postings.join(listed.select("term").distinct(), "term", "left_semi")
+             .groupBy("term").agg(F.sum("n").alias("n")))
+    place = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "at", "term")
+    lists = (listed.join(often, "term", "left").groupBy("piece")
+             .agg(F.sort_array(F.collect_list(F.struct("at", place.alias("place")))).alias("places")))
+    spots = F.transform("places", lambda x: x["place"])
+    starts = F.sequence(F.lit(0), F.greatest(F.size("places") - window, F.lit(0)))
+    rarest = F.transform(starts, lambda k: F.array_min(F.slice(spots, k + 1, F.lit(window))))
+    return (lists.select("piece", F.explode(F.array_distinct(rarest)).alias("r")).where("r.n > 0")
+            .select("piece", "r.term").distinct())
+
+
 def search(index: Index, items: DataFrame, id_col: str = "item_id", text_col: str = "text",
-           window: int = 10, slop: int = 0, block_chars: int = 8 << 20) -> DataFrame:
-    """Matches of all items: the runs of matched words (:data:`MATCHES`).
+           window: int = 10, slop: int = 0, piece_words: int = PIECE_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Matches of all items: the runs of matched words, as seg, ord, item_id, item_start, doc_start, length, exact.
 
     ``exact`` rows are phrase matches; with ``slop`` the proximity matches (which include
-    the exact places) follow as rows of their own with ``exact`` false.
+    the exact places) follow as rows of their own with ``exact`` false. A run that goes on
+    over a piece's end comes in parts.
     """
     if window < 1 or not 0 <= 2 * slop < GAP:
         raise ValueError(f"window must be positive and slop below {GAP // 2}")
-    spark = items.sparkSession
-    texts = items.select(F.col(f"`{id_col}`").cast("long").alias("item_id"), F.col(f"`{text_col}`").alias("text"))
-    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-chars // block_chars))
-    parts = []
-    for block in range(blocks):
-        rows = texts.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        listed = pa.array([r.text for r in rows], pa.string())
-        found, counts = W.word_runs(listed)
-        found, at, block_items = found.to_pylist(), 0, []
-        for r, n in zip(rows, counts.tolist()):
-            if n:
-                block_items.append((r.item_id, found[at:at + n]))
-            at += n
-        terms = spark.createDataFrame([(t,) for t in sorted({DOC_STARTS} | set(found))], "term string")
-        # one block's distinct words, at most block_chars characters: a bounded broadcast
-        wanted = index.postings.join(F.broadcast(terms), "term", "left_semi")
-        parts.append(wanted.select("seg", "term", "width", "gaps").groupBy("seg").applyInArrow(
-            _search_segment(block_items, window, slop), MATCHES))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    ids, pieces = benchmark_pieces(items, id_col, text_col, window, piece_words)
+    total = pieces.agg(F.sum(F.size("words").cast("long"))).first()[0] or 0
+    blocks = max(1, -(-total // block_words))
+    block = F.pmod(F.xxhash64("piece"), F.lit(blocks)).alias("block")
+    anchors = _anchors(pieces, index.postings, window)
+    worth = stored(index.postings.select("seg", "term").join(anchors, "term").select("seg", "piece", block).distinct(),
+                   "candidates")
+    terms = pieces.select("piece", F.explode(F.array_distinct("words")).alias("term"))
+    wanted = (worth.join(terms, "piece").select("seg", "block", "term").distinct()
+              .unionByName(worth.select("seg", "block", F.lit(DOC_STARTS).alias("term")).distinct()))
+    lists = index.postings.join(wanted, ["seg", "term"]).select("seg", "block", "term", "width", "gaps")
+    asked = worth.join(pieces, "piece").select("seg", "block", "piece", "first", "words")
+    found = (lists.groupBy("seg", "block").cogroup(asked.groupBy("seg", "block"))
+             .applyInArrow(_search_segment(window, slop), MATCHES))
+    return (found.join(pieces.select("piece", "key"), "piece").join(ids, "key")
+            .select("seg", "ord", "item_id", "item_start", "doc_start", "length", "exact"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, slop: int = 0, id_col: str = "doc_id",
-                  text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+                  text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", **how) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, item_ids (sorted as strings), n_near_items."""
     index = build_index(docs, id_col, text_col)
-    found = search(index, items, item_id_col, item_text_col, window, slop)
+    found = search(index, items, item_id_col, item_text_col, window, slop, **how)
     places = F.sequence(F.col("doc_start"), F.col("doc_start") + F.col("length") - 1)
     hits = found.groupBy("seg", "ord").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("exact"), places))))).cast("long")

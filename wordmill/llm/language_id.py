@@ -10,25 +10,26 @@ best language under equal priors.
 
 Training is expectation-maximisation on word counts of labelled documents: the forward
 sums and, back through the same trie, the expected piece counts. It uses about
-``per_language`` documents of every label (a hash of the id decides, so the sample is the
-same in every run); a label of fewer documents is used whole. The model has one row a
-language and one column a piece.
+``per_language`` documents of every label, and no more than make up ``LABEL_BYTES`` bytes (a hash
+of the id decides, so the sample is the same in every run); a label of fewer documents is used whole.
+Texts over an eighth of that size are not learned from. The model has one row a language and one column a piece.
 
-Defined results: null texts and texts without a letter are ``und`` with score 0, and so is
-every text when there is nothing to learn from; equal likelihoods go to the language that
+Defined results: null texts and texts without a letter (Unicode category L; number signs are
+none) are ``und`` with score 0, and so is every text when there is nothing to learn from;
+very long texts are scored whole; equal likelihoods go to the language that
 sorts first; repeated rows are predicted each; an empty table gives an empty result; other
 columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +39,8 @@ from wordmill.llm.pretokens import bounds, rank_file
 
 UNKNOWN = "und"
 SLICE_BYTES = 4 << 20
-_LETTER = re.compile(r"[^\W\d_]")
+LABEL_BYTES = 4 << 20    # bytes of text a language is learned from, at most about
+_LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass
@@ -115,16 +117,17 @@ def fit(counted: pa.Table, vocabulary: list[bytes], rounds: int = 4, smoothing:
 def training_sample(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
                     per_language: int = 1000) -> DataFrame | None:
     """(lang, text) of about ``per_language`` documents of every non-null label of ``docs``; None without labels."""
-    labelled = docs.where(F.col(f"`{lang_col}`").isNotNull())
-    sizes = labelled.groupBy(F.col(f"`{lang_col}`").cast("string").alias("lang")).count().collect()  # a row a label
+    labelled = docs.select(
+        F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{id_col}`").alias("id"),
+        F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)).cast("long").alias("size")).where(
+        F.col("lang").isNotNull() & (F.col("size") <= LABEL_BYTES // 8))
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).collect()  # a row a label
     if not sizes:
         return None
     space = 1 << 30
-    cut = F.create_map(*(x for r in sizes for x in (
-        F.lit(r["lang"]), F.lit(space if r["count"] <= per_language else max(1, space * per_language // r["count"])))))
-    return labelled.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text"),
-                             F.col(f"`{id_col}`").alias("id")).where(
-        F.pmod(F.xxhash64("id"), F.lit(space)) < F.element_at(cut, F.col("lang"))).select("lang", "text")
+    cut = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], max(1, min(
+        space, space * per_language // r["n"], space * LABEL_BYTES // max(1, r["size"]))))))
+    return labelled.where(F.pmod(F.xxhash64("id"), F.lit(space)) < F.element_at(cut, F.col("lang"))).select("lang", "text")
 
 
 def train(docs: DataFrame, vocabulary_path: str, text_col: str = "text", lang_col: str = "lang",
@@ -154,13 +157,17 @@ def train(docs: DataFrame, vocabulary_path: str, text_col: str = "text", lang_co
 
 
 def least_fit(sample: DataFrame | None, model: Model) -> float:
-    """The log-likelihood per byte below which a text is of none of the languages: the range of the
-    training documents, widened by a quarter of itself below."""
+    """The log-likelihood per byte below which a text is of none of the languages.
+
+    One training document in a hundred lies below the range's low end, so odd documents do not set
+    it; the limit lies as far below that end as the median lies above it.
+    """
     if sample is None:
         return -np.inf
-    low, high = predict(sample, model, out=("_pred", "_score", "_fit", "_bytes")).where("_bytes > 0").agg(
-        F.min(F.col("_fit") / F.col("_bytes")), F.max(F.col("_fit") / F.col("_bytes"))).first()
-    return -np.inf if low is None else low - (high - low) / 4
+    per_byte = F.col("_fit") / F.col("_bytes")
+    low, middle = predict(sample, model, out=("_pred", "_score", "_fit", "_bytes")).where("_bytes > 0").agg(
+        F.percentile(per_byte, F.lit(0.01)), F.percentile(per_byte, F.lit(0.5))).first()
+    return -np.inf if low is None else low - (middle - low)
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", out=("lang_pred", "score")) -> DataFrame:

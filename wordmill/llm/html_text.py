@@ -3,14 +3,19 @@
 A page is parsed into a tree. Subtrees that by tag, role, hidden state or name are menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments go.
 Every text block passes points (1, one for each comma, one for each 100 characters) to the
-containers above it: all to the nearest, a half to the next, then a third and so on; a
-container's points are discounted by its share of link text. The container of the most
+containers above it: all to the nearest, a half to the next, then a third and so on, up to
+``REACH`` levels; a container's points are discounted by its share of link text. The container of the most
 points is the best. An ``article`` or ``main`` element around it is kept with those siblings
 that score at least a fifth of it (and headings directly before it). Without one, the best is
 kept with all its siblings, be they blocks, leaves or bare text, but those of mostly link
 text; a level further up is kept in the same way when text lies there directly or when the
 best is in one of several like sections. The blocks of what is kept are the text.
 
+A name counts in full where a class or id consists of such words, apart from words that only say where
+or what kind of box it is (``site-footer``, ``ad-slot``). A class that joins them with other words
+(``post-header``, ``notice-of-motion``, ``social-history``) only drops what its content does not speak for: an
+element without an ``h1`` that is mostly links or, outside of an article, holds less than ``FEW_CHARS`` unlinked characters.
+
 A name or a form does not drop an element that holds most of the page's unlinked text and
 looks like the page's wrapper: it holds an ``h1``, or no ``h1`` is outside of it and it has
 several blocks or four fifths of the text. With a name for reader comments it also has to hold
@@ -20,13 +25,15 @@ Inside a block runs of white space, line breaks and table cells become one space
 are joined by an empty line.
 
 Defined results: null and empty pages and pages without text give an empty text; a page
-cut off inside a tag loses that tag only; repeated rows are extracted each; an empty
+cut off inside a tag loses that tag only; very long and very deep pages are parsed whole; of
+containers with equal points the one that text reaches first is the best; repeated rows are extracted each; an empty
 table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -53,6 +60,12 @@ NAMES = frozenset("""nav navbar navigation menu submenu breadcrumb breadcrumbs h
 ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr
 notice notification popup modal overlay newsletter subscribe subscription share sharing social related recommended
 recommendations login signup search toolbar pagination pager widget""".split())
+#: Words of a class or id that say nothing of the content; digits neither.
+PLACES = frozenset("""site page main global primary secondary top bottom left right upper lower inner outer wrapper wrap container
+box block slot unit area section panel bar list items item links link buttons button row col column group content body
+js sticky fixed mobile desktop default style text""".split())
+REACH = 64
+FEW_CHARS = 200
 REMARKS = frozenset("comment comments commentlist disqus respond replies".split())
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _CUT_TAG = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
@@ -61,36 +74,50 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 class Node:
     __slots__ = ("tag", "attrs", "parent", "children", "gone", "points", "chars", "linked", "in_link", "plain", "before",
-                 "leaves", "titles")
+                 "leaves", "titles", "block", "links")
 
     def __init__(self, tag: str, attrs: dict[str, str | None], parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
         self.gone, self.points, self.chars, self.linked = False, 0.0, 0, 0
         self.in_link, self.plain, self.before, self.leaves, self.titles = False, 0, 0, 0, 0
+        self.links = 0
+        self.block = self if tag in BLOCKS or parent is None else parent.block  # the block element it lies in
 
 
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.here = Node("html", {}, None)
+        self.open: Counter[str] = Counter()     # open elements by tag, so that stray end tags cost nothing
+
+    def _close(self, node: Node) -> None:
+        """End ``node`` and everything open inside of it."""
+        while self.here is not node:
+            self.open[self.here.tag] -= 1
+            self.here = self.here.parent
+        self.open[node.tag] -= 1
+        self.here = node.parent
 
     def _end(self, tags: frozenset[str], fence: frozenset[str]) -> None:
+        if not any(self.open[t] for t in tags):
+            return
         node = self.here
         while node.parent is not None and node.tag not in fence:
             if node.tag in tags:
-                self.here = node.parent
+                self._close(node)
                 return
             node = node.parent
 
     def handle_starttag(self, tag, attrs):
-        if tag in BLOCKS:
-            self._end(frozenset(["p"]), BLOCKS - {"p"})
-        if tag in HEADINGS:
-            self._end(HEADINGS, BLOCKS - HEADINGS)
+        block = self.here.block
+        if block.parent is not None and (tag in BLOCKS and block.tag == "p" or tag in HEADINGS and block.tag in HEADINGS):
+            self._close(block)
+        if tag in HEADINGS and self.here.block.tag in HEADINGS:
+            self._close(self.here.block)
         if tag in ENDED_BY:
             self._end(*ENDED_BY[tag])
-        if tag in ("html", "body") and tag == "html":
+        if tag == "html":
             return
         if tag == "body":
             self._end(frozenset(["head"]), frozenset())
@@ -98,18 +125,21 @@ class _Builder(HTMLParser):
         self.here.children.append(node)
         if tag not in VOID:
             self.here = node
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
+        if not self.open[tag]:
+            return
         node = self.here
         while node.parent is not None and node.tag != tag:
             if node.tag in ("td", "th", "table") and tag not in BLOCKS:
                 return
             node = node.parent
         if node.parent is not None:
-            self.here = node.parent
+            self._close(node)
 
     def handle_data(self, data):
         self.here.children.append(data)
@@ -126,6 +156,23 @@ def _names(node: Node) -> set[str]:
     return {w.lower() for k in ("class", "id") for w in _NAME.findall(node.attrs.get(k) or "")}
 
 
+def _named_as_part(node: Node) -> bool:
+    """Whether some class or id consists of names of page parts, apart from words for places."""
+    for k in ("class", "id"):
+        for token in (node.attrs.get(k) or "").split():
+            words = {w.lower() for w in _NAME.findall(token)} - PLACES
+            if words and words <= NAMES:
+                return True
+    return False
+
+
+def _speaks_for_itself(node: Node, in_article: bool) -> bool:
+    """Whether content outweighs a name that is only part of a class: a title, or text that is not mostly links."""
+    if node.titles:
+        return True
+    return 2 * node.links <= node.plain + node.links and (in_article or node.plain >= FEW_CHARS)
+
+
 def _walk(root: Node) -> list[Node]:
     """All elements, parents first."""
     out, todo = [], [root]
@@ -141,15 +188,20 @@ def _measure(nodes: list[Node]) -> None:
     def own(node: Node, text: str) -> int:
         return 0 if node.gone or node.in_link else len("".join(text.split()))
 
+    def own_links(node: Node, text: str) -> int:
+        return len("".join(text.split())) if node.in_link and not node.gone else 0
+
     for node in nodes:
         node.in_link = node.tag == "a" or node.parent is not None and node.parent.in_link
     for node in reversed(nodes):
         node.plain += sum(own(node, c) for c in node.children if isinstance(c, str))
+        node.links += sum(own_links(node, c) for c in node.children if isinstance(c, str))
         node.leaves += node.tag in LEAVES and node.plain > 0
         node.titles += node.tag == "h1" and not node.gone
         if node.parent is not None:
             up = node.parent
             up.plain, up.leaves, up.titles = up.plain + node.plain, up.leaves + node.leaves, up.titles + node.titles
+            up.links += node.links
     for node in nodes:
         at = node.before
         for c in node.children:
@@ -183,6 +235,10 @@ def _prune(nodes: list[Node], by_name: bool) -> None:
         gone = gone or "hidden" in attrs or attrs.get("aria-hidden") == "true" or bool(_HIDDEN.search(attrs.get("style") or ""))
         node.gone = gone or (attrs.get("role") or "").lower() in ROLES
     _measure(nodes)
+    inside: set[int] = set()     # what lies in an article
+    for node in nodes:
+        if node.tag in ("article", "main") or node.parent is not None and id(node.parent) in inside:
+            inside.add(id(node))
     for node in nodes:
         node.gone = node.gone or node.parent is not None and node.parent.gone
         if node.gone:
@@ -192,8 +248,9 @@ def _prune(nodes: list[Node], by_name: bool) -> None:
         if not node.gone and by_name and node.tag not in ("html", "body", "main"):
             names = _names(node)
             remarks = bool(names & REMARKS)
-            node.gone = (remarks or bool(names & NAMES) and id(node) not in holds_article) and not _wraps_page(
-                node, nodes[0], remarks)
+            part = bool(names & NAMES) and id(node) not in holds_article and (
+                _named_as_part(node) or not _speaks_for_itself(node, id(node) in inside))
+            node.gone = (remarks or part) and not _wraps_page(node, nodes[0], remarks)
     for node in nodes:  # the headline of an article stays, though it is in the article's header
         if node.tag in HEADINGS and node.gone:
             up, inside = node.parent, False
@@ -251,19 +308,28 @@ def _text_blocks(root: Node):
 
 def _score(root: Node) -> Node | None:
     """Give all containers their points; the best one."""
-    containers = []
+    found, seen = [], set()
     for text, linked, owner in _text_blocks(root):
         points = 1 + sum(text.count(c) for c in ",،、，") + len(text) / 100
         node = owner.parent if owner.tag in LEAVES and owner.parent is not None else owner
+        node.chars += len(text)
+        node.linked += linked
+        found.append(node)
         level = 1
-        while node is not None:
-            if not node.chars:
-                containers.append(node)
+        while node is not None and level <= REACH:
             node.points += points / level
-            node.chars += len(text)
-            node.linked += linked
             level += node.tag not in ("ul", "ol", "dl", "table", "tbody", "thead", "tr", "li", "dd", "blockquote")
             node = node.parent
+    containers = []
+    for node in found:          # in the order in which blocks first reach them
+        while node is not None and id(node) not in seen:
+            seen.add(id(node))
+            containers.append(node)
+            node = node.parent
+    for node in reversed(_walk(root)):
+        if node.parent is not None and node is not root:
+            node.parent.chars += node.chars
+            node.parent.linked += node.linked
     for node in containers:
         node.points *= 1 - node.linked / node.chars
     return max(containers, key=lambda n: n.points, default=None)

@@ -44,6 +44,13 @@ def rows(df, *cols):
     return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
 
 
+def test_number_signs_are_no_letters(spark):
+    docs = [(1, "½ ② Ⅷ"), (2, "٣٤ 12"), (3, "the word")]
+    model = language_id.train(spark.createDataFrame([(9, "the word and more", "en")], DOCS + ", lang string"), RANKS)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.predict(spark.createDataFrame(docs, DOCS), model).collect()}
+    assert got[1] == got[2] == ("und", 0.0) and got[3][0] == "en"
+
+
 # --- exact dedup -----------------------------------------------------------------------
 
 def test_exact_dedup_edges(spark):
@@ -68,6 +75,19 @@ def test_exact_dedup_edges(spark):
     assert rows(kept, "doc_id") == rows(spark.createDataFrame([(i,) for i in (1, 3, 4, 5, 6, 9, 10)], "doc_id long"), "doc_id")
 
 
+def test_different_texts_under_one_id_stay(spark):
+    """Rows without an id or with the same one, but other texts, are other documents; the rows kept do not hang on partitions."""
+    docs = [(None, "alpha text one"), (None, "quite other words here"), (1, "a b c"), (1, "x y z"), (1, "x y z"),
+            (2, "x  y z"), (3, "lone")]
+    df = clashing(spark.createDataFrame(docs, DOCS))
+    want = [(None, "alpha text one"), (None, "quite other words here"), (1, "a b c"), (1, "x y z"), (3, "lone")]
+    for parts in (1, 5):
+        again = df.repartition(parts)
+        assert rows(exact_dedup.drop_duplicates(again), "doc_id", "text") == sorted(want, key=repr)
+        near = ngram_join.drop_near_duplicates(again)
+        assert near.columns == df.columns and rows(near, "doc_id", "text") == sorted(want, key=repr)
+
+
 @pytest.mark.parametrize("salts", [1, 3, 64])
 def test_exact_dedup_hot_group(spark, salts):
     df = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot copy")
@@ -102,14 +122,15 @@ def brute_hits(docs, items, window):
     return out
 
 
-def test_decontamination_random(spark):
+@pytest.mark.parametrize("how", [{}, {"piece_words": 2, "block_words": 5}])
+def test_decontamination_random(spark, how):
     rng = random.Random(5)
     vocabulary = ["a", "b", "c", "Dé", "ee"]
     docs = [(i, " ".join(rng.choices(vocabulary, k=rng.randrange(0, 60)))) for i in range(60)]
     items = [(100 + i, "-".join(rng.choices(vocabulary, k=rng.randrange(0, 9)))) for i in range(12)] + [(7, None), (8, "?!")]
     docs += [(60 + k, f"x {items[k][1]} y, {items[k][1]}") for k in range(12)]
     got = decontaminate.contamination(spark.createDataFrame(docs, DOCS).repartition(3),
-                                      spark.createDataFrame(items, "item_id long, text string"), window=4)
+                                      spark.createDataFrame(items, "item_id long, text string"), window=4, **how)
     assert {r.doc_id: (r.n_words, r.n_hit, r.item_ids) for r in got.collect()} == brute_hits(docs, items, 4)
 
 
@@ -118,7 +139,7 @@ def test_decontamination_blocks_and_proximity(spark):
                                   (3, "two one four three five"), (4, "five four")], DOCS)
     items = spark.createDataFrame([(9, "one two three four five"), (10, "five four")], "item_id long, text string")
     index = decontaminate.build_index(docs)
-    found = decontaminate.search(index, items, window=5, slop=1, block_chars=10).join(index.documents, ["seg", "ord"])
+    found = decontaminate.search(index, items, window=5, slop=1, piece_words=1, block_words=3).join(index.documents, ["seg", "ord"])
     assert rows(found.where("exact"), "doc_id", "item_id", "doc_start", "length") == [(2, 9, 0, 5), (4, 10, 0, 2)]
     near = {(r.doc_id, r.item_id) for r in found.where("not exact").collect()}
     assert {(1, 9), (2, 9), (3, 9), (4, 10)} <= near
@@ -533,15 +554,32 @@ def brute_tokens(word, ranks, scores):
 
 def test_token_counts(spark):
     ranks = rank_file(RANKS)
-    scores = token_counts.zipf_scores(len(ranks))
     docs = [(k, t) for k, t in enumerate(BPE_TEXTS[:4] + BPE_TEXTS[4:7])] + [e for e in EDGES if e[0] != 4]
-    got = token_counts.token_counts(clashing(spark.createDataFrame(docs, DOCS)), RANKS, P.PATTERN)
+    df = clashing(spark.createDataFrame(docs, DOCS))
+    scores = token_counts.learn_scores(df, RANKS, P.PATTERN)
+    assert (scores == token_counts.learn_scores(df.repartition(5), RANKS, P.PATTERN)).all() and len(set(scores.tolist())) > 100
+    got = token_counts.token_counts(df, RANKS, P.PATTERN)
     find = PreTokens(P.PATTERN)._find
     want = [(i, len(find(t or "")), sum(brute_tokens(w, ranks, scores) for w in find(t or ""))) for i, t in docs]
     assert rows(got, "doc_id", "n_pretokens", "n_tokens") == sorted(want, key=repr)
     assert token_counts.token_counts(empty(spark), RANKS, P.PATTERN).count() == 0
 
 
+def test_bpe_batches_are_halved_when_memory_runs_out():
+    """A slice of 8 MB of distinct runs of Chinese characters, and a word of 1 MB."""
+    rng = random.Random(4)
+    runs = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(rng.randrange(8, 30))) for _ in range(140_000)]
+    codec, enc = bpe_duckdb.Codec(rank_file(RANKS)), encoding()
+    big = "，".join(runs)
+    assert len(big.encode()) > 7 << 20
+    ids, at, raw, cut = codec.slice(pa.array([big, "ab" * 500_000]), PreTokens(P.PATTERN))
+    assert raw.tobytes().decode() == big + "ab" * 500_000
+    assert ids[at[1]:].tolist() == enc._encode_single_piece("ab" * 500_000)
+    sample = rng.sample(runs, 300)
+    for w in sample:
+        assert np.frombuffer(codec.memo[w][0], "<u4").tolist() == enc._encode_single_piece(w)
+
+
 # --- chat formatting -------------------------------------------------------------------
 
 CHAT = (P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
@@ -588,6 +626,14 @@ def test_chat_texts_that_begin_with_white_space(spark):
         assert {spans[0, 0], spans[0, 1]} <= {*starts, *ends}
 
 
+def test_chat_long_runs(spark):
+    said = [" " * 1_000_000 + "x", "\n" * 1_000_000 + "x", "a" * 1_000_000, "\t" * 300_000]
+    df = spark.createDataFrame([(0, t, "assistant", text) for t, text in enumerate(said)],
+                               "conv_id long, turn long, role string, text string")
+    r = chat_format.read_back(chat_format.format_conversations(df, *CHAT)).collect()
+    assert [(x.n_turns, x.loss_sha256) for x in r] == [(4, hashlib.sha256("".join(said).encode()).hexdigest())]
+
+
 def test_parts_encode_like_the_whole():
     tok = chat_format.Tokenizer(*CHAT)
     turns = [("user", "a b"), ("assistant", " c\n"), ("user", "")]

@@ -15,7 +15,7 @@ documents on (digest, salt), so no join key holds more than its salted share.
 
 Defined results: null text counts as empty; a null id never wins while its group holds
 another id; rows that repeat both id and text are reported one by one with the same
-``keep_id``; an empty table gives an empty result; other columns are ignored by
+``keep_id``; very long texts are compared whole; an empty table gives an empty result; other columns are ignored by
 :func:`duplicate_groups` and carried unchanged by :func:`drop_duplicates`.
 """
 
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.llm.scratch import free_name
+from wordmill.llm.scratch import free_name, one_of_repeats
 
 WHITE_RUN = r"[\x20\x09-\x0D]+"
 
@@ -63,7 +63,13 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     salts: int = SALTS) -> DataFrame:
-    """The rows that stay, all columns unchanged; a row repeated with its id stays once."""
-    name = free_name(docs, "_keep")
-    kept = duplicate_groups(docs, id_col, text_col, salts).where("kept").select(F.col(f"`{id_col}`").alias(name)).distinct()
-    return docs.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col(name)), "left_semi").dropDuplicates([id_col])
+    """The rows that stay, all columns unchanged. Rows that repeat both id and (normalised) text stay once;
+    different texts under one id, or without one, are different documents."""
+    keep, sha, rows = (free_name(docs, c) for c in ("_keep", "_sha", "_rows"))
+    kept = (duplicate_groups(docs, id_col, text_col, salts).where("kept")
+            .groupBy(F.col(f"`{id_col}`").alias(keep), F.col("text_sha256").alias(sha)).agg(F.count(F.lit(1)).alias(rows)))
+    digest = F.sha2(normalised(text_col), 256)
+    found = docs.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col(keep)) & (digest == F.col(sha)))
+    once, more = found.where(F.col(rows) == 1), found.where(F.col(rows) > 1)
+    return once.drop(keep, sha, rows).unionByName(
+        one_of_repeats(more.drop(keep, sha, rows), id_col, text_col, digest))

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from wordmill.llm import words as W
 from wordmill.llm.components import connected_components
 from wordmill.llm.pretokens import bounds
-from wordmill.llm.scratch import free_name, stored
+from wordmill.llm.scratch import free_name, one_of_repeats, stored
 
 BLOCK = 512
 SLICE_BYTES = 8 << 20
@@ -275,10 +275,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The document of the smallest id of each group, all columns unchanged; of rows that repeat an id one."""
+    """The documents of the smallest id of each group, all columns unchanged. Rows that repeat both id and text
+    stay once; different texts under one id, or without one, are different documents and stay."""
     keep, rows = free_name(docs, "_keep"), free_name(docs, "_rows")
     kept = (near_duplicates(docs, id_col, text_col, **how).where("kept")
             .groupBy(F.col("doc_id").alias(keep)).agg(F.count(F.lit(1)).alias(rows)))
     found = docs.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col(keep)))
-    once = found.where(F.col(rows) == 1).drop(keep, rows)
-    return once.unionByName(found.where(F.col(rows) > 1).drop(keep, rows).dropDuplicates([id_col]))
+    once, more = found.where(F.col(rows) == 1), found.where(F.col(rows) > 1)
+    return once.drop(keep, rows).unionByName(one_of_repeats(
+        more.drop(keep, rows), id_col, text_col, F.sha2(F.col(f"`{text_col}`"), 256)))

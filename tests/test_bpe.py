@@ -33,14 +33,13 @@ def test_toy_corpus_merges(spark):
     assert enc == [[10], [0], [m.vocab["z"]], [0]]
 
 
-@pytest.mark.parametrize("batched,incremental", [(True, False), (False, False), (True, True)])
-def test_equals_library(spark, batched, incremental):
+@pytest.mark.parametrize("first_hot", [1, 7, 256])
+def test_equals_library(spark, first_hot):
     texts = [r[0] for r in duckdb.sql(
         f"select text from '{SF}/documents.parquet' order by doc_id limit 40").fetchall()]
     tok, vocab, merges = _library(texts, 160)
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    m = B.learn_bpe(B.word_frequencies(df), vocab_size=160, batched=batched,
-                    incremental_counts=incremental)
+    m = B.learn_bpe(B.word_frequencies(df), vocab_size=160, first_hot=first_hot)
     assert m.merges == merges
     assert m.vocab == vocab
     got = {r.doc_id: r.input_ids for r in B.doc_tokens(df, m).collect()}

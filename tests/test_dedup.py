@@ -189,3 +189,62 @@ def test_incremental_goes_on_from_stored_state(spark, tmp_dir):
     assert IncrementalNearDedup(spark, tmp_dir).process(first).count() == 1
     again = IncrementalNearDedup(spark, tmp_dir)  # a new object over the same state
     assert [r["rank"] for r in again.process(second).collect()] == [3]
+
+
+def _chain(n):
+    """Document r shares a bucket with r - 1 and with r + 1 only."""
+    return [(r, [(0, f"e{r}"), (0, f"e{r + 1}")]) for r in range(n)]
+
+
+def test_chain_of_ten_thousand_takes_few_jobs(spark):
+    docs = _chain(10_000)
+    df = _bands_df(spark, docs).repartition(4)
+    spark.sparkContext.setJobGroup("chain", "chain")
+    got = {x["rank"] for x in N.greedy_keep(df).collect()}
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("chain"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == set(range(0, 10_000, 2))
+    assert jobs < 400    # a round a link would be 5,000 rounds of several jobs
+
+
+def test_components_are_the_sequential_greedy(spark):
+    """Chains and random graphs, finished inside groups or, where components count as large, in rounds."""
+    rnd = random.Random(3)
+    docs = _chain(40) + [(100 + r, [(1, f"x{rnd.randrange(25)}"), (2, f"y{rnd.randrange(25)}")]) for r in range(60)]
+    rnd.shuffle(docs)
+    want = sequential_greedy([(r, set(ks)) for r, ks in docs])
+    B = N.buckets(_bands_df(spark, docs))
+    for first_rounds, rows in ((0, 500_000), (1, 10)):
+        assert {x["rank"] for x in N.greedy_keep_buckets(B, first_rounds, rows).collect()} == want
+
+
+def test_components_of_struct_ranks(spark):
+    from wordmill.operators.components import components
+    edges = [((None, 1), ("a", 1)), (("a", 1), ("a", 2)), (("b", 1), ("b", 1)), (("c", 5), ("b", 9))]
+    df = spark.createDataFrame(edges, "a struct<s:string,i:long>, b struct<s:string,i:long>")
+    got = {tuple(r["node"]): tuple(r["component"]) for r in components(df).collect()}
+    assert got == {(None, 1): (None, 1), ("a", 1): (None, 1), ("a", 2): (None, 1), ("b", 9): ("b", 9), ("c", 5): ("b", 9)}
+
+
+def test_fifty_batches_read_a_bounded_part_of_the_state(spark, tmp_dir):
+    from wordmill.streaming.incremental_neardup import IncrementalNearDedup
+    words = [" ".join(f"w{k}x{j}" for j in range(8)) for k in range(150)]
+    # three documents a batch; the last of every fifth batch repeats an early one
+    texts = [(r, words[1] if r % 15 == 14 else words[r]) for r in range(150)]
+    df = spark.createDataFrame(texts, "rank long, text string")
+    one_pass = {r["rank"] for r in N.near_dedup(df, "rank").collect()}
+    job = IncrementalNearDedup(spark, tmp_dir, part_rows=10, fan=4)
+    got = set()
+    for k in range(50):
+        part = df.where((F.col("rank") >= 3 * k) & (F.col("rank") < 3 * k + 3))
+        got |= {r["rank"] for r in job.process(part, k).collect()}
+        # 15 buckets at most ask each of the runs; only parts with a real hit (or a rare false one) are read
+        assert job.last_probe["filters"] <= 15 * len(job.runs()) + 15
+        assert job.last_probe["read"] <= (5 if k % 5 == 4 else 0) + 3
+    assert got == one_pass and len(one_pass) == 140
+    assert len(job.runs()) <= 3 * 4 and job.last_probe["parts"] >= 40
+    again = IncrementalNearDedup(spark, tmp_dir, part_rows=10, fan=4)    # replays, compacted or not
+    for k in (4, 49):
+        part = df.where((F.col("rank") >= 3 * k) & (F.col("rank") < 3 * k + 3))
+        assert {r["rank"] for r in again.process(part, k).collect()} == {r for r in one_pass if r // 3 == k}
+    assert again._free_id() == 50

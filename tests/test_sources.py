@@ -136,3 +136,86 @@ def test_big_scans_are_not_spread(spark, monkeypatch):
     monkeypatch.setattr(R, "SPREAD_BYTES", 10)
     one = spark.range(100).coalesce(1)
     assert R.ensure_parallelism(one, "id").rdd.getNumPartitions() == 1
+
+
+def test_cache_ignores_half_built_sets(spark, tmp_dir):
+    spark.range(3).write.parquet(os.path.join(tmp_dir, "key", "train"))    # a builder that died in between
+    assert CA.latest_complete(spark, tmp_dir) is None
+    got = CA.build_or_load(spark, tmp_dir, "key", lambda: {"train": spark.range(7), "val": spark.range(2)})
+    assert (got["train"].count(), got["val"].count()) == (7, 2)
+    assert CA.latest_complete(spark, tmp_dir).endswith("/key")
+    spark.range(5).write.mode("append").parquet(os.path.join(tmp_dir, "key", "val"))    # more files than were built
+    assert CA.latest_complete(spark, tmp_dir) is None
+    got = CA.build_or_load(spark, tmp_dir, "key", lambda: {"train": spark.range(8), "val": spark.range(1)})
+    assert (got["train"].count(), got["val"].count()) == (8, 1)
+
+
+def test_two_builders_give_one_complete_set(spark, tmp_dir):
+    """A second session builds the key while the first one does, and finishes first."""
+    other = spark.newSession()
+    seen = []
+
+    def slow():
+        if not seen:
+            seen.append(1)
+            CA.build_or_load(other, tmp_dir, "key", lambda: {"train": other.range(20), "val": other.range(4)})
+        return {"train": spark.range(10), "val": spark.range(2)}
+    got = CA.build_or_load(spark, tmp_dir, "key", slow)
+    assert (got["train"].count(), got["val"].count()) == (20, 4)
+    assert sorted(f for f in os.listdir(tmp_dir) if not f.startswith(".")) == ["key"]
+    assert sorted(f for f in os.listdir(os.path.join(tmp_dir, "key")) if not f.startswith(".")) == ["_MANIFEST", "train", "val"]
+
+
+def test_salvage_keeps_rows_before_a_broken_page(spark, tmp_dir):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    shards = os.path.join(tmp_dir, "my shards")
+    os.makedirs(shards)
+    rows = pa.table({"Article": [f"text {k} " + "lorem ipsum " * 20 for k in range(300)], "Source": [f"s{k % 3}" for k in range(300)]})
+    for name in ("a", "b"):
+        pq.write_table(rows, os.path.join(shards, f"{name}.parquet"), row_group_size=100, use_dictionary=False,
+                       compression="snappy", write_page_checksum=True)
+    column = pq.ParquetFile(os.path.join(shards, "b.parquet")).metadata.row_group(1).column(0)
+    with open(os.path.join(shards, "b.parquet"), "r+b") as f:
+        f.seek(column.data_page_offset + column.total_compressed_size // 2)
+        f.write(b"\xff" * 64)
+    with open(os.path.join(shards, "c.parquet"), "wb") as f:
+        f.write(b"no parquet")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for split in ("128m", "4k"):    # as one split, and as one a row group
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            docs, report = R.salvage_parquet_shards(spark, shards)
+            got = {os.path.basename(r.path): (r.status, r.rows, r.kept) for r in report.collect()}
+            assert got == {"a.parquet": ("read", 300, 300), "b.parquet": ("partial", 300, 100), "c.parquet": ("corrupt", None, 0)}
+            per = {os.path.basename(r.file): (r.n, r.last) for r in docs.groupBy("ordinal.file").agg(
+                F.count("*").alias("n"), F.max("ordinal.row").alias("last")).collect()}
+            assert per == {"a.parquet": (300, 299), "b.parquet": (100, 99)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    docs, report = R.salvage_parquet_shards(spark, os.path.join(tmp_dir, "nowhere"))
+    assert docs.count() == 0 and [r.status for r in report.collect()] == ["missing"]
+
+
+def test_row_numbers_over_files_and_splits(spark, tmp_dir):
+    want = []
+    for name in ("b.txt", "a.txt", "c.txt"):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.writelines(f"{name} line {k} {'x' * (k % 50)}\n" for k in range(400))
+    for name in ("a.txt", "b.txt", "c.txt"):
+        want += [f"{name} line {k} {'x' * (k % 50)}".strip() for k in range(400)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3k")
+        rows = R.with_row_numbers(R.read_lines(spark, tmp_dir)).select("row_no", "text").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.text for r in sorted(rows, key=lambda r: r.row_no)] == want
+    assert sorted(r.row_no for r in rows) == list(range(1200))
+
+
+def test_file_table(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "x.txt"), "wb") as f:
+        f.write(b"12345")
+    assert [(os.path.basename(r.path), r.bytes) for r in R.file_table(spark, tmp_dir).collect()] == [("x.txt", 5)]
+    assert R.file_table(spark, os.path.join(tmp_dir, "none")).count() == 0

@@ -1,24 +1,24 @@
 """Byte-pair vocabulary: learning (K1-K6), encoding/decoding (K7-K9) and the
 tokenizer diagnostics (K10-K16).
 
-Learning runs as Spark rounds over the word-frequency table (one row per
-distinct pre-token). A round counts adjacent symbol pairs weighted by frequency
-(partial aggregation), takes the ranked top pairs (a bounded ``limit``), picks a
-batch of merges that provably equals one-merge-per-round, and rewrites the words.
-Symbols are integers whose order equals the final id order: a character is its
-code point (ids of the alphabet follow code-point order) and the k-th new token
-is 0x110000 + k. A word is kept as a string of symbol characters (learned tokens
-map to supplementary private-use code points), so a merge is a code-generated
-literal ``replace``; a corpus that itself uses those code points falls back to
-symbol arrays and a higher-order ``aggregate`` rewrite.
-
-Batch rule: walk the ranked pairs and take the longest prefix whose members share
-no symbol, are not self-pairs and create no token string that already exists (a
-first pair failing the last two goes alone). Members' counts are untouched by each
-other's merges; a pair created by the batch counts no more than some left-out pair
-(<= the first left-out count) and, on a tie, sorts after every member because it
-holds a symbol newer than all existing ones. So the whole prefix is merged in the
-order one-merge-per-round would pick it; a shorter prefix (``MAX_BATCH``) is as safe.
+Learning keeps the word-frequency table (one row per distinct pre-token) on Spark and
+decides merges in epochs. A symbol is its vocabulary id, and a word a string of one
+character per symbol, in id order. An epoch
+
+1. counts adjacent pairs weighted by frequency and takes the first ``k`` in the trainer's
+   order (count down, left id, right id): the hot pairs;
+2. cuts every word where a pair is not hot and sums the frequencies of the distinct
+   runs that are left. ``k`` is chosen so that at most ``RUN_LIMIT`` runs come back;
+3. replays the trainer on these runs, merge by merge, until the best pair would rank
+   after the last hot one;
+4. rewrites the words by the new form of each run.
+
+That gives the merges of one-at-a-time training. A merged token has one derivation, so a
+new pair over a cut lies where the cut pair lay: it counts no more, and on a tie it
+ranks after, because its ids are not smaller. So no pair over a cut can rank before the
+last hot pair, and every other pair has all its places inside the runs. Only a merge whose
+string is a token already breaks that (its pairs have places elsewhere): it ends its epoch.
+One hot pair alone leaves a single run (or runs of one symbol), so an epoch always gets on.
 """
 
 from __future__ import annotations
@@ -48,12 +48,13 @@ UNK_WARN_PCT = 1.0           # unknown-token rate above this: warning
 STRONG_GAIN = 0.85           # custom <= 0.85 x base tokens: strong signal
 # --------------------------------------------------------------------------------------
 
-SHIFT = 1 << 21              # symbols < 2**21; pair key = left * SHIFT + right
-NEW_BASE = 0x110000          # first symbol of a learned token
-TOP_K = 2000                 # ranked pairs fetched per round (bounded collect)
-MAX_BATCH = 128              # merges per round: they nest in one expression, whose depth must stay small
-CHECKPOINT_EVERY = 10        # cut the lineage of the word table every N rounds
+RUN_LIMIT = 50_000           # distinct runs (bounded collect) an epoch is decided on
+FIRST_HOT = 256              # hot pairs of the first epoch; later ones follow the number of runs
+MOST_HOT = 1 << 16           # hot pairs fetched and sent to the tasks at most (bounded collect)
+CHECKPOINT_EVERY = 10        # cut the lineage of the word table every N epochs
 WORDS_PER_PARTITION = 100_000
+MEMO_WORDS = 200_000         # encoded words a task keeps between batches
+FIRST_CHAR = 0x20            # the character of id 0; surrogates are passed over
 
 
 def chars(col) -> F.Column:
@@ -86,25 +87,6 @@ def pair_frequencies(wf: DataFrame, min_frequency: int = MIN_FREQUENCY) -> DataF
     return g.where(F.col("freq") >= min_frequency)
 
 
-def _pairs(state: DataFrame) -> DataFrame:
-    n = F.size("s")
-    z = state.select("freq", F.explode(F.arrays_zip(F.slice("s", 1, n - 1).alias("l"),
-                                                    F.slice("s", 2, n - 1).alias("r")))
-                     .alias("p"))
-    return z.select("freq", (F.col("p.l").cast("bigint") * SHIFT + F.col("p.r")).alias("key"))
-
-
-def _rewrite(s, merge_map) -> F.Column:
-    """Left-to-right, non-overlapping application of a batch of merges."""
-    def step(acc, x):
-        key = F.element_at(acc, -1).cast("bigint") * SHIFT + x.cast("bigint")
-        hit = (F.size(acc) > 0) & F.map_contains_key(merge_map, key)
-        return F.when(hit, F.concat(F.slice(acc, 1, F.size(acc) - 1),
-                                    F.array(merge_map[key].cast("int")))
-                      ).otherwise(F.concat(acc, F.array(x)))
-    return F.aggregate(s, F.array().cast("array<int>"), step)
-
-
 @dataclass
 class BpeModel:
     vocab: dict[str, int]                       # token -> id
@@ -124,252 +106,248 @@ class BpeModel:
         return {(v[a], v[b]): (r, v[a + b]) for r, (a, b) in enumerate(self.merges)}
 
 
-def _choose_batch(ranked, sym_str, vocab, batched):
-    members, used, new_strs = [], set(), set()
-    for l, r, n in ranked:
-        s = sym_str[l] + sym_str[r]
-        bad = l == r or s in vocab or s in new_strs
-        if not members:
-            members.append((l, r, n, s))
-            used.update((l, r))
-            new_strs.add(s)
-            if bad or not batched:
-                return members
-            continue
-        if bad or l in used or r in used:
-            break
-        members.append((l, r, n, s))
-        used.update((l, r))
-        new_strs.add(s)
-        if len(members) == MAX_BATCH:
-            break
-    # Every member of the conflict-free prefix is safe: a pair created by the
-    # batch counts at most as much as a left-out pair (<= cut), and on a tie it
-    # sorts after every member because its new symbol is larger than all others.
-    return members
+def symbol(i: int) -> str:
+    """The character that stands for a vocabulary id; characters sort as the ids do."""
+    code = i + FIRST_CHAR
+    return chr(code if code < 0xD800 else code + 0x800)
 
 
-def learn_bpe(wf: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = MIN_FREQUENCY,
-              batched: bool = True, top_k: int = TOP_K, partitions: int | None = None,
-              incremental_counts: bool = False) -> BpeModel:
-    """K5: merge list and vocabulary, equal to the classic trainer's result.
+def symbol_id(code: int) -> int:
+    return (code if code < 0xD800 else code - 0x800) - FIRST_CHAR
 
-    ``wf`` is (word, freq). Best pair = highest count, ties by smaller
-    (left id, right id); stops at ``vocab_size`` tokens or when the best count
-    drops below ``min_frequency``. A merge whose string already exists reuses
-    that id (the merge is recorded, the vocabulary does not grow).
 
-    ``incremental_counts`` keeps the pair counts between rounds and updates them
-    from the changed words only; measured slower up to sf0.1 (a checkpoint of the
-    pair table per round), so the default recounts all pairs each round.
-    """
-    spark = wf.sparkSession
-    checkpoint_dir(spark)
-    # the (word, freq) table is read several times: compute the corpus pass once
-    wf = wf.checkpoint(eager=True)
-    vocab: dict[str, int] = {t: i for i, t in enumerate(SPECIALS)}
-    sym_str: dict[int, str] = {}
-    str_sym: dict[str, int] = {}
-    # bounded by the number of distinct characters
-    for r in alphabet(wf).orderBy("cp").collect():
-        if r["ch"] not in vocab:
-            vocab[r["ch"]] = len(vocab)
-        sym_str[r["cp"]] = r["ch"]
-        str_sym[r["ch"]] = r["cp"]
-    model = BpeModel(vocab)
-    if partitions:
-        n_parts = partitions
-    else:
-        # about WORDS_PER_PARTITION words per task, at least half the cores
-        n_parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                      max(spark.sparkContext.defaultParallelism // 2,
-                          -(-wf.count() // WORDS_PER_PARTITION)))
-    string_mode = max(sym_str, default=0) < PUA_FIRST
-    if string_mode:
-        backend = _StringState(wf, n_parts, incremental_counts)
-    else:
-        backend = _ArrayState(wf, n_parts)
-    next_sym = NEW_BASE
-    rounds = 0
-    while len(vocab) < vocab_size:
-        ranked = backend.ranked(min_frequency, top_k)
-        if not ranked:
-            break
-        rounds += 1
-        batch = _choose_batch(ranked, sym_str, vocab, batched)
-        entries = []
-        for l, r, _n, s in batch:
-            if len(vocab) >= vocab_size:
-                break
-            if s in str_sym:
-                sym = str_sym[s]
-            else:
-                sym = next_sym
-                next_sym += 1
-                sym_str[sym] = s
-                str_sym[s] = sym
-                vocab[s] = len(vocab)
-            model.merges.append((sym_str[l], sym_str[r]))
-            entries.append((l, r, sym))
-        if not entries:
-            break
-        backend.apply(entries, checkpoint=rounds % CHECKPOINT_EVERY == 0)
-    backend.close()
-    model.rounds = rounds
-    return model
-
-
-# Learned tokens as characters of the supplementary private-use planes: their code
-# points grow with creation order and lie above every ordinary character, so a
-# pair string sorts exactly like (left id, right id).
-PUA_FIRST = 0xF0000
-PUA_PLANE = 0xFFFE            # usable code points per plane (U+xFFFE/U+xFFFF excluded)
+def _adjacent(words: pa.Array) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
+    """All words as one string, its pairs as keys (left << 32 | right), the words' ends, and which pairs lie in a word."""
+    joined = "".join(words.to_pylist())
+    codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.int64)
+    ends = np.cumsum(pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64))
+    inside = np.ones(max(len(codes) - 1, 0), bool)
+    inside[ends[:-1] - 1] = False
+    return joined, codes[:-1] << 32 | codes[1:], ends, inside
 
 
-def _sym_char(sym: int) -> str:
-    if sym < NEW_BASE:
-        return chr(sym)
-    k = sym - NEW_BASE
-    if k >= 2 * PUA_PLANE:
-        raise ValueError("vocabulary larger than the private-use planes")
-    return chr(PUA_FIRST + k) if k < PUA_PLANE else chr(0x100000 + k - PUA_PLANE)
+def _count_pairs(batches):
+    """Partial pair counts of each batch of (s, freq)."""
+    for batch in batches:
+        _, keys, ends, inside = _adjacent(batch.column(0))
+        freq = batch.column(1).to_numpy(zero_copy_only=False)
+        weight = np.repeat(freq, np.diff(ends, prepend=0))[:-1]
+        pairs, at = np.unique(keys[inside], return_inverse=True)
+        # whole numbers: bincount would sum in doubles
+        n = np.zeros(len(pairs), np.int64)
+        np.add.at(n, at, weight[inside])
+        yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], names=["pair", "n"])
 
 
-def _char_sym(ch: str) -> int:
-    cp = ord(ch)
-    if cp < PUA_FIRST:
-        return cp
-    if cp < 0x100000:
-        return NEW_BASE + cp - PUA_FIRST
-    return NEW_BASE + PUA_PLANE + cp - 0x100000
+def _pieces(joined: str, keys: np.ndarray, ends: np.ndarray, inside: np.ndarray, hot: np.ndarray
+            ) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the words' pieces in the joined string (cut where a pair is not hot) and the first piece of each word."""
+    at = np.minimum(np.searchsorted(hot, keys), len(hot) - 1)
+    held = inside & (hot[at] == keys)
+    cut = np.concatenate([[0], np.flatnonzero(~held) + 1, [len(joined)]])
+    return cut, np.concatenate([[0], np.searchsorted(cut, ends)])
 
 
-def _str_lit(text: str) -> F.Column:
-    """A string literal built on the JVM from its UTF-8 bytes (hex is ASCII-safe
-    on the Python-JVM bridge, which does not carry supplementary characters)."""
-    return F.decode(F.unhex(F.lit(text.encode("utf-8").hex())), "UTF-8")
-
-
-class _Rounds:
-    """Shared caching: the next state is cached and materialised by the next
-    pair count; every CHECKPOINT_EVERY rounds it is checkpointed instead."""
+def _runs_of(hot: np.ndarray):
+    def run(batches):
+        for batch in batches:
+            joined, keys, ends, inside = _adjacent(batch.column(0))
+            cut, first = _pieces(joined, keys, ends, inside, hot)
+            freq = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), np.diff(first))
+            long = np.flatnonzero(np.diff(cut) > 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([joined[a:b] for a, b in zip(cut[long].tolist(), cut[long + 1].tolist())], pa.string()),
+                 pa.array(freq[long])], names=["run", "freq"])
+    return run
 
-    def __init__(self, state: DataFrame, n_parts: int):
-        self.state = state.repartition(n_parts).checkpoint(eager=True)
-        self.prev = None
 
-    def _release_prev(self):
+def _rewritten(sent, hot: np.ndarray):
+    def run(batches):
+        new = sent.value
+        for batch in batches:
+            joined, keys, ends, inside = _adjacent(batch.column(0))
+            cut, first = _pieces(joined, keys, ends, inside, hot)
+            pieces = [joined[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+            pieces = [new.get(x, x) for x in pieces]
+            words = pa.array(["".join(pieces[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())], pa.string())
+            out = pa.RecordBatch.from_arrays([words, batch.column(1)], names=["s", "freq"])
+            yield out.filter(pc.greater(pc.utf8_length(words), 1))
+    return run
+
+
+class _Replay:
+    """The trainer on the distinct runs of an epoch, with their pairs' counts and places."""
+
+    def __init__(self, runs: list[tuple[str, int]]):
+        self.before = [r for r, _ in runs]
+        self.words = [[symbol_id(ord(c)) for c in r] for r, _ in runs]
+        self.freq = [n for _, n in runs]
+        self.counts: dict[tuple[int, int], int] = {}
+        self.where: dict[tuple[int, int], set[int]] = {}
+        self.changed: set[int] = set()
+        for k, w in enumerate(self.words):
+            self._count(k, w, self.freq[k])
+        self.heap = [(-n, *p) for p, n in self.counts.items()]
+        heapq.heapify(self.heap)
+
+    def _count(self, k: int, word: list[int], n: int) -> None:
+        for p in zip(word, word[1:]):
+            self.counts[p] = self.counts.get(p, 0) + n
+            if n > 0:
+                self.where.setdefault(p, set()).add(k)
+
+    def best(self) -> tuple[int, int, int] | None:
+        """(-count, left, right) of the best pair."""
+        while self.heap:
+            n, l, r = self.heap[0]
+            now = self.counts.get((l, r), 0)
+            if now == -n:
+                return self.heap[0]
+            heapq.heappop(self.heap)
+            if now > 0:
+                heapq.heappush(self.heap, (-now, l, r))
+        return None
+
+    def merge(self, l: int, r: int, new: int) -> None:
+        touched = set()
+        for k in self.where.pop((l, r), ()):
+            old, word, i = self.words[k], [], 0
+            while i < len(old):
+                if old[i] == l and i + 1 < len(old) and old[i + 1] == r:
+                    word.append(new)
+                    i += 2
+                else:
+                    word.append(old[i])
+                    i += 1
+            if len(word) < len(old):
+                self._count(k, old, -self.freq[k])
+                self._count(k, word, self.freq[k])
+                self.words[k] = word
+                self.changed.add(k)
+                touched.update(zip(word, word[1:]))
+        for p in touched:
+            heapq.heappush(self.heap, (-self.counts[p], *p))
+
+    def rewrites(self) -> dict[str, str]:
+        return {self.before[k]: "".join(map(symbol, self.words[k])) for k in self.changed}
+
+
+class _Words:
+    """The word table of (s, freq): cached from epoch to epoch, checkpointed every few."""
+
+    def __init__(self, wf: DataFrame, vocab: dict[str, int], n_parts: int):
+        letters = wf.sparkSession.sparkContext.broadcast(
+            {ord(c): symbol(i) for c, i in vocab.items() if len(c) == 1})
+
+        def spell(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([w.translate(letters.value) for w in batch.column(0).to_pylist()], pa.string()),
+                     batch.column(1)], names=["s", "freq"])
+
+        self.spark = wf.sparkSession
+        self.state = (wf.select("word", F.col("freq").cast("bigint")).mapInArrow(spell, "s string, freq bigint")
+                      .where(F.length("s") >= 2).repartition(n_parts).checkpoint(eager=True))
+        self.prev, self.epochs = None, 0
+
+    def ranked(self, min_frequency: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first ``k`` pairs in the trainer's order, and their counts."""
+        rows = (self.state.mapInArrow(_count_pairs, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+                .where(F.col("n") >= min_frequency).orderBy(F.desc("n"), F.asc("pair")).limit(k).toArrow())
         if self.prev is not None:
             self.prev.unpersist()
             self.prev = None
-
-    def _advance(self, nxt: DataFrame, checkpoint: bool):
-        if checkpoint:
-            nxt = nxt.checkpoint(eager=True)     # cuts the lineage (reliable storage)
+        return rows["pair"].to_numpy(), rows["n"].to_numpy()
+
+    def runs(self, hot: np.ndarray) -> list[tuple[str, int]] | None:
+        """The distinct runs and their frequencies; None if they are more than ``RUN_LIMIT``."""
+        found = (self.state.mapInArrow(_runs_of(hot), "run string, freq bigint").groupBy("run")
+                 .agg(F.sum("freq").alias("freq")))
+        if len(hot) > 1:
+            found = found.limit(RUN_LIMIT + 1)
+        rows = found.toArrow()
+        if len(hot) > 1 and rows.num_rows > RUN_LIMIT:
+            return None
+        return list(zip(rows["run"].to_pylist(), rows["freq"].to_pylist()))
+
+    def rewrite(self, hot: np.ndarray, new: dict[str, str]) -> None:
+        sent = self.spark.sparkContext.broadcast(new)
+        state = self.state.mapInArrow(_rewritten(sent, hot), "s string, freq bigint")
+        self.epochs += 1
+        if self.epochs % CHECKPOINT_EVERY == 0:
+            state = state.checkpoint(eager=True)     # cuts the lineage (reliable storage)
             self.state.unpersist()
         else:
-            nxt = nxt.cache()
+            state = state.cache()
             self.prev = self.state
-        self.state = nxt
+        self.state = state
 
-    def close(self):
-        self._release_prev()
+    def close(self) -> None:
         self.state.unpersist()
+        if self.prev is not None:
+            self.prev.unpersist()
 
 
-PAIR_RX = "(?s)(?=(..))."    # every adjacent pair of code points (consumes one per match)
-
-
-def _str_pairs(df: DataFrame, s_col: str, weight: F.Column) -> DataFrame:
-    return df.select(F.explode(F.regexp_extract_all(s_col, F.lit(PAIR_RX), F.lit(1)))
-                     .alias("pair"), weight.alias("n"))
-
-
-class _StringState(_Rounds):
-    """Each word is a string whose characters are its symbols; a merge is a
-    literal, code-generated ``replace`` (non-overlapping, left to right).
+def learn_bpe(wf: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = MIN_FREQUENCY,
+              first_hot: int = FIRST_HOT, partitions: int | None = None) -> BpeModel:
+    """K5: merge list and vocabulary, equal to the classic trainer's result.
 
-    With ``incremental`` the pair-count table is kept between rounds and updated
-    by the pairs of the words a batch actually changed (+new, -old), so a round
-    no longer re-explodes every word; the table is checkpointed each round.
+    ``wf`` is (word, freq). Best pair = highest count, ties by smaller
+    (left id, right id); stops at ``vocab_size`` tokens or when the best count
+    drops below ``min_frequency``. A merge whose string already exists reuses
+    that id (the merge is recorded, the vocabulary does not grow).
     """
-
-    def __init__(self, wf: DataFrame, n_parts: int, incremental: bool = False):
-        super().__init__(wf.select("freq", F.col("word").alias("s"))
-                         .where(F.length("s") >= 2), n_parts)
-        self.incremental = incremental
-        self.counts = (self._full_counts().checkpoint(eager=True) if incremental else None)
-
-    def _full_counts(self) -> DataFrame:
-        return (_str_pairs(self.state, "s", F.col("freq")).groupBy("pair")
-                .agg(F.sum("n").alias("n")))
-
-    def ranked(self, min_frequency: int, top_k: int):
-        counts = self.counts if self.incremental else self._full_counts()
-        rows = (counts.where(F.col("n") >= min_frequency)
-                .orderBy(F.desc("n"), F.asc("pair")).limit(top_k).collect())
-        self._release_prev()
-        out = []
-        for r in rows:
-            a, b = r["pair"]   # two code points
-            out.append((_char_sym(a), _char_sym(b), r["n"]))
-        return out
-
-    def apply(self, entries, checkpoint: bool):
-        s = F.col("s")
-        for l, r, sym in entries:
-            s = F.replace(s, _str_lit(_sym_char(l) + _sym_char(r)), _str_lit(_sym_char(sym)))
-        if not self.incremental:
-            self._advance(self.state.select("freq", s.alias("s")).where(F.length("s") >= 2),
-                          checkpoint)
-            return
-        both = self.state.select("freq", "s", s.alias("s2"))
-        changed = both.where(F.col("s") != F.col("s2"))
-        delta = _str_pairs(changed, "s2", F.col("freq")).unionByName(
-            _str_pairs(changed, "s", -F.col("freq")))
-        counts = (self.counts.unionByName(delta).groupBy("pair").agg(F.sum("n").alias("n"))
-                  .where(F.col("n") != 0)).checkpoint(eager=True)
-        nxt = both.select("freq", F.col("s2").alias("s")).where(F.length("s") >= 2)
-        if checkpoint:
-            nxt = nxt.checkpoint(eager=True)
-        else:
-            nxt = nxt.cache()
-            nxt.count()
-        self.state.unpersist()
-        self.state = nxt
-        self.counts = counts
-
-
-class _ArrayState(_Rounds):
-    """Fallback when the corpus itself uses private-use characters: symbol
-    arrays and a higher-order rewrite."""
-
-    def __init__(self, wf: DataFrame, n_parts: int):
-        super().__init__(wf.select("freq", F.transform(chars("word"), lambda c: F.ascii(c))
-                                   .alias("s")).where(F.size("s") >= 2), n_parts)
-
-    def ranked(self, min_frequency: int, top_k: int):
-        counts = _pairs(self.state).groupBy("key").agg(F.sum("freq").alias("n"))
-        rows = (counts.where(F.col("n") >= min_frequency)
-                .orderBy(F.desc("n"), F.asc("key")).limit(top_k).collect())
-        self._release_prev()
-        return [(r["key"] // SHIFT, r["key"] % SHIFT, r["n"]) for r in rows]
-
-    def apply(self, entries, checkpoint: bool):
-        mm = F.create_map(*[F.lit(x) for l, r, sym in entries for x in (l * SHIFT + r, sym)])
-        lefts = F.array(*[F.lit(l) for l, _r, _s in entries]).cast("array<int>")
-        rew = F.when(F.arrays_overlap(F.col("s"), lefts), _rewrite(F.col("s"), mm)
-                     ).otherwise(F.col("s"))
-        self._advance(self.state.select("freq", rew.alias("s")).where(F.size("s") >= 2),
-                      checkpoint)
+    spark = wf.sparkSession
+    checkpoint_dir(spark)
+    # the (word, freq) table is read several times: compute the corpus pass once
+    wf = wf.checkpoint(eager=True)
+    vocab: dict[str, int] = {t: i for i, t in enumerate(SPECIALS)}
+    # bounded by the number of distinct characters
+    for r in alphabet(wf).orderBy("cp").collect():
+        vocab.setdefault(r["ch"], len(vocab))
+    model = BpeModel(vocab)
+    tokens = list(vocab)
+    # about WORDS_PER_PARTITION words per task, at least half the cores
+    n_parts = partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                max(spark.sparkContext.defaultParallelism // 2,
+                                    -(-wf.count() // WORDS_PER_PARTITION)))
+    words = _Words(wf, vocab, n_parts)
+    k = first_hot
+    while len(vocab) < vocab_size:
+        pairs, counts = words.ranked(min_frequency, k)
+        if not len(pairs):
+            break
+        k = min(k, len(pairs))
+        while (runs := words.runs(np.sort(pairs[:k]))) is None:
+            k = max(1, k // 4)
+        hot = np.sort(pairs[:k])
+        last = (-int(counts[k - 1]), *(symbol_id(c) for c in divmod(int(pairs[k - 1]), 1 << 32)))
+        replay = _Replay(runs)
+        model.rounds += 1
+        while len(vocab) < vocab_size and (best := replay.best()) is not None and best <= last:
+            _, l, r = best
+            text = tokens[l] + tokens[r]
+            known = vocab.get(text)
+            new = len(vocab) if known is None else known
+            model.merges.append((tokens[l], tokens[r]))
+            replay.merge(l, r, new)
+            if known is not None:
+                break
+            vocab[text] = new
+            tokens.append(text)
+        words.rewrite(hot, replay.rewrites())
+        if len(runs) < RUN_LIMIT // 2:
+            k = min(2 * k, MOST_HOT)
+    words.close()
+    return model
 
 
 # ----------------------------------------------------------------------------- encode
-def encode_word(word: str, vocab: dict[str, int], table: dict, unk_id: int) -> list[int]:
+def encode_word(word: str, vocab: dict[str, int], table: dict, unk_id: int, ranks: list[int] | None = None) -> list[int]:
     """K7: characters -> ids (unknown -> <unk>, not fused), then lowest-rank merges first.
 
     Neighbours are linked and candidate merges wait in a heap by (rank, place), so a
-    word of n characters takes n log n steps.
+    word of n characters takes n log n steps. ``ranks`` gets the rank of every merge, in turn.
     """
     ids = [vocab.get(ch, unk_id) for ch in word]
     n = len(ids)
@@ -385,10 +363,12 @@ def encode_word(word: str, vocab: dict[str, int], table: dict, unk_id: int) -> l
     for k in range(n - 1):
         offer(k)
     while heap:
-        _, k, left, right, new = heapq.heappop(heap)
+        rank, k, left, right, new = heapq.heappop(heap)
         gone = after[k]
         if ids[k] != left or gone >= n or ids[gone] != right:
             continue  # one of the two has merged meanwhile
+        if ranks is not None:
+            ranks.append(rank)
         ids[k], ids[gone] = new, None
         after[k] = after[gone]
         if after[k] < n:
@@ -430,11 +410,18 @@ def doc_tokens(df: DataFrame, model: BpeModel, key: str = "doc_id",
 
     def run(batches):
         vocab, table, unk = bc.value
+        memo: dict[str, list[int]] = {}
         for batch in batches:
             pieces = batch.column(1)
             counts = pc.fill_null(pieces.value_lengths(), 0).to_numpy(zero_copy_only=False)
             coded = pieces.flatten().dictionary_encode()
-            words = [encode_word(w, vocab, table, unk) for w in coded.dictionary.to_pylist()]
+            distinct = coded.dictionary.to_pylist()
+            if len(memo) + len(distinct) > MEMO_WORDS:
+                memo = {}
+            for w in distinct:
+                if w not in memo:
+                    memo[w] = encode_word(w, vocab, table, unk)
+            words = [memo[w] for w in distinct]
             codes = coded.indices.to_numpy(zero_copy_only=False)
             size = np.array([len(w) for w in words], np.int64)
             store = np.array([i for w in words for i in w], np.int32)
@@ -451,6 +438,55 @@ def doc_tokens(df: DataFrame, model: BpeModel, key: str = "doc_id",
     return df.select(key, T.pretokens(text_col).alias("_p")).mapInArrow(run, schema)
 
 
+def merges_at(model: BpeModel, vocab_size: int) -> int:
+    """How many of the model's merges a training to ``vocab_size`` would have made."""
+    size = len(model.vocab) - len({a + b for a, b in model.merges})
+    if size >= vocab_size:
+        return 0
+    seen = set()
+    for k, (a, b) in enumerate(model.merges):
+        seen.add(a + b)
+        if size + len(seen) == vocab_size:
+            return k + 1
+    return len(model.merges)
+
+
+def token_counts_at(df: DataFrame, model: BpeModel, vocab_sizes: list[int], key: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """(key, bpe_<size>, ...): tokens of every text under the vocabularies of smaller trainings.
+
+    The first merges of one training are the merges of a smaller one, and a word's encoding
+    takes the lowest rank first. So until the first merge of a rank that the smaller
+    vocabulary lacks both encode alike: words are encoded once, and each size reads off how
+    many merges come before that.
+    """
+    limits = np.array([merges_at(model, n) for n in vocab_sizes], np.int64)
+    bc = _encoder(df.sparkSession, model)
+    names = [f"bpe_{n}" for n in vocab_sizes]
+
+    def run(batches):
+        vocab, table, unk = bc.value
+        for batch in batches:
+            pieces = batch.column(1)
+            doc = np.concatenate([[0], np.cumsum(pc.fill_null(pieces.value_lengths(), 0).to_numpy(zero_copy_only=False))])
+            coded = pieces.flatten().dictionary_encode()
+            counts = np.zeros((len(coded.dictionary), len(limits)), np.int64)
+            for k, w in enumerate(coded.dictionary.to_pylist()):
+                ranks: list[int] = []
+                encode_word(w, vocab, table, unk, ranks)
+                # the running maximum: a merge behind a missing one is missing too
+                counts[k] = len(w) - np.searchsorted(np.maximum.accumulate(np.array(ranks, np.int64)), limits)
+            total = np.zeros((len(coded.indices) + 1, len(limits)), np.int64)
+            np.cumsum(counts[coded.indices.to_numpy(zero_copy_only=False)], axis=0, out=total[1:])
+            per = total[doc[1:]] - total[doc[:-1]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(per[:, k]) for k in range(len(limits)))],
+                                             names=[key, *names])
+
+    schema = TY.StructType([TY.StructField(key, df.schema[key].dataType),
+                            *(TY.StructField(n, TY.LongType()) for n in names)])
+    return df.select(key, T.pretokens(text_col).alias("_p")).mapInArrow(run, schema)
+
+
 def decode(df: DataFrame, model: BpeModel, ids_col: str = "input_ids",
            key: str = "doc_id", skip_special: bool = True) -> DataFrame:
     """K9: ids -> text (tokens joined, no word-end suffix; specials skipped)."""

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from wordmill.functions import patterns as P
 from wordmill.functions import text as T
-from wordmill.operators.filters import SCRIPT_THRESHOLD, reject_reason
+from wordmill.operators import metrics as M
+from wordmill.operators.filters import REASONS, SCRIPT_THRESHOLD, reject_reason
 
 
 def annotate(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = (),
@@ -86,7 +87,6 @@ def clean_funnel(df: DataFrame, text_col: str = "text", corpus_col: str | tuple[
                        F.when(F.col("reject_reason").isNull(),
                               T.content_hash(T.scrub_pii("_t"))).alias("hash"))
     lvl1 = keyed.groupBy(*level, "reject_reason", "hash").agg(F.count("*").alias("n"))
-    from wordmill.operators.filters import REASONS
     aggs = [F.sum("n").alias("n_input")]
     for r in REASONS:
         aggs.append(F.coalesce(F.sum(F.when(F.col("reject_reason") == r, F.col("n"))),
@@ -96,3 +96,33 @@ def clean_funnel(df: DataFrame, text_col: str = "text", corpus_col: str | tuple[
                            F.lit(0)).alias("n_duplicate"))
     out = lvl1.groupBy(*level).agg(*aggs)
     return out.withColumn("n_skipped", F.col("n_input") - F.col("n_kept"))
+
+
+def write_clean_corpus(df: DataFrame, path: str, text_col: str = "text", level: tuple[str, ...] = ("corpus",),
+                       order_col: str = "ordinal", block: str = P.DEVANAGARI,
+                       threshold: float = SCRIPT_THRESHOLD) -> DataFrame:
+    """F5, D1 and F7 in one job: write the cleaned corpus (level, order, text, hash), return its funnel.
+
+    Exact dedup is per ``level``, as in :func:`clean_funnel`, whose rows and columns come back.
+    The counters are observed on the write, so the cleaning runs once; only the labels are
+    read before. Rejected rows go through the same aggregate without their text.
+    """
+    labels = M.labels_of(df, level)
+    ann = annotate(df, text_col, (*level, order_col), block, threshold)
+    passed = F.col("reject_reason").isNull()
+    text = ann.withColumn("text", F.when(passed, T.scrub_pii("_t"))).withColumn("hash", T.content_hash("text"))
+    first = F.min_by(F.struct(order_col, "text"), F.col(order_col))
+    groups = text.groupBy(*level, "reject_reason", "hash").agg(F.count(F.lit(1)).alias("_n"), first.alias("_first"))
+    if labels is None:    # too many labels to count on the write
+        read = None
+    else:
+        groups, read = M.observe_counts(groups, level, labels, {
+            "n_input": F.col("_n"), **{"n_" + r: F.when(F.col("reject_reason") == r, F.col("_n")) for r in REASONS},
+            "n_kept": F.when(passed, 1), "n_duplicate": F.when(passed, F.col("_n") - 1)})
+    (groups.where(passed).select(*level, f"_first.{order_col}", "_first.text", "hash").write.mode("overwrite").parquet(path))
+    if read is None:
+        return clean_funnel(df, text_col, level, block, threshold)
+    names = ["n_input", *("n_" + r for r in REASONS), "n_kept", "n_duplicate"]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*level).schema]
+                       + [f"{n} bigint" for n in names])
+    return df.sparkSession.createDataFrame(read(), schema).withColumn("n_skipped", F.col("n_input") - F.col("n_kept"))

@@ -11,6 +11,10 @@ Distributed form of that greedy (no pairs are ever materialised):
   all its buckets is kept; undecided docs sharing a bucket with a newly kept doc
   are dropped. The earliest undecided doc is always kept, so every round makes
   progress, and each decision equals the sequential one.
+A chain of near copies would take a round a link, so after ``FIRST_ROUNDS`` rounds the
+undecided documents are split into connected components (a logarithmic number of
+rounds), and every component of at most ``COMPONENT_ROWS`` bucket rows is finished by the sequential
+greedy in one group; only larger ones go on in rounds and are split again.
 Every step is an aggregate or an equi-join on (bucket) / (rank); a bucket that
 holds a third of all docs is absorbed by partial aggregation, and the joins on the
 bucket key spread hot buckets over salted tasks (``skew.salted_join``). Each
@@ -19,10 +23,15 @@ round's state is checkpointed to ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import uuid
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.functions import text as T
+from wordmill.operators import components as C
+from wordmill.operators import metrics as M
 from wordmill.operators import skew as S
 from wordmill.session import checkpoint_dir
 
@@ -36,6 +45,9 @@ MERSENNE_P = (1 << 31) - 1   # modulus of the universal hash family
 HASH_HEX = 15                # shingle hash: first 15 hex digits of md5 (60 bits)
 LANE_BITS = 30               # it enters the hash family as two 30-bit lanes
 PERM_SEED = 0x5EED
+# --- tuning values (results do not depend on them) ----------------------------------
+FIRST_ROUNDS = 3             # rounds before undecided documents are split into components
+COMPONENT_ROWS = 500_000     # bucket rows of a component that one group finishes
 # ----------------------------------------------------------------------------------
 
 
@@ -174,8 +186,48 @@ def _first_of_equals(B: DataFrame) -> DataFrame:
     return B.join(first, "rank", "left_semi")
 
 
-def greedy_keep_buckets(B: DataFrame) -> DataFrame:
+def _in_order(rank) -> tuple:
+    """A sort key of a rank as Spark orders it: structs field by field, nulls first."""
+    fields = rank.values() if isinstance(rank, dict) else (rank,)
+    return tuple((v is not None, v) for v in fields)
+
+
+def _sequential(table: pa.Table) -> pa.Table:
+    """The kept ranks of one component, visited in order."""
+    docs: dict = {}
+    for rank, *bucket in zip(*(table[c].to_pylist() for c in ("rank", *BUCKET))):
+        docs.setdefault(_in_order(rank), (rank, []))[1].append(tuple(bucket))
+    held, kept = set(), []
+    for order in sorted(docs):
+        rank, mine = docs[order]
+        if held.isdisjoint(mine):
+            held.update(mine)
+            kept.append(rank)
+    return pa.table({"rank": pa.array(kept, table.schema.field("rank").type)})
+
+
+def _finish_components(state: DataFrame, hot: DataFrame, component_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(kept ranks of the small components, state of the larger ones)."""
+    key = list(BUCKET)
+    first = state.groupBy(*key).agg(F.min("rank").alias("mr"))
+    linked = S.salted_join(state, first, key, "inner", hot, "rank")
+    label = C.written(C.components(linked.select(F.col("rank").alias("a"), F.col("mr").alias("b"))), "neardup-components")
+    # an undecided document that shares no bucket any more is a component of its own
+    labelled = state.join(label.withColumnRenamed("node", "rank"), "rank", "left").withColumn(
+        "component", F.coalesce("component", "rank"))
+    labelled = C.written(labelled, "neardup-labelled")
+    large = labelled.groupBy("component").count().where(F.col("count") > component_rows).select("component")
+    large = C.written(large, "neardup-large")
+    small = labelled.join(large, "component", "left_anti").select("component", "rank", *key)
+    rank_type = state.schema["rank"].dataType.simpleString()
+    kept = small.groupBy("component").applyInArrow(_sequential, f"rank {rank_type}")
+    return kept, labelled.join(large, "component", "left_semi").select("rank", *key)
+
+
+def greedy_keep_buckets(B: DataFrame, first_rounds: int | None = None, component_rows: int | None = None) -> DataFrame:
     """``greedy_keep`` on a materialised bucket table; joins on hot buckets are salted."""
+    rounds = FIRST_ROUNDS if first_rounds is None else first_rounds
+    most = COMPONENT_ROWS if component_rows is None else component_rows
     key = list(BUCKET)
     B = _first_of_equals(B).checkpoint(eager=True)
     sizes = B.groupBy(*key).agg(F.count("*").alias("n")).checkpoint(eager=True)
@@ -183,24 +235,39 @@ def greedy_keep_buckets(B: DataFrame) -> DataFrame:
     # docs with at least one shared bucket take part in the rounds, the others are kept
     sized = S.salted_join(B, sizes, key, "inner", hot, "rank").withColumn("shared", F.col("n") >= 2)
     contested = sized.groupBy("rank").agg(F.max("shared").alias("contested")).checkpoint(eager=True)
-    kept_parts = [contested.where(~F.col("contested")).select("rank")]
+    path = f"{checkpoint_dir(B.sparkSession).rstrip('/')}/neardup-kept-{uuid.uuid4().hex}"
+    part = 0
+
+    def keep(ranks: DataFrame) -> DataFrame:
+        """One more part of the table of kept documents."""
+        nonlocal part
+        ranks.write.parquet(f"{path}/part={part}")
+        part += 1
+        return B.sparkSession.read.schema(ranks.schema).parquet(f"{path}/part={part - 1}")
+
+    keep(contested.where(~F.col("contested")).select("rank"))
     state = sized.where("shared").drop("n", "shared").checkpoint(eager=True)
+    done = 0
     while not state.isEmpty():
+        if done >= rounds:
+            finished, state = _finish_components(state, hot, most)
+            keep(finished)
+            state = state.checkpoint(eager=True)
+            # what is left is large: go on in rounds, more of them before each new split
+            rounds, done = max(2 * rounds, 1), 0
+            continue
+        done += 1
         bmin = state.groupBy(*key).agg(F.min("rank").alias("mr"))
         J = S.salted_join(state, bmin, key, "inner", hot, "rank")
         verdict = J.groupBy("rank").agg(F.min((F.col("rank") == F.col("mr")).cast("int"))
                                         .alias("is_min"))
-        newly = verdict.where(F.col("is_min") == 1).select("rank").checkpoint(eager=True)
-        kept_parts.append(newly)
+        newly = keep(verdict.where(F.col("is_min") == 1).select("rank"))
         # one newly kept doc per bucket at most: (bucket) rows are unique per key
         kept_buckets = state.join(newly, "rank", "left_semi").select(*key)
         dropped = S.salted_join(state, kept_buckets, key, "left_semi", hot, "rank").select("rank")
         decided = newly.unionByName(dropped)
         state = state.join(decided, "rank", "left_anti").checkpoint(eager=True)
-    out = kept_parts[0]
-    for p in kept_parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return B.sparkSession.read.schema(B.select("rank").schema).parquet(path).select("rank")
 
 
 def global_rank(df: DataFrame, corpus_col: str, ordinal_col: str) -> DataFrame:
@@ -219,10 +286,36 @@ def near_dedup(df: DataFrame, rank_col: str = "rank", text_col: str = "text",
     bands = band_keys(sig, rank_col)
     if rank_col != "rank":
         bands = bands.withColumnRenamed(rank_col, "rank")
+    return df.join(_kept_ranks(bands, rank_col), rank_col, "left_semi")
+
+
+def _kept_ranks(bands: DataFrame, rank_col: str) -> DataFrame:
     kept = greedy_keep(bands)
+    return kept.withColumnRenamed("rank", rank_col) if rank_col != "rank" else kept
+
+
+def write_near_dedup(df: DataFrame, path: str, corpus_col: str, rank_col: str = "rank",
+                     text_col: str = "text", hash_family: str = "md5") -> DataFrame:
+    """Write the kept rows, return the report of :func:`near_dedup_report`.
+
+    The counters are observed on the write itself; input and kept rows are not read again.
+    """
+    labels = M.labels_of(df, (corpus_col,))
+    bands = band_keys(signatures(df, rank_col, text_col, hash_family), rank_col)
     if rank_col != "rank":
-        kept = kept.withColumnRenamed("rank", rank_col)
-    return df.join(kept, rank_col, "left_semi")
+        bands = bands.withColumnRenamed(rank_col, "rank")
+    kept = _kept_ranks(bands, rank_col)
+    flagged = df.join(kept.withColumn("_kept", F.lit(1)), rank_col, "left")
+    if labels is None:    # too many corpora to count on the write
+        flagged.where("_kept is not null").drop("_kept").write.mode("overwrite").parquet(path)
+        return near_dedup_report(df, kept, corpus_col, rank_col)
+    flagged, read = M.observe_counts(flagged, (corpus_col,), labels, {"n_input": F.lit(1), "n_kept": F.col("_kept")})
+    flagged.where("_kept is not null").drop("_kept").write.mode("overwrite").parquet(path)
+    rows = read()
+    total = (None, sum(r[1] for r in rows), sum(r[2] for r in rows))
+    kind = df.schema[corpus_col].dataType.simpleString()
+    report = df.sparkSession.createDataFrame([*rows, total], f"`{corpus_col}` {kind}, n_input bigint, n_kept bigint")
+    return report.withColumn("n_removed", F.col("n_input") - F.col("n_kept"))
 
 
 def near_dedup_report(df: DataFrame, kept: DataFrame, corpus_col: str,

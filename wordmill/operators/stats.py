@@ -68,6 +68,17 @@ def size_report(df: DataFrame, corpus_col: str = "corpus", text_col: str = "text
                     (F.col("bytes") / F.lit(BYTES_PER_GB)).alias("gb"))
 
 
+def output_report(files: DataFrame, docs: DataFrame, corpus_col: str = "corpus") -> DataFrame:
+    """Documents and megabytes of written files per corpus (a ``corpus=`` folder each), and in all
+    (corpus null). ``files`` is (path, bytes), ``docs`` has n_docs per corpus."""
+    name = F.regexp_extract("path", f"{corpus_col}=([^/]*)", 1)
+    sizes = files.groupBy(name.alias(corpus_col)).agg(F.sum("bytes").alias("bytes"))
+    per = docs.join(sizes, corpus_col)
+    g = per.rollup(corpus_col).agg(F.sum("n_docs").alias("n_docs"), F.sum("bytes").alias("bytes"))
+    return g.select(corpus_col, "n_docs", "bytes", (F.col("bytes") / F.lit(BYTES_PER_MB)).alias("mb"),
+                    (F.col("bytes") / F.lit(BYTES_PER_GB)).alias("gb"))
+
+
 def split_counts(df: DataFrame, split_col: str = "split", limited_col: str | None = None) -> DataFrame:
     """Rows per split, and how many of them a limit leaves (``limited_col``: true for those)."""
     aggs = [F.count("*").alias("n_rows")]

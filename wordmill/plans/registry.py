@@ -135,6 +135,111 @@ def q_src_lines(spark, sf_dir):
     return lines_of(documents(spark, sf_dir), "text", "doc_id")
 
 
+_LINES_SQL = ("SELECT doc_id, source, CAST(line_no AS BIGINT) AS line_no, "
+              f"{O.strip_sql('line0')} AS line FROM (SELECT doc_id, source, "
+              "unnest(generate_series(0, len(parts) - 1)) AS line_no, unnest(parts) AS line0 FROM ("
+              "SELECT doc_id, source, regexp_split_to_array(regexp_replace(text, '(?:\\r\\n|\\r|\\n)\\z', ''), "
+              "'\\r\\n|\\r|\\n') AS parts FROM documents WHERE text <> ''))")
+SPLITS = 256                 # splits that the line files are read in, where they are small
+
+
+@register("src_lines_files", "SELECT row_number() OVER (ORDER BY source, doc_id, line_no) - 1 AS row_no, line AS text, "
+          f"'oscar' AS source FROM ({_LINES_SQL})")
+def q_src_lines_files(spark, sf_dir):
+    """documents' lines written as many text files, read in many splits, numbered over all files."""
+    from wordmill.sources.readers import file_table, lines_of, read_lines, with_row_numbers
+    path = scratch(spark, "lines")
+    docs = documents(spark, sf_dir)
+    lines = lines_of(docs, "text", "doc_id").join(docs.select("doc_id", "source"), "doc_id")
+    (lines.repartitionByRange("source", "doc_id", "line_no").sortWithinPartitions("source", "doc_id", "line_no")
+     .select("source", F.col("line").alias("value")).write.partitionBy("source").text(path))
+    size = file_table(spark, path, "*.txt").agg(F.sum("bytes")).first()[0] or 0
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(usual)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(min(most, max(4096, size // SPLITS))))
+    try:
+        numbered = with_row_numbers(read_lines(spark, path)).select("row_no", "text", "source")
+        out = scratch(spark, "numbered")
+        numbered.write.parquet(out)    # while the split size holds
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    return spark.read.schema(numbered.schema).parquet(out)
+
+
+@register("src_files", "SELECT page_id, CASE WHEN page_id % 50 = 3 THEN 'invalid' ELSE 'read' END AS status, "
+          "strlen(html) + 1 + CASE WHEN page_id % 50 = 3 THEN 1 ELSE 0 END AS bytes, "
+          "CASE WHEN page_id % 50 <> 3 THEN md5(regexp_replace(html || chr(10), '\r\n?', chr(10), 'g')) END AS text_md5 "
+          "FROM pages")
+def q_src_files(spark, sf_dir):
+    """Every page as a file of its own, every fiftieth not valid UTF-8; read back with sizes."""
+    from wordmill.sources.readers import file_table, read_files
+    path = scratch(spark, "files")
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", F.concat(F.when(F.col("page_id") % 50 == 3, F.unhex(F.lit("FF")).cast("string")).otherwise(""),
+                            "html").alias("value"))
+    pages.repartition("page_id").write.partitionBy("page_id").text(path)
+    number = lambda c: F.regexp_extract(c, r"page_id=(-?\d+)", 1).cast("bigint")
+    docs, bad = read_files(spark, path, recursive=True)
+    rows = docs.select(number("ordinal.file").alias("page_id"), F.lit("read").alias("status"), F.md5("text").alias("text_md5"))
+    rows = rows.unionByName(bad.select(number("path").alias("page_id"), F.lit("invalid").alias("status"),
+                                       F.lit(None).cast("string").alias("text_md5")))
+    sizes = file_table(spark, path, "*.txt").select(number("path").alias("page_id"), "bytes")
+    return rows.join(sizes, "page_id").select("page_id", "status", "bytes", "text_md5")
+
+
+@register("src_shards", "SELECT doc_id, md5(CASE WHEN doc_id % 10 = 1 THEN 'None' ELSE text END) AS text_md5, "
+          "CASE WHEN lang = 'fr' THEN 'iriisnepal' ELSE source END AS source FROM documents")
+def q_src_shards(spark, sf_dir):
+    """S3: the documents as shards of one folder, French ones without a source column, some texts
+    null; every shard is read whole, which the salvage report says too."""
+    from wordmill.sources.readers import PARQUET_SOURCE_COLUMN, PARQUET_TEXT_COLUMN, salvage_parquet_shards
+    path = scratch(spark, "shards")
+    docs = documents(spark, sf_dir)
+    text = F.when(F.col("doc_id") % 10 != 1, F.col("text"))
+    rows = docs.select("doc_id", "lang", text.alias(PARQUET_TEXT_COLUMN), F.col("source").alias(PARQUET_SOURCE_COLUMN))
+    for part in (rows.where(~F.col("lang").eqNullSafe("fr")).drop("lang"),
+                 rows.where("lang = 'fr'").drop("lang", PARQUET_SOURCE_COLUMN)):
+        part.write.mode("append").parquet(path)
+    found, report = salvage_parquet_shards(spark, path)
+    # the documents' ids, by the place of their row
+    ids = spark.read.schema("doc_id bigint").parquet(path).select(
+        "doc_id", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    whole = report.agg(F.count_if(F.col("status") != "read")).first()[0] == 0
+    found = found.where(F.lit(whole)).select("text", "source", "ordinal.file", "ordinal.row")
+    return found.join(ids, ["file", "row"]).select("doc_id", F.md5("text").alias("text_md5"), "source")
+
+
+@register("src_missing", "SELECT 'documents' AS corpus, 'read' AS status, count(*) AS n_docs FROM documents UNION ALL "
+          "SELECT 'pages', 'read', count(*) FROM pages UNION ALL SELECT 'absent', 'missing', 0")
+def q_src_missing(spark, sf_dir):
+    """A corpus that is not there is reported and counts no documents; the others are read."""
+    from wordmill.sources.readers import path_exists
+    out = None
+    for name in ("documents", "pages", "absent"):
+        path = f"{sf_dir}/{name}.parquet"
+        here = path_exists(spark, path)
+        rows = spark.read.parquet(path) if here else spark.createDataFrame([], "x int")
+        part = rows.agg(F.count(F.lit(1)).alias("n_docs")).select(
+            F.lit(name).alias("corpus"), F.lit("read" if here else "missing").alias("status"), "n_docs")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("manifest_by_license", "WITH m AS (SELECT DISTINCT source AS dataset, CASE WHEN source LIKE '%1' THEN 'CC-BY' "
+          "WHEN source LIKE '%2' THEN 'CC0' ELSE 'unknown' END AS license FROM documents), "
+          "s AS (SELECT source, count(*) AS n_docs, sum(strlen(text))::BIGINT AS bytes FROM documents GROUP BY source) "
+          "SELECT license, count(*) AS n_datasets, sum(n_docs)::BIGINT AS n_docs, sum(bytes)::BIGINT AS bytes "
+          "FROM m JOIN s ON s.source = dataset GROUP BY license")
+def q_manifest_by_license(spark, sf_dir):
+    """An inventory of the sources (licence by name) joined to their measured documents and bytes."""
+    from wordmill.sources import manifest as MF
+    docs = documents(spark, sf_dir)
+    name = F.col("source")
+    license_ = F.when(name.endswith("1"), "CC-BY").when(name.endswith("2"), "CC0").otherwise("unknown")
+    inventory = docs.where(name.isNotNull()).select(name.alias("dataset"), license_.alias("license")).distinct()
+    return MF.by_license(MF.manifest_with_measures(inventory, docs, "source"))
+
+
 # ===================================== scalars ========================================
 @register("norm_nfc", "SELECT doc_id, nfc_normalize(text) AS text FROM documents")
 def q_norm_nfc(spark, sf_dir):
@@ -372,6 +477,21 @@ def q_clean_funnel_shards(spark, sf_dir):
 
 
 
+def scratch(spark, name: str) -> str:
+    """A new folder below the session's checkpoint folder."""
+    import uuid
+    from wordmill.session import checkpoint_dir
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@register("clean_write_funnel", REGISTRY["clean_funnel_shards"].sql)
+def q_clean_write_funnel(spark, sf_dir):
+    """F5, D1 and F7 in one job: the counters are observed while the corpus is written."""
+    docs = documents(spark, sf_dir).select("*", _shard())
+    return C.write_clean_corpus(docs, scratch(spark, "clean"), level=("source", "shard"), order_col="doc_id",
+                                block=CORPUS_BLOCK)
+
+
 # ===================================== exact dedup ====================================
 @register("exact_dedup", f"WITH {DEDUP_CTE} SELECT source, hash, doc_id, text FROM deduped")
 def q_exact_dedup(spark, sf_dir):
@@ -390,6 +510,24 @@ def q_jsonl_round_trip(spark, sf_dir):
     return read_jsonl(spark, path).select("text", "source", "hash")
 
 
+_JSON_BYTES = "strlen(to_json({'text': text, 'source': source, 'hash': hash})::VARCHAR) + 1"
+
+
+@register("output_sizes",
+          f"WITH {DEDUP_CTE}, f AS (SELECT source AS corpus, count(*) AS n_docs, sum({_JSON_BYTES})::BIGINT AS bytes "
+          "FROM deduped GROUP BY source) "
+          f"SELECT corpus, sum(n_docs)::BIGINT AS n_docs, sum(bytes)::BIGINT AS bytes, sum(bytes) / {G.BYTES_PER_MB} AS mb, "
+          f"sum(bytes) / {G.BYTES_PER_GB} AS gb FROM f GROUP BY ROLLUP (corpus)")
+def q_output_sizes(spark, sf_dir):
+    """Sizes of the JSON-lines files that were written, by corpus, from the file system."""
+    from wordmill.sources.readers import file_table, write_jsonl
+    path = scratch(spark, "sizes")
+    write_jsonl(deduped(spark, sf_dir).withColumn("corpus", F.col("source")), path, partition_by="corpus")
+    docs = (spark.read.schema("text string, corpus string").json(path).groupBy("corpus")
+            .agg(F.count(F.lit(1)).alias("n_docs")))
+    return G.output_report(file_table(spark, path, "*.json"), docs)
+
+
 # ===================================== statistics =====================================
 @register("corpus_totals",
           f"WITH {DEDUP_CTE} SELECT count(*) AS total_docs, "
@@ -525,11 +663,9 @@ INCREMENTAL_BATCHES = 4     # micro-batches of consecutive ranks
 def q_incremental_neardup(spark, sf_dir):
     """Consecutive ranges of the visiting order arrive as micro-batches and probe the
     stored buckets of everything kept before; equals the one-pass result."""
-    import uuid
-    from wordmill.session import checkpoint_dir
     from wordmill.streaming.incremental_neardup import IncrementalNearDedup
     r = ranked_corpus(spark, sf_dir)
-    job = IncrementalNearDedup(spark, f"{checkpoint_dir(spark)}/incremental-{uuid.uuid4().hex}")
+    job = IncrementalNearDedup(spark, scratch(spark, "incremental"))
     cuts = _order_cuts(r, INCREMENTAL_BATCHES)
     out = None
     for k, (low, high) in enumerate(zip([None, *cuts], [*cuts, None])):
@@ -554,6 +690,13 @@ def q_neardup_report(spark, sf_dir):
     return N.near_dedup_report(r, kept, "source").select("source", "n_input", "n_kept", "n_removed")
 
 
+@register("neardup_write_report", REGISTRY["neardup_report"].sql)
+def q_neardup_write_report(spark, sf_dir):
+    """G6 as a by-product of writing the kept documents."""
+    report = N.write_near_dedup(ranked_corpus(spark, sf_dir), scratch(spark, "neardup"), "source")
+    return report.select("source", "n_input", "n_kept", "n_removed")
+
+
 # ===================================== training set ===================================
 from wordmill.operators import packing as PK  # noqa: E402
 
@@ -659,16 +802,16 @@ PACK_SQL = (
     f"a[block * {TOY_BLOCK_LEN} + 1 : (block + 1) * {TOY_BLOCK_LEN}] AS labels FROM blk")
 
 
-def _packed(ids: DataFrame, batch_size: int, block_len: int) -> DataFrame:
+def _packed(ids: DataFrame, batch_size: int, block_len: int, num_shards: int = 1) -> DataFrame:
     """Blocks of (doc_id, input_ids) in shuffle order; the order key is a function of the id."""
     pos = PK.dense_positions(ids.withColumn("_shuffle", PK.shuffle_key("doc_id")), ["_shuffle", "doc_id"])
-    return PK.pack_blocks(PK.worker_batches(pos, pos.count(), batch_size=batch_size, num_shards=1),
+    return PK.pack_blocks(PK.worker_batches(pos, pos.count(), batch_size=batch_size, num_shards=num_shards),
                           block_len=block_len)
 
 
-def _toy_blocks(docs: DataFrame) -> DataFrame:
+def _toy_blocks(docs: DataFrame, num_shards: int = 1) -> DataFrame:
     ids = docs.select("doc_id", F.transform(T.words("text"), lambda w: F.length(w)).alias("input_ids"))
-    return _packed(ids, TOY_BATCH, TOY_BLOCK_LEN)
+    return _packed(ids, TOY_BATCH, TOY_BLOCK_LEN, num_shards)
 
 
 PACK_IDS_SQL = (
@@ -683,6 +826,25 @@ def q_pack_blocks(spark, sf_dir):
     return _toy_blocks(split_docs(spark, sf_dir)[0])
 
 
+WORKERS = 4                  # worker shards, each with batches of its own
+
+
+@register("pack_blocks_workers", PACK_SQL.replace(
+    f"ids AS (SELECT p // {TOY_BATCH} AS batch, p, ",
+    "n AS (SELECT count(*) AS n FROM train),\n"
+    f"cut AS (SELECT w, (n // {WORKERS}) * w + least(w, n % {WORKERS}) AS low, "
+    f"(n // {WORKERS}) * (w + 1) + least(w + 1, n % {WORKERS}) AS high FROM n, (SELECT unnest(range({WORKERS})) AS w)),\n"
+    f"ids AS (SELECT w AS shard, (p - low) // {TOY_BATCH} AS batch, p, ").replace(
+    "AS ids FROM train)", "AS ids FROM train JOIN cut ON p >= low AND p < high)").replace(
+    "flat AS (SELECT batch, flatten", "flat AS (SELECT shard, batch, flatten").replace(
+    "FROM ids GROUP BY batch)", "FROM ids GROUP BY shard, batch)").replace(
+    "blk AS (SELECT batch, a,", "blk AS (SELECT shard, batch, a,").replace(
+    "SELECT CAST(0 AS BIGINT) AS shard, batch, block,", "SELECT shard, batch, block,"))
+def q_pack_blocks_workers(spark, sf_dir):
+    """P3 over four worker shards."""
+    return _toy_blocks(split_docs(spark, sf_dir)[0], WORKERS)
+
+
 PACK_VAL_SQL = (PACK_SQL.replace("WHERE split = 'train'", "WHERE split = 'test'")
                 .replace("rn - (SELECT k FROM nt) - 1 AS p", "rn - 1 AS p"))
 
@@ -757,8 +919,8 @@ def q_pair_freq(spark, sf_dir):
     return BP.pair_frequencies(BP.word_frequencies(documents(spark, sf_dir)))
 
 
-def _bpe_sql(select: str, more: str = "") -> str:
-    ctes = O.bpe_ctes("deduped", ("benchmark",), BPE_VOCAB, BP.MIN_FREQUENCY, len(BP.SPECIALS))
+def _bpe_sql(select: str, more: str = "", vocab_size: int = BPE_VOCAB) -> str:
+    ctes = O.bpe_ctes("deduped", ("benchmark",), vocab_size, BP.MIN_FREQUENCY, len(BP.SPECIALS))
     return f"WITH RECURSIVE {DEDUP_CTE},\n{ctes},\ndt AS ({O.bpe_docs_sql('deduped', 'doc_id')}){more}\n{select}"
 
 
@@ -811,6 +973,21 @@ def q_fertility(spark, sf_dir):
     return BP.fertility(docs, BP.doc_tokens(docs, bpe_model(spark, sf_dir)))
 
 
+_FIRST_DOCS = f"(SELECT doc_id, text FROM deduped ORDER BY source, doc_id LIMIT {FIRST_N})"
+
+
+@register("fertility_first", _bpe_sql(
+    "SELECT total_words, total_tokens, total_tokens / total_words AS fertility, "
+    f"CASE WHEN total_tokens / total_words <= {BP.FERTILITY_EXCELLENT} THEN 'EXCELLENT' "
+    f"WHEN total_tokens / total_words <= {BP.FERTILITY_GOOD} THEN 'GOOD' ELSE 'HIGH' END AS grade FROM ("
+    f"SELECT (SELECT sum(len({O.words_sql('text')}))::BIGINT FROM {_FIRST_DOCS}) AS total_words, "
+    f"(SELECT sum(len(input_ids))::BIGINT FROM dt JOIN {_FIRST_DOCS} USING (doc_id)) AS total_tokens)"))
+def q_fertility_first(spark, sf_dir):
+    """K10 as it is defined: over the first documents in corpus order."""
+    docs = PK.first_n(deduped_stage(spark, sf_dir), ["source", "doc_id"], FIRST_N).checkpoint(eager=True)
+    return BP.fertility(docs, BP.doc_tokens(docs, bpe_model(spark, sf_dir)))
+
+
 BENCH_IDS = f", bt AS ({O.bpe_docs_sql('benchmark', 'item_id')})"
 
 
@@ -888,6 +1065,27 @@ def q_tokenizer_compare(spark, sf_dir):
     return BP.compare_tokenizers(b, BP.simple_token_counts(), "pretokens")
 
 
+SMALL_VOCAB = 250            # a smaller vocabulary read off the same training
+
+
+def _bench_counts(size: int) -> str:
+    return "(" + _bpe_sql(f"SELECT item_id, len(input_ids)::BIGINT AS bpe_{size} FROM bt", BENCH_IDS, size) + ")"
+
+
+@register("tokenizer_compare_bpe", "SELECT label, tokenizer, tokens, tokens / greatest(base, 1) AS ratio FROM ("
+          "SELECT item_id AS label, " + ", ".join(f"{e} AS {n}" for n, e in _simple_counts_sql("text").items())
+          + f", bpe_{SMALL_VOCAB}, bpe_{BPE_VOCAB}, bpe_{BPE_VOCAB} AS base FROM benchmark "
+          f"JOIN {_bench_counts(SMALL_VOCAB)} USING (item_id) JOIN {_bench_counts(BPE_VOCAB)} USING (item_id)) "
+          f"UNPIVOT (tokens FOR tokenizer IN (bytes, chars, words, pretokens, bpe_{SMALL_VOCAB}, bpe_{BPE_VOCAB}))")
+def q_tokenizer_compare_bpe(spark, sf_dir):
+    """K16 with learned vocabularies: one training serves both sizes."""
+    b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("label"), "text")
+    sizes = [SMALL_VOCAB, BPE_VOCAB]
+    learned = BP.token_counts_at(b, bpe_model(spark, sf_dir), sizes, key="label")
+    counts = BP.simple_token_counts() | {f"bpe_{n}": F.col(f"bpe_{n}") for n in sizes}
+    return BP.compare_tokenizers(b.join(learned, "label"), counts, f"bpe_{BPE_VOCAB}")
+
+
 @register("pack_blocks_bpe", _bpe_sql(PACK_IDS_SQL, f""",
 {SPLIT_SQL},
 train AS (SELECT doc_id, rn - (SELECT k FROM nt) - 1 AS p FROM labelled WHERE split = 'train'),

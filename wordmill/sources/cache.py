@@ -58,28 +58,104 @@ def cache_key(model: str, tokenizer_tag: str, max_length: int, n_train: int, n_v
     return f"{model}-{tokenizer_tag}-block{max_length}-train{n_train}-val{n_val}"
 
 
+MANIFEST = "_MANIFEST"
+
+
+def _manifest(spark: SparkSession, path: str) -> str:
+    """One line per data file of the splits below ``path``: its place and length."""
+    fs, p = _fs(spark, path)
+    lines, todo = [], [fs.getFileStatus(fs.makeQualified(p).suffix(f"/{s}")) for s in SPLITS]
+    base = fs.makeQualified(p).toString()
+    while todo:
+        st = todo.pop()
+        if st.isDirectory():
+            todo += list(fs.listStatus(st.getPath()))
+        else:
+            lines.append(f"{st.getPath().toString()[len(base) + 1:]}\t{st.getLen()}")
+    return "\n".join(sorted(lines))
+
+
+def _write_manifest(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, f"{path}/{MANIFEST}")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(_manifest(spark, path).encode()))
+    finally:
+        out.close()
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Both splits are there, and exactly with the files that the manifest names."""
+    if not all(_complete(spark, f"{path}/{s}") for s in SPLITS):
+        return False
+    fs, p = _fs(spark, f"{path}/{MANIFEST}")
+    if not fs.exists(p):
+        return False
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return text == _manifest(spark, path)
+
+
+def _publish(spark: SparkSession, staging: str, path: str) -> bool:
+    """Move a built set to its place in one step; False if another builder's set is there already."""
+    from py4j.protocol import Py4JJavaError
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs
+    source, target = hadoop.Path(staging), hadoop.Path(path)
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs = target.getFileSystem(conf)
+    try:
+        # unlike FileSystem.rename this fails where the target exists, and never moves into it
+        hadoop.FileContext.getFileContext(fs.getUri(), conf).rename(
+            fs.makeQualified(source), fs.makeQualified(target), options)
+        return True
+    except Py4JJavaError:
+        if not fs.exists(target):
+            raise
+        return False
+
+
 def build_or_load(spark: SparkSession, root: str, key: str,
                   build: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
-    """Load both splits if both are complete under ``root/key``, else build and save."""
-    paths = {s: f"{root}/{key}/{s}" for s in SPLITS}
-    if all(_complete(spark, p) for p in paths.values()):
-        return {s: spark.read.parquet(p) for s, p in paths.items()}
-    built = build()
-    for s, p in paths.items():
-        built[s].write.mode("overwrite").parquet(p)
-    return {s: spark.read.parquet(p) for s, p in paths.items()}
+    """Load both splits if the set under ``root/key`` is complete, else build and save it.
+
+    A set is built in a staging folder of its own and gets a manifest of its files; then it
+    is renamed to its key in one step. So a set under a key is whole, however many sessions build it
+    at once: the first one to finish publishes, the others drop theirs and load that one. A folder that
+    does not agree with its manifest (a failed copy, say) is set aside and built anew.
+    """
+    import uuid
+    path = f"{root}/{key}"
+    fs, target = _fs(spark, path)
+    if not is_complete(spark, path):
+        staging = f"{root}/_staging-{key}-{uuid.uuid4().hex}"
+        built = build()
+        for s in SPLITS:
+            built[s].write.parquet(f"{staging}/{s}")
+        _write_manifest(spark, staging)
+        if not _publish(spark, staging, path) and not is_complete(spark, path):
+            aside = _fs(spark, f"{root}/_broken-{key}-{uuid.uuid4().hex}")[1]
+            fs.rename(target, aside)
+            _publish(spark, staging, path)
+        fs.delete(_fs(spark, staging)[1], True)
+    return {s: spark.read.parquet(f"{path}/{s}") for s in SPLITS}
 
 
 def latest_complete(spark: SparkSession, root: str) -> str | None:
-    """The cache folder with both splits complete and the newest modification time."""
+    """The complete set with the newest modification time; staging folders and broken sets do not count."""
     fs, p = _fs(spark, root)
     if not fs.exists(p):
         return None
     best, best_t = None, -1
     for st in fs.listStatus(p):
-        if not st.isDirectory():
+        if not st.isDirectory() or st.getPath().getName().startswith("_"):
             continue
         d = st.getPath().toString()
-        if all(_complete(spark, f"{d}/{s}") for s in SPLITS) and st.getModificationTime() > best_t:
+        if st.getModificationTime() > best_t and is_complete(spark, d):
             best, best_t = d, st.getModificationTime()
     return best

@@ -29,4 +29,5 @@ def manifest_with_measures(manifest: DataFrame, corpus: DataFrame, corpus_col: s
 
 def by_license(df: DataFrame) -> DataFrame:
     return df.groupBy("license").agg(F.count("*").alias("n_datasets"),
-                                     F.coalesce(F.sum("n_docs"), F.lit(0)).alias("n_docs"))
+                                     F.coalesce(F.sum("n_docs"), F.lit(0)).alias("n_docs"),
+                                     F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))

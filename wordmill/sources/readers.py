@@ -8,6 +8,8 @@ of splits into partitions.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as TY
@@ -53,6 +55,14 @@ def has_files(spark: SparkSession, path: str, suffix: str) -> bool:
     return False
 
 
+def file_table(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """(path, bytes) of every file below ``path``, from the file system; no content is read."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "path string, bytes bigint")
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+            .load(path).select("path", F.col("length").alias("bytes")))
+
+
 def empty_corpus(spark: SparkSession) -> DataFrame:
     schema = "text string, source string, ordinal struct<file:string,block:bigint,row:bigint>"
     return spark.createDataFrame([], schema)
@@ -73,6 +83,29 @@ def read_lines(spark: SparkSession, path: str, label: str = LINE_CORPUS_LABEL) -
                      _ordinal(F.monotonically_increasing_id()).alias("ordinal"))
 
 
+def with_row_numbers(df: DataFrame, out: str = "row_no", ordinal: str = "ordinal") -> DataFrame:
+    """``df`` with the 0-based number of each row over all files, in order of their paths.
+
+    ``ordinal`` is a reader's (file, block, row). Rows of a split come in file order, so a
+    row's number is its distance from the first row of its split plus the rows of all
+    splits before it: a prefix sum over one row per split, then one per file. Nothing
+    is sorted but these, and the rows are not shuffled unless the splits are too
+    many to broadcast.
+    """
+    from pyspark.sql import Window
+    o = F.col(ordinal)
+    keys = df.select(o["file"].alias("_file"), o["block"].alias("_block"), o["row"].alias("_row"))
+    splits = keys.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    files = splits.groupBy("_file").agg(F.sum("_n").alias("_n"))
+    before_files = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("_file", F.coalesce(F.sum("_n").over(before_files), F.lit(0)).alias("_before_file"))
+    in_file = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(in_file), F.lit(0))).join(files, "_file").select(
+        "_file", "_block", (F.col("_before_file") + F.col("_before") - F.col("_first")).alias("_shift"))
+    return (df.join(splits, (o["file"] == F.col("_file")) & (o["block"] == F.col("_block")))
+            .withColumn(out, (o["row"] + F.col("_shift")).cast("bigint")).drop("_file", "_block", "_shift"))
+
+
 def split_lines(text_col) -> F.Column:
     """S1 applied to an in-table text: universal-newline split, no trailing empty line."""
     t = F.col(text_col) if isinstance(text_col, str) else text_col
@@ -89,23 +122,23 @@ def lines_of(df: DataFrame, text_col: str = "text", key: str = "doc_id") -> Data
 
 
 def read_files(spark: SparkSession, path: str, label: str = FILE_CORPUS_LABEL,
-               glob: str = "*.txt") -> tuple[DataFrame, DataFrame]:
-    """One document per ``*.txt`` file (non-recursive), sorted by name.
+               glob: str = "*.txt", recursive: bool = False) -> tuple[DataFrame, DataFrame]:
+    """One document per ``*.txt`` file (non-recursive unless asked), sorted by name.
 
     Returns ``(docs, bad_files)``: files that are not valid UTF-8 are routed to
-    the second frame instead of failing the job.
+    the second frame (path, bytes) instead of failing the job.
     """
     if not path_exists(spark, path):
-        return empty_corpus(spark), spark.createDataFrame([], "path string")
+        return empty_corpus(spark), spark.createDataFrame([], "path string, bytes bigint")
     raw = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-           .option("recursiveFileLookup", "false").load(path))
-    dec = raw.select("path", F.col("content").cast("string").alias("s"))
+           .option("recursiveFileLookup", str(recursive).lower()).load(path))
+    dec = raw.select("path", F.col("length").alias("bytes"), F.col("content").cast("string").alias("s"))
     ok = F.is_valid_utf8("s")
     docs = dec.where(ok).select(
         F.regexp_replace("s", r"\r\n?", "\n").alias("text"), F.lit(label).alias("source"),
         F.struct(F.col("path").alias("file"), F.lit(0).cast("bigint").alias("block"),
                  F.lit(0).cast("bigint").alias("row")).alias("ordinal"))
-    bad = dec.where(~ok).select("path")
+    bad = dec.where(~ok).select("path", "bytes")
     return docs, bad
 
 
@@ -122,8 +155,16 @@ def parquet_corpus(df: DataFrame, text_col: str = PARQUET_TEXT_COLUMN,
     return df.select(*keep, text.alias("text"), src.alias("source"))
 
 
-def shard_columns(spark: SparkSession, path: str) -> dict[str, frozenset[str] | str]:
-    """For every ``*.parquet`` shard of a folder its column names, or what is wrong with its footer.
+@dataclass(frozen=True)
+class Shard:
+    """What the footer of a Parquet shard says."""
+
+    columns: frozenset[str]
+    rows: int
+
+
+def shard_footers(spark: SparkSession, path: str) -> dict[str, Shard | str]:
+    """For every ``*.parquet`` shard of a folder its columns and rows, or what is wrong with its footer.
 
     Only footers are read, by a few driver threads through the Hadoop file system.
     """
@@ -139,60 +180,119 @@ def shard_columns(spark: SparkSession, path: str) -> dict[str, frozenset[str] |
     files = sorted((st.getPath() for st in fs.listStatus(folder)
                     if st.isFile() and st.getPath().getName().endswith(".parquet")), key=lambda p: p.toString())
 
-    def columns(p):
+    def footer(p):
         try:
             reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
                 jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(p, conf))
             try:
-                return frozenset(f.getName() for f in reader.getFileMetaData().getSchema().getFields())
+                return Shard(frozenset(f.getName() for f in reader.getFileMetaData().getSchema().getFields()),
+                             reader.getRecordCount())
             finally:
                 reader.close()
         except Py4JJavaError as e:
             return str(e.java_exception.getMessage()).splitlines()[0]
 
     with ThreadPoolExecutor(8) as pool:
-        return dict(zip((p.toString() for p in files), pool.map(columns, files)))
+        return dict(zip((p.toString() for p in files), pool.map(footer, files)))
 
 
 def shard_report(spark: SparkSession, path: str) -> DataFrame:
     """One row per shard, ``status`` read or corrupt, or one row ``missing`` for the folder."""
     rows = [(p, "corrupt" if isinstance(c, str) else "read", c if isinstance(c, str) else None)
-            for p, c in shard_columns(spark, path).items()]
+            for p, c in shard_footers(spark, path).items()]
     return spark.createDataFrame(rows or [(path, "missing", "no shards found")],
                                  "path string, status string, detail string")
 
 
+def _shard_rows(spark: SparkSession, footers: dict[str, Shard | str], salvage: bool) -> DataFrame | None:
+    """(text, source, _file, _row) of all shards with a footer; shards with the same columns are read together."""
+    groups: dict[frozenset[str], list[str]] = {}
+    for p, shard in footers.items():
+        if isinstance(shard, Shard):
+            groups.setdefault(shard.columns & {PARQUET_TEXT_COLUMN, PARQUET_SOURCE_COLUMN}, []).append(p)
+    out = None
+    for columns, files in groups.items():
+        reader = spark.read.option("mergeSchema", "false")
+        if salvage:
+            # a split ends at its first broken page instead of failing; page checksums are used where they exist
+            reader = (reader.option("ignoreCorruptFiles", "true").option("parquet.page.verify-checksum.enabled", "true"))
+        df = reader.parquet(*files).select(*sorted(columns), F.col("_metadata.file_path").alias("_file"),
+                                           F.col("_metadata.row_index").alias("_row"))
+        part = parquet_corpus(df, keep=("_file", "_row"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _with_ordinal(rows: DataFrame) -> DataFrame:
+    return rows.select("text", "source", F.struct(
+        F.col("_file").alias("file"), F.lit(0).cast("bigint").alias("block"),
+        F.col("_row").cast("bigint").alias("row")).alias("ordinal"))
+
+
 def read_parquet_shards(spark: SparkSession, path: str) -> DataFrame:
     """S3: all ``*.parquet`` shards of a folder.
 
     The column rules hold shard by shard: shards with the same columns are read together, so a
     shard that lacks a column gets its default whatever the others have. Shards without a
     readable footer are left out; ``shard_report`` lists them, and so does a warning. A page
-    that turns out to be corrupt while reading fails the job.
+    that turns out to be corrupt while reading fails the job; ``salvage_parquet_shards`` keeps
+    what stands before it.
     """
     import warnings
-    groups: dict[frozenset[str], list[str]] = {}
-    for p, columns in shard_columns(spark, path).items():
-        if isinstance(columns, str):
-            warnings.warn(f"shard {p} is left out: {columns}", stacklevel=2)
-        else:
-            groups.setdefault(columns & {PARQUET_TEXT_COLUMN, PARQUET_SOURCE_COLUMN}, []).append(p)
-    out = empty_corpus(spark)
-    for columns, files in groups.items():
-        df = spark.read.option("mergeSchema", "false").parquet(*files)
-        df = df.select(*columns, F.col("_metadata.file_path").alias("_file"),
-                       F.col("_metadata.row_index").alias("_row"))
-        part = parquet_corpus(df, keep=("_file", "_row"))
-        out = out.unionByName(part.select("text", "source", F.struct(
-            F.col("_file").alias("file"), F.lit(0).cast("bigint").alias("block"),
-            F.col("_row").cast("bigint").alias("row")).alias("ordinal")))
-    return out
+    footers = shard_footers(spark, path)
+    for p, shard in footers.items():
+        if isinstance(shard, str):
+            warnings.warn(f"shard {p} is left out: {shard}", stacklevel=2)
+    rows = _shard_rows(spark, footers, salvage=False)
+    return empty_corpus(spark) if rows is None else empty_corpus(spark).unionByName(_with_ordinal(rows))
+
+
+def salvage_parquet_shards(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """S3 with what broken shards still hold: (documents, report).
+
+    Of every shard the rows before its first broken page stay, in whatever splits it was read; the
+    rows behind it go, even if other splits could read them. The report has one row per shard: path, status (read,
+    partial, corrupt footer, or missing for the folder), the rows its footer names and the rows kept.
+    One more pass over the shards' columns finds out which are broken; only those are ordered by row.
+    """
+    from pyspark.sql import Window
+    footers = shard_footers(spark, path)
+    schema = "path string, status string, rows bigint, kept bigint, detail string"
+    rows = _shard_rows(spark, footers, salvage=True)
+    if rows is None:
+        found = [(p, "corrupt", None, 0, c) for p, c in footers.items()]
+        return empty_corpus(spark), spark.createDataFrame(found or [(path, "missing", None, 0, "no shards found")], schema)
+    # asking for the sizes reads all pages of both columns
+    sized = rows.withColumn("_size", F.octet_length("text") + F.octet_length("source"))
+    seen = {_plain(r["_file"]): (r["_file"], r["n"]) for r in sized.groupBy("_file").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_size").alias("_size")).collect()}    # one row per shard
+    kept = {p: seen.get(_plain(p), (p, 0))[1] for p, f in footers.items() if isinstance(f, Shard)}
+    broken = {p: seen[_plain(p)][0] for p, n in kept.items() if 0 < n < footers[p].rows}
+    if broken:
+        order = Window.partitionBy("_file").orderBy("_row")
+        prefix = (sized.where(F.col("_file").isin(list(broken.values())) & (F.col("_size") >= 0)).select("_file", "_row")
+                  .withColumn("_at", F.row_number().over(order) - 1)
+                  .groupBy("_file").agg(F.count_if(F.col("_at") == F.col("_row")).alias("kept")).collect())
+        lengths = {r["_file"]: r["kept"] for r in prefix}
+        kept |= {p: lengths.get(name, 0) for p, name in broken.items()}
+        limits = F.create_map(*(F.lit(x) for p, name in broken.items() for x in (name, kept[p])))
+        rows = rows.where(F.coalesce(F.col("_row") < F.element_at(limits, F.col("_file")), F.lit(True)))
+    report = [(p, "corrupt", None, 0, f) if isinstance(f, str) else
+              (p, "read", f.rows, kept[p], None) if kept[p] == f.rows else
+              (p, "partial", f.rows, kept[p], f"{f.rows - kept[p]} rows lost") for p, f in footers.items()]
+    return empty_corpus(spark).unionByName(_with_ordinal(rows)), spark.createDataFrame(report, schema)
+
+
+def _plain(path: str) -> str:
+    """A file's path without what differs between a listing and ``_metadata``: scheme slashes, escapes."""
+    from urllib.parse import unquote
+    return unquote(path).replace(":///", ":/")
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: TY.StructType = CLEANED_SCHEMA) -> DataFrame:
     """Cleaned JSON-lines documents; a malformed line fails the job."""
     df = (spark.read.schema(schema).option("mode", "FAILFAST")
-          .option("pathGlobFilter", "*.json*").json(path))
+          .option("pathGlobFilter", "{*.jsonl,part-*.json}").json(path))
     return df.select("*", F.struct(F.col("_metadata.file_path").alias("file"),
                                    F.col("_metadata.file_block_start").alias("block"),
                                    F.monotonically_increasing_id().alias("row"))

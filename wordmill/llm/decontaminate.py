@@ -271,7 +271,8 @@ def search(index: Index, items: DataFrame, id_col: str = "item_id", text_col: st
     wanted = (worth.join(terms, "piece").select("seg", "block", "term").distinct()
               .unionByName(worth.select("seg", "block", F.lit(DOC_STARTS).alias("term")).distinct()))
     lists = index.postings.join(wanted, ["seg", "term"]).select("seg", "block", "term", "width", "gaps")
-    asked = worth.join(pieces, "piece").select("seg", "block", "piece", "first", "words")
+    asked = worth.join(pieces, "piece").select(     # under names of their own: both sides come from ``worth``
+        F.col("seg").alias("seg"), F.col("block").alias("block"), "piece", "first", "words")
     found = (lists.groupBy("seg", "block").cogroup(asked.groupBy("seg", "block"))
              .applyInArrow(_search_segment(window, slop), MATCHES))
     return (found.join(pieces.select("piece", "key"), "piece").join(ids, "key")

@@ -557,7 +557,7 @@ def test_token_counts(spark):
     docs = [(k, t) for k, t in enumerate(BPE_TEXTS[:4] + BPE_TEXTS[4:7])] + [e for e in EDGES if e[0] != 4]
     df = clashing(spark.createDataFrame(docs, DOCS))
     scores = token_counts.learn_scores(df, RANKS, P.PATTERN)
-    assert (scores == token_counts.learn_scores(df.repartition(5), RANKS, P.PATTERN)).all() and len(set(scores.tolist())) > 100
+    assert (scores == token_counts.learn_scores(df.repartition(5), RANKS, P.PATTERN)).all() and len(set(scores.tolist())) > 50
     got = token_counts.token_counts(df, RANKS, P.PATTERN)
     find = PreTokens(P.PATTERN)._find
     want = [(i, len(find(t or "")), sum(brute_tokens(w, ranks, scores) for w in find(t or ""))) for i, t in docs]

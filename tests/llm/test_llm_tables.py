@@ -62,9 +62,9 @@ def check_shards(rows, docs, n_shards):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
-@pytest.mark.parametrize("fine,slice_groups", [(256, 100_000), (2, 400)])
-def test_sharding_balances_and_keeps_groups(spark, monkeypatch, fine, slice_groups):
-    """At other bounds many groups go through slices and bins instead of being packed one by one."""
+@pytest.mark.parametrize("fine,slice_groups,spread", [(256, 100_000, 0.03), (2, 400, 0.15)])
+def test_sharding_balances_and_keeps_groups(spark, monkeypatch, fine, slice_groups, spread):
+    """At other bounds many groups go through slices and a few coarse bins instead of being packed one by one."""
     monkeypatch.setattr(shards, "FINE", fine)
     monkeypatch.setattr(shards, "SLICE_GROUPS", slice_groups)
     rng = random.Random(5)
@@ -80,8 +80,8 @@ def test_sharding_balances_and_keeps_groups(spark, monkeypatch, fine, slice_grou
         size[r.shard] += r["size"]
         count[r.shard] += 1
         where[texts[r.doc_id]].add(r.shard)
-    assert max(size.values()) - min(size.values()) < 0.03 * sum(size.values()) / n
-    assert max(count.values()) - min(count.values()) < 0.06 * len(rows) / n
+    assert max(size.values()) - min(size.values()) < spread * sum(size.values()) / n
+    assert max(count.values()) - min(count.values()) < 0.2 * len(rows) / n    # bytes weigh more
     assert len(where["the hot copy of a third of all rows"]) > 1
     assert all(len(s) == 1 for t, s in where.items() if not t.startswith("the hot"))
 

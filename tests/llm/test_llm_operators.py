@@ -1,6 +1,7 @@
 """The operators against brute-force versions, and their defined results at the edges."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -565,6 +566,58 @@ def test_token_counts(spark):
     assert token_counts.token_counts(empty(spark), RANKS, P.PATTERN).count() == 0
 
 
+def random_page(rng, depth, count):
+    """(html, [(text, link characters, ids of the containers around it from the inside)]) of a random tree."""
+    name = f"n{next(count)}"
+    html, blocks = "", []
+    for _ in range(rng.randrange(1, 5)):
+        if depth and rng.random() < 0.5:
+            inner, found = random_page(rng, depth - 1, count)
+            html += inner
+            blocks += [(t, n, [*ids, name]) for t, n, ids in found]
+        else:
+            text = " ".join(rng.choices(["lorem", "ipsum,", "dolor", "sit,", "amet."], k=rng.randrange(1, 60)))
+            link = " ".join(rng.choices(["more", "of", "this"], k=rng.choice([0, 0, 0, 1, 30])))
+            html += f"<p>{text}" + (f" <a href=x>{link}</a>" if link else "") + "</p>"
+            blocks.append((f"{text} {link}".strip(), len(link), [name]))
+    tag = rng.choice(["div", "section"])
+    return f"<{tag} id={name}>{html}</{tag}>", blocks
+
+
+def test_scores_equal_naive_tree_scoring():
+    """The best container of random trees without an article, by plain sums over all blocks and ancestors."""
+    rng = random.Random(8)
+    for _ in range(300):
+        html, blocks = random_page(rng, 4, itertools.count())
+        points, chars, linked = Counter(), Counter(), Counter()
+        for text, links, ids in blocks:
+            for level, name in enumerate([*ids, None], 1):
+                points[name] += (1 + text.count(",") + len(text) / 100) / level
+                chars[name] += len(text)
+                linked[name] += links
+        score = {name: points[name] * (1 - linked[name] / chars[name]) for name in points}
+        best = html_text._score(html_text.parse(html))
+        assert abs(score[best.attrs.get("id")] - max(score.values())) < 1e-9
+
+
+def test_names_are_weighed_against_content():
+    p = "<p>The committee met, and after a long debate, it took the vote, which was close.</p>"
+    text = html_text.main_text(f"<article><div class='post-header'><h1>Head line</h1></div>{p * 3}"
+                               f"<p class='notice-of-motion'>Notice of a motion was given.</p><div class='ad'>{p}</div></article>")
+    assert text.startswith("Head line") and "Notice of a motion" in text and text.count("committee") == 3
+    text = html_text.main_text(f"<div><h1>T</h1><section>{p * 4}</section><section class='social-history'><h2>Social history</h2>"
+                               f"{p * 4}</section></div><div class='site-footer'><p>Copyright.</p></div><div class='ad-slot'>{p}</div>")
+    assert "Social history" in text and text.count("committee") == 8 and "Copyright" not in text
+
+
+def test_deep_pages_are_parsed_in_linear_time():
+    import time
+    start = time.process_time()
+    assert html_text.main_text("<div>" + "<b>" * 100_000 + "text here" + "</i>" * 100_000 + "</div>") == "text here"
+    assert html_text.main_text("<div>x" * 20_000).count("x") == 20_000
+    assert time.process_time() - start < 30
+
+
 def test_bpe_batches_are_halved_when_memory_runs_out():
     """A slice of 8 MB of distinct runs of Chinese characters, and a word of 1 MB."""
     rng = random.Random(4)

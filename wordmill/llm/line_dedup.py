@@ -22,8 +22,8 @@ than ``MIN_EDIT`` characters are only compared for equality; blank lines stay.
    results stay linear whatever the size of a bucket. The edit distance of the pairs is
    verified on the full lines.
 
-Defined results: null text counts as empty (one blank line); a null id comes first; rows
-that repeat an id are compared by (id, line place), so of equal rows both keep what one
+Defined results: null text counts as empty (one blank line); texts and lines of any length are
+compared whole; a null id comes first; rows that repeat an id are compared by (id, line place), so of equal rows both keep what one
 keeps; an empty table gives an empty result; other columns are carried by
 :func:`drop_duplicate_lines`.
 """

@@ -19,8 +19,9 @@
 Defined results: documents without words (null, empty, punctuation) link to nothing, not
 even to each other, and are groups of their own; rows that repeat an id are one node of
 the graph, which has the edges of all their texts, and are returned each, with the links
-and copies of their own text; a null id acts as the smallest id; an empty table gives an
-empty result; other columns are ignored.
+and copies of their own text; a null id acts as the smallest id; very long texts give all
+their shingles, compared as 64-bit hashes; a pair exactly at the threshold is linked; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

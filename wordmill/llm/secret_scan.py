@@ -12,9 +12,10 @@ distinct words, shorter than a candidate, of about ``sample_docs`` documents (an
 id decides which) that are not such a value. A model is a table over 66 x 66 characters; the log-likelihood ratios are kept as whole thousandths, so sums are exact.
 
 Offsets are code points, ends exclusive. Defined results: null text is empty and has no
-spans; rows that repeat id and text get the same result each; without any labelled value
-the random model is uniform; an empty table gives an empty result; other columns are
-ignored.
+spans; very long texts are scanned whole; spans that start together stand in the order of the
+kinds, and a ratio that equals the margin counts as random; rows that repeat id and text get the same result each; without
+any labelled value the random model is uniform; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations

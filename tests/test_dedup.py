@@ -1,6 +1,7 @@
 """Exact dedup (D1), near-dedup greedy (D2-D6) and incremental near-dedup."""
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from wordmill.operators import clean as C
@@ -196,7 +197,7 @@ def _chain(n):
     return [(r, [(0, f"e{r}"), (0, f"e{r + 1}")]) for r in range(n)]
 
 
-def test_chain_of_ten_thousand_takes_few_jobs(spark):
+def test_chain_of_ten_thousand_takes_few_jobs(spark, one_partition):
     docs = _chain(10_000)
     df = _bands_df(spark, docs).repartition(4)
     spark.sparkContext.setJobGroup("chain", "chain")
@@ -207,7 +208,7 @@ def test_chain_of_ten_thousand_takes_few_jobs(spark):
     assert jobs < 400    # a round a link would be 5,000 rounds of several jobs
 
 
-def test_components_are_the_sequential_greedy(spark):
+def test_components_are_the_sequential_greedy(spark, one_partition):
     """Chains and random graphs, finished inside groups or, where components count as large, in rounds."""
     rnd = random.Random(3)
     docs = _chain(40) + [(100 + r, [(1, f"x{rnd.randrange(25)}"), (2, f"y{rnd.randrange(25)}")]) for r in range(60)]
@@ -226,7 +227,16 @@ def test_components_of_struct_ranks(spark):
     assert got == {(None, 1): (None, 1), ("a", 1): (None, 1), ("a", 2): (None, 1), ("b", 9): ("b", 9), ("c", 5): ("b", 9)}
 
 
-def test_fifty_batches_read_a_bounded_part_of_the_state(spark, tmp_dir):
+@pytest.fixture()
+def one_partition(spark):
+    """Many small jobs: a task a stage is enough."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_fifty_batches_read_a_bounded_part_of_the_state(spark, tmp_dir, one_partition):
     from wordmill.streaming.incremental_neardup import IncrementalNearDedup
     words = [" ".join(f"w{k}x{j}" for j in range(8)) for k in range(150)]
     # three documents a batch; the last of every fifth batch repeats an early one

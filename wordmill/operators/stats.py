@@ -7,7 +7,7 @@ value -> count map, bounded by the number of distinct word counts).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.functions import text as T
@@ -50,13 +50,14 @@ def docs_by_source(df: DataFrame, source_col: str = "source",
                    order_col: str = "ordinal") -> DataFrame:
     """Documents per source, most common first, ties in first-seen order.
 
-    ``position`` is a window over the (small) per-source result, not over docs.
+    ``position`` is a dense position by ranges, so any number of sources (one per host,
+    say) is ranked without a single task that holds them all.
     """
+    from wordmill.operators.packing import dense_positions
     g = df.groupBy(source_col).agg(F.count("*").alias("n_docs"),
                                    F.min(order_col).alias("first_seen"))
-    w = Window.orderBy(F.desc("n_docs"), F.asc("first_seen"))
-    return g.select(source_col, "n_docs", "first_seen",
-                    F.row_number().over(w).cast("bigint").alias("position"))
+    ranked = dense_positions(g.withColumn("_fewer", -F.col("n_docs")), ["_fewer", "first_seen"])
+    return ranked.select(source_col, "n_docs", "first_seen", (F.col("position") + 1).alias("position"))
 
 
 def size_report(df: DataFrame, corpus_col: str = "corpus", text_col: str = "text") -> DataFrame:

@@ -729,6 +729,25 @@ def q_train_val_split(spark, sf_dir):
         test.select("doc_id", F.lit("test").alias("split")))
 
 
+@register("cached_split", REGISTRY["train_val_split"].sql)
+def q_cached_split(spark, sf_dir):
+    """The split is built and published once; a second builder of the key and the
+    look for the latest complete set both come to the same files."""
+    from wordmill.sources import cache as CA
+    root = scratch(spark, "cache")
+
+    def build():
+        train, test = split_docs(spark, sf_dir)
+        return {"train": train.select("doc_id"), "val": test.select("doc_id")}
+    key = CA.cache_key("toy", "words", TOY_BLOCK_LEN, LIMIT_TRAIN, LIMIT_VAL)
+    CA.build_or_load(spark, root, key, build)
+    CA.build_or_load(spark, root, key, lambda: {})      # loads: nothing is built again
+    latest = CA.latest_complete(spark, root)
+    name = {"train": "train", "val": "test"}
+    parts = [spark.read.parquet(f"{latest}/{s}").select("doc_id", F.lit(name[s]).alias("split")) for s in CA.SPLITS]
+    return parts[0].unionByName(parts[1])
+
+
 LIMITED_SQL = (f"WITH {DEDUP_CTE},\n{SPLIT_SQL},\n"
                "lim AS (SELECT doc_id, split, row_number() OVER (PARTITION BY split ORDER BY sh, "
                "doc_id) AS k FROM labelled)\n"

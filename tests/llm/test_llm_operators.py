@@ -664,6 +664,21 @@ def test_chat_round_trip(spark, part_chars):
     assert chat_format.read_back(chat_format.format_conversations(df.limit(0), *CHAT)).count() == 0
 
 
+def test_a_hot_conversation_covers_many_tasks(spark):
+    turns = [(k % 50 + 1 if k % 3 else 0, k, "assistant" if k % 2 else "user", f"turn {k} says") for k in range(3000)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(5)
+    made = chat_format.format_conversations(df, *CHAT, part_chars=500)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")    # so little would be one task
+    tasks = made.where("conv_id = 0").select(F.shiftright("part", 32).alias("task"), "part")
+    assert tasks.select("task").distinct().count() > 1 and tasks.distinct().count() == tasks.count()
+    got = {r.conv_id: r for r in chat_format.read_back(made).collect()}
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == len({c for c, *_ in turns})
+    for c, r in got.items():
+        said = sorted((t, role, text) for x, t, role, text in turns if x == c)
+        assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for _, a, b in said).encode()).hexdigest()
+
+
 def test_chat_texts_that_begin_with_white_space(spark):
     said = ["\n\nHello", "\n", "\n\n", "\n \nx", "  two", " one", "\r\nx", "\t\n", " ", "\u00a0\n\nx", "\n<|end|>\n", "x\n"]
     turns = [(c, t, role, text) for c, text in enumerate(said) for t, role in enumerate(("assistant", "user", "assistant"))]

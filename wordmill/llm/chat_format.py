@@ -7,12 +7,14 @@ single added tokens of the tokenizer; tokens never reach across them. Headers, w
 line feed, are encoded apart from the texts, so no token lies over both, whatever white
 space a text begins with.
 
-Rows are partitioned by conversation and sorted by turn; tasks stream them, so memory
-is bounded by ``part_chars`` and not by the length of a conversation: a longer one is
-returned in several parts that end at turns. Encoding parts separately equals encoding
-the whole, because the tokenizer cuts at the markers and headers first. Each part is encoded once; its
-tokens' character offsets follow from their byte lengths, and the sorted spans of the
-trained turns are intersected with the sorted token spans by binary search.
+Rows are dealt by ranges of (conversation, turn), so a conversation of any share of the rows
+covers as many tasks as it needs. Tasks stream their turns in order and return parts of about
+``part_chars`` characters that end at turns; ``part`` numbers grow along a conversation. Encoding
+parts separately equals encoding the whole, because the tokenizer cuts at the markers and headers
+first. Each part is encoded once; its tokens' character offsets follow from their byte lengths, and the
+sorted spans of the trained turns are intersected with the sorted token spans by binary
+search. :func:`read_back` reads every part where it lies and brings only what it found there
+together by conversation, for the running digests: a SHA-256 is one chain, hashing is all that one task does.
 
 Defined results: null text and null role are empty; turns order by (turn, role, text),
 nulls first; repeated rows are repeated turns; rows without conversation id form one
@@ -23,12 +25,14 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +46,10 @@ _MARK = re.compile(f"({re.escape(TURN)}|{re.escape(END)})")
 _HEADER = re.compile(re.escape(TURN) + r"[^\n]*\n")
 _ESCAPED = re.compile(r"\\(.)", re.S)
 
-FORMATTED = ("conv_id long, part int, formatted string, token_ids array<int>, token_starts array<int>, "
+FORMATTED = ("conv_id long, part long, formatted string, token_ids array<int>, token_starts array<int>, "
              "token_ends array<int>, loss_mask array<boolean>")
+#: What a part gives to the digests of its conversation.
+READ = "conv_id long, part long, n_turns long, turns string, loss string, chars long, n_tokens long, n_loss_tokens long"
 DIGESTS = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
            "formatted_chars long, n_tokens long, n_loss_tokens long")
 
@@ -126,12 +132,13 @@ def loss_mask(spans: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
 def format_conversations(conversations: DataFrame, rank_path: str, pattern: str, trained=("assistant",),
                          part_chars: int = 1 << 20) -> DataFrame:
-    """Rows of :data:`FORMATTED`: the parts of each conversation in order, within a partition."""
+    """Rows of :data:`FORMATTED`: the parts of each conversation, in order of ``part``."""
     trained = frozenset(trained)
 
     def parts(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Tokenizer(rank_path, pattern)
-        schema = pa.schema([("conv_id", pa.int64()), ("part", pa.int32()), ("formatted", pa.string()),
+        number = itertools.count(TaskContext.get().partitionId() << 32)   # tasks are ranges, in order
+        schema = pa.schema([("conv_id", pa.int64()), ("part", pa.int64()), ("formatted", pa.string()),
                             ("token_ids", pa.list_(pa.int32())), ("token_starts", pa.list_(pa.int32())),
                             ("token_ends", pa.list_(pa.int32())), ("loss_mask", pa.list_(pa.bool_()))])
 
@@ -142,33 +149,33 @@ def format_conversations(conversations: DataFrame, rank_path: str, pattern: str,
             at = pa.array(bounds(np.array([len(c[0]) for c in coded])).astype(np.int32))
             lists = [pa.ListArray.from_arrays(at, pa.array(np.concatenate(c))) for c in (*zip(*coded), masks)]
             return pa.RecordBatch.from_arrays(
-                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32()),
+                [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()),
                  pa.array([text for text, _ in drawn], pa.string()), *lists], schema=schema)
 
         nothing = object()
-        conv, part, turns, size = nothing, 0, [], 0
+        conv, turns, size = nothing, [], 0
         ready, waiting = [], 0
         for batch in rows:
             for c, role, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if c != conv or size >= part_chars:
                     if turns:
-                        ready.append((conv, part, turns))
+                        ready.append((conv, next(number), turns))
                         waiting += size
-                    conv, part, turns, size = c, part + 1 if c == conv else 0, [], 0
+                    conv, turns, size = c, [], 0
                     if waiting >= part_chars:
                         yield encoded(ready)
                         ready, waiting = [], 0
                 turns.append((role, text))
                 size += len(text) + len(role) + 16
         if turns:
-            ready.append((conv, part, turns))
+            ready.append((conv, next(number), turns))
         if ready:
             yield encoded(ready)
 
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"), F.col("turn").alias("turn"))
-    return (rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return (rows.repartitionByRange("conv_id", "turn").sortWithinPartitions("conv_id", "turn", "role", "text")
             .select("conv_id", "role", "text").mapInArrow(parts, FORMATTED))
 
 
@@ -189,11 +196,23 @@ def masked_text(formatted: str, starts: np.ndarray, ends: np.ndarray, mask: np.n
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of each conversation, from the formatted parts, their offsets and masks alone.
+    """One row per conversation: digests from its formatted parts, their offsets and masks alone."""
 
-    Follows :func:`format_conversations` without a shuffle between: the parts of a
-    conversation lie one after the other in a partition.
-    """
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            conv, part, text, _, starts, ends, mask = batch.columns
+            for i in range(batch.num_rows):
+                t, m = text[i].as_py(), mask[i].values.to_numpy(zero_copy_only=False)
+                turns = read_turns(t)
+                loss = masked_text(t, starts[i].values.to_numpy(), ends[i].values.to_numpy(), m)
+                out.append((len(turns), "".join(f"{role}\n{said}\n" for role, said in turns), "".join(loss), len(t), len(m),
+                            int(m.sum())))
+            columns = list(zip(*out)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays(
+                [conv, part, pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()),
+                 pa.array(columns[2], pa.string()), *(pa.array(c, pa.int64()) for c in columns[3:])],
+                names=["conv_id", "part", "n_turns", "turns", "loss", "chars", "n_tokens", "n_loss_tokens"])
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
@@ -202,33 +221,25 @@ def read_back(formatted: DataFrame) -> DataFrame:
                             ("n_loss_tokens", pa.int64())])
         state = None
 
-        def row(s):
-            return (s[0], s[1], s[2].hexdigest(), s[3], s[4].hexdigest(), s[5], s[6], s[7])
+        def rows(found: list) -> pa.RecordBatch:
+            done = [(s[0], s[1], s[2].hexdigest(), s[3], s[4].hexdigest(), *s[5:]) for s in found]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), schema.types)], schema=schema)
 
         for batch in batches:
-            done = []
-            conv, part, text, _, starts, ends, mask = batch.columns
-            for i in range(batch.num_rows):
-                c, t = conv[i].as_py(), text[i].as_py()
-                if part[i].as_py() == 0:
-                    if state:
-                        done.append(row(state))
+            ended = []
+            for c, n, turns, loss, chars, tokens, masked in zip(*(x.to_pylist() for x in batch.columns)):
+                if state is None or state[0] != c:
+                    if state is not None:
+                        ended.append(state)
                     state = [c, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0]
-                for role, said in read_turns(t):
-                    state[1] += 1
-                    state[2].update(f"{role}\n{said}\n".encode())
-                m = mask[i].values.to_numpy(zero_copy_only=False)
-                for said in masked_text(t, starts[i].values.to_numpy(), ends[i].values.to_numpy(), m):
-                    state[3] += len(said)
-                    state[4].update(said.encode())
-                state[5] += len(t)
-                state[6] += len(m)
-                state[7] += int(m.sum())
-            if done:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*done), schema.types)], schema=schema)
-        if state:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([v], t) for v, t in zip(row(state), schema.types)], schema=schema)
-
-    return formatted.mapInArrow(digests, DIGESTS)
+                state[2].update(turns.encode())
+                state[4].update(loss.encode())
+                for k, more in ((1, n), (3, len(loss)), (5, chars), (6, tokens), (7, masked)):
+                    state[k] += more
+            if ended:
+                yield rows(ended)
+        if state is not None:
+            yield rows([state])
+
+    found = formatted.mapInArrow(read, READ)
+    return (found.repartition("conv_id").sortWithinPartitions("conv_id", "part").drop("part").mapInArrow(digests, DIGESTS))

@@ -123,8 +123,10 @@ def assign(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col
                                         "digest binary, piece int, shard int")
     where_small = spark.createDataFrame([(r["slice"], r["bin"], s) for r, s in zip(items, shards) if "slice" in r],
                                         "slice int, bin int, shard int")
+    # the rows of large groups stay out of the join by digest
+    in_small = rows.join(F.broadcast(large.select("digest")), "digest", "left_anti")
     put = (in_large.join(F.broadcast(where_large), ["digest", "piece"]).select("id", "bytes", "text_crc32", "shard")
-           .unionByName(rows.join(packed.select("digest", "slice", "bin"), "digest")
+           .unionByName(in_small.join(packed.select("digest", "slice", "bin"), "digest")
                         .join(F.broadcast(where_small), ["slice", "bin"]).select("id", "bytes", "text_crc32", "shard")))
     return (numbered(put, "shard", ["id", "text_crc32", "bytes"], "slot", name="shards-put")
             .select(F.col("id").alias(id_col), F.col("bytes").alias("size"), "text_crc32", F.lit("bytes").alias("law"),

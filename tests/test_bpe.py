@@ -114,3 +114,18 @@ def test_model_artifact_round_trip(spark, tmp_dir):
     B.save_model(spark, model, f"{tmp_dir}/m")
     back = B.load_model(spark, f"{tmp_dir}/m")
     assert back.vocab == model.vocab and back.merges == model.merges
+
+
+def test_counts_at_smaller_vocabularies(spark):
+    """One training read off at smaller sizes equals smaller trainings."""
+    texts = [r[0] for r in duckdb.sql(f"select text from '{SF}/documents.parquet' order by doc_id limit 15").fetchall()]
+    df = spark.createDataFrame([*enumerate(texts), (100, None), (101, "")], "doc_id long, text string")
+    wf = B.word_frequencies(df)
+    sizes = [90, 130, 300]
+    full = B.learn_bpe(wf, sizes[-1])
+    got = {r.doc_id: (r.bpe_90, r.bpe_130, r.bpe_300) for r in B.token_counts_at(df, full, sizes).collect()}
+    models = [B.learn_bpe(wf, n) for n in sizes]
+    for n, m in zip(sizes, models):
+        assert full.merges[:B.merges_at(full, n)] == m.merges
+    counts = [{r.doc_id: len(r.input_ids) for r in B.doc_tokens(df, m).collect()} for m in models]
+    assert got == {i: tuple(c[i] for c in counts) for i in got} and len(got) == len(texts) + 2

@@ -1,6 +1,8 @@
 """Salted joins, the filter funnel and input spreading."""
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from wordmill.operators import clean as C
@@ -44,3 +46,24 @@ def test_ensure_parallelism(spark):
     assert ensure_parallelism(one, "id").rdd.getNumPartitions() >= 2
     many = spark.range(0, 100, 1, 64)
     assert ensure_parallelism(many, "id").rdd.getNumPartitions() == 64
+
+
+@pytest.mark.parametrize("most", [5_000, 1])
+def test_funnel_as_a_by_product_of_the_write(spark, tmp_dir, monkeypatch, most):
+    """Counted on the write, or with more labels than that takes by a second pass: the rows are the same."""
+    from wordmill.functions import patterns as P
+    from wordmill.operators import clean as C
+    from wordmill.operators import metrics as M
+    monkeypatch.setattr(M, "MOST_LABELS", most)
+    good = "A text of well over fifty letters, long enough to pass all of the filters"
+    rows = [(None, 1, good), (None, 2, good), ("a", 3, good), ("a", 4, "short"), ("b", 5, None), ("a", 6, good + " twice")]
+    df = spark.createDataFrame(rows, "corpus string, ordinal long, text string")
+    path = f"{tmp_dir}/out"
+    got = C.write_clean_corpus(df, path, block=P.LATIN)
+    want = C.clean_funnel(df, block=P.LATIN)
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    kept = spark.read.parquet(path)
+    assert sorted((r.corpus or "", r.ordinal) for r in kept.collect()) == [("", 1), ("a", 3), ("a", 6)]
+    empty = C.write_clean_corpus(df.limit(0), f"{tmp_dir}/none", block=P.LATIN)
+    assert empty.count() == 0 and spark.read.parquet(f"{tmp_dir}/none").count() == 0

@@ -23,6 +23,8 @@ def observe_counts(df: DataFrame, level: tuple[str, ...], labels: list[tuple], m
     Put on the last stage of a write, every row counts once: only the results of tasks whose
     output is committed reach the driver, so retried and speculative tasks add nothing.
     """
+    if not labels:
+        return df, list
     key = F.to_json(F.struct(*level), {"ignoreNullFields": "false"})
     schema = df.select(*level).schema
     named = df.sparkSession.createDataFrame(labels, schema).select(key.alias("key"), F.struct(*level).alias("label")).collect()

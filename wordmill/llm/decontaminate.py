@@ -8,8 +8,8 @@ postings are never shuffled for storing.
 :func:`search` keeps the benchmark in tables as well. Its distinct texts are cut into pieces of
 at most ``piece_words`` words. Every window of a piece must occur around its rarest term, so
 the rarest terms alone are joined to the postings: what comes out are the (segment, piece)
-pairs worth a look. Only for these the other terms' lists are fetched, brought together by
-segment and block of pieces, and intersected offset-adjusted, beginning with the rarest
+pairs worth a look. Only their lists are fetched (where they are too many to name in a broadcast, those of
+the blocks' terms in segments with a candidate), brought together by segment and block of pieces, and intersected offset-adjusted, beginning with the rarest
 term of that segment. The result is exact phrases and, with ``slop`` > 0, proximity matches:
 alignments at which every word of the window occurs at most ``slop`` positions off its place.
 
@@ -45,6 +45,7 @@ MATCHES = "seg long, ord int, piece long, item_start int, doc_start long, length
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PIECE_WORDS = 4096        # words of an item that are searched at once
+FEW_LISTS = 200_000       # lists up to which just those of the candidates are fetched, by a broadcast of their names
 BLOCK_WORDS = 1 << 20     # words of the pieces that one task looks for in a segment
 
 
@@ -238,7 +239,8 @@ def benchmark_pieces(items: DataFrame, id_col: str, text_col: str, window: int,
 def _anchors(pieces: DataFrame, postings: DataFrame, window: int) -> DataFrame:
     """(piece, term): the rarest term of every window whose terms all occur, each once a piece."""
     listed = pieces.select("piece", F.posexplode("words").alias("at", "term"))
-    often = (postings.join(listed.select("term").distinct(), "term", "left_semi")
+    terms = stored(listed.select("term").distinct(), "benchmark-terms")
+    often = (postings.select("term", "n").join(terms, "term", "left_semi")
              .groupBy("term").agg(F.sum("n").alias("n")))
     place = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "at", "term")
     lists = (listed.join(often, "term", "left").groupBy("piece")
@@ -264,13 +266,21 @@ def search(index: Index, items: DataFrame, id_col: str = "item_id", text_col: st
     total = pieces.agg(F.sum(F.size("words").cast("long"))).first()[0] or 0
     blocks = max(1, -(-total // block_words))
     block = F.pmod(F.xxhash64("piece"), F.lit(blocks)).alias("block")
-    anchors = _anchors(pieces, index.postings, window)
+    # stored tables have a known size: below Spark's threshold they are broadcast, and the postings stay where
+    # they are until their lists go to the segments, once
+    anchors = stored(_anchors(pieces, index.postings, window), "anchors")
     worth = stored(index.postings.select("seg", "term").join(anchors, "term").select("seg", "piece", block).distinct(),
                    "candidates")
-    terms = pieces.select("piece", F.explode(F.array_distinct("words")).alias("term"))
-    wanted = (worth.join(terms, "piece").select("seg", "block", "term").distinct()
-              .unionByName(worth.select("seg", "block", F.lit(DOC_STARTS).alias("term")).distinct()))
-    lists = index.postings.join(wanted, ["seg", "term"]).select("seg", "block", "term", "width", "gaps")
+    terms = pieces.select("piece", block, F.explode(F.array_distinct("words")).alias("term"))
+    starts = worth.select("block").distinct().withColumn("term", F.lit(DOC_STARTS))
+    known = stored(terms.select("block", "term").distinct().unionByName(starts), "known-terms")
+    lists = (index.postings.join(known, "term").join(worth.select("seg", "block").distinct(), ["seg", "block"], "left_semi")
+             .select("seg", "block", "term", "width", "gaps"))
+    wanted = (worth.join(terms.drop("block"), "piece").select("seg", "block", "term")
+              .unionByName(worth.select("seg", "block", F.lit(DOC_STARTS).alias("term"))).distinct())
+    few = wanted.limit(FEW_LISTS + 1).count()
+    if few <= FEW_LISTS:
+        lists = lists.join(F.broadcast(wanted), ["seg", "block", "term"], "left_semi")
     asked = worth.join(pieces, "piece").select(     # under names of their own: both sides come from ``worth``
         F.col("seg").alias("seg"), F.col("block").alias("block"), "piece", "first", "words")
     found = (lists.groupBy("seg", "block").cogroup(asked.groupBy("seg", "block"))

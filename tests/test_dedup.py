@@ -236,25 +236,43 @@ def one_partition(spark):
     spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def _bucket_rows(spark, docs):
+    """(rank, band, k1, k2) of documents given as (rank, bucket numbers)."""
+    return spark.createDataFrame([(r, 0, k * 7919, k) for r, keys in docs for k in keys], "rank long, band int, k1 long, k2 long")
+
+
 def test_fifty_batches_read_a_bounded_part_of_the_state(spark, tmp_dir, one_partition):
     from wordmill.streaming.incremental_neardup import IncrementalNearDedup
-    words = [" ".join(f"w{k}x{j}" for j in range(8)) for k in range(150)]
-    # three documents a batch; the last of every fifth batch repeats an early one
-    texts = [(r, words[1] if r % 15 == 14 else words[r]) for r in range(150)]
-    df = spark.createDataFrame(texts, "rank long, text string")
-    one_pass = {r["rank"] for r in N.near_dedup(df, "rank").collect()}
     job = IncrementalNearDedup(spark, tmp_dir, part_rows=10, fan=4)
-    got = set()
+    stored = set()
     for k in range(50):
-        part = df.where((F.col("rank") >= 3 * k) & (F.col("rank") < 3 * k + 3))
-        got |= {r["rank"] for r in job.process(part, k).collect()}
-        # 15 buckets at most ask each of the runs; only parts with a real hit (or a rare false one) are read
-        assert job.last_probe["filters"] <= 15 * len(job.runs()) + 15
-        assert job.last_probe["read"] <= (5 if k % 5 == 4 else 0) + 3
-    assert got == one_pass and len(one_pass) == 140
-    assert len(job.runs()) <= 3 * 4 and job.last_probe["parts"] >= 40
-    again = IncrementalNearDedup(spark, tmp_dir, part_rows=10, fan=4)    # replays, compacted or not
-    for k in (4, 49):
-        part = df.where((F.col("rank") >= 3 * k) & (F.col("rank") < 3 * k + 3))
-        assert {r["rank"] for r in again.process(part, k).collect()} == {r for r in one_pass if r // 3 == k}
-    assert again._free_id() == 50
+        # five buckets of its own; every fifth batch asks for three old ones as well
+        own, old = set(range(5 * k, 5 * k + 5)), set(range(3)) if k % 5 == 4 else set()
+        prior = job._known(_bucket_rows(spark, [(k, own | old)]), k)
+        assert ({r["k2"] for r in prior.collect()} if prior is not None else set()) == old & stored
+        # its eight buckets at most ask each run; only parts with a real hit (or a rare false one) are read
+        assert job.last_probe["filters"] <= 8 * len(job.runs())
+        assert job.last_probe["read"] <= len(old) + 2
+        job._store(_bucket_rows(spark, [(k, own)]).select("band", "k1", "k2", F.lit(k).cast("long").alias("batch")), {k}, k, k)
+        job._compact(k)
+        stored |= own
+    assert len(job.runs()) <= 3 * 4 and job.last_probe["parts"] >= 25
+    assert [r.low for r in job.runs()] == sorted(r.low for r in job.runs()) and job._free_id() == 50
+
+
+def test_compacted_batches_equal_one_pass_and_replay(spark, tmp_dir, one_partition):
+    from wordmill.streaming.incremental_neardup import IncrementalNearDedup
+    words = [" ".join(f"w{k}x{j}" for j in range(8)) for k in range(30)]
+    texts = [(r, words[1] if r % 7 == 6 else words[r]) for r in range(30)]
+    df = spark.createDataFrame(texts, "rank long, text string")
+    one_pass = {r["rank"] for r in N.near_dedup(df, "rank").collect()}
+    batch = lambda k: df.where((F.col("rank") >= 6 * k) & (F.col("rank") < 6 * k + 6))
+    job = IncrementalNearDedup(spark, tmp_dir, part_rows=10, fan=2)
+    got = [{r["rank"] for r in job.process(batch(k), k).collect()} for k in range(5)]
+    assert set().union(*got) == one_pass and len(one_pass) == 26
+    assert [(r.low, r.high) for r in job.runs()] == [(0, 3), (4, 4)]
+    again = IncrementalNearDedup(spark, tmp_dir, part_rows=10, fan=2)
+    for k in (1, 4):    # one of a compacted run, and the last one
+        assert {r["rank"] for r in again.process(batch(k), k).collect()} == got[k]
+    with pytest.raises(ValueError, match="compacted run 0 to 3"):
+        job._check_id(2, job.runs()[0], {0, 1, 3})

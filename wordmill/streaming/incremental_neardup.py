@@ -180,6 +180,11 @@ class IncrementalNearDedup:
         """The first id after all batches that this object has seen or the state holds."""
         return max([self.next_id, *(r.high + 1 for r in self.runs())])
 
+    @staticmethod
+    def _check_id(batch_id: int, run: Run, ids: set[int]) -> None:
+        if batch_id not in ids:
+            raise ValueError(f"batch {batch_id} is older than the compacted run {run.low} to {run.high}")
+
     def process(self, batch: DataFrame, batch_id: int | None = None) -> DataFrame:
         """Kept rows of ``batch``; also records their buckets under the batch id.
 
@@ -188,8 +193,8 @@ class IncrementalNearDedup:
         """
         batch_id = self._free_id() if batch_id is None else batch_id
         over = next((r for r in self.runs() if r.low <= batch_id <= r.high and r.low < r.high), None)
-        if over is not None and batch_id not in self._ids(over):
-            raise ValueError(f"batch {batch_id} is older than the compacted run {over.low} to {over.high}")
+        if over is not None:
+            self._check_id(batch_id, over, self._ids(over))
         self.next_id = max(self.next_id, batch_id + 1)
         r, key = self.rank_col, list(N.BUCKET)
         bands = N.band_keys(N.signatures(batch, r, self.text_col), r)

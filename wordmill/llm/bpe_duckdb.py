@@ -118,12 +118,16 @@ class Codec:
             self.db.unregister("given")
 
     def _contract(self, words: list[bytes], sql: str) -> list[tuple[bytes, bytes]]:
-        known = [self.ranks.get(w, -1) for w in words]
-        sizes = np.array([len(w) if k < 0 else 1 for w, k in zip(words, known)], np.int64)
+        known = np.array([self.ranks.get(w, -1) for w in words], np.int32)
+        whole = known >= 0
+        sizes = np.where(whole, 1, np.array([len(w) for w in words], np.int64))
+        tok = np.empty(int(sizes.sum()), np.int32)
+        of_whole = np.repeat(whole, sizes)
+        tok[of_whole] = known[whole]
+        tok[~of_whole] = self.byte_id[np.frombuffer(b"".join(w for w, k in zip(words, whole.tolist()) if not k), np.uint8)]
         start = pa.table({"word": np.repeat(np.arange(len(words), dtype=np.int32), sizes),
                           "pos": gather(sizes, np.zeros(len(words), np.int64), np.arange(len(words))).astype(np.int32),
-                          "tok": np.concatenate([self.byte_id[np.frombuffer(w, np.uint8)] if k < 0 else
-                                                 np.array([k], np.int32) for w, k in zip(words, known)])})
+                          "tok": tok})
         try:
             self.db.register("start", start)
             rows = self.db.sql(f"SELECT * FROM ({sql}) ORDER BY word, pos").to_arrow_table()

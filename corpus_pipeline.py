@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordmill.llm import bpe_duckdb, decontaminate, language_id, line_dedup, ngram_join
-from wordmill.llm.scratch import free_name, remove, scratch_path, temporary
+from wordmill.llm.scratch import free_name, remove, scratch_path, stored, temporary
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 LEAST_SCORE = 0.5
@@ -35,12 +35,12 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    learned = docs.where(~language_id.held_out())
-    model = language_id.train(learned, RANKS)
-    least = language_id.least_fit(language_id.training_sample(learned), model)
+    model = language_id.train(docs.where(~language_id.held_out()), RANKS)
     out = tuple(free_name(docs, name) for name in ("_lang_pred", "_score", "_fit", "_bytes"))
-    scored = language_id.predict(docs, model, out=out)
+    scored = stored(language_id.predict(docs, model, out=out), "pipeline-scored")
     pred, score, fit, size = (F.col(name) for name in out)
+    learned = scored.where(~language_id.held_out() & F.col("lang").isNotNull() & (size > 0))
+    least = language_id.least_fit(learned.select(fit / size))
     known = (pred != language_id.UNKNOWN) & (score >= LEAST_SCORE) & (fit >= size * F.lit(float(least)) - SLACK)
     return scored.where(known).drop(*out)
 

@@ -289,6 +289,28 @@ def test_language_id_edges(spark):
     assert language_id.predict(docs.limit(0), language_id.train(docs.limit(0), RANKS)).count() == 0
 
 
+def test_language_id_learns_from_all_documents(spark):
+    # 1,500 short documents a label and one of 600,000 letters; each with a word of its own
+    docs = [(k, f"{lang}word {lang}{k}x", lang) for lang, base in (("la", 0), ("en", 10_000)) for k in range(base, base + 1500)]
+    docs.append((99_999, "longest " * 75_000, "la"))
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    counted = Counter((lang, w) for _, t, lang in docs for w in (" " + x for x in re.findall("[a-z]+", t)))
+    ranks = rank_file(RANKS)
+    table = pa.table(dict(zip(("lang", "word", "n"), map(list, zip(*((*k, n) for k, n in counted.items()))))))
+    want = language_id.fit(table, sorted(ranks, key=ranks.get))
+    got = language_id.train(df, RANKS)
+    assert got.languages == want.languages and np.allclose(got.log_p, want.log_p, atol=1e-3)
+    assert (got.log_p == language_id.train(df.repartition(5), RANKS).log_p).all()
+
+
+def test_least_fit_is_exact(spark):
+    values = np.random.default_rng(3).normal(-1.5, 0.2, 4_321)
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    low, middle = np.quantile(values, [0.01, 0.5])
+    assert np.isclose(language_id.least_fit(df), low - (middle - low), rtol=0, atol=1e-12)
+    assert language_id.least_fit(df.limit(0)) == -np.inf and language_id.least_fit(df.limit(1)) == df.first()[0]
+
+
 # --- secret scans ----------------------------------------------------------------------
 
 def brute_base(text):
@@ -566,6 +588,17 @@ def test_token_counts(spark):
     assert token_counts.token_counts(empty(spark), RANKS, P.PATTERN).count() == 0
 
 
+def test_token_scores_learn_from_all_documents(spark):
+    # 3 MB in 1,500 documents and one text of 400,000 bytes: more than a sample would hold
+    docs = [(k, f"common words again and a {k * 7919 % 1000}xy " * 60) for k in range(1500)] + [(9_999, "zebras grazed " * 28_600)]
+    df = spark.createDataFrame(docs, DOCS)
+    find, ranks = PreTokens(P.PATTERN)._find, rank_file(RANKS)
+    counted = Counter(w for _, t in docs for w in find(t))
+    table = pa.table({"lang": [""] * len(counted), "word": list(counted), "n": list(counted.values())})
+    want = language_id.fit(table, sorted(ranks, key=ranks.get), token_counts.ROUNDS).log_p[:, 0] * 1e6
+    assert np.abs(token_counts.learn_scores(df, RANKS, P.PATTERN) - want).max() < 1_000
+
+
 def random_page(rng, depth, count):
     """(html, [(text, link characters, ids of the containers around it from the inside)]) of a random tree."""
     name = f"n{next(count)}"

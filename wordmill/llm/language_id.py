@@ -8,11 +8,11 @@ over its words (lower-cased runs of letters and non-ASCII characters, each with
 front, as the vocabulary's word-initial pieces have it); the score is the posterior of the
 best language under equal priors.
 
-Training is expectation-maximisation on word counts of labelled documents: the forward
-sums and, back through the same trie, the expected piece counts. It uses about
-``per_language`` documents of every label, and no more than make up ``LABEL_BYTES`` bytes (a hash
-of the id decides, so the sample is the same in every run); a label of fewer documents is used whole.
-Texts over an eighth of that size are not learned from. The model has one row a language and one column a piece.
+Training is expectation-maximisation on the word counts of all labelled documents: the forward
+sums and, back through the same trie, the expected piece counts. The counts of distinct words
+are a table; a round is one job over its parts, which sends back the expected uses of each piece
+in each language as whole numbers of 1 / ``UNITS``, so their sums do not depend on the order. Parts follow
+the words alone, so every run learns the same. The model has one row a language and one column a piece.
 
 Defined results: null texts and texts without a letter (Unicode category L; number signs are
 none) are ``und`` with score 0, and so is every text when there is nothing to learn from;
@@ -35,11 +35,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wordmill.llm import lattice, words as W
+from wordmill.llm.positions import numbered
 from wordmill.llm.pretokens import bounds, rank_file
+from wordmill.llm.scratch import stored, temporary
 
 UNKNOWN = "und"
 SLICE_BYTES = 4 << 20
-LABEL_BYTES = 4 << 20    # bytes of text a language is learned from, at most about
+PART_BYTES = 4 << 20     # bytes of distinct words that a task of a round takes, about
+UNITS = 1 << 20          # expected uses are summed in these fractions
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -82,17 +85,24 @@ class Forward:
         sums = self.sums(log_p)
         weight = np.zeros_like(sums)
         np.add.at(weight, self.trie.terminal, counts)
-        uses = np.zeros((n_pieces, log_p.shape[1]))
+        used = np.zeros((len(self.piece), log_p.shape[1]))
         for a, b in reversed(list(zip(self.trie.levels[:-1], self.trie.levels[1:]))):
             lo, hi = self.at[a], self.at[b]
             source, piece = self.source[lo:hi], self.piece[lo:hi]
             many = np.diff(self.at[a:b + 1])
             share = np.exp(sums[source] + log_p[piece] - np.repeat(sums[a:b], many, axis=0))
             share *= np.repeat(weight[a:b], many, axis=0)
+            used[lo:hi] = share
+            first = source.min()    # a piece is short, so its sources are near
             for k in range(share.shape[1]):
-                uses[:, k] += np.bincount(piece, share[:, k], n_pieces)
-                weight[:, k] += np.bincount(source, share[:, k], len(weight))
-        return uses
+                more = np.bincount(source - first, share[:, k])
+                weight[first:first + len(more), k] += more
+        return np.stack([np.bincount(self.piece, used[:, k], n_pieces) for k in range(used.shape[1])], axis=1)
+
+
+def _first_guess(vocabulary: list[bytes], n_languages: int) -> np.ndarray:
+    size = np.array([len(p) for p in vocabulary])
+    return np.repeat((-np.log(size.max() + 1.0) * size - np.log(2.0))[:, None], n_languages, axis=1)
 
 
 def fit(counted: pa.Table, vocabulary: list[bytes], rounds: int = 4, smoothing: float = 0.02) -> Model:
@@ -106,38 +116,82 @@ def fit(counted: pa.Table, vocabulary: list[bytes], rounds: int = 4, smoothing:
     np.add.at(counts, (words.indices.to_numpy(), which), counted["n"].to_numpy())
     pieces = lattice.Pieces(vocabulary)
     forward = Forward(words.dictionary, pieces)
-    size = np.array([len(p) for p in vocabulary])
-    log_p = np.repeat((-np.log(size.max() + 1.0) * size - np.log(2.0))[:, None], len(languages), axis=1)
+    log_p = _first_guess(vocabulary, len(languages))
     for _ in range(rounds):
         uses = forward.expected(log_p, counts, len(vocabulary)) + smoothing
         log_p = np.log(uses) - np.log(uses.sum(axis=0))
     return Model(languages, vocabulary, log_p)
 
 
-def training_sample(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-                    per_language: int = 1000) -> DataFrame | None:
-    """(lang, text) of about ``per_language`` documents of every non-null label of ``docs``; None without labels."""
-    labelled = docs.select(
-        F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{id_col}`").alias("id"),
-        F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)).cast("long").alias("size")).where(
-        F.col("lang").isNotNull() & (F.col("size") <= LABEL_BYTES // 8))
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).collect()  # a row a label
-    if not sizes:
-        return None
-    space = 1 << 30
-    cut = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], max(1, min(
-        space, space * per_language // r["n"], space * LABEL_BYTES // max(1, r["size"]))))))
-    return labelled.where(F.pmod(F.xxhash64("id"), F.lit(space)) < F.element_at(cut, F.col("lang"))).select("lang", "text")
-
-
-def train(docs: DataFrame, vocabulary_path: str, text_col: str = "text", lang_col: str = "lang",
-          id_col: str = "doc_id", per_language: int = 1000, rounds: int = 4) -> Model:
-    """Learn from about ``per_language`` documents of every non-null label of ``docs``."""
+def learn(counted: DataFrame, vocabulary: list[bytes], rounds: int = 4, smoothing: float = 0.02) -> Model:
+    """:func:`fit` on a table (lang, word, n) of any size: a job per round, the driver gets one row per piece and language."""
+    with temporary(counted.sparkSession):
+        return _learn(stored(counted, "word-counts"), vocabulary, rounds, smoothing)
+
+
+def _learn(counted: DataFrame, vocabulary: list[bytes], rounds: int, smoothing: float) -> Model:
+    found = counted.groupBy("lang").agg(F.sum(F.octet_length("word") + F.lit(8)).alias("size")).collect()  # a row a label
+    languages = sorted(r["lang"] for r in found)
+    if not languages:
+        return Model([], vocabulary, np.zeros((len(vocabulary), 0)))
+    parts = -(-sum(r["size"] for r in found) // PART_BYTES)
+    words = stored(counted.repartition(parts, "word").sortWithinPartitions("word", "lang")
+                   .select("lang", "word", "n", F.spark_partition_id().alias("part")), "training-words")
+    context = counted.sparkSession.sparkContext
+    names, n_pieces = pa.array(languages, pa.string()), len(vocabulary)
+    slice_bytes = max(1 << 16, SLICE_BYTES // len(languages))
+    pieces = context.broadcast(lattice.Pieces(vocabulary))
+    log_p = _first_guess(vocabulary, len(languages))
+    for _ in range(rounds):
+        sent = context.broadcast(log_p)
+
+        def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            whole = np.zeros((n_pieces, len(names)), np.int64)
+            for rows in _by_part(batches):
+                uses = np.zeros((n_pieces, len(names)))
+                for some in W.byte_slices(rows, "word", slice_bytes):
+                    coded = some.column(1).dictionary_encode()
+                    counts = np.zeros((len(coded.dictionary), len(names)))
+                    np.add.at(counts, (coded.indices.to_numpy(zero_copy_only=False),
+                                       pc.index_in(some.column(0), names).to_numpy(zero_copy_only=False)),
+                              some.column(2).to_numpy(zero_copy_only=False))
+                    uses += Forward(coded.dictionary, pieces.value).expected(sent.value, counts, n_pieces)
+                whole += np.rint(uses * UNITS).astype(np.int64)
+            piece, lang = np.nonzero(whole)
+            yield pa.RecordBatch.from_arrays([pa.array(piece.astype(np.int32)), pa.array(lang.astype(np.int32)),
+                                              pa.array(whole[piece, lang])], names=["piece", "lang", "n"])
+
+        rows = (words.mapInArrow(expect, "piece int, lang int, n long")
+                .groupBy("piece", "lang").agg(F.sum("n").alias("n")).toArrow())
+        uses = np.full((n_pieces, len(names)), smoothing)
+        uses[rows["piece"].to_numpy(), rows["lang"].to_numpy()] += rows["n"].to_numpy() / UNITS
+        log_p = np.log(uses) - np.log(uses.sum(axis=0))
+        sent.destroy()
+    pieces.destroy()
+    return Model(languages, vocabulary, log_p)
+
+
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (lang, word, n, part) put together by part; a part is one file, so its rows come one after the other."""
+    held, at = [], None
+    for batch in batches:
+        part = batch.column(3).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if a < b:
+                if held and part[a] != at:
+                    yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                    held = []
+                held.append(batch.slice(a, b - a))
+                at = part[a]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def train(docs: DataFrame, vocabulary_path: str, text_col: str = "text", lang_col: str = "lang", rounds: int = 4) -> Model:
+    """Learn from all documents of ``docs`` with a label that is not null."""
     ranks = rank_file(vocabulary_path)
     vocabulary = sorted(ranks, key=ranks.get)
-    sample = training_sample(docs, text_col, lang_col, id_col, per_language)
-    if sample is None:
-        return Model([], vocabulary, np.zeros((len(vocabulary), 0)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,29 +199,35 @@ def train(docs: DataFrame, vocabulary_path: str, text_col: str = "text", lang_co
                 langs = part.column(0).dictionary_encode()
                 distinct, codes, counts = spaced_words(part.column(1))
                 lang = np.repeat(langs.indices.to_numpy(zero_copy_only=False).astype(np.int64), counts)
-                pairs, n = np.unique(lang * max(1, len(distinct)) + codes, return_counts=True)
                 size = max(1, len(distinct))
+                pairs, n = np.unique(lang * size + codes, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [langs.dictionary.take(pa.array(pairs // size)), distinct.take(pa.array(pairs % size))
                      .cast(pa.string()), pa.array(n.astype(np.int64))], names=["lang", "word", "n"])
 
-    rows = sample.select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(
-        F.sum("n").alias("n"))
-    return fit(rows.toArrow(), vocabulary, rounds)  # the distinct words of the bounded sample
+    labelled = docs.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text")).where(
+        F.col("lang").isNotNull())
+    return learn(labelled.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(
+        F.sum("n").alias("n")), vocabulary, rounds)
 
 
-def least_fit(sample: DataFrame | None, model: Model) -> float:
+def least_fit(per_byte: DataFrame) -> float:
     """The log-likelihood per byte below which a text is of none of the languages.
 
-    One training document in a hundred lies below the range's low end, so odd documents do not set
-    it; the limit lies as far below that end as the median lies above it.
+    ``per_byte`` has one column, that of every training document. One of them in a hundred lies
+    below the range's low end, so odd documents do not set it; the limit lies as far below that end as the
+    median lies above it. The quantiles are exact (interpolated, as ``percentile`` does), by places in
+    the sorted order.
     """
-    if sample is None:
+    n = per_byte.count()
+    if not n:
         return -np.inf
-    per_byte = F.col("_fit") / F.col("_bytes")
-    low, middle = predict(sample, model, out=("_pred", "_score", "_fit", "_bytes")).where("_bytes > 0").agg(
-        F.percentile(per_byte, F.lit(0.01)), F.percentile(per_byte, F.lit(0.5))).first()
-    return -np.inf if low is None else low - (middle - low)
+    at = [share * (n - 1) for share in (0.01, 0.5)]
+    wanted = sorted({int(f(x)) for x in at for f in (np.floor, np.ceil)})
+    placed = numbered(per_byte.toDF("_v").withColumn("_all", F.lit(0)), "_all", ["_v"], "_at", name="least-fit")
+    value = {r["_at"]: r["_v"] for r in placed.where(F.col("_at").isin(wanted)).select("_at", "_v").collect()}
+    low, middle = ((1 - x % 1) * value[int(x)] + x % 1 * value[int(np.ceil(x))] for x in at)
+    return low - (middle - low)
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", out=("lang_pred", "score")) -> DataFrame:

@@ -7,14 +7,13 @@ many pre-tokens share is scored once. The counts at the terminal nodes are the t
 counts of the pre-tokens, and a document's count is their sum over its pre-tokens.
 
 Pieces are a fixed public byte vocabulary; their probabilities are learned
-(:func:`learn_scores`) by expectation-maximisation on the pre-tokens of a sample of the documents,
-of about ``SAMPLE_BYTES`` bytes, picked by a hash of the id. A score is a log-probability in whole
+(:func:`learn_scores`) by expectation-maximisation on the pre-tokens of all documents, a job per
+round over the table of distinct ones. A score is a log-probability in whole
 micro-units, so that sums are exact and ties are ties. Of equal scores the segmentation of
 fewer tokens counts. All 256 single bytes are pieces, so every text has a segmentation.
 
-Defined results: null and empty texts have no tokens; very long texts are counted whole, but
-texts over an eighth of the sample's size are not learned from; where there is nothing to learn from, all
-pieces score alike; repeated rows are counted each; an empty table gives an empty result;
+Defined results: null and empty texts have no tokens; very long texts are learned from and counted
+whole; where there is nothing to learn from, all pieces score alike; repeated rows are counted each; an empty table gives an empty result;
 other columns are ignored.
 """
 
@@ -28,39 +27,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.llm import lattice, words as W
-from wordmill.llm.language_id import fit
+from wordmill.llm.language_id import learn
 from wordmill.llm.pretokens import PreTokens, bounds, rank_file
 
 SLICE_BYTES = 8 << 20
-SAMPLE_BYTES = 2 << 20   # bytes of text that the piece probabilities are learned from, about
 ROUNDS = 3
 
 
-def learn_scores(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-                 sample_bytes: int = SAMPLE_BYTES, rounds: int = ROUNDS) -> np.ndarray:
-    """Log-probability of every piece in whole micro-units."""
+def learn_scores(docs: DataFrame, path: str, pattern: str, text_col: str = "text", rounds: int = ROUNDS) -> np.ndarray:
+    """Log-probability of every piece in whole micro-units, learned from all of ``docs``."""
     ranks = rank_file(path)
     vocabulary = sorted(ranks, key=ranks.get)
-    sized = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"),
-                        F.octet_length(F.col(f"`{text_col}`")).cast("long").alias("size")).where(
-        F.col("size") <= sample_bytes // 8)
-    total = sized.agg(F.sum("size")).first()[0] or 0
-    space = 1 << 30
-    share = space if total <= sample_bytes else max(1, space * sample_bytes // total)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = PreTokens(pattern)
         for batch in batches:
-            distinct, codes, _ = cut(batch.column(0))
-            yield pa.RecordBatch.from_arrays(
-                [distinct, pa.array(np.bincount(codes, minlength=len(distinct)).astype(np.int64))], names=["word", "n"])
-
-    words = (sized.where(F.pmod(F.xxhash64("id"), F.lit(space)) < share).select("text")
-             .mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-             .toArrow().sort_by("word"))     # the distinct pre-tokens of the bounded sample
-    if not words.num_rows:
+            for part in W.byte_slices(batch, 0, SLICE_BYTES):
+                distinct, codes, _ = cut(part.column(0))
+                yield pa.RecordBatch.from_arrays(
+                    [distinct, pa.array(np.bincount(codes, minlength=len(distinct)).astype(np.int64))], names=["word", "n"])
+
+    words = (docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(count, "word string, n long")
+             .groupBy("word").agg(F.sum("n").alias("n")).select(F.lit("").alias("lang"), "word", "n"))
+    model = learn(words, vocabulary, rounds)
+    if not model.languages:
         return np.full(len(vocabulary), -1_000_000, np.int64)
-    model = fit(words.append_column("lang", pa.array([""] * words.num_rows)), vocabulary, rounds)
     return np.round(model.log_p[:, 0] * 1e6).astype(np.int64)
 
 
@@ -85,7 +76,7 @@ def token_counts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
                  scores: np.ndarray | None = None) -> DataFrame:
     """doc_id, n_pretokens, n_tokens of every document; without ``scores`` they are learned from ``docs``."""
     if scores is None:
-        scores = learn_scores(docs, path, pattern, id_col, text_col)
+        scores = learn_scores(docs, path, pattern, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = rank_file(path)

@@ -123,3 +123,12 @@ def test_null_text_passes_nfc_and_is_rejected(spark):
     got = {r.doc_id: r.t for r in df.select("doc_id", T.nfc("text").alias("t")).collect()}
     assert got == {1: None, 2: "plain ascii", 3: "é"}
     assert C.clean_documents(df, keep=("doc_id",)).where("doc_id = 1").count() == 0
+
+
+def test_java_classes_equal_the_plain_ones(spark):
+    # every code point once: what the short forms match is what the plain forms match
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    pairs = [(P.JAVA_WS_RUN, P.WS_RUN), (P.JAVA_NON_LETTER_RUN, P.NON_LETTER_RUN), (P.JAVA_PRETOKEN, P.PRETOKEN)]
+    runs = [F.md5(F.to_json(F.regexp_extract_all("s", F.lit(p), F.lit(0)))) for pair in pairs for p in pair]
+    got = spark.createDataFrame([(every,)], "s string").select(*(c.alias(f"r{k}") for k, c in enumerate(runs))).first()
+    assert all(got[2 * k] == got[2 * k + 1] for k in range(len(pairs))) and len(set(got)) == len(pairs)

@@ -129,3 +129,17 @@ def test_counts_at_smaller_vocabularies(spark):
         assert full.merges[:B.merges_at(full, n)] == m.merges
     counts = [{r.doc_id: len(r.input_ids) for r in B.doc_tokens(df, m).collect()} for m in models]
     assert got == {i: tuple(c[i] for c in counts) for i in got} and len(got) == len(texts) + 2
+
+
+def test_tokens_are_put_together_in_slices(spark, monkeypatch):
+    """Documents are put together in slices of a batch, words counted per batch before they are aggregated."""
+    import pyarrow as pa
+    docs = [(k, "low lower " * n if n else None) for k, n in enumerate((0, 3, 1, 50, 2, 0, 7))]
+    batch = pa.record_batch([pa.array([k for k, _ in docs]), pa.array([t and t.split() for _, t in docs], pa.list_(pa.string()))], names=["k", "p"])
+    monkeypatch.setattr(B, "SLICE_PIECES", 10)
+    got = list(B._doc_slices(batch))
+    assert [len(k) for k, _ in got] == [3, 1, 2, 1] and [x for k, _ in got for x in k.to_pylist()] == list(range(7))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    wf = B.word_frequencies(df)
+    assert sorted(map(tuple, wf.collect())) == [("low", 63), ("lower", 63)]
+    assert "Generate" not in wf._jdf.queryExecution().optimizedPlan().toString()

@@ -276,3 +276,20 @@ def test_compacted_batches_equal_one_pass_and_replay(spark, tmp_dir, one_partiti
         assert {r["rank"] for r in again.process(batch(k), k).collect()} == got[k]
     with pytest.raises(ValueError, match="compacted run 0 to 3"):
         job._check_id(2, job.runs()[0], {0, 1, 3})
+
+
+@pytest.mark.parametrize("few, join", [(100_000, "BroadcastHashJoin"), (0, "ShuffledHashJoin")])
+def test_winners_never_sort_the_text(spark, monkeypatch, few, join):
+    rows = [(f"c{i % 3}", i, f"text {i % 40}", f"h{i % 40}") for i in range(200)]
+    df = spark.createDataFrame(rows, "corpus string, ordinal long, text string, hash string")
+    want = sorted(tuple(r) for r in C.exact_dedup(df).collect())
+    monkeypatch.setattr(C, "BROADCAST_LOSERS", few, raising=False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = C.exact_dedup(df, strategy="winners")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(tuple(r) for r in out.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert join in plan and "SortMergeJoin" not in plan

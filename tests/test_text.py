@@ -132,3 +132,14 @@ def test_java_classes_equal_the_plain_ones(spark):
     runs = [F.md5(F.to_json(F.regexp_extract_all("s", F.lit(p), F.lit(0)))) for pair in pairs for p in pair]
     got = spark.createDataFrame([(every,)], "s string").select(*(c.alias(f"r{k}") for k, c in enumerate(runs))).first()
     assert all(got[2 * k] == got[2 * k + 1] for k in range(len(pairs))) and len(set(got)) == len(pairs)
+
+
+def test_clean_texts_skip_the_patterns(spark):
+    texts = ["plain text", " a  b ", "a\tb", "x\n\n\n\ny", "a <b> c", "a <b>\n\n</b>\n c", "R&amp;D &x", "a & b  <", "<", "≮ b>",
+             "<\u0338b>", "\u00a0e\u0301 \n", "a \t b", "", None, "a\n\nb", "x<i></i> y", "\u2000 \u2001"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    whole = T.collapse_ws(T.strip_entities(T.strip_tags(T.nfc("t"))))
+    rows = df.select(T.normalize_text("t").alias("got"), whole.alias("want")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows]
+    assert "Contains" in df.select(T.normalize_text("t"))._jdf.queryExecution().analyzed().toString() or \
+        "contains" in df.select(T.normalize_text("t"))._jdf.queryExecution().analyzed().toString()

@@ -143,3 +143,21 @@ def test_tokens_are_put_together_in_slices(spark, monkeypatch):
     wf = B.word_frequencies(df)
     assert sorted(map(tuple, wf.collect())) == [("low", 63), ("lower", 63)]
     assert "Generate" not in wf._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_short_words_encode_as_long_ones(spark, monkeypatch):
+    df = spark.createDataFrame([("banana bandana ananas aaaaaaa abab baba nananana cabana",)] * 3, "text string")
+    m = B.learn_bpe(B.word_frequencies(df), vocab_size=60)
+    table = m.merge_table()
+    words = ["banana", "aaaaaaaa", "aaa", "a", "", "x", "bxanana", "nanabanabandana", "ab" * 40, "é𐍈na"]
+    monkeypatch.setattr(B, "SHORT_WORD", 1 << 20)
+    got = [(B.encode_word(w, m.vocab, table, 0, r := []), r) for w in words]
+    monkeypatch.setattr(B, "SHORT_WORD", -1)
+    assert got == [(B.encode_word(w, m.vocab, table, 0, r := []), r) for w in words]
+
+
+@pytest.mark.parametrize("name", ["doc_tokens", "decode_tokens", "encode_words"])
+def test_tokens_come_from_the_written_stage(spark, name):
+    import __spark_entry__ as E
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan

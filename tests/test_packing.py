@@ -84,3 +84,19 @@ def test_first_k_ties_and_edges(spark):
     for k in (0, 1, 7, 10, 11, 12, 100):
         got = sorted(((r.h or ""), r.doc_id) for r in PK.k_smallest(df.where("h is not null"), "h", "doc_id", k).collect())
         assert got == [("aa", i) for i in range(min(k, 10))] + [("ab", 3)] * (k > 10)
+
+
+def test_ids_to_pack_are_made_once(spark):
+    from wordmill.plans import registry as R
+    made = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    docs = spark.createDataFrame([(i, list(range(i % 7))) for i in range(400)], "doc_id long, input_ids array<int>")
+    docs = docs.repartition(4, "doc_id").mapInArrow(run, docs.schema)
+    blocks = R._packed(docs, 100, 8).collect()
+    assert sum(len(b["input_ids"]) for b in blocks) > 0
+    assert made.value == 400

@@ -293,3 +293,19 @@ def test_winners_never_sort_the_text(spark, monkeypatch, few, join):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert join in plan and "SortMergeJoin" not in plan
+
+
+def test_candidates_compute_signatures_once(spark, monkeypatch):
+    from conftest import SF
+    from wordmill.plans import registry as R
+    made = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows, bands = R._band_rows(spark, SF)
+    monkeypatch.setattr(R, "_band_rows", lambda *_: (rows, bands.mapInArrow(run, bands.schema)))
+    assert R.q_neardup_candidates(spark, SF).count() > 0
+    assert made.value == bands.count()

@@ -309,3 +309,18 @@ def test_candidates_compute_signatures_once(spark, monkeypatch):
     monkeypatch.setattr(R, "_band_rows", lambda *_: (rows, bands.mapInArrow(run, bands.schema)))
     assert R.q_neardup_candidates(spark, SF).count() > 0
     assert made.value == bands.count()
+
+
+def test_incremental_query_writes_no_text(spark, monkeypatch):
+    from conftest import SF
+    from wordmill.plans import registry as R
+    frame, columns = type(spark.range(1)), []
+    checkpoint = frame.checkpoint
+
+    def seen(df, *a, **k):
+        columns.extend(df.columns)
+        return checkpoint(df, *a, **k)
+
+    monkeypatch.setattr(frame, "checkpoint", seen)
+    R.q_incremental_neardup(spark, SF)
+    assert columns and "text" not in columns

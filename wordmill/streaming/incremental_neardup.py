@@ -214,7 +214,8 @@ class IncrementalNearDedup:
             self._store(B.join(kept, "rank", "left_semi").select(*key, F.lit(batch_id).cast("long").alias("batch")),
                         {batch_id}, batch_id, batch_id)
             self._compact(batch_id)
-        return batch.join(kept.withColumnRenamed("rank", r), r, "left_semi")
+        # hash tables of the narrow side: the batch's text is not sorted for the join
+        return batch.join(kept.withColumnRenamed("rank", r).hint("shuffle_hash"), r, "left_semi")
 
     def foreach_batch(self, sink_path: str):
         """A ``foreachBatch`` function that writes kept rows to ``sink_path/batch=<id>``."""

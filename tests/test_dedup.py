@@ -324,3 +324,36 @@ def test_incremental_query_writes_no_text(spark, monkeypatch):
     monkeypatch.setattr(frame, "checkpoint", seen)
     R.q_incremental_neardup(spark, SF)
     assert columns and "text" not in columns
+
+
+def test_signature_has_a_value_for_every_permutation(spark):
+    import hashlib
+    text = "one two three four five six seven"
+    df = spark.createDataFrame([(1, text), (2, "of four words only"), (3, None)], "rank long, text string")
+    words = text.split()
+    hashes = [int(hashlib.md5(" ".join(words[i:i + 5]).encode()).hexdigest()[:15], 16) for i in range(3)]
+    want = [min((a1 * (h >> 30) + a2 * (h & (1 << 30) - 1) + b) % N.MERSENNE_P for h in hashes) for a1, a2, b in N.permutations(64)]
+    assert [tuple(r) for r in N.signatures(df, "rank").collect()] == [(1, *want)]
+
+
+def test_signature_query_has_all_values(spark, tmp_path):
+    import duckdb
+    from wordmill.plans import registry as R
+    rows = [(k, "s", "en", f"document number {k} says something long enough to be kept by the filters") for k in range(3)]
+    spark.createDataFrame(rows, "doc_id long, source string, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.sig for r in R.q_minhash_sig(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert got == dict(con.execute(R.REGISTRY["minhash_sig"].sql).fetchall())
+    assert len(got) == 3 and all(len(s.split(",")) == 64 for s in got.values())
+
+
+def test_bands_pay_for_their_own_values_only(spark):
+    df = spark.createDataFrame([(1, "one two three four five six")], "rank long, text string")
+    before = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plan = N.band_keys(N.signatures(df, "rank"), "rank")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", before)
+    assert "AS m54#" in plan and "AS m55#" not in plan

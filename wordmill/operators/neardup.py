@@ -120,18 +120,19 @@ def shingles(df: DataFrame, rank_col: str, text_col: str = "text") -> DataFrame:
 
 def signatures(df: DataFrame, rank_col: str, text_col: str = "text",
                hash_family: str = "md5") -> DataFrame:
-    """D3: (rank, m0..m54) — min over shingles of (a1*hi + a2*lo + b) mod p.
+    """D3: (rank, m0..m63) — min over shingles of (a1*hi + a2*lo + b) mod p.
 
     Shingle hashes are exploded and re-aggregated per document; the partial
     HashAggregate (fixed-width bigint buffers, codegen) runs before the shuffle,
-    so only one 55-long row per document crosses the network.
+    so only one 64-long row per document crosses the network. Banding reads
+    ``USED`` of the values; Spark prunes the others there.
     """
     h = _shingle_rows(df, rank_col, text_col).select(
         rank_col, shingle_hash(F.col("shingle"), hash_family).alias("h"))
     h = h.select(rank_col, F.shiftright("h", LANE_BITS).alias("hi"),
                  F.col("h").bitwiseAND(F.lit((1 << LANE_BITS) - 1)).alias("lo"))
     aggs = [F.min((F.col("hi") * F.lit(a1) + F.col("lo") * F.lit(a2) + F.lit(b)) % F.lit(MERSENNE_P))
-            .alias(f"m{i}") for i, (a1, a2, b) in enumerate(PERMS[:USED])]
+            .alias(f"m{i}") for i, (a1, a2, b) in enumerate(PERMS)]
     return h.groupBy(rank_col).agg(*aggs)
 
 

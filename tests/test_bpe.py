@@ -161,3 +161,20 @@ def test_tokens_come_from_the_written_stage(spark, name):
     import __spark_entry__ as E
     plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def test_fertility_query_learns_the_full_vocabulary(spark, tmp_path):
+    import random
+
+    from wordmill.plans import registry as R
+    rnd = random.Random(5)
+    words = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(250)]
+    rows = [(k, "s", "en", " ".join(words[25 * (k % 10):25 * (k % 10 + 1)]) + " end" * (k // 10)) for k in range(20)]
+    spark.createDataFrame(rows, "doc_id long, source string, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in R.q_fertility(spark, str(tmp_path)).collect()]
+    # more than 500 merges, until every word that comes twice is one token
+    assert got == [(510, 510, 1.0, "EXCELLENT")]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    con.execute("CREATE VIEW benchmark AS SELECT 1 AS item_id, 'one more' AS text")
+    assert con.execute(R.REGISTRY["fertility"].sql).fetchall() == got

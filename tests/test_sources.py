@@ -219,3 +219,49 @@ def test_file_table(spark, tmp_dir):
         f.write(b"12345")
     assert [(os.path.basename(r.path), r.bytes) for r in R.file_table(spark, tmp_dir).collect()] == [("x.txt", 5)]
     assert R.file_table(spark, os.path.join(tmp_dir, "none")).count() == 0
+
+
+def _page_files(spark, monkeypatch, tmp_path, rows, schema="page_id long, html string"):
+    """The rows of src_files over these pages, and the files it made."""
+    from wordmill.plans import registry as REG
+    table = f"{tmp_path}/{len(os.listdir(tmp_path))}"
+    spark.createDataFrame(rows, schema).write.parquet(f"{table}/pages.parquet")
+    monkeypatch.setattr(REG, "scratch", lambda *_: f"{table}/files")
+    got = sorted((tuple(r) for r in REG.q_src_files(spark, table).collect()), key=lambda r: (r[0] is None, r[0]))
+    return got, [os.path.join(d, f) for d, _, names in os.walk(f"{table}/files") for f in names]
+
+
+def test_page_files_share_folders(spark, monkeypatch, tmp_path):
+    import duckdb
+    from wordmill.plans import registry as REG
+    got, files = _page_files(spark, monkeypatch, tmp_path, [(k, f"<p>{k}\r\né</p>") for k in range(400)])
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/0/pages.parquet/*.parquet')")
+    assert got == sorted(con.execute(REG.REGISTRY["src_files"].sql).fetchall())
+    # a file a page and nothing beside it; the number of folders does not follow the number of pages
+    assert sorted(os.path.basename(f) for f in files) == sorted(f"page_id={k}.txt" for k in range(400))
+    assert 32 < len({os.path.dirname(f) for f in files}) <= R.FILE_FOLDERS
+
+
+def test_page_files_of_odd_rows(spark, monkeypatch, tmp_path):
+    import hashlib
+    rows = [(7, "a"), (7, "a"), (3, None), (53, "b"), (-2, ""), (None, "c"), (8, None), (9, "x\ny")]
+    text = {7: "a\na\n", 3: "\n", -2: "\n", None: "c\n", 8: "\n", 9: "x\ny\n"}
+    want = {k: (k, "read", len(t), hashlib.md5(t.encode()).hexdigest()) for k, t in text.items()} | {53: (53, "invalid", 3, None)}
+    got, files = _page_files(spark, monkeypatch, tmp_path, rows)
+    assert {r[0]: r for r in got} == want and len(got) == len(want) == len(files)
+    # Spark's writer, which other stores than mounted ones get, makes the same
+    monkeypatch.setattr(R, "_mounted", lambda *_: None)
+    assert _page_files(spark, monkeypatch, tmp_path, rows)[0] == got
+
+
+def test_page_files_of_no_rows(spark, monkeypatch, tmp_path):
+    assert _page_files(spark, monkeypatch, tmp_path, []) == ([], [])
+
+
+def test_files_are_listed_once(spark, monkeypatch, tmp_path):
+    made = []
+    listed = R.binary_files
+    monkeypatch.setattr(R, "binary_files", lambda *a, **k: made.append(a) or listed(*a, **k))
+    _page_files(spark, monkeypatch, tmp_path, [(1, "a"), (2, "b")])
+    assert len(made) == 1
